@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Text in the model can never hold NUL, so it marks the word starts found below.
-_WORD_MARK = "\u0000 "
+# Text in the model can never hold NUL, so it marks the places found below.
+_MARK = "\u0000"
+_WORD_MARK = _MARK + " "
+
+# Letters without a one-letter capital, which stay as they are.
+_NO_CAPITAL = "ßŉǰΐΰևẖẗẘẙẚὐὒὔὖᾲᾴᾶᾷῂῄῆῇῒΐῖῗῢΰῤῦῧῲῴῶῷﬀﬁﬂﬃﬄﬅﬆﬓﬔﬕﬖﬗ"
 
 
 def blank_to_null(text: Column) -> Column:
@@ -21,8 +25,11 @@ def title_case(text: Column) -> Column:
     separator for ``F.initcap`` to find, and comes out again. No lambda, so the
     projection stays in whole-stage codegen.
     """
-    marked = F.regexp_replace(text, r"([^\p{L}\p{N}])(?=[\p{L}\p{N}])", "$1" + _WORD_MARK)
-    return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    words = F.regexp_replace(text, r"([^\p{L}\p{N}])(?=[\p{L}\p{N}])", "$1" + _WORD_MARK)
+    # A mark in front of a word's first letter keeps it from being expanded (ß to Ss).
+    kept = rf"([{_NO_CAPITAL}])(?<![\p{{L}}\p{{N}}].)"
+    titled = F.initcap(F.regexp_replace(words, kept, _MARK + "$1"))
+    return F.replace(F.replace(titled, F.lit(_WORD_MARK), F.lit("")), F.lit(_MARK), F.lit(""))
 
 
 def category_label(text: Column) -> Column:

@@ -90,7 +90,8 @@ def _gapped(ctes: tuple[str, ...]) -> tuple[str, ...]:
 def _title(text: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({text}), "
-        r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), lambda t: upper(t[1]) || t[2:]), '')"
+        r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), "
+        "lambda t: CASE WHEN t[1] = 'ß' THEN t ELSE upper(t[1]) || t[2:] END), '')"
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -70,7 +71,13 @@ def write_dimensions(
         DIM_PRODUCTS.table: lambda: dimensions.products(staged[PRODUCTS.table]),
         DIM_TIME.table: lambda: dimensions.calendar(staged[ORDERS.table]),
     }
-    return {t.table: write_table(spark, t, rows[t.table](), folder, loaded_at) for t in only}
+
+    def write(target: Target) -> int:
+        return write_table(spark, target, rows[target.table](), folder, loaded_at)
+
+    # They do not depend on each other, so their jobs may share the cluster.
+    with ThreadPoolExecutor(max_workers=len(only)) as pool:
+        return dict(zip([t.table for t in only], pool.map(write, only)))
 
 
 def fact_rows(spark: SparkSession, staged: Mapping[str, DataFrame], folder: str) -> DataFrame:

@@ -28,7 +28,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session for a job. Deployment settings stay with the submit command."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for name, value in {**SETTINGS, **conf}.items():

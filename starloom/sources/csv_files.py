@@ -35,28 +35,31 @@ _RECORD = "_record"
 # Appended to a malformed record to see where its fields end.
 _END_MARK = "\u0001"
 # A line on which every field is either free of quotes or wholly quoted.
-_WHOLE_LINE = r'^(?:[^",]*+|"[^"]*+(?:""[^"]*+)*+")(?:,(?:[^",]*+|"[^"]*+(?:""[^"]*+)*+"))*+$'
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+_WHOLE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
 
 def list_files(spark: SparkSession, path: str) -> list[Row]:
     """(path, length) of the files a path or glob names; their content is not read."""
     try:
-        files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+        listing = spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"File not found: {path}") from error
+    # Files without content make no rows here.
+    files = listing.select("path", "length").orderBy("path").collect()
+    if not files and listing.inputFiles():
+        raise ValueError(f"{path} has no header")
     if not files:
         raise FileNotFoundError(f"File not found: {path}")
-    return sorted(files, key=lambda f: f.path)
+    return files
 
 
 def read_header(spark: SparkSession, file: str) -> list[str | None]:
     first = spark.read.options(header=False, multiLine=True, **_QUOTING).csv(file).first()
-    if first is None:
-        raise ValueError(f"{file} has no header")
-    return list(first)
+    return list(first or [])
 
 
 def _column_names(header: list[str | None]) -> list[str]:
