@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -37,11 +38,12 @@ _END_MARK = "\u0001"
 # A line on which every field is either free of quotes or wholly quoted.
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
 _WHOLE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+_GLOB_SIGNS = r"([\[\]{}*?\\])"
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
 
 def list_files(spark: SparkSession, path: str) -> list[Row]:
-    """(path, length) of the files a path or glob names; their content is not read."""
+    """(path, uri, length) of the files a path or glob names; their content is not read."""
     try:
         listing = spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
@@ -49,7 +51,8 @@ def list_files(spark: SparkSession, path: str) -> list[Row]:
             raise
         raise FileNotFoundError(f"File not found: {path}") from error
     # Files without content make no rows here.
-    files = listing.select("path", "length").orderBy("path").collect()
+    uri = F.col("_metadata.file_path").alias("uri")
+    files = listing.select("path", uri, "length").orderBy("path").collect()
     if not files and listing.inputFiles():
         raise ValueError(f"{path} has no header")
     if not files:
@@ -57,9 +60,16 @@ def list_files(spark: SparkSession, path: str) -> list[Row]:
     return files
 
 
-def read_header(spark: SparkSession, file: str) -> list[str | None]:
-    first = spark.read.options(header=False, multiLine=True, **_QUOTING).csv(file).first()
-    return list(first or [])
+def _exact(files: list[Row]) -> list[str]:
+    """The files' paths, with what would be a glob sign in them escaped."""
+    return [re.sub(_GLOB_SIGNS, r"\\\1", f.path) for f in files]
+
+
+def read_header(spark: SparkSession, file: Row) -> list[str | None]:
+    # With multiLine, Spark's look at the first record takes the path for a glob again.
+    whole = not re.search(_GLOB_SIGNS, file.path)
+    reader = spark.read.options(header=False, multiLine=whole, **_QUOTING)
+    return list(reader.csv(_exact([file])).first() or [])
 
 
 def _column_names(header: list[str | None]) -> list[str]:
@@ -90,7 +100,9 @@ def _has_more_fields(width: int) -> Column:
     return ~F.coalesce(shown, F.lit(False))
 
 
-def _read(spark: SparkSession, files: list[str], names: list[str], header: list, whole: bool):
+def _read(
+    spark: SparkSession, files: str | list[str], names: list[str], header: list, whole: bool
+) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
     # Spark then compares every file's header with these names as it reads the file.
     # Names it could not use as they stand are only possible in a single file.
@@ -109,17 +121,17 @@ def _read(spark: SparkSession, files: list[str], names: list[str], header: list,
     )
 
 
-def _unsplittable(spark: SparkSession, files: list[str]) -> set[str]:
-    """Those of the files in which a quoted field may run over a line end.
+def _unsplittable(spark: SparkSession, files: list[Row]) -> set[str]:
+    """URIs of the files in which a quoted field may run over a line end.
 
     If every line is whole by itself, no record spans two lines and the file can be
     read in splits. Any doubt keeps a file in one piece.
     """
     if not files:
         return set()
-    lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = spark.read.text(_exact(files)).select("value", F.col("_metadata.file_path").alias("uri"))
     doubtful = lines.where(F.contains("value", F.lit('"')) & ~F.col("value").rlike(_WHOLE_LINE))
-    return {row.file for row in doubtful.select("file").distinct().collect()}
+    return {row.uri for row in doubtful.select("uri").distinct().collect()}
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
@@ -130,7 +142,7 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
     once a scan has shown that none does.
     """
     files = list_files(spark, path)
-    header = read_header(spark, files[0].path)
+    header = read_header(spark, files[0])
     names = _column_names(header)
     missing = [c for c in columns if c not in names]
     if missing:
@@ -140,14 +152,18 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
 
     split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
     large = [
-        f.path for f in files if f.length > split_bytes and not f.path.endswith(_COMPRESSED)
+        f for f in files if f.length > split_bytes and not f.path.endswith(_COMPRESSED)
     ]
     in_one_piece = _unsplittable(spark, large)
-    split = [f for f in large if f not in in_one_piece]
-    whole = [f.path for f in files if f.path not in set(split)]
+    splittable = {f.uri for f in large} - in_one_piece
+    groups = (
+        ([f for f in files if f.uri not in splittable], True),
+        ([f for f in files if f.uri in splittable], False),
+    )
     parts = [
-        _read(spark, group, names, header, is_whole)
-        for group, is_whole in ((whole, True), (split, False))
+        # All files together go by the path they were found under.
+        _read(spark, path if group == files else _exact(group), names, header, whole)
+        for group, whole in groups
         if group
     ]
     rows = reduce(DataFrame.unionByName, parts)

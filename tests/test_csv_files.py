@@ -65,7 +65,7 @@ def test_quotes_and_line_ends(spark, folder, reading):
 
 def test_quotes_without_line_ends_are_split(spark, folder, reading):
     path = folder('a,b,c\n1,"x, ""y""",\n"2",,"z"\n')
-    files = [f.path for f in csv_files.list_files(spark, path)]
+    files = csv_files.list_files(spark, path)
     assert csv_files._unsplittable(spark, files) == set()
     assert rows(spark, path) == [("1", 'x, "y"', None), ("2", None, "z")]
 
@@ -73,7 +73,7 @@ def test_quotes_without_line_ends_are_split(spark, folder, reading):
 def test_stray_quotes_keep_a_file_whole(spark, folder):
     # Quote counts per line are even here, yet a record runs over the line end.
     path = folder('a,b,c\n1,5" x,"abc\ndef",5" y\n')
-    files = [f.path for f in csv_files.list_files(spark, path)]
+    files = csv_files.list_files(spark, path)
     assert len(csv_files._unsplittable(spark, files)) == 1
 
 
@@ -155,3 +155,17 @@ def test_written_by_spark(spark, texts, tmp_path):
     ).csv(f"{tmp_path}/out")
     read = csv_files.read_csv(spark, f"{tmp_path}/out", CUSTOMERS.columns)
     assert read.collect() == given.collect()
+
+
+def test_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "a b %20"
+    folder.mkdir()
+    (folder / "x [1].csv").write_text('a,b,c\n1,"l1\nl2",3\n')
+    (folder / "y{2}.csv").write_text("a,b,c\n" + "4,5,6\n" * 20)
+    (folder / "z*.csv").write_text("a,b,c\n7,8,9\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "19")
+    try:
+        found = rows(spark, str(folder))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+    assert found == [("1", "l1\nl2", "3"), *[("4", "5", "6")] * 20, ("7", "8", "9")]
