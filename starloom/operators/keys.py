@@ -7,6 +7,8 @@ fixed; the partitions' start numbers are a running sum over one row per partitio
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 POSITION = "_position"
@@ -17,16 +19,22 @@ _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def in_key_order(df: DataFrame, order_by: tuple[str, ...]) -> DataFrame:
+def in_key_order(
+    df: DataFrame,
+    order_by: tuple[str, ...],
+    project: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Range-partition and sort by the key; adds each row's position and how often its key
     has come up so far.
 
     Equal keys share a partition, so the occurrence count needs no further shuffle and
-    the sort is done once.
+    the sort is done once. To find the ranges Spark runs ``df`` a first time; costly
+    columns belong in ``project``, which is applied behind the shuffle and keeps the key.
     """
     per_key = Window.partitionBy(*order_by).orderBy(*order_by)
+    spread = df.repartitionByRange(*order_by)
     return (
-        df.repartitionByRange(*order_by)
+        (project(spread) if project else spread)
         .withColumn(OCCURRENCE, F.row_number().over(per_key))
         .sortWithinPartitions(*order_by)
         .withColumn(POSITION, F.monotonically_increasing_id())

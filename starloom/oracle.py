@@ -75,15 +75,22 @@ _RAW = (_STG_ORDERS, _STG_RAW_ITEMS, _STG_CUSTOMERS, _STG_PRODUCTS)
 
 
 def _gapped(ctes: tuple[str, ...]) -> tuple[str, ...]:
-    """The feeds with every 50th customer and every 40th product left out."""
+    """The feeds with every 50th customer and every 40th product under another id."""
     orders, items, customers, products = ctes
+
+    def renamed(table: str, column: str, every: int) -> str:
+        return (
+            f"{table} AS (SELECT * REPLACE (CASE WHEN CAST({column} AS BIGINT) % {every} = 0"
+            f" THEN 'other-' || {column} ELSE {column} END AS {column}) FROM all_{table})"
+        )
+
     return (
         orders,
         items,
-        customers.replace("stg_customers AS", "all_customers AS"),
-        products.replace("stg_products AS", "all_products AS"),
-        "stg_customers AS (SELECT * FROM all_customers WHERE CAST(customer_id AS BIGINT) % 50 <> 0)",
-        "stg_products AS (SELECT * FROM all_products WHERE CAST(product_id AS BIGINT) % 40 <> 0)",
+        customers.replace("stg_customers AS", "all_stg_customers AS"),
+        products.replace("stg_products AS", "all_stg_products AS"),
+        renamed("stg_customers", "customer_id", 50),
+        renamed("stg_products", "product_id", 40),
     )
 
 

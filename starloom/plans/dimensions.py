@@ -30,17 +30,21 @@ def products(staged: DataFrame) -> DataFrame:
     )
 
 
-def calendar(staged_orders: DataFrame) -> DataFrame:
-    """One row per date an order was placed on; dates without orders stay out.
+def purchase_dates(staged_orders: DataFrame) -> DataFrame:
+    """Each date an order was placed on, once; dates without orders stay out.
 
     Distinct on the date alone, before its attributes: they all follow from it.
     """
-    day = F.col("full_date")
-    dates = (
-        staged_orders.where(F.col("order_purchase_timestamp").isNotNull())
-        .select(temporal.calendar_date(F.col("order_purchase_timestamp")).alias("full_date"))
+    bought = F.col("order_purchase_timestamp")
+    return (
+        staged_orders.where(bought.isNotNull())
+        .select(temporal.calendar_date(bought).alias("full_date"))
         .distinct()
     )
+
+
+def calendar(dates: DataFrame) -> DataFrame:
+    day = F.col("full_date")
     return dates.select(
         day,
         F.year(day).cast("smallint").alias("year"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -34,15 +34,22 @@ def read_table(spark: SparkSession, folder: str, target: Target) -> DataFrame:
 
 
 def write_table(
-    spark: SparkSession, target: Target, rows: DataFrame, folder: str, loaded_at: datetime
+    spark: SparkSession,
+    target: Target,
+    rows: DataFrame,
+    folder: str,
+    loaded_at: datetime,
+    project: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Check, number and write one table; its row count.
 
+    ``rows`` hold the natural key, and the other columns too unless ``project`` makes them.
+
     The rules are counted by the write that puts the rows in key order, and the rows are
     numbered from that written copy, so a lost executor cannot change a key. The copy is
     removed at the end.
     """
-    ordered = keys.in_key_order(rows, target.natural_key)
+    ordered = keys.in_key_order(rows, target.natural_key, project)
     copy = workspace.scratch(spark, target.table)
     seen = Observation()
     ordered = ordered.observe(seen, *constraints.observed_rules(target))
@@ -66,14 +73,17 @@ def write_dimensions(
     loaded_at: datetime,
     only: tuple[Target, ...] = DIMENSIONS,
 ) -> dict[str, int]:
-    rows = {
-        DIM_CUSTOMERS.table: lambda: dimensions.customers(staged[CUSTOMERS.table]),
-        DIM_PRODUCTS.table: lambda: dimensions.products(staged[PRODUCTS.table]),
-        DIM_TIME.table: lambda: dimensions.calendar(staged[ORDERS.table]),
+    parts = {
+        DIM_CUSTOMERS.table: (CUSTOMERS, None, dimensions.customers),
+        DIM_PRODUCTS.table: (PRODUCTS, None, dimensions.products),
+        DIM_TIME.table: (ORDERS, dimensions.purchase_dates, dimensions.calendar),
     }
 
     def write(target: Target) -> int:
-        return write_table(spark, target, rows[target.table](), folder, loaded_at)
+        source, reduce, project = parts[target.table]
+        rows = staged[source.table]
+        rows = reduce(rows) if reduce else rows
+        return write_table(spark, target, rows, folder, loaded_at, project)
 
     # They do not depend on each other, so their jobs may share the cluster.
     with ThreadPoolExecutor(max_workers=len(only)) as pool:

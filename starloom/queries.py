@@ -66,30 +66,29 @@ def revenue_by_month_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = {
-        DIM_CUSTOMERS.table: dimensions.customers(samples.customers(spark, sf_dir)),
-        DIM_PRODUCTS.table: dimensions.products(samples.products(spark, sf_dir)),
-        DIM_TIME.table: dimensions.calendar(samples.orders(spark, sf_dir)),
+    natural_keys = {
+        DIM_CUSTOMERS: samples.customers(spark, sf_dir).select("customer_id"),
+        DIM_PRODUCTS: samples.products(spark, sf_dir).select("product_id"),
+        DIM_TIME: dimensions.purchase_dates(samples.orders(spark, sf_dir)),
     }
 
-    def numbered(target: Target) -> DataFrame:
-        (natural,) = target.natural_key
-        key_column = rows[target.table].select(natural)
+    def numbered(target: Target, rows: DataFrame) -> DataFrame:
         place = workspace.scratch(spark, "keys")
-        return keys.assign_keys(spark, key_column, "surrogate_key", (natural,), place).select(
+        (natural,) = target.natural_key
+        return keys.assign_keys(spark, rows, "surrogate_key", (natural,), place).select(
             F.lit(target.table).alias("table_name"),
             F.col(natural).cast("string").alias("natural_key"),
             "surrogate_key",
         )
 
-    return _union(numbered(t) for t in DIMENSIONS)
+    return _union(numbered(target, rows) for target, rows in natural_keys.items())
 
 
-# Joins, against customers and products with gaps so that some rows find no match.
+# Joins, with some customers and products under ids that no row refers to.
 
 
 def _gapped(spark: SparkSession, sf_dir: str, raw_item_ids: bool = False) -> dict:
-    return samples.without_some_parents(samples.staging(spark, sf_dir, raw_item_ids))
+    return samples.with_unknown_parents(samples.staging(spark, sf_dir, raw_item_ids))
 
 
 def join_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,3 +47,11 @@ def size_shuffles(spark: SparkSession, staged_bytes: int) -> int:
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(current, wanted)
+
+
+def size_setting(spark: SparkSession, name: str) -> int:
+    """A size such as ``134217728b``, ``128m`` or ``128MB`` in bytes."""
+    text = spark.conf.get(name).strip().lower()
+    number = text.rstrip("kmgtpib")
+    unit = text[len(number) :].strip().removesuffix("b").removesuffix("i")
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
+from starloom import session
+
 # Field texts that mean "missing".
 MISSING_MARKERS = (
     "",
@@ -150,7 +152,7 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
     if names != header and len(files) > 1:
         raise ValueError(f"{path} has blank or repeated column names in its {len(files)} files")
 
-    split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    split_bytes = session.size_setting(spark, "spark.sql.files.maxPartitionBytes")
     large = [
         f for f in files if f.length > split_bytes and not f.path.endswith(_COMPRESSED)
     ]

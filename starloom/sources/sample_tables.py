@@ -129,16 +129,18 @@ def staging(spark: SparkSession, folder: str, raw_item_ids: bool = False) -> dic
     return {source.table: frame for source, frame in zip(SOURCES, frames)}
 
 
-def without_some_parents(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every 50th customer and every 40th product gone, so references dangle."""
-    kept = dict(frames)
-    kept[CUSTOMERS.table] = frames[CUSTOMERS.table].where(
-        F.col("customer_id").cast("bigint") % 50 != 0
-    )
-    kept[PRODUCTS.table] = frames[PRODUCTS.table].where(
-        F.col("product_id").cast("bigint") % 40 != 0
-    )
-    return kept
+def with_unknown_parents(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every 50th customer and every 40th product under another id, so references dangle."""
+
+    def renamed(df: DataFrame, column: str, every: int) -> DataFrame:
+        other = F.concat(F.lit("other-"), F.col(column))
+        hit = F.col(column).cast("bigint") % every == 0
+        return df.withColumn(column, F.when(hit, other).otherwise(F.col(column)))
+
+    found = dict(frames)
+    found[CUSTOMERS.table] = renamed(frames[CUSTOMERS.table], "customer_id", 50)
+    found[PRODUCTS.table] = renamed(frames[PRODUCTS.table], "product_id", 40)
+    return found
 
 
 def with_null_keys(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -192,3 +192,12 @@ def test_shuffles_grow_with_the_staged_data(spark):
         assert job.session.size_shuffles(spark, 2**30) == 32
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("text, size", [("100", 100), ("100b", 100), ("2k", 2048), ("128MB", 2**27)])
+def test_size_settings(spark, text, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", text)
+    try:
+        assert job.session.size_setting(spark, "spark.sql.files.maxPartitionBytes") == size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
