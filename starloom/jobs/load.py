@@ -9,14 +9,13 @@ import time
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from starloom import session
 from starloom.jobs import publish
 from starloom.jobs.ingest import ingest
 from starloom.jobs.transform import transform
 from starloom.jobs.validate import validate
-from starloom.sources import csv_files
 
 logger = logging.getLogger(__name__)
 
@@ -43,8 +42,11 @@ def run_stage(name: str, work: Callable[[], object]) -> StageTime:
 
 def _staged_bytes(spark: SparkSession, root: str) -> int:
     layer = publish.staging(spark, root)
-    folder = layer.run_folder(layer.current_run())
-    return sum(f.length for f in csv_files.list_files(spark, f"{folder}/*/*.parquet"))
+    listing = spark.read.format("binaryFile").options(
+        recursiveFileLookup=True, pathGlobFilter="*.parquet"
+    )
+    files = listing.load(layer.run_folder(layer.current_run()))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def load(
@@ -88,6 +90,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     """Exit status: 0 when all stages are done, 1 when one failed."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     args = _arguments(argv)
     patterns = dict(pair.split("=", 1) for pair in args.file)
     stages = STAGES if args.stage == "all" else (args.stage,)
@@ -96,6 +99,8 @@ def main(argv: list[str] | None = None) -> int:
         times = load(spark, args.root, args.raw, stages, patterns)
     except Exception:
         return 1
+    finally:
+        spark.stop()
     logger.info("done in %.2f s", sum(t.seconds for t in times))
     return 0
 

@@ -52,6 +52,11 @@ class Layer:
         latest = runs.agg(F.max_by("run_id", F.struct("published_at", "run_id")))
         return latest.first()[0]
 
+    def tables(self, run_id: str) -> list[str]:
+        """The tables a published run holds."""
+        runs = self.published().where(F.col("run_id") == run_id)
+        return sorted(runs.first().row_counts)
+
     def read(self, table: str, schema: T.StructType, run_id: str | None = None) -> DataFrame:
         run_id = run_id or self.current_run()
         if run_id is None:
@@ -65,3 +70,23 @@ def staging(spark: SparkSession, root: str) -> Layer:
 
 def warehouse(spark: SparkSession, root: str) -> Layer:
     return Layer(spark, root, "warehouse")
+
+
+def register(spark: SparkSession, root: str) -> list[str]:
+    """Make the published tables known to SQL as ``staging.*`` and ``warehouse.*``.
+
+    They are views of the runs current now; call it again after a load.
+    """
+    names = []
+    for layer in (staging(spark, root), warehouse(spark, root)):
+        run_id = layer.current_run()
+        if run_id is None:
+            continue
+        place = f"{layer.folder}/database".replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer.name} LOCATION '{place}'")
+        for table in layer.tables(run_id):
+            name = f"{layer.name}.{table}"
+            files = f"{layer.run_folder(run_id)}/{table}".replace("`", "``")
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{files}`")
+            names.append(name)
+    return names

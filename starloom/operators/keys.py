@@ -64,8 +64,9 @@ def assign_keys(
     spark: SparkSession, df: DataFrame, name: str, order_by: tuple[str, ...], folder: str
 ) -> DataFrame:
     """``df`` with a leading key column; ``folder`` receives the ordered rows."""
-    in_key_order(df, order_by).drop(OCCURRENCE).write.parquet(folder)
-    return dense_numbers(spark.read.parquet(folder), name)
+    ordered = in_key_order(df, order_by).drop(OCCURRENCE)
+    ordered.write.parquet(folder)
+    return dense_numbers(spark.read.schema(ordered.schema).parquet(folder), name)
 
 
 def number_within(

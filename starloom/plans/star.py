@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from starloom import workspace
 from starloom.operators import constraints, keys
@@ -52,11 +53,11 @@ def write_table(
     ordered = keys.in_key_order(rows, target.natural_key, project)
     copy = workspace.scratch(spark, target.table)
     seen = Observation()
-    ordered = ordered.observe(seen, *constraints.observed_rules(target))
+    ordered = ordered.observe(seen, *constraints.observed_rules(target)).drop(keys.OCCURRENCE)
     try:
-        ordered.drop(keys.OCCURRENCE).write.parquet(copy)
+        ordered.write.parquet(copy)
         constraints.enforce(target, seen.get)
-        numbered = keys.dense_numbers(spark.read.parquet(copy), target.key)
+        numbered = keys.dense_numbers(spark.read.schema(ordered.schema).parquet(copy), target.key)
         if target.stamped:
             numbered = numbered.withColumn("created_at", F.lit(loaded_at).cast("timestamp_ntz"))
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
@@ -87,7 +88,8 @@ def write_dimensions(
 
     # They do not depend on each other, so their jobs may share the cluster.
     with ThreadPoolExecutor(max_workers=len(only)) as pool:
-        return dict(zip([t.table for t in only], pool.map(write, only)))
+        counts = pool.map(inheritable_thread_target(spark)(write), only)
+        return dict(zip([t.table for t in only], counts))
 
 
 def fact_rows(spark: SparkSession, staged: Mapping[str, DataFrame], folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from functools import reduce
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from starloom import session
 
+logger = logging.getLogger(__name__)
+
 # Field texts that mean "missing".
 MISSING_MARKERS = (
     "",
@@ -133,7 +136,10 @@ def _unsplittable(spark: SparkSession, files: list[Row]) -> set[str]:
         return set()
     lines = spark.read.text(_exact(files)).select("value", F.col("_metadata.file_path").alias("uri"))
     doubtful = lines.where(F.contains("value", F.lit('"')) & ~F.col("value").rlike(_WHOLE_LINE))
-    return {row.uri for row in doubtful.select("uri").distinct().collect()}
+    found = {row.uri for row in doubtful.select("uri").distinct().collect()}
+    for uri in sorted(found):
+        logger.warning("%s has line ends in quoted fields: one task reads it", uri)
+    return found
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
@@ -163,8 +169,8 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
         ([f for f in files if f.uri in splittable], False),
     )
     parts = [
-        # All files together go by the path they were found under.
-        _read(spark, path if group == files else _exact(group), names, header, whole)
+        # Many files that stay together go by the path they were found under.
+        _read(spark, path if len(group) == len(files) > 1 else _exact(group), names, header, whole)
         for group, whole in groups
         if group
     ]

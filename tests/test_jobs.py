@@ -172,6 +172,7 @@ def test_failing_stage_is_named_and_raised(caplog):
 @pytest.fixture
 def keep_session(spark, monkeypatch):
     monkeypatch.setattr(job.session, "build_session", lambda **_: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
 
 
 def test_exit_status(spark, raw, root, keep_session):
@@ -194,6 +195,24 @@ def test_shuffles_grow_with_the_staged_data(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_sql_on_the_published_tables(spark, raw, root):
+    ingest(spark, raw(), root)
+    assert publish.register(spark, root) == [f"staging.{t}" for t in sorted(s.table for s in SOURCES)]
+    transform(spark, root)
+    assert len(publish.register(spark, root)) == 8
+    query = """
+        SELECT t.full_date, p.category_name, sum(f.total_revenue) AS revenue
+        FROM warehouse.fact_orders f
+        JOIN warehouse.dim_time t ON f.time_key = t.time_key
+        JOIN warehouse.dim_products p ON f.product_key = p.product_key
+        GROUP BY t.full_date, p.category_name"""
+    assert [str(v) for v in spark.sql(query).first()] == ["2017-10-02", "Perfumaria", "38.71"]
+    # A later load shows after the views are made anew.
+    job.load(spark, root, raw({PRODUCTS: ["p1,other" + "," * 7]}))
+    publish.register(spark, root)
+    assert spark.sql(query).first().category_name == "Other"
+
+
 @pytest.mark.parametrize("text, size", [("100", 100), ("100b", 100), ("2k", 2048), ("128MB", 2**27)])
 def test_size_settings(spark, text, size):
     spark.conf.set("spark.sql.files.maxPartitionBytes", text)
