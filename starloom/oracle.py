@@ -475,4 +475,8 @@ ORACLE_SQL: dict[str, str] = {
     "stage_order_items": _with((_STG_RAW_ITEMS,), "SELECT * FROM stg_order_items"),
     "stage_customers": _with((_STG_CUSTOMERS,), "SELECT * FROM stg_customers"),
     "stage_products": _with((_STG_PRODUCTS,), "SELECT * FROM stg_products"),
+    "full_load": _with((*_STAGED, *_DIMS, _FACT), _FACT_ORDERS),
+    "reload_dim_customers": _with(
+        (_STG_CUSTOMERS, _DIM_CUSTOMERS), "SELECT * FROM dim_customers"
+    ),
 }

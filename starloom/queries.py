@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom import workspace
 from starloom.functions import numeric, temporal, text
-from starloom.jobs import ingest
+from starloom.jobs import ingest, load, publish
 from starloom.operators import constraints, keys, quality
 from starloom.plans import dimensions, fact, reports, star
 from starloom.schemas import (
@@ -288,8 +288,7 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 # CSV files and staging. The files are written from the staging frames.
 
 
-def _write_csv(df: DataFrame, label: str) -> str:
-    place = workspace.scratch(df.sparkSession, label)
+def _write_csv(df: DataFrame, place: str) -> str:
     df.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(place)
@@ -301,9 +300,8 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.col("doc_id").cast("string").alias("doc_id"), "lang", "text"
     )
-    return csv_files.read_csv(
-        spark, _write_csv(documents, "documents"), ("doc_id", "lang", "text")
-    )
+    place = _write_csv(documents, workspace.scratch(spark, "documents"))
+    return csv_files.read_csv(spark, place, ("doc_id", "lang", "text"))
 
 
 def csv_missing_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +311,8 @@ def csv_missing_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn = (n % len(csv_files.MISSING_MARKERS)).cast("int") + 1
     city = F.when(n % 3 == 0, F.col("customer_city")).otherwise(F.element_at(markers, turn))
     marked = samples.customers(spark, sf_dir).withColumn("customer_city", city)
-    return csv_files.read_csv(spark, _write_csv(marked, "customers"), CUSTOMERS.columns)
+    place = _write_csv(marked, workspace.scratch(spark, "customers"))
+    return csv_files.read_csv(spark, place, CUSTOMERS.columns)
 
 
 def stage_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,14 +321,15 @@ def stage_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = customers.select(
         *reversed(CUSTOMERS.columns), F.lit("not declared").alias("remark")
     )
-    return csv_files.read_csv(spark, _write_csv(shuffled, "customers"), CUSTOMERS.columns)
+    place = _write_csv(shuffled, workspace.scratch(spark, "customers"))
+    return csv_files.read_csv(spark, place, CUSTOMERS.columns)
 
 
 def _staged(source: Source, frame: Callable[[SparkSession, str], DataFrame]) -> Query:
     """One feed written to CSV, read back and staged as the ingest job stages it."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        place = _write_csv(frame(spark, sf_dir), source.table)
+        place = _write_csv(frame(spark, sf_dir), workspace.scratch(spark, source.table))
         folder = workspace.scratch(spark, "staging")
         ingest.write_staged(
             {source.table: csv_files.read_csv(spark, place, source.columns)}, folder
@@ -342,14 +342,47 @@ def _staged(source: Source, frame: Callable[[SparkSession, str], DataFrame]) ->
 def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts the staging writes report."""
     staged = _raw(spark, sf_dir)
+    raw = workspace.scratch(spark, "raw")
     frames = {
-        s.table: csv_files.read_csv(spark, _write_csv(staged[s.table], s.table), s.columns)
+        s.table: csv_files.read_csv(
+            spark, _write_csv(staged[s.table], f"{raw}/{s.table}"), s.columns
+        )
         for s in SOURCES
     }
     counts = ingest.write_staged(frames, workspace.scratch(spark, "staging"))
     return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
 
 
+# The jobs themselves, on a root folder of their own.
+
+
+def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact after ingest, gate and transform of CSV files of all four feeds."""
+    staged = samples.staging(spark, sf_dir)
+    raw = workspace.scratch(spark, "raw")
+    for source in SOURCES:
+        _write_csv(staged[source.table], f"{raw}/{source.table}")
+    root = workspace.scratch(spark, "mart")
+    load.load(spark, root, raw, patterns={s.table: s.table for s in SOURCES})
+    layer = publish.warehouse(spark, root)
+    return layer.read(FACT_ORDERS.table, FACT_ORDERS.schema).drop("created_at")
+
+
+def reload_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads one after the other; the second replaces the first and its keys."""
+    base = {CUSTOMERS.table: samples.customers(spark, sf_dir)}
+    other = base[CUSTOMERS.table].select(
+        F.concat(F.lit("other-"), "customer_id").alias("customer_id"), *CUSTOMERS.columns[1:]
+    )
+    layer = publish.warehouse(spark, workspace.scratch(spark, "mart"))
+    for staged in ({CUSTOMERS.table: other}, base):
+        run_id = layer.new_run()
+        folder = layer.run_folder(run_id)
+        counts = star.write_dimensions(spark, staged, folder, star.now(), (DIM_CUSTOMERS,))
+        layer.publish(run_id, counts)
+    return layer.read(DIM_CUSTOMERS.table, DIM_CUSTOMERS.schema).drop("created_at")
+
+
 QUERIES: dict[str, Query] = {
     "revenue_by_month_category": revenue_by_month_category,
     "dim_customers": _dimension(
@@ -387,4 +420,6 @@ QUERIES: dict[str, Query] = {
     "stage_order_items": _staged(ORDER_ITEMS, samples.raw_items),
     "stage_customers": _staged(CUSTOMERS, samples.customers),
     "stage_products": _staged(PRODUCTS, samples.products),
+    "full_load": full_load,
+    "reload_dim_customers": reload_dim_customers,
 }
