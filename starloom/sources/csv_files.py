@@ -44,6 +44,8 @@ _END_MARK = "\u0001"
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
 _WHOLE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
 _GLOB_SIGNS = r"([\[\]{}*?\\])"
+# Input splits one task may read as a single file when there are many files.
+_SPLITS_PER_TASK = 8
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
 
@@ -126,6 +128,18 @@ def _read(
     )
 
 
+def _worth_splitting(spark: SparkSession, files: list[Row]) -> list[Row]:
+    """Files that should not be left to one task each.
+
+    With fewer files than cores that is every file larger than an input split. With
+    enough files the cores are busy anyway, and only very large ones hold a task up.
+    """
+    limit = session.size_setting(spark, "spark.sql.files.maxPartitionBytes")
+    if len(files) >= spark.sparkContext.defaultParallelism:
+        limit *= _SPLITS_PER_TASK
+    return [f for f in files if f.length > limit and not f.path.endswith(_COMPRESSED)]
+
+
 def _unsplittable(spark: SparkSession, files: list[Row]) -> set[str]:
     """URIs of the files in which a quoted field may run over a line end.
 
@@ -145,9 +159,9 @@ def _unsplittable(spark: SparkSession, files: list[Row]) -> set[str]:
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
     """The named columns, in that order, as text; missing markers become NULL.
 
-    ``path`` is a file, a folder or a glob. A file smaller than one input split is read
-    whole, which lets quoted fields hold line ends. A larger one is split across tasks
-    once a scan has shown that none does.
+    ``path`` is a file, a folder or a glob. A file is read whole, which lets quoted
+    fields hold line ends. One too large for a task is split across several once a scan
+    has shown that no field does.
     """
     files = list_files(spark, path)
     header = read_header(spark, files[0])
@@ -158,10 +172,7 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
     if names != header and len(files) > 1:
         raise ValueError(f"{path} has blank or repeated column names in its {len(files)} files")
 
-    split_bytes = session.size_setting(spark, "spark.sql.files.maxPartitionBytes")
-    large = [
-        f for f in files if f.length > split_bytes and not f.path.endswith(_COMPRESSED)
-    ]
+    large = _worth_splitting(spark, files)
     in_one_piece = _unsplittable(spark, large)
     splittable = {f.uri for f in large} - in_one_piece
     groups = (

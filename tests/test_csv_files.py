@@ -169,3 +169,15 @@ def test_odd_file_names(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
     assert found == [("1", "l1\nl2", "3"), *[("4", "5", "6")] * 20, ("7", "8", "9")]
+
+
+def test_many_files_are_split_only_when_very_large(spark, folder):
+    lines = "a,b,c\n" + "1,2,3\n" * 10
+    one = csv_files.list_files(spark, folder(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
+    try:
+        assert csv_files._worth_splitting(spark, one) == one
+        many = csv_files.list_files(spark, folder(*[lines] * 4, lines * 5))
+        assert [f.length for f in csv_files._worth_splitting(spark, many)] == [5 * len(lines)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
