@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F, types as T
 
 # Month and weekday names are blank-padded to this width.
 NAME_WIDTH = 9
 
 
+def now() -> datetime:
+    """The time in UTC, without a zone."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def wall_clock(text: Column) -> Column:
     """Text to a timestamp without zone, so no local time is ever shifted."""
     return text.cast(T.TimestampNTZType())

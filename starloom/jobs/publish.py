@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.functions import temporal
+
 _RUNS = "run_id string, published_at timestamp_ntz, row_counts map<string, bigint>"
 
 
@@ -26,16 +27,19 @@ class Layer:
         self.name = name
 
     def new_run(self) -> str:
-        return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        return f"{temporal.now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def run_folder(self, run_id: str) -> str:
         return f"{self.folder}/run={run_id}"
 
     def publish(self, run_id: str, row_counts: Mapping[str, int]) -> None:
         """Name the run current. One file with one row, so it is seen whole or not at all."""
-        moment = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = [(run_id, moment, dict(row_counts))]
-        named = self.spark.createDataFrame(row, _RUNS).coalesce(1)
+        counts = [F.lit(part) for pair in row_counts.items() for part in pair]
+        named = self.spark.range(0, 1, 1, 1).select(
+            F.lit(run_id).alias("run_id"),
+            temporal.wall_clock(F.lit(str(temporal.now()))).alias("published_at"),
+            F.create_map(*counts).cast("map<string, bigint>").alias("row_counts"),
+        )
         named.write.mode("append").parquet(f"{self.folder}/runs")
 
     def published(self) -> DataFrame:

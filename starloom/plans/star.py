@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.util import inheritable_thread_target
 
-from starloom import workspace
+from starloom import session, workspace
+from starloom.functions import temporal
 from starloom.operators import constraints, keys
 from starloom.plans import dimensions, fact
 from starloom.schemas import (
@@ -26,10 +25,6 @@ from starloom.schemas import (
 )
 
 
-def now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 def read_table(spark: SparkSession, folder: str, target: Target) -> DataFrame:
     return spark.read.schema(target.schema).parquet(f"{folder}/{target.table}")
 
@@ -59,7 +54,9 @@ def write_table(
         constraints.enforce(target, seen.get)
         numbered = keys.dense_numbers(spark.read.schema(ordered.schema).parquet(copy), target.key)
         if target.stamped:
-            numbered = numbered.withColumn("created_at", F.lit(loaded_at).cast("timestamp_ntz"))
+            # As text: a Python time would pass through the driver's own zone.
+            stamp = temporal.wall_clock(F.lit(str(loaded_at)))
+            numbered = numbered.withColumn("created_at", stamp)
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
         numbered.select(*columns).write.parquet(f"{folder}/{target.table}")
     finally:
@@ -86,10 +83,7 @@ def write_dimensions(
         rows = reduce(rows) if reduce else rows
         return write_table(spark, target, rows, folder, loaded_at, project)
 
-    # They do not depend on each other, so their jobs may share the cluster.
-    with ThreadPoolExecutor(max_workers=len(only)) as pool:
-        counts = pool.map(inheritable_thread_target(spark)(write), only)
-        return dict(zip([t.table for t in only], counts))
+    return dict(zip([t.table for t in only], session.side_by_side(spark, write, only)))
 
 
 def fact_rows(spark: SparkSession, staged: Mapping[str, DataFrame], folder: str) -> DataFrame:
@@ -110,7 +104,7 @@ def write_star(
     loaded_at: datetime | None = None,
 ) -> dict[str, int]:
     """All four tables under ``folder``, with one load time for all rows; rows per table."""
-    loaded_at = loaded_at or now()
+    loaded_at = loaded_at or temporal.now()
     counts = write_dimensions(spark, staged, folder, loaded_at)
     rows = fact_rows(spark, staged, folder)
     counts[FACT_ORDERS.table] = write_table(spark, FACT_ORDERS, rows, folder, loaded_at)

@@ -43,7 +43,7 @@ def _without_load_time(spark: SparkSession, folder: str, target: Target) -> Data
 def _dimension(target: Target, staged: Callable[[SparkSession, str], dict]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = workspace.scratch(spark, target.table)
-        star.write_dimensions(spark, staged(spark, sf_dir), folder, star.now(), (target,))
+        star.write_dimensions(spark, staged(spark, sf_dir), folder, temporal.now(), (target,))
         return _without_load_time(spark, folder, target)
 
     return query
@@ -99,7 +99,7 @@ def join_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gapped_dimensions(spark: SparkSession, staged: dict, *targets: Target) -> list[DataFrame]:
     folder = workspace.scratch(spark, "dimensions")
-    star.write_dimensions(spark, staged, folder, star.now(), targets)
+    star.write_dimensions(spark, staged, folder, temporal.now(), targets)
     return [star.read_table(spark, folder, t) for t in targets]
 
 
@@ -261,7 +261,7 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared rules, over a fact whose item ids repeat."""
     staged = _raw(spark, sf_dir)
     folder = workspace.scratch(spark, "dimensions")
-    star.write_dimensions(spark, staged, folder, star.now())
+    star.write_dimensions(spark, staged, folder, temporal.now())
     tables = {t.table: star.read_table(spark, folder, t) for t in DIMENSIONS}
     tables[FACT_ORDERS.table] = star.fact_rows(spark, staged, folder)
     return constraints.constraint_report(tables, TARGETS)
@@ -331,9 +331,8 @@ def _staged(source: Source, frame: Callable[[SparkSession, str], DataFrame]) ->
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         place = _write_csv(frame(spark, sf_dir), workspace.scratch(spark, source.table))
         folder = workspace.scratch(spark, "staging")
-        ingest.write_staged(
-            {source.table: csv_files.read_csv(spark, place, source.columns)}, folder
-        )
+        frame_read = csv_files.read_csv(spark, place, source.columns)
+        ingest.write_staged(spark, {source.table: frame_read}, folder)
         return spark.read.schema(source.schema).parquet(f"{folder}/{source.table}")
 
     return query
@@ -349,7 +348,7 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for s in SOURCES
     }
-    counts = ingest.write_staged(frames, workspace.scratch(spark, "staging"))
+    counts = ingest.write_staged(spark, frames, workspace.scratch(spark, "staging"))
     return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
 
 
@@ -378,7 +377,7 @@ def reload_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     for staged in ({CUSTOMERS.table: other}, base):
         run_id = layer.new_run()
         folder = layer.run_folder(run_id)
-        counts = star.write_dimensions(spark, staged, folder, star.now(), (DIM_CUSTOMERS,))
+        counts = star.write_dimensions(spark, staged, folder, temporal.now(), (DIM_CUSTOMERS,))
         layer.publish(run_id, counts)
     return layer.read(DIM_CUSTOMERS.table, DIM_CUSTOMERS.schema).drop("created_at")
 

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
 
 # Strict casts and zone-free time carry the semantics; the rest lets Spark re-plan
 # joins from measured sizes and split partitions that one hot key has filled.
@@ -55,3 +63,15 @@ def size_setting(spark: SparkSession, name: str) -> int:
     number = text.rstrip("kmgtpib")
     unit = text[len(number) :].strip().removesuffix("b").removesuffix("i")
     return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
+def side_by_side(
+    spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item]
+) -> list[Result]:
+    """Run a few jobs that do not depend on each other, so that they share the cluster.
+
+    Results come in the order of the items; so does the error, if several fail.
+    """
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
