@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -31,6 +32,17 @@ def test_good_rows(write):
     ]
 
 
+def test_load_time_is_kept_in_any_zone_of_the_driver(write, monkeypatch):
+    monkeypatch.setenv("TZ", "America/Sao_Paulo")
+    time.tzset()
+    try:
+        _, table = write(("c1", "u1", None, None, None))
+        assert table.selectExpr("string(created_at)").first()[0] == str(NOW)
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+
+
 def test_no_rows(write):
     count, table = write()
     assert (count, table.count()) == (0, 0)
