@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom import workspace
-from starloom.llm import language
+from starloom.llm import language, toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,8 +17,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.with_known_language(docs)
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the classifier calls toxic go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
+    ("toxicity", not_toxic),
 ]
 
 # Language models, trained classifiers and tokenizers have no SQL form.

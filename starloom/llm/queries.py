@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import language
+from starloom.llm import language, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,13 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
