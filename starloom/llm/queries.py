@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import language, toxicity
+from starloom.llm import language, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,16 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op8_toxicity": op8_toxicity,
+    "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mix_sources": mixing.SQL,
+}
