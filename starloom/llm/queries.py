@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import language, mixing, toxicity
+from starloom.llm import language, mixing, packing, toxicity
+from starloom.llm.tokenizing import TokenizerFile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> TokenizerFile:
+    return TokenizerFile.read(public_tokenizers.path(name))
+
+
+def op1_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
@@ -28,6 +38,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pack_sequences": op1_pack_sequences,
     "op3_language_id": op3_language_id,
     "op8_toxicity": op8_toxicity,
     "op10_mix_sources": op10_mix_sources,

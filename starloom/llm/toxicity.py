@@ -32,7 +32,7 @@ _STEMS = (4, 5, 6)
 
 SAMPLE_TOXIC = 2_000
 SAMPLE_CLEAN = 4_000
-SAMPLE_CHARS = 8_000
+SAMPLE_CHARS = 5_000
 FEATURES = 4_096
 LEXICON_VOTERS = 48
 # Log-likelihood ratios from which a word enters a lexicon and the classifier.
