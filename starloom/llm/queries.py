@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import language, mixing, packing, toxicity
+from starloom.llm import jaccard, language, mixing, packing, toxicity
 from starloom.llm.tokenizing import TokenizerFile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op1_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.joined(_table(spark, folder, "documents"))
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
@@ -39,6 +43,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op8_toxicity": op8_toxicity,
     "op10_mix_sources": op10_mix_sources,
