@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import jaccard, language, mixing, packing, toxicity
+from starloom.llm import embeddings, jaccard, language, mixing, packing, toxicity
 from starloom.llm.tokenizing import TokenizerFile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
 
+def op4_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
+    "op4_embedding_duplicates": op4_embedding_duplicates,
     "op8_toxicity": op8_toxicity,
     "op10_mix_sources": op10_mix_sources,
 }
