@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom import workspace
 from starloom.llm import cutting_stock
-from starloom.llm.texts import Texts, slices
-from starloom.llm.tokenizing import TokenizerFile, encoder
+from starloom.llm.texts import slices
+from starloom.llm.tokenizing import SLICE_BYTES, TokenizerFile, encoder, with_end
 
 CAPACITY = 4096
 END_ID = 2
@@ -42,30 +42,29 @@ def token_pieces(
     """Tokenize and cut: one row per piece, its ids only if asked for."""
     # The vocabulary file: fixed in size whatever the data.
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer.definition)
-    end = np.array([end_id], dtype="<u4").tobytes()
-    width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value).encode
-        for batch in slices(batches, "text"):
-            texts = Texts(batch.column("text")).column.to_pylist()
-            rows, starts, parts, tokens = [], [], [], []
-            for row, ids in enumerate(encode(texts)):
-                ids += end
-                for at in range(0, len(ids), width):
-                    rows.append(row)
-                    starts.append(at // 4)
-                    parts.append(ids[at : at + width])
-                    tokens.append(len(ids) // 4)
+        for batch in slices(batches, "text", SLICE_BYTES):
+            ids, bounds = with_end(*encode(batch.column("text")), end_id)
+            tokens = np.diff(bounds)
+            count = -(-tokens // capacity)
+            rows = np.repeat(np.arange(len(tokens)), count)
+            start = (np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)) * capacity
+            length = np.minimum(capacity, tokens[rows] - start)
+            first = bounds[rows] + start
+            view = memoryview(ids)
+            crc = [zlib.crc32(view[a : a + n]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
             columns = {
-                "doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                "start": pa.array(starts, pa.int64()),
-                "length": pa.array([len(p) // 4 for p in parts], pa.int64()),
-                "ids_crc32": pa.array(map(zlib.crc32, parts), pa.int64()),
-                "doc_tokens": pa.array(tokens, pa.int64()),
+                "doc_id": batch.column("doc_id").take(pa.array(rows)),
+                "start": pa.array(start),
+                "length": pa.array(length),
+                "ids_crc32": pa.array(crc, pa.int64()),
+                "doc_tokens": pa.array(tokens[rows]),
             }
-            if with_ids:
-                columns["ids"] = pa.array([np.frombuffer(p, "<i4") for p in parts], pa.list_(pa.int32()))
+            if with_ids:  # the pieces of a slice follow one another without a gap
+                ends = np.concatenate((first, [len(ids)])).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_pydict(columns)
 
     slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -11,38 +11,23 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
-#: Pieces in each of a cache's two generations; one not seen for a generation is forgotten.
-CACHED_PIECES = 500_000
-_LONGEST_CACHED = 64
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+from starloom.llm.texts import ASCII_LOWER, Texts
 
-class _Cache:
-    """Ids by piece, bounded: the pieces in use outlive the many that come once."""
-
-    def __init__(self) -> None:
-        self.ids: dict[str, bytes | None] = {}
-        self._before: dict[str, bytes | None] = {}
+#: Text bytes that are encoded at a time: repeated pieces are found across them.
+SLICE_BYTES = 8 << 20
 
-    def missing(self, pieces: Iterable[str]) -> list[str]:
-        """Distinct pieces that have to be encoded; may forget others."""
-        wanted = set(pieces)
-        if len(self.ids) > CACHED_PIECES:
-            self._before, self.ids = self.ids, {}
-        new = wanted.difference(self.ids)
-        again = new.intersection(self._before)
-        for piece in again:
-            self.ids[piece] = self._before[piece]
-        return list(new.difference(again))
-
-    def forget_long(self, pieces: Iterable[str]) -> None:
-        for piece in pieces:
-            if len(piece) > _LONGEST_CACHED:
-                self.ids.pop(piece, None)
+#: Pieces in each of a cache's two generations; one not seen for a generation is forgotten.
+CACHED_PIECES = 500_000
+_LONGEST_CACHED = 64
+_STOPS = (",", ".")
 
 
 @dataclass(frozen=True)
@@ -71,6 +56,82 @@ def _keeps_blanks(definition: str) -> bool:
     return False
 
 
+class _Cache:
+    """Ids by piece, bounded: the pieces in use outlive the many that come once.
+
+    ``inner`` holds pieces that follow no blank. A new piece is made of known ones where the
+    pre-tokenizer would cut it anyway: at single line ends, and before a comma or full stop
+    that ends a word.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], blank: str, inner: _Cache | None = None) -> None:
+        self._encode, self._blank, self._inner = encode, blank, inner or self
+        self._ids: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        if len(self._ids) > CACHED_PIECES:
+            self._before, self._ids = self._ids, {}
+        known = self._ids
+        found = list(map(known.get, pieces))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        names = [pieces[k] for k in missing]
+        composed, single, parts, inner = [], [], [], []
+        for k, piece, ids in zip(missing, names, map(self._before.get, names), strict=True):
+            if ids is not None:
+                found[k] = known[piece] = ids
+            elif piece[-1:] in _STOPS or "\n" in piece:
+                first, *rest = _parts(piece)
+                composed.append((k, first, rest))
+                parts.append(first)
+                inner += rest
+            else:
+                single.append(k)
+        new = [pieces[k] for k in single]
+        self._learn(new + parts)
+        self._inner._learn(inner)
+        for k, piece in zip(single, new, strict=True):
+            found[k] = known[piece]
+        inside = self._inner._ids
+        for k, first, rest in composed:
+            found[k] = known[pieces[k]] = known[first] + b"".join([inside[x] for x in rest])
+        for piece in [x for x in names if len(x) > _LONGEST_CACHED]:
+            known.pop(piece, None)
+        return found
+
+    def _learn(self, pieces: list[str]) -> None:
+        new = list(set(pieces).difference(self._ids))
+        self._ids.update(zip(new, self._encode([self._blank + x for x in new]), strict=True))
+
+
+def _parts(piece: str) -> list[str]:
+    lines = piece.split("\n")
+    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        return [piece]
+    parts = []
+    for n, line in enumerate(lines):
+        if n:
+            parts.append("\n")
+        if line[-1:] in _STOPS and line[-2:-1].isalpha():
+            parts += [line[:-1], line[-1]]
+        else:
+            parts.append(line)
+    return parts
+
+
+def _spread(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each of the runs of these lengths."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def _lowered(column: pa.Array) -> pa.Array:
+    """ASCII letters in lower case; all other bytes as they are."""
+    texts = Texts(column)
+    data = pa.py_buffer(ASCII_LOWER[texts.data].tobytes())
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(texts.bounds.astype(np.int64).tobytes()), data)
+
+
 class PieceEncoder:
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -78,40 +139,82 @@ class PieceEncoder:
 
         self._tokenizer = Tokenizer.from_str(definition)
         self._keeps_blanks = _keeps_blanks(definition)
-        self._pieces, self._firsts = _Cache(), _Cache()
+        self._specials = [t["content"] for t in json.loads(definition)["added_tokens"]]
+        self._firsts = _Cache(self._encode, "")
+        self._pieces = _Cache(self._encode, " ", self._firsts) if self._keeps_blanks else self._firsts
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _learn(self, cache: _Cache, pieces: Iterable[str], blank: str) -> list[str]:
-        missing = cache.missing(pieces)
-        if blank:
-            # Two white spaces in a row: such texts are encoded whole.
-            cache.ids.update((p, None) for p in missing if not p or p[0].isspace())
-            missing = [p for p in missing if p and not p[0].isspace()]
-        cache.ids.update(zip(missing, self._encode([blank + p for p in missing]), strict=True))
-        return missing
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split = [text.split(" ") for text in texts]
-        firsts = self._firsts if self._keeps_blanks else self._pieces
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text begins and ends; null is empty."""
+        texts = pc.fill_null(column.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # The other kind lowers all letters, so pieces that differ by case share their ids.
+        lowered = texts if self._keeps_blanks else _lowered(texts)
+        split = pc.split_pattern(lowered, " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        bounds -= bounds[0]
+        codes = coded.indices.to_numpy().astype(np.int64)
+        counts = np.diff(bounds)
         if self._keeps_blanks:
-            new = self._learn(self._pieces, chain.from_iterable(parts[1:] for parts in split), " ")
-            new += self._learn(firsts, (parts[0] for parts in split), "")
+            begins = bounds[:-1]
+            # Two white spaces in a row: such texts count as one piece and are encoded whole.
+            odd = pc.or_(
+                pc.equal(pc.binary_length(coded.dictionary), 0),
+                pc.utf8_is_space(pc.utf8_slice_codeunits(coded.dictionary, 0, 1)),
+            ).to_numpy(zero_copy_only=False)
+            strange = odd[codes]
+            strange[begins] = False
+            whole = np.flatnonzero(np.logical_or.reduceat(strange, begins))
+            first, place = np.unique(codes[begins], return_inverse=True)
+            later = np.zeros(len(odd), dtype=bool)
+            later[np.delete(codes, begins)] = True
+            later = np.flatnonzero(later & ~odd)
+            values = self._pieces.look_up(coded.dictionary.take(pa.array(later)).to_pylist())
+            position = np.zeros(len(odd), dtype=np.int64)
+            position[later] = np.arange(len(later))
+            codes = position[codes]
+            codes[begins] = len(values) + place
+            values += self._firsts.look_up(coded.dictionary.take(pa.array(first)).to_pylist())
         else:
-            new = self._learn(self._pieces, chain.from_iterable(split), "")
-        first, get = firsts.ids.__getitem__, self._pieces.ids.__getitem__
-        result = []
-        for text, parts in zip(texts, split, strict=True):
-            try:
-                result.append(first(parts[0]) + b"".join(map(get, parts[1:])))
-            except TypeError:
-                result.append(self._encode([text])[0])
-        self._pieces.forget_long(new)
-        firsts.forget_long(new)
-        return result
+            # A special string that only lower case has made is not special.
+            whole = np.zeros(0, np.int64)
+            for special in self._specials:
+                made = pc.count_substring(lowered, special), pc.count_substring(texts, special)
+                whole = np.union1d(whole, np.flatnonzero(pc.not_equal(*made).to_numpy(zero_copy_only=False)))
+            values = self._pieces.look_up(coded.dictionary.to_pylist())
+        if len(whole):
+            keep = np.ones(len(texts), dtype=bool)
+            keep[whole] = False
+            new_counts = np.where(keep, counts, 1)
+            new_bounds = np.concatenate(([0], np.cumsum(new_counts)))
+            new_codes = np.empty(new_bounds[-1], dtype=np.int64)
+            rows = np.repeat(keep, counts)
+            new_codes[np.repeat(keep, new_counts)] = codes[rows]
+            new_codes[new_bounds[whole]] = len(values) + np.arange(len(whole))
+            values += self._encode(texts.take(pa.array(whole)).to_pylist())
+            codes, bounds = new_codes, new_bounds
+        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+        table = np.frombuffer(b"".join(values), dtype="<u4")
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ids = table[np.repeat(starts[codes], lengths) + _spread(lengths)]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        return ids, ends[bounds]
+
+
+def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same texts with ``end_id`` after each."""
+    ended = bounds + np.arange(len(bounds))
+    out = np.full(len(ids) + len(bounds) - 1, end_id, dtype="<u4")
+    inside = np.ones(len(out), dtype=bool)
+    inside[ended[1:] - 1] = False
+    out[inside] = ids
+    return out, ended
 
 
 @lru_cache(maxsize=2)
