@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import embeddings, jaccard, language, mixing, packing, toxicity
+from starloom import workspace
+from starloom.llm import chat, embeddings, jaccard, language, mixing, packing, quality, token_counts, token_files, toxicity
 from starloom.llm.tokenizing import TokenizerFile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +38,28 @@ def op4_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_report(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(_table(spark, folder, "documents"))
+
+
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    written = workspace.scratch(spark, "token-files")
+    token_files.write(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), written)
+    return token_files.read(spark, written)
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op9_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digests(chat.examples(chat.with_tricky(_table(spark, folder, "conversations"))))
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
@@ -50,10 +69,15 @@ QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_embedding_duplicates": op4_embedding_duplicates,
+    "op5_token_counts": op5_token_counts,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
+    "op9_chat_examples": op9_chat_examples,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_chat_examples": chat.SQL,
     "op10_mix_sources": mixing.SQL,
 }
