@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom import workspace
-from starloom.llm import language, toxicity
+from starloom.llm import jaccard, language, mixing, packing, toxicity
+from starloom.llm.tokenizing import TokenizerFile
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,9 +24,27 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join on shingles of five words: one document of each group stays."""
+    return jaccard.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: documents as often as the target weights of their sources ask for."""
+    return mixing.repeated(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: the pieces of all documents with their places in the training sequences."""
+    return packing.packed(docs, TokenizerFile.read(public_tokenizers.path("word_bpe_49k.json")))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
     ("toxicity", not_toxic),
+    ("jaccard_join", one_of_each),
+    ("mixing", mixed),
+    ("packing", packed),
 ]
 
 # Language models, trained classifiers and tokenizers have no SQL form.
