@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 from starloom.functions.text import blank_to_null
 
 # Money has two decimals and overflows loudly past ten digits.
 MONEY = T.DecimalType(10, 2)
-# Stands for a decimal without declared scale, which Spark does not have.
-MEASURE = T.DecimalType(18, 4)
+# Stands for a decimal without declared scale, which Spark does not have: 20 digits before
+# the point and 18 behind it. What does not fit fails.
+MEASURE = T.DecimalType(38, 18)
+# More digits behind the point, or an exponent that could hide them.
+_TOO_FINE = r"(?i)\.\d{18}\d*[1-9]|\.\d+e|e-"
 
 
 def money(text: Column) -> Column:
@@ -17,7 +20,9 @@ def money(text: Column) -> Column:
 
 
 def measure(text: Column) -> Column:
-    return blank_to_null(text).cast(MEASURE)
+    number = blank_to_null(text)
+    refused = F.raise_error(F.concat(F.lit("more than 18 decimals: "), text)).cast(MEASURE)
+    return F.when(number.isNull() | ~number.rlike(_TOO_FINE), number.cast(MEASURE)).otherwise(refused)
 
 
 def money_sum(left: Column, right: Column) -> Column:

@@ -15,9 +15,17 @@ def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+# A year, a month and a day, and perhaps a time; a plain cast would complete a partial date.
+_FULL_DATE = r"^\s*[+-]?\d+-\d{1,2}-\d{1,2}(?:[ T].*)?$"
+
+
 def wall_clock(text: Column) -> Column:
-    """Text to a timestamp without zone, so no local time is ever shifted."""
-    return text.cast(T.TimestampNTZType())
+    """Text to a timestamp without zone, so no local time is ever shifted.
+
+    Fails on text that is no full date or has anything after it.
+    """
+    refused = F.raise_error(F.concat(F.lit("not a full date: "), text)).cast(T.TimestampNTZType())
+    return F.when(text.isNull() | text.rlike(_FULL_DATE), text.cast(T.TimestampNTZType())).otherwise(refused)
 
 
 def calendar_date(text: Column) -> Column:

@@ -114,7 +114,7 @@ dim_customers AS (
 
 
 def _measure(column: str) -> str:
-    return f"CAST(NULLIF(trim({column}), '') AS DECIMAL(18,4))"
+    return f"CAST(NULLIF(trim({column}), '') AS DECIMAL(38,18))"
 
 
 _DIM_PRODUCTS = f"""

@@ -1,15 +1,23 @@
-"""Headered CSV files as untyped text, checked against the declared columns."""
+"""Headered CSV files as untyped text, checked against the declared columns.
+
+A line ends at a line feed, a carriage return or both. Lines of blanks alone are skipped.
+How a file is read follows from what is in it and never from its size: if every line is
+a record by itself, Spark splits it freely; otherwise its lines are put together to
+records first.
+"""
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
 from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote, urlparse
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from starloom import session
+from starloom import files as storage
 
 logger = logging.getLogger(__name__)
 
@@ -41,42 +49,75 @@ _RECORD = "_record"
 # Appended to a malformed record to see where its fields end.
 _END_MARK = "\u0001"
 # A line on which every field is either free of quotes or wholly quoted.
-_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
-_WHOLE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+_PLAIN_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+_PLAIN_LINE = f"^{_PLAIN_FIELD}(?:,{_PLAIN_FIELD})*+$"
+# A field in general: a quote counts at its start only, and text may follow the closing one.
+_QUOTED = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
+_FIELD = f'(?:"{_QUOTED}|[^",][^,]*+|)'
+# Lines that end outside quotes, when they begin outside and inside.
+_ENDS_OUTSIDE = f"^{_FIELD}(?:,{_FIELD})*+$"
+_CLOSES = f"^{_QUOTED}(?:,{_FIELD})*+$"
 _GLOB_SIGNS = r"([\[\]{}*?\\])"
-# Input splits one task may read as a single file when there are many files.
-_SPLITS_PER_TASK = 8
-_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
-
-
-def list_files(spark: SparkSession, path: str) -> list[Row]:
-    """(path, uri, length) of the files a path or glob names; their content is not read."""
-    try:
-        listing = spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"File not found: {path}") from error
-    # Files without content make no rows here.
-    uri = F.col("_metadata.file_path").alias("uri")
-    files = listing.select("path", uri, "length").orderBy("path").collect()
-    if not files and listing.inputFiles():
-        raise ValueError(f"{path} has no header")
-    if not files:
-        raise FileNotFoundError(f"File not found: {path}")
-    return files
 
 
-def _exact(files: list[Row]) -> list[str]:
-    """The files' paths, with what would be a glob sign in them escaped."""
-    return [re.sub(_GLOB_SIGNS, r"\\\1", f.path) for f in files]
+class _Seen(NamedTuple):
+    """What one scan found in a file."""
+
+    path: str
+    header: list[str | None]
+    plain: bool
+
+
+def _exact(paths: list[str]) -> list[str]:
+    """The paths, with what would be a glob sign in them escaped."""
+    return [re.sub(_GLOB_SIGNS, r"\\\1", p) for p in paths]
 
 
-def read_header(spark: SparkSession, file: Row) -> list[str | None]:
-    # With multiLine, Spark's look at the first record takes the path for a glob again.
-    whole = not re.search(_GLOB_SIGNS, file.path)
-    reader = spark.read.options(header=False, multiLine=whole, **_QUOTING)
-    return list(reader.csv(_exact([file])).first() or [])
+def _header_fields(line: str | None) -> list[str | None]:
+    if line is None:
+        return []
+    return [name or None for name in next(csv.reader([line]))]
+
+
+def _scan(spark: SparkSession, path: str) -> list[_Seen]:
+    """Header and kind of every file; fails on bytes that are not text.
+
+    One aggregate over all lines, a row a file.
+    """
+    found = storage.list_files(spark, path)
+    if not found:
+        raise FileNotFoundError(f"File not found: {path}")
+    line = F.col("value")
+    filled = F.trim(line, F.lit(" \t")) != ""
+    lines = spark.read.text(_exact([f.path for f in found])).select(
+        "value",
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    per_file = lines.groupBy("uri").agg(
+        F.max(~F.is_valid_utf8(line)).alias("undecodable"),
+        F.max(F.contains(line, F.lit("\u0000"))).alias("nul"),
+        F.max(F.contains(line, F.lit('"')) & ~line.rlike(_PLAIN_LINE)).alias("doubtful"),
+        F.min(F.when(filled, F.struct("block", "id", "value"))).alias("first"),
+    )
+    seen = {unquote(urlparse(row["uri"]).path): row for row in per_file.collect()}
+    result = []
+    for file in found:
+        row = seen.get(urlparse(file.path).path if "://" in file.path else file.path.split(":", 1)[-1])
+        if row is None or row["first"] is None:
+            if len(found) == 1:
+                raise ValueError(f"{path} has no header")
+            continue
+        if row["undecodable"]:
+            raise ValueError(f"{file.path} holds bytes that are not UTF-8")
+        if row["nul"]:
+            raise ValueError(f"{file.path} holds a NUL character")
+        header = _header_fields(row["first"]["value"].lstrip("\ufeff"))
+        result.append(_Seen(file.path, header, not row["doubtful"]))
+    if not result:
+        raise ValueError(f"{path} has no header")
+    return result
 
 
 def _column_names(header: list[str | None]) -> list[str]:
@@ -93,12 +134,16 @@ def missing_to_null(column: str) -> Column:
     return F.when(~F.col(column).isin(*MISSING_MARKERS), F.col(column))
 
 
+def _schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def _has_more_fields(width: int) -> Column:
-    """True for a malformed record with too many fields; a short one is only padded.
+    """True for a record with too many fields; a short one is only padded.
 
-    With a marker appended as one more field, a short record shows it within its width.
+    A marker appended as one more field shows behind at most ``width`` others.
     """
-    fields = [f"f{i}" for i in range(width)]
+    fields = [f"f{i}" for i in range(width + 1)]
     ended = F.concat(F.col(_RECORD), F.lit("," + _END_MARK))
     parsed = F.from_csv(
         ended, ", ".join(f"{f} STRING" for f in fields), {**_QUOTING, "multiLine": "true"}
@@ -107,84 +152,92 @@ def _has_more_fields(width: int) -> Column:
     return ~F.coalesce(shown, F.lit(False))
 
 
-def _read(
-    spark: SparkSession, files: str | list[str], names: list[str], header: list, whole: bool
-) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
-    # Spark then compares every file's header with these names as it reads the file.
-    # Names it could not use as they stand are only possible in a single file.
-    comparable = names == header
+def _read_plain(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files whose lines are their records; split like any text."""
     return (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            multiLine=whole,
-            enforceSchema=not comparable,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_RECORD,
-            **_QUOTING,
-        )
-        .csv(files)
+        spark.read.schema(_schema([*names, _RECORD]))
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, **_QUOTING)
+        .csv(_exact(paths))
     )
 
 
-def _worth_splitting(spark: SparkSession, files: list[Row]) -> list[Row]:
-    """Files that should not be left to one task each.
-
-    With fewer files than cores that is every file larger than an input split. With
-    enough files the cores are busy anyway, and only very large ones hold a task up.
-    """
-    limit = session.size_setting(spark, "spark.sql.files.maxPartitionBytes")
-    if len(files) >= spark.sparkContext.defaultParallelism:
-        limit *= _SPLITS_PER_TASK
-    return [f for f in files if f.length > limit and not f.path.endswith(_COMPRESSED)]
+def _lines_with_ends(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(uri, block, id, place, line, end): the lines of the files in order, as written."""
+    raw = spark.read.text(_exact(paths), lineSep="\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    # A carriage return right before the line feed belongs to it, any other is an end itself.
+    with_feed = F.endswith("value", F.lit("\r"))
+    text = F.when(with_feed, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    parts = raw.select("uri", "block", "id", with_feed.alias("both"), F.split(text, "\r", -1).alias("parts"))
+    last = F.col("place") == F.size("parts") - 1
+    return parts.select("*", F.posexplode("parts").alias("place", "line")).select(
+        "uri",
+        "block",
+        "id",
+        "place",
+        "line",
+        F.when(~last, F.lit("\r")).when(F.col("both"), F.lit("\r\n")).otherwise(F.lit("\n")).alias("end"),
+    )
 
 
-def _unsplittable(spark: SparkSession, files: list[Row]) -> set[str]:
-    """URIs of the files in which a quoted field may run over a line end.
+def _read_records(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files in which quoted fields run over line ends.
 
-    If every line is whole by itself, no record spans two lines and the file can be
-    read in splits. Any doubt keeps a file in one piece.
+    Whether a line begins inside quotes follows from the lines before it. Each line either
+    ends in the same place wherever it begins, or keeps or swaps the place; so the last line
+    of the first kind and the swaps since then decide. That is a running aggregate over a
+    file's lines in their order, which spills and needs no file in memory.
     """
-    if not files:
-        return set()
-    lines = spark.read.text(_exact(files)).select("value", F.col("_metadata.file_path").alias("uri"))
-    doubtful = lines.where(F.contains("value", F.lit('"')) & ~F.col("value").rlike(_WHOLE_LINE))
-    found = {row.uri for row in doubtful.select("uri").distinct().collect()}
-    for uri in sorted(found):
-        logger.warning("%s has line ends in quoted fields: one task reads it", uri)
-    return found
+    line = F.col("line")
+    outside, inside = line.rlike(_ENDS_OUTSIDE), line.rlike(_CLOSES)
+    in_order = Window.partitionBy("uri").orderBy("block", "id", "place")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # True where a line ends outside quotes however it begins, false where inside.
+    fixed = F.when(outside == inside, outside)
+    swaps = F.sum(F.when(~outside & inside, 1).otherwise(0)).over(upto)
+    lines = _lines_with_ends(spark, paths).withColumn("_fixed", fixed).withColumn("_swaps", swaps)
+    since = F.last(F.when(F.col("_fixed").isNotNull(), F.struct("_fixed", "_swaps")), ignorenulls=True).over(upto)
+    start = F.coalesce(since, F.struct(F.lit(True).alias("_fixed"), F.lit(0).cast("long").alias("_swaps")))
+    flipped = (F.col("_swaps") - start["_swaps"]) % 2 == 1
+    ended = lines.withColumn("_outside", start["_fixed"] != flipped)
+    begins = F.coalesce(F.lag("_outside").over(in_order), F.lit(True))
+    marked = ended.withColumn("_begins", begins).where(~F.col("_begins") | (F.trim(line, F.lit(" \t")) != ""))
+    numbered = marked.withColumn("_number", F.sum(F.when(F.col("_begins"), 1).otherwise(0)).over(upto))
+    parts = F.array_sort(F.collect_list(F.struct("block", "id", "place", "line", "end")))
+    records = numbered.where(F.col("_number") > 1).groupBy("uri", "_number").agg(parts.alias("_parts"))
+    # Lines of one record with the ends between them, without the last end.
+    ends = F.array_join(F.transform("_parts", lambda x: F.concat(x["line"], x["end"])), "")
+    last_end = F.length(F.element_at("_parts", -1)["end"])
+    record = F.substring(ends, F.lit(1), F.length(ends) - last_end)
+    fields = ", ".join(f"f{i} STRING" for i in range(len(names)))
+    parsed = records.select(record.alias(_RECORD)).withColumn(
+        "_fields", F.from_csv(_RECORD, fields, {**_QUOTING, "multiLine": "true"})
+    )
+    return parsed.select(*[F.col("_fields")[f"f{i}"].alias(n) for i, n in enumerate(names)], _RECORD)
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
     """The named columns, in that order, as text; missing markers become NULL.
 
-    ``path`` is a file, a folder or a glob. A file is read whole, which lets quoted
-    fields hold line ends. One too large for a task is split across several once a scan
-    has shown that no field does.
+    ``path`` is a file, a folder or a glob.
     """
-    files = list_files(spark, path)
-    header = read_header(spark, files[0])
+    found = _scan(spark, path)
+    header = found[0].header
     names = _column_names(header)
     missing = [c for c in columns if c not in names]
     if missing:
         raise ValueError(f"{path} is missing columns: {missing}")
-    if names != header and len(files) > 1:
-        raise ValueError(f"{path} has blank or repeated column names in its {len(files)} files")
-
-    large = _worth_splitting(spark, files)
-    in_one_piece = _unsplittable(spark, large)
-    splittable = {f.uri for f in large} - in_one_piece
-    groups = (
-        ([f for f in files if f.uri not in splittable], True),
-        ([f for f in files if f.uri in splittable], False),
-    )
-    parts = [
-        # Many files that stay together go by the path they were found under.
-        _read(spark, path if len(group) == len(files) > 1 else _exact(group), names, header, whole)
-        for group, whole in groups
-        if group
-    ]
+    other = next((f for f in found if f.header != header), None)
+    if other:
+        raise ValueError(f"{other.path} has another header than {found[0].path}")
+
+    plain = [f.path for f in found if f.plain]
+    woven = [f.path for f in found if not f.plain]
+    parts = [read(spark, paths, names) for read, paths in ((_read_plain, plain), (_read_records, woven)) if paths]
     rows = reduce(DataFrame.unionByName, parts)
 
     message = F.concat(F.lit(f"{path} has a row with more fields than its header: "), _RECORD)

@@ -63,18 +63,52 @@ def test_quotes_and_line_ends(spark, folder, reading):
     ]
 
 
-def test_quotes_without_line_ends_are_split(spark, folder, reading):
+def test_what_is_in_a_file_decides_how_it_is_read(spark, folder):
+    path = folder('a,b,c\n1,"x, ""y""",\n"2",,"z"\n', 'a,b,c\n1,5" x,"abc\ndef",5" y\n')
+    # Quote counts per line are even in the second file, yet a record runs over the line end.
+    assert [f.plain for f in csv_files._scan(spark, path)] == [True, False]
+
+
+def test_quotes_without_line_ends(spark, folder, reading):
     path = folder('a,b,c\n1,"x, ""y""",\n"2",,"z"\n')
-    files = csv_files.list_files(spark, path)
-    assert csv_files._unsplittable(spark, files) == set()
     assert rows(spark, path) == [("1", 'x, "y"', None), ("2", None, "z")]
 
 
-def test_stray_quotes_keep_a_file_whole(spark, folder):
-    # Quote counts per line are even here, yet a record runs over the line end.
-    path = folder('a,b,c\n1,5" x,"abc\ndef",5" y\n')
-    files = csv_files.list_files(spark, path)
-    assert len(csv_files._unsplittable(spark, files)) == 1
+# A record with a line end in quotes, for the other way of reading.
+WOVEN = '0,"p\nq",0\n'
+
+
+@pytest.mark.parametrize("woven", ["", WOVEN])
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("a,b,c\n1,x\ry,3\n", [("1", "x", None), ("y", "3", None)]),
+        ("a,b,c\n1,2,3\n   \n4,5,6\n", [("1", "2", "3"), ("4", "5", "6")]),
+        ("a,b,c\n1,2,3\r\n4,5,6\r\n", [("1", "2", "3"), ("4", "5", "6")]),
+        ("a,b,c\r\n1,2,3\n4,5,6\n", [("1", "2", "3"), ("4", "5", "6")]),
+        ("a,b,c\r1,2,3\r4,5,6\r", [("1", "2", "3"), ("4", "5", "6")]),
+    ],
+)
+def test_line_ends(spark, folder, reading, text, expected, woven):
+    found = rows(spark, folder(text + woven))
+    assert found == sorted([*expected, *([("0", "p\nq", "0")] if woven else [])], key=str)
+
+
+def test_same_rows_as_pandas(spark, folder, reading):
+    """Line ends of all kinds, inside quotes and outside, with text after closing quotes."""
+    pandas = pytest.importorskip("pandas")
+    text = 'a,b,c\r\n1,"x\ry",3\n\n  \n4,"p\r\n\n q""",6\r7,"8\n9","\n"\r\n"z,\n",y"u,w\n'
+    path = folder(text)
+    frame = pandas.read_csv(f"{path}/part0_dataset.csv", dtype=str)
+    expected = sorted((tuple(None if x != x else x for x in r) for r in frame.itertuples(index=False)), key=str)
+    assert rows(spark, path) == expected
+
+
+@pytest.mark.parametrize("content", [b"a,b,c\n1,\xff2,3\n", b"a,b,c\n1,\x002,3\n"])
+def test_bytes_that_are_no_text_fail(spark, tmp_path, content):
+    (tmp_path / "bad_dataset.csv").write_bytes(content)
+    with pytest.raises(ValueError, match="bad_dataset.csv holds"):
+        csv_files.read_csv(spark, str(tmp_path), ABC)
 
 
 def test_byte_order_mark_and_blank_lines(spark, folder, reading):
@@ -131,9 +165,10 @@ def test_several_files(spark, folder, reading):
 
 
 def test_files_must_agree_on_the_header(spark, folder, reading):
-    path = folder("a,b,c\n1,2,3\n", "b,a,c\n4,5,6\n")
-    with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE"):
-        csv_files.read_csv(spark, path, ABC).collect()
+    for other in ("b,a,c", "A,B,C"):
+        path = folder("a,b,c\n1,2,3\n", f"{other}\n4,5,6\n")
+        with pytest.raises(ValueError, match="part1_dataset.csv has another header"):
+            csv_files.read_csv(spark, path, ABC)
 
 
 def test_large_and_small_files_together(spark, folder):
@@ -169,15 +204,3 @@ def test_odd_file_names(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
     assert found == [("1", "l1\nl2", "3"), *[("4", "5", "6")] * 20, ("7", "8", "9")]
-
-
-def test_many_files_are_split_only_when_very_large(spark, folder):
-    lines = "a,b,c\n" + "1,2,3\n" * 10
-    one = csv_files.list_files(spark, folder(lines))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
-    try:
-        assert csv_files._worth_splitting(spark, one) == one
-        many = csv_files.list_files(spark, folder(*[lines] * 4, lines * 5))
-        assert [f.length for f in csv_files._worth_splitting(spark, many)] == [5 * len(lines)]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
