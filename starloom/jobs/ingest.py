@@ -47,7 +47,7 @@ def ingest(
     found = session.side_by_side(spark, read, SOURCES)
     frames = {source.table: frame for source, frame in zip(SOURCES, found)}
     layer = publish.staging(spark, root)
-    run_id = layer.new_run()
-    counts = write_staged(spark, frames, layer.run_folder(run_id))
-    layer.publish(run_id, counts)
+    with layer.new_load() as run_id:
+        counts = write_staged(spark, frames, layer.run_folder(run_id))
+        layer.publish(run_id, counts)
     return counts

@@ -6,12 +6,13 @@ import argparse
 import logging
 import sys
 import time
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
-from starloom import session
+from starloom import files, session, workspace
 from starloom.jobs import publish
 from starloom.jobs.ingest import ingest
 from starloom.jobs.transform import transform
@@ -27,26 +28,18 @@ class StageTime(NamedTuple):
     seconds: float
 
 
-def run_stage(name: str, work: Callable[[], object]) -> StageTime:
-    logger.info("stage %s", name)
+@contextmanager
+def recorded(stage: str, times: list[StageTime]) -> Iterator[None]:
+    """Log a stage's start and end or failure; its time goes to ``times`` when it is done."""
+    logger.info("%s starts", stage)
     started = time.monotonic()
     try:
-        work()
-    except Exception as error:
-        logger.error("stage %s failed: %s", name, error)
+        yield
+    except Exception:
+        logger.exception("%s failed after %.2f s", stage, time.monotonic() - started)
         raise
-    done = StageTime(name, time.monotonic() - started)
-    logger.info("stage %s took %.2f s", *done)
-    return done
-
-
-def _staged_bytes(spark: SparkSession, root: str) -> int:
-    layer = publish.staging(spark, root)
-    listing = spark.read.format("binaryFile").options(
-        recursiveFileLookup=True, pathGlobFilter="*.parquet"
-    )
-    files = listing.load(layer.run_folder(layer.current_run()))
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    times.append(StageTime(stage, time.monotonic() - started))
+    logger.info("%s took %.2f s", *times[-1])
 
 
 def load(
@@ -56,24 +49,32 @@ def load(
     stages: tuple[str, ...] = STAGES,
     patterns: dict[str, str] | None = None,
 ) -> list[StageTime]:
-    """Run the stages in order; a failing one ends the load."""
-
-    def sized(stage: Callable[[SparkSession, str], object]) -> object:
-        # Ingest has no shuffle; the other two shuffle what it staged.
-        session.size_shuffles(spark, _staged_bytes(spark, root))
-        return stage(spark, root)
-
-    work = {
-        "ingest": lambda: ingest(spark, raw, root, patterns),
-        "validate": lambda: sized(validate),
-        "transform": lambda: sized(transform),
-    }
-    return [run_stage(name, work[name]) for name in stages]
+    """Run the stages in order; a failing one ends the load.
+
+    Validate and transform work on the same staged run, whatever is staged meanwhile.
+    """
+    times: list[StageTime] = []
+    if "ingest" in stages:
+        with recorded("ingest", times):
+            ingest(spark, raw, root, patterns)
+    later = [(name, work) for name, work in (("validate", validate), ("transform", transform)) if name in stages]
+    if later:
+        layer = publish.staging(spark, root)
+        run_id = layer.current_run()
+        staged_bytes = files.total_length(spark, layer.run_folder(run_id)) if run_id else 0
+        with session.sized_shuffles(spark, staged_bytes):
+            for name, work in later:
+                with recorded(name, times):
+                    work(spark, root, run_id)
+    if "drop-replaced" in stages:
+        with recorded("drop-replaced", times):
+            publish.drop_replaced(spark, root)
+    return times
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="starloom", description=__doc__)
-    parser.add_argument("stage", choices=("all", *STAGES))
+    parser.add_argument("stage", choices=("all", *STAGES, "drop-replaced"))
     parser.add_argument("--root", required=True, help="folder of the staging and warehouse layers")
     parser.add_argument("--raw", default="data/raw", help="folder of the CSV files")
     parser.add_argument("--master", help="Spark master, when not given by spark-submit")
@@ -100,6 +101,7 @@ def main(argv: list[str] | None = None) -> int:
     except Exception:
         return 1
     finally:
+        workspace.clear(spark)
         spark.stop()
     logger.info("done in %.2f s", sum(t.seconds for t in times))
     return 0

@@ -1,21 +1,24 @@
 """All-or-nothing layers: each load writes a folder of its own, then is named current.
 
 ``<root>/<layer>/run=<id>/<table>`` holds the data and ``<root>/<layer>/runs`` one small
-row per published load. A load that fails is never named, so readers keep the last one;
-no folder in use is ever overwritten.
+row per published load. A load that fails is never named and its folder is removed, so
+readers keep the last one; no folder in use is ever overwritten. Replaced runs stay
+readable until they are dropped.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom import files
 from starloom.functions import temporal
 
-_RUNS = "run_id string, published_at timestamp_ntz, row_counts map<string, bigint>"
+_RUNS = "run_id string, sequence long, published_at timestamp_ntz, row_counts map<string, bigint>"
 
 
 class Layer:
@@ -32,11 +35,26 @@ class Layer:
     def run_folder(self, run_id: str) -> str:
         return f"{self.folder}/run={run_id}"
 
+    @contextmanager
+    def new_load(self) -> Iterator[str]:
+        """A fresh run; what a failing load has written is removed."""
+        run_id = self.new_run()
+        try:
+            yield run_id
+        except BaseException:
+            files.delete(self.spark, self.run_folder(run_id))
+            raise
+
     def publish(self, run_id: str, row_counts: Mapping[str, int]) -> None:
-        """Name the run current. One file with one row, so it is seen whole or not at all."""
+        """Name the run current. One file with one row, so it is seen whole or not at all.
+
+        Its number follows the last one's, so no driver's clock decides what is current.
+        """
+        latest = self._latest()
         counts = [F.lit(part) for pair in row_counts.items() for part in pair]
         named = self.spark.range(0, 1, 1, 1).select(
             F.lit(run_id).alias("run_id"),
+            F.lit((latest["sequence"] or 0) + 1 if latest else 1).cast("long").alias("sequence"),
             temporal.wall_clock(F.lit(str(temporal.now()))).alias("published_at"),
             F.create_map(*counts).cast("map<string, bigint>").alias("row_counts"),
         )
@@ -45,16 +63,34 @@ class Layer:
     def published(self) -> DataFrame:
         return self.spark.read.schema(_RUNS).parquet(f"{self.folder}/runs")
 
-    def current_run(self) -> str | None:
-        """The run published last, or None before the first."""
+    def _latest(self):
         try:
             runs = self.published()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        latest = runs.agg(F.max_by("run_id", F.struct("published_at", "run_id")))
-        return latest.first()[0]
+        return runs.agg(F.max(F.struct("sequence", "published_at", "run_id"))).first()[0]
+
+    def current_run(self) -> str | None:
+        """The run published last, or None before the first."""
+        latest = self._latest()
+        return latest["run_id"] if latest else None
+
+    def drop_replaced(self) -> list[str]:
+        """Remove every run but the current one, with the lists of duplicates; their ids.
+
+        For quiet times: a load in progress, or a reader of an earlier run, would lose data.
+        """
+        current = self.current_run()
+        dropped = []
+        for folder in files.list_folders(self.spark, self.folder):
+            name = folder.rsplit("/", 1)[-1]
+            if name.startswith("run=") and name != f"run={current}":
+                files.delete(self.spark, folder)
+                dropped.append(name.removeprefix("run="))
+        files.delete(self.spark, f"{self.folder}/duplicates")
+        return dropped
 
     def tables(self, run_id: str) -> list[str]:
         """The tables a published run holds."""
@@ -76,10 +112,15 @@ def warehouse(spark: SparkSession, root: str) -> Layer:
     return Layer(spark, root, "warehouse")
 
 
-def register(spark: SparkSession, root: str) -> list[str]:
+def drop_replaced(spark: SparkSession, root: str) -> list[str]:
+    return staging(spark, root).drop_replaced() + warehouse(spark, root).drop_replaced()
+
+
+def register(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
     """Make the published tables known to SQL as ``staging.*`` and ``warehouse.*``.
 
-    They are views of the runs current now; call it again after a load.
+    ``prefix`` goes before the database names, where those are taken. The tables are views
+    of the runs current now; call it again after a load.
     """
     names = []
     for layer in (staging(spark, root), warehouse(spark, root)):
@@ -87,9 +128,10 @@ def register(spark: SparkSession, root: str) -> list[str]:
         if run_id is None:
             continue
         place = f"{layer.folder}/database".replace("'", "\\'")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer.name} LOCATION '{place}'")
+        database = f"{prefix}{layer.name}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
         for table in layer.tables(run_id):
-            name = f"{layer.name}.{table}"
+            name = f"{database}.{table}"
             files = f"{layer.run_folder(run_id)}/{table}".replace("`", "``")
             spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{files}`")
             names.append(name)

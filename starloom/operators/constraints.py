@@ -68,16 +68,52 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
     )
 
 
+def primary_key_rule(df: DataFrame, target: Target) -> DataFrame:
+    """Keys that are missing or held by more than one row."""
+    bad = df.groupBy(target.key).agg(F.count(F.lit(1)).alias("cnt")).where(
+        (F.col("cnt") > 1) | F.col(target.key).isNull()
+    )
+    return bad.agg(F.count(F.lit(1)).alias("bad_rows")).select(
+        F.lit(f"primary_key({target.key})").alias("rule"), "bad_rows"
+    )
+
+
+def enforce_keys(tables: Mapping[str, DataFrame], targets: tuple[Target, ...]) -> None:
+    """Primary keys and references of written tables; only key columns are read."""
+    parts = []
+    for target in targets:
+        parts.append(_of_table(primary_key_rule(tables[target.table], target), target))
+        parts += _reference_rules(tables, target)
+    broken = [row for row in reduce(DataFrame.unionByName, parts).collect() if row["bad_rows"]]
+    if broken:
+        listed = "\n".join(f"{r['table_name']} {r['rule']}: {r['bad_rows']:,} violations" for r in broken)
+        raise ConstraintError(f"the written tables break their rules:\n{listed}")
+
+
+def _of_table(rules: DataFrame, target: Target) -> DataFrame:
+    return rules.select(F.lit(target.table).alias("table_name"), "rule", "bad_rows")
+
+
+def _reference_rules(tables: Mapping[str, DataFrame], target: Target) -> list[DataFrame]:
+    return [
+        _of_table(
+            orphan_rows(tables[target.table], column, tables[parent], column).select(
+                F.lit(f"references({column})").alias("rule"), F.col("orphan_rows").alias("bad_rows")
+            ),
+            target,
+        )
+        for column, parent in target.references.items()
+    ]
+
+
 def table_report(df: DataFrame, target: Target) -> DataFrame:
-    """Row rules in one aggregate, key uniqueness in a second."""
+    """Row rules in one aggregate, each key's uniqueness in another."""
     rules = _row_rules(target)
     counted = df.agg(*[rule.alias(name) for name, rule in rules.items()])
     rows = counted.unpivot([], [F.col(f"`{name}`") for name in rules], "rule", "bad_rows")
     unique = duplicate_groups(df, target.natural_key).agg(F.count(F.lit(1)).alias("bad_rows"))
     unique = unique.select(F.lit(_unique_rule(target)).alias("rule"), "bad_rows")
-    return rows.unionByName(unique).select(
-        F.lit(target.table).alias("table_name"), "rule", "bad_rows"
-    )
+    return _of_table(rows.unionByName(unique).unionByName(primary_key_rule(df, target)), target)
 
 
 def constraint_report(tables: Mapping[str, DataFrame], targets: tuple[Target, ...]) -> DataFrame:
@@ -85,13 +121,5 @@ def constraint_report(tables: Mapping[str, DataFrame], targets: tuple[Target, ..
     parts = []
     for target in targets:
         parts.append(table_report(tables[target.table], target))
-        for column, parent in target.references.items():
-            orphans = orphan_rows(tables[target.table], column, tables[parent], column)
-            parts.append(
-                orphans.select(
-                    F.lit(target.table).alias("table_name"),
-                    F.lit(f"references({column})").alias("rule"),
-                    F.col("orphan_rows").alias("bad_rows"),
-                )
-            )
+        parts += _reference_rules(tables, target)
     return reduce(DataFrame.unionByName, parts)

@@ -15,7 +15,7 @@ ROW_COUNT = "row_count"
 NOT_NULL = "not_null"
 UNIQUE = "unique"
 
-# Duplicate groups named in an error message; the full set stays a frame.
+# Duplicate groups named in an error message; all of them are stored beside the run.
 SHOWN_DUPLICATES = 20
 
 
@@ -41,10 +41,10 @@ def duplicate_groups(df: DataFrame, key: Iterable[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
 
 
-def top_duplicates(df: DataFrame, key: Iterable[str], n: int = SHOWN_DUPLICATES) -> DataFrame:
-    """The n most repeated keys, ties in key order."""
+def ranked_duplicates(df: DataFrame, key: Iterable[str]) -> DataFrame:
+    """All repeated keys, the most repeated first, ties in key order."""
     key = list(key)
-    return duplicate_groups(df, key).orderBy(F.desc("cnt"), *key).limit(n)
+    return duplicate_groups(df, key).orderBy(F.desc("cnt"), *key)
 
 
 def table_report(df: DataFrame, source: Source, first_position: int = 0) -> DataFrame:
@@ -86,8 +86,13 @@ def quality_report(frames: Mapping[str, DataFrame], sources: Iterable[Source]) -
     return reduce(DataFrame.unionByName, parts)
 
 
-def enforce(frames: Mapping[str, DataFrame], sources: Iterable[Source]) -> list[Row]:
-    """Run the report and raise on the first failure in table and check order."""
+def enforce(
+    frames: Mapping[str, DataFrame], sources: Iterable[Source], folder: str | None = None
+) -> list[Row]:
+    """Run the report and raise on the first failure in table and check order.
+
+    With a ``folder``, all duplicate groups of a failing table are written there.
+    """
     sources = list(sources)
     rows = sorted(quality_report(frames, sources).collect(), key=lambda r: r.position)
     by_table = {source.qualified: source for source in sources}
@@ -105,10 +110,15 @@ def enforce(frames: Mapping[str, DataFrame], sources: Iterable[Source]) -> list[
         ]
         raise QualityError(f"{table} null check failed:\n" + "\n".join(bad))
     source = by_table[table]
-    shown = top_duplicates(frames[source.table], source.primary_key).collect()
+    ranked = ranked_duplicates(frames[source.table], source.primary_key)
+    shown = ranked.limit(SHOWN_DUPLICATES).collect()
     lines = [str(tuple(r)) for r in shown]
     if failed.measured > len(shown):
         lines.append(f"and {failed.measured - len(shown):,} more")
+    if folder:
+        place = f"{folder}/{source.table}"
+        ranked.write.parquet(place)
+        lines.append(f"all of them: {place}")
     raise QualityError(
         f"{table} duplicate found in primary keys:\n    " + "\n    ".join(lines)
     )

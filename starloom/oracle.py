@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from starloom.operators.quality import SHOWN_DUPLICATES
-from starloom.schemas import SOURCES, Source
-
 _STAMP = "'%Y-%m-%d %H:%M:%S'"
 
 _STG_ORDERS = f"""
@@ -300,16 +297,42 @@ SELECT 'stg_products',
        count(*) FILTER (WHERE CAST(product_id AS BIGINT) % 40 = 0)
 FROM stg_products"""
 
+# The declared feeds, stated here anew so that an error in the engine's own declaration shows.
+_FEEDS = {
+    "stg_orders": {
+        "columns": "order_id customer_id order_status order_purchase_timestamp order_approved_at"
+        " order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date",
+        "required": "order_id customer_id order_status order_purchase_timestamp",
+        "key": "order_id",
+    },
+    "stg_order_items": {
+        "columns": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+        "required": "order_id order_item_id product_id price",
+        "key": "order_id order_item_id",
+    },
+    "stg_customers": {
+        "columns": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+        "required": "customer_id customer_unique_id",
+        "key": "customer_id",
+    },
+    "stg_products": {
+        "columns": "product_id product_category_name product_name_lenght product_description_lenght"
+        " product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
+        "required": "product_id",
+        "key": "product_id",
+    },
+}
+
 _ROW_COUNTS = _union(
-    [f"SELECT '{s.table}' AS table_name, count(*) AS row_count FROM {s.table}" for s in SOURCES]
+    [f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {table}" for table in _FEEDS]
 )
 
 _NULLS = _union(
     [
-        f"SELECT '{s.table}' AS table_name, '{c}' AS column_name,"
-        f" count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {s.table}"
-        for s in SOURCES
-        for c in s.columns
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name,"
+        f" count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {table}"
+        for table, feed in _FEEDS.items()
+        for c in feed["columns"].split()
     ]
 )
 
@@ -322,30 +345,27 @@ def _duplicates(table: str, key: tuple[str, ...]) -> str:
 
 
 _ITEM_DUPLICATES = _duplicates("stg_order_items", ("order_id", "order_item_id"))
-_TOP_DUPLICATES = (
-    f"{_ITEM_DUPLICATES} ORDER BY cnt DESC, order_id, order_item_id LIMIT {SHOWN_DUPLICATES}"
-)
 
 
-def _report_rows(source: Source, position: int) -> list[str]:
-    name, key = source.qualified, ", ".join(source.primary_key)
-    checks = [("row_count", "CAST(NULL AS VARCHAR)", "count(*)", "count(*) > 0", source.table)]
-    for c in source.required:
+def _report_rows(table: str, feed: dict[str, str], position: int) -> list[str]:
+    key = feed["key"].split()
+    checks = [("row_count", "CAST(NULL AS VARCHAR)", "count(*)", "count(*) > 0", table)]
+    for c in feed["required"].split():
         bad = f"count(*) FILTER (WHERE {c} IS NULL)"
-        checks.append(("not_null", f"'{c}'", bad, f"{bad} = 0", source.table))
-    groups = f"({_duplicates(source.table, source.primary_key)})"
-    checks.append(("unique", f"'{key}'", "count(*)", "count(*) = 0", groups))
+        checks.append(("not_null", f"'{c}'", bad, f"{bad} = 0", table))
+    groups = f"({_duplicates(table, tuple(key))})"
+    checks.append(("unique", f"'{', '.join(key)}'", "count(*)", "count(*) = 0", groups))
     return [
-        f"SELECT {position + i} AS position, '{name}' AS table_name, '{check}' AS check_name,"
-        f" {column} AS column_name, {measured} AS measured, {passed} AS passed FROM {table}"
-        for i, (check, column, measured, passed, table) in enumerate(checks)
+        f"SELECT {position + i} AS position, 'staging.{table}' AS table_name, '{check}' AS check_name,"
+        f" {column} AS column_name, {measured} AS measured, {passed} AS passed FROM {source}"
+        for i, (check, column, measured, passed, source) in enumerate(checks)
     ]
 
 
 def _report() -> str:
     parts: list[str] = []
-    for source in SOURCES:
-        parts += _report_rows(source, len(parts))
+    for table, feed in _FEEDS.items():
+        parts += _report_rows(table, feed, len(parts))
     return _union(parts)
 
 
@@ -395,6 +415,18 @@ def _constraints() -> str:
         rule(table, f"unique({', '.join(key)})", f"({_duplicates(stored(table), key)})")
         for table, key in unique.items()
     ]
+    keys = {
+        "dim_customers": "customer_key",
+        "dim_products": "product_key",
+        "dim_time": "time_key",
+    }
+    parts += [
+        rule(table, f"primary_key({key})", f"({_duplicates(table, (key,))})") for table, key in keys.items()
+    ]
+    numbered = "(SELECT row_number() OVER (ORDER BY order_id, order_item_id) AS key FROM fact) f"
+    parts.append(
+        rule("fact_orders", "primary_key(order_item_key)", f"({_duplicates(numbered, ('key',))})")
+    )
     parts += [
         rule(
             "fact_orders",
@@ -463,12 +495,13 @@ ORACLE_SQL: dict[str, str] = {
     "dq_row_count": _with(_RAW, _ROW_COUNTS),
     "dq_nulls": _with(_RAW, _NULLS),
     "dq_duplicates": _with((_STG_RAW_ITEMS,), _ITEM_DUPLICATES),
-    "dq_duplicates_top": _with((_STG_RAW_ITEMS,), _TOP_DUPLICATES),
+    "dq_duplicates_top": _with((_STG_RAW_ITEMS,), f"{_ITEM_DUPLICATES} ORDER BY cnt DESC"),
     "dq_report": _with(_RAW, _report()),
     "constraint_report": _with((*_RAW, *_DIMS, _FACT), _constraints()),
     "fk_orphans": _with(_gapped(_RAW), _orphans()),
     "csv_scan": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents",
     "csv_missing_markers": _with((_STG_CUSTOMERS,), _MARKED_CUSTOMERS),
+    "csv_line_ends": _with((_STG_CUSTOMERS,), "SELECT * FROM stg_customers"),
     "stage_project": _with((_STG_CUSTOMERS,), "SELECT * FROM stg_customers"),
     "stage_row_counts": _with(_RAW, _ROW_COUNTS),
     "stage_orders": _with((_STG_ORDERS,), "SELECT * FROM stg_orders"),

@@ -30,17 +30,17 @@ def products(staged: DataFrame) -> DataFrame:
     )
 
 
+def purchased(orders: DataFrame) -> DataFrame:
+    return orders.where(F.col("order_purchase_timestamp").isNotNull())
+
+
 def purchase_dates(staged_orders: DataFrame) -> DataFrame:
     """Each date an order was placed on, once; dates without orders stay out.
 
     Distinct on the date alone, before its attributes: they all follow from it.
     """
-    bought = F.col("order_purchase_timestamp")
-    return (
-        staged_orders.where(bought.isNotNull())
-        .select(temporal.calendar_date(bought).alias("full_date"))
-        .distinct()
-    )
+    day = temporal.calendar_date(F.col("order_purchase_timestamp"))
+    return purchased(staged_orders).select(day.alias("full_date")).distinct()
 
 
 def calendar(dates: DataFrame) -> DataFrame:

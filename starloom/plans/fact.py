@@ -5,6 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import numeric, temporal
+from starloom.plans import dimensions
+
+
+def with_date_key(orders: DataFrame, time: DataFrame) -> DataFrame:
+    """Orders with a purchase date, its text replaced by the timestamp, and the date's key."""
+    # An order without a purchase time can match no date, so it is out already here.
+    others = [c for c in orders.columns if c != "order_purchase_timestamp"]
+    placed = dimensions.purchased(orders).select(
+        *others,
+        temporal.wall_clock(F.col("order_purchase_timestamp")).alias("purchase_timestamp"),
+    )
+    dated = placed.withColumn("full_date", F.col("purchase_timestamp").cast("date"))
+    return dated.join(time.select("full_date", "time_key"), "full_date")
+
+
+def with_customer_key(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    return orders.join(customers.select("customer_id", "customer_key"), "customer_id")
 
 
 def orders_with_keys(orders: DataFrame, customers: DataFrame, time: DataFrame) -> DataFrame:
@@ -14,36 +31,36 @@ def orders_with_keys(orders: DataFrame, customers: DataFrame, time: DataFrame) -
     would otherwise travel once more. No broadcast is asked for; Spark takes one where
     the written dimension is measured small, as the date dimension always is.
     """
-    # An order without a purchase time can match no date, so it is out already here.
-    placed = (
-        orders.where(F.col("order_purchase_timestamp").isNotNull())
-        .select(
-            "order_id",
-            "customer_id",
-            "order_status",
-            temporal.wall_clock(F.col("order_purchase_timestamp")).alias("purchase_timestamp"),
-            "order_delivered_customer_date",
-            "order_estimated_delivery_date",
-        )
-        .withColumn("full_date", F.col("purchase_timestamp").cast("date"))
-    )
-    return (
-        placed.join(time.select("full_date", "time_key"), "full_date")
-        .join(customers.select("customer_id", "customer_key"), "customer_id")
-        .drop("full_date", "customer_id")
+    needed = orders.select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
     )
+    return with_customer_key(with_date_key(needed, time), customers).drop("full_date", "customer_id")
+
+
+def identified(items: DataFrame) -> DataFrame:
+    """Items that name an order and a product."""
+    return items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
 
 
 def items_with_keys(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items of a known product, with its key."""
     return (
-        items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+        identified(items)
         .select("order_id", "order_item_id", "product_id", "price", "freight_value")
         .join(products.select("product_id", "product_key"), "product_id")
         .drop("product_id")
     )
 
 
+def of_known_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
+    return items.join(orders, "order_id")
+
+
 def order_items(
     items: DataFrame,
     orders: DataFrame,
@@ -56,9 +73,7 @@ def order_items(
     Item and delivery texts are cast only here, after the joins, so bad text in a row
     that is dropped anyway does not fail the load.
     """
-    joined = items_with_keys(items, products).join(
-        orders_with_keys(orders, customers, time), "order_id"
-    )
+    joined = of_known_orders(items_with_keys(items, products), orders_with_keys(orders, customers, time))
     price = numeric.money(F.col("price"))
     freight = numeric.money(F.col("freight_value"))
     delivered = temporal.wall_clock(F.col("order_delivered_customer_date"))
@@ -91,8 +106,7 @@ def join_losses(
     time: DataFrame,
 ) -> DataFrame:
     """(step, kept_rows): how many items survive each join, in the order of the load."""
-    keyed = items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-    per_order = keyed.select("order_id", "product_id")
+    per_order = identified(items).select("order_id", "product_id")
     dated = orders.select(
         "order_id",
         "customer_id",

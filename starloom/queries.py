@@ -94,7 +94,7 @@ def _gapped(spark: SparkSession, sf_dir: str, raw_item_ids: bool = False) -> dic
 def join_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = samples.items(spark, sf_dir).select("order_id", "order_item_id", "product_id")
     orders = samples.orders(spark, sf_dir).select("order_id", "customer_id", "order_status")
-    return items.join(orders, "order_id")
+    return fact.of_known_orders(items, orders)
 
 
 def _gapped_dimensions(spark: SparkSession, staged: dict, *targets: Target) -> list[DataFrame]:
@@ -113,8 +113,7 @@ def join_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _gapped(spark, sf_dir, raw_item_ids=True)
     (customers,) = _gapped_dimensions(spark, staged, DIM_CUSTOMERS)
-    orders = staged[ORDERS.table].select("order_id", "customer_id")
-    return orders.join(customers.select("customer_id", "customer_key"), "customer_id")
+    return fact.with_customer_key(staged[ORDERS.table].select("order_id", "customer_id"), customers)
 
 
 def join_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,10 +124,8 @@ def join_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_purchase_timestamp", F.when(dated, F.col("order_purchase_timestamp"))
     )
     (time,) = _gapped_dimensions(spark, {ORDERS.table: some}, DIM_TIME)
-    placed = some.select(
-        "order_id", temporal.calendar_date(F.col("order_purchase_timestamp")).alias("full_date")
-    )
-    return placed.join(time.select("full_date", "time_key"), "full_date")
+    placed = some.select("order_id", "order_purchase_timestamp")
+    return fact.with_date_key(placed, time).drop("purchase_timestamp")
 
 
 def join_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,21 +208,22 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows each load filter keeps and drops."""
     staged = samples.with_null_keys(samples.staging(spark, sf_dir, raw_item_ids=True))
     filters = {
-        ORDERS: ("order_purchase_timestamp",),
-        ORDER_ITEMS: ("order_id", "product_id"),
-        CUSTOMERS: ("customer_id",),
-        PRODUCTS: ("product_id",),
+        ORDERS: dimensions.purchased,
+        ORDER_ITEMS: fact.identified,
+        CUSTOMERS: dimensions.customers,
+        PRODUCTS: dimensions.products,
     }
 
-    def counted(source: Source, columns: tuple[str, ...]) -> DataFrame:
-        kept: Column = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
-        return staged[source.table].agg(
+    def counted(source: Source, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        rows = staged[source.table]
+        both = kept(rows).select(F.lit(1).alias("kept")).unionAll(rows.select(F.lit(0).alias("kept")))
+        return both.agg(
             F.lit(source.table).alias("table_name"),
-            F.count_if(kept).alias("kept_rows"),
-            F.count_if(~kept).alias("dropped_rows"),
+            F.count_if(F.col("kept") == 1).alias("kept_rows"),
+            (F.count_if(F.col("kept") == 0) - F.count_if(F.col("kept") == 1)).alias("dropped_rows"),
         )
 
-    return _union(counted(s, c) for s, c in filters.items())
+    return _union(counted(s, kept) for s, kept in filters.items())
 
 
 # Quality checks, on items whose ids repeat.
@@ -250,7 +248,7 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_duplicates_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.top_duplicates(samples.raw_items(spark, sf_dir), ORDER_ITEMS.primary_key)
+    return quality.ranked_duplicates(samples.raw_items(spark, sf_dir), ORDER_ITEMS.primary_key)
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,12 +256,14 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared rules, over a fact whose item ids repeat."""
+    """All declared rules, over a written star in whose fact item ids repeat."""
     staged = _raw(spark, sf_dir)
-    folder = workspace.scratch(spark, "dimensions")
-    star.write_dimensions(spark, staged, folder, temporal.now())
-    tables = {t.table: star.read_table(spark, folder, t) for t in DIMENSIONS}
-    tables[FACT_ORDERS.table] = star.fact_rows(spark, staged, folder)
+    folder = workspace.scratch(spark, "star")
+    now = temporal.now()
+    star.write_dimensions(spark, staged, folder, now)
+    rows = star.fact_rows(spark, staged, folder)
+    star.write_table(spark, FACT_ORDERS, rows, folder, now, checked=False)
+    tables = {t.table: star.read_table(spark, folder, t) for t in TARGETS}
     return constraints.constraint_report(tables, TARGETS)
 
 
@@ -315,6 +315,24 @@ def csv_missing_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_files.read_csv(spark, place, CUSTOMERS.columns)
 
 
+def csv_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in lines that end in every way, with lines of blanks between them."""
+    n = F.col("customer_id").cast("bigint")
+    customers = samples.customers(spark, sf_dir)
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in customers.columns]
+    end = F.when(n % 4 == 0, "\r").when(n % 4 == 1, "\r\n   ").when(n % 4 == 2, "\r\n").otherwise("")
+    lines = customers.select(F.concat(F.concat_ws(",", *quoted), end).alias("value"), n.alias("n"))
+    header = spark.range(1).select(F.lit(",".join(CUSTOMERS.columns)).alias("value"), F.lit(-1).alias("n"))
+    place = workspace.scratch(spark, "customers")
+    # A file a partition, each with a header of its own.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heads = header.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    rows = lines.withColumn("part", (F.col("n") % parts).cast("int"))
+    dealt = heads.unionByName(rows).repartition(parts, "part").sortWithinPartitions("part", "n")
+    dealt.select("part", "value").write.partitionBy("part").text(place)
+    return csv_files.read_csv(spark, f"{place}/part=*", CUSTOMERS.columns)
+
+
 def stage_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file with its columns in another order and one too many."""
     customers = samples.customers(spark, sf_dir)
@@ -413,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     "csv_scan": csv_scan,
     "csv_missing_markers": csv_missing_markers,
+    "csv_line_ends": csv_line_ends,
     "stage_project": stage_project,
     "stage_row_counts": stage_row_counts,
     "stage_orders": _staged(ORDERS, samples.orders),

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -25,7 +26,6 @@ SETTINGS = {
 # Staged Parquet bytes per shuffle partition; they take several times that as rows.
 # Adaptive execution merges partitions that come out small.
 _PARTITION_BYTES = 32 * 1024 * 1024
-_MOST_PARTITIONS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -48,21 +48,17 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, staged_bytes: int) -> int:
-    """Raise the shuffle partition count to fit the staged data; never lower it."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(_MOST_PARTITIONS, -(-staged_bytes // _PARTITION_BYTES))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(current, wanted)
-
-
-def size_setting(spark: SparkSession, name: str) -> int:
-    """A size such as ``134217728b``, ``128m`` or ``128MB`` in bytes."""
-    text = spark.conf.get(name).strip().lower()
-    number = text.rstrip("kmgtpib")
-    unit = text[len(number) :].strip().removesuffix("b").removesuffix("i")
-    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+@contextmanager
+def sized_shuffles(spark: SparkSession, staged_bytes: int) -> Iterator[int]:
+    """Enough shuffle partitions for the staged data; the caller's setting comes back."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    count = max(int(before), -(-staged_bytes // _PARTITION_BYTES))
+    spark.conf.set(name, str(count))
+    try:
+        yield count
+    finally:
+        spark.conf.set(name, before)
 
 
 def side_by_side(

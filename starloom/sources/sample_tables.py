@@ -87,16 +87,15 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    # Nations and regions number 25 and 5 at every scale.
     places = _table(spark, folder, "nation").join(
-        F.broadcast(_table(spark, folder, "region")),
+        _table(spark, folder, "region"),
         F.col("n_regionkey") == F.col("r_regionkey"),
     )
     region = F.replace("r_name", F.lit(" "), F.lit("-"))
     city = F.concat(F.lit("  "), F.lower(region), F.lit(" d'"), F.lower("n_name"))
     staged = (
         _table(spark, folder, "customer")
-        .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             _text("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_unique_id"),

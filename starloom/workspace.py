@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
-_local_folder: tempfile.TemporaryDirectory | None = None
+from starloom import files
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where the session is local."""
-    global _local_folder
+    """``spark.checkpoint.dir``, or else a folder in the warehouse, on any master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="starloom-")
-    return _local_folder.name
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder name; nothing else ever writes there."""
-    return f"{shared_folder(spark)}/starloom/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name; nothing else ever writes there.
+
+    What is written there lasts until :func:`clear` or the end of the program.
+    """
+    if not _watched:
+        _watched.append(atexit.register(_clear_at_exit))
+    return f"{_own(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete an intermediate folder made by :func:`scratch`."""
     if "/starloom/" not in folder:
         raise ValueError(f"not an intermediate folder: {folder}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files.delete(spark, folder)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate folders of this application."""
+    files.delete(spark, _own(spark))
+
+
+_watched: list = []
+
+
+def _clear_at_exit() -> None:
+    session = SparkSession.getActiveSession()
+    if session is not None and SparkContext._active_spark_context is not None:
+        clear(session)

@@ -61,7 +61,7 @@ def test_repeated_key(write):
 def test_the_copy_is_removed_in_any_case(spark, write):
     from pathlib import Path
 
-    shared = Path(workspace.shared_folder(spark)) / "starloom"
+    shared = Path(workspace.shared_folder(spark)) / "starloom" / spark.sparkContext.applicationId
     before = set(shared.glob("dim_customers-*"))
     write(("c1", "u1", None, None, None))
     with pytest.raises(ConstraintError):
@@ -86,3 +86,17 @@ def test_not_null_rules():
 def test_discard_takes_only_intermediate_folders(spark, tmp_path):
     with pytest.raises(ValueError):
         workspace.discard(spark, str(tmp_path))
+
+
+def test_clear_removes_what_was_written(spark, write):
+    from pathlib import Path
+
+    write(("c1", "u1", None, None, None))
+    workspace.clear(spark)
+    assert not (Path(workspace.shared_folder(spark)) / "starloom" / spark.sparkContext.applicationId).exists()
+
+
+def test_broken_keys_are_found(spark):
+    customers = spark.createDataFrame([(1,), (1,), (None,)], "customer_key long")
+    with pytest.raises(ConstraintError, match=r"dim_customers primary_key\(customer_key\): 2 violations"):
+        constraints.enforce_keys({DIM_CUSTOMERS.table: customers}, (DIM_CUSTOMERS,))

@@ -1,3 +1,4 @@
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -161,12 +162,47 @@ def test_other_file_patterns(spark, raw, root):
 
 
 def test_failing_stage_is_named_and_raised(caplog):
-    def fail():
+    times = []
+    with pytest.raises(KeyError), job.recorded("ingest", times):
         raise KeyError("x")
+    assert "ingest failed" in caplog.text
+    assert times == []
 
-    with pytest.raises(KeyError):
-        job.run_stage("ingest", fail)
-    assert "stage ingest failed" in caplog.text
+
+def test_failed_loads_leave_nothing(spark, raw, root):
+    job.load(spark, root, raw())
+    before = sorted(p.name for p in Path(root).glob("*/run=*"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        job.load(spark, root, raw({ORDER_ITEMS: ["o1,1,p1,s1,,cheap,1"]}))
+    after = sorted(p.name for p in Path(root).glob("warehouse/run=*"))
+    assert set(after) < set(before)
+    shared = Path(job.workspace.shared_folder(spark)) / "starloom" / spark.sparkContext.applicationId
+    assert not list(shared.glob("fact_orders-*"))
+
+
+def test_replaced_runs_are_dropped_on_request(spark, raw, root):
+    for _ in range(2):
+        job.load(spark, root, raw())
+    assert len(list(Path(root).glob("*/run=*"))) == 4
+    assert len(publish.drop_replaced(spark, root)) == 2
+    assert len(list(Path(root).glob("*/run=*"))) == 2
+    assert len(stored(spark, root, FACT_ORDERS)) == 1
+    job.load(spark, root, stages=("drop-replaced",))
+
+
+def test_transform_takes_the_run_that_was_validated(spark, raw, root):
+    ingest(spark, raw(), root)
+    run = publish.staging(spark, root).current_run()
+    ingest(spark, raw({ORDERS: []}), root)
+    assert len(validate(spark, root, run)) == 19
+    assert transform(spark, root, run)["fact_orders"] == 1
+
+
+def test_the_number_of_a_run_decides_and_no_clock(spark, raw, root, monkeypatch):
+    ingest(spark, raw(), root)
+    monkeypatch.setattr(publish.temporal, "now", lambda: datetime(1999, 1, 1))
+    ingest(spark, raw({CUSTOMERS: ["c5,u5,,,"]}), root)
+    assert [r.customer_id for r in staged(spark, root, CUSTOMERS)] == ["c5"]
 
 
 @pytest.fixture
@@ -186,13 +222,10 @@ def test_exit_status(spark, raw, root, keep_session):
 
 def test_shuffles_grow_with_the_staged_data(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert job.session.size_shuffles(spark, 0) == int(before)
-        assert job.session.size_shuffles(spark, 10 * 2**40) == 100_000
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        assert job.session.size_shuffles(spark, 2**30) == 32
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for size, count in ((0, int(before)), (2**30, 32), (10 * 2**40, 327_680)):
+        with job.session.sized_shuffles(spark, size) as used:
+            assert used == count == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_sql_on_the_published_tables(spark, raw, root):
@@ -211,12 +244,3 @@ def test_sql_on_the_published_tables(spark, raw, root):
     job.load(spark, root, raw({PRODUCTS: ["p1,other" + "," * 7]}))
     publish.register(spark, root)
     assert spark.sql(query).first().category_name == "Other"
-
-
-@pytest.mark.parametrize("text, size", [("100", 100), ("100b", 100), ("2k", 2048), ("128MB", 2**27)])
-def test_size_settings(spark, text, size):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", text)
-    try:
-        assert job.session.size_setting(spark, "spark.sql.files.maxPartitionBytes") == size
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")

@@ -75,14 +75,17 @@ def test_most_repeated_key_first(staged):
     assert message.endswith("\n    ('c9', 3)\n    ('c8', 2)")
 
 
-def test_long_duplicate_lists_are_cut_in_the_message_only(staged):
+def test_long_duplicate_lists_are_stored_whole(spark, staged, tmp_path):
     rows = [(f"c{i % 30:02}", "u", None, None, None) for i in range(60)]
     frames = staged({CUSTOMERS: rows})
-    message = failure(frames)
+    folder = str(tmp_path / "duplicates")
+    with pytest.raises(quality.QualityError) as caught:
+        quality.enforce(frames, SOURCES, folder)
+    message = str(caught.value)
     assert message.count("('c") == quality.SHOWN_DUPLICATES
-    assert message.endswith("and 10 more")
-    groups = quality.duplicate_groups(frames[CUSTOMERS.table], CUSTOMERS.primary_key)
-    assert groups.count() == 30
+    assert message.endswith(f"and 10 more\n    all of them: {folder}/stg_customers")
+    assert spark.read.parquet(f"{folder}/stg_customers").count() == 30
+    assert quality.ranked_duplicates(frames[CUSTOMERS.table], CUSTOMERS.primary_key).count() == 30
 
 
 def test_first_failure_in_table_and_check_order(staged):
