@@ -30,6 +30,7 @@ HEADLINE = (
     "fk_orphans",
     "stage_order_items",
     "csv_scan",
+    "full_load",
 )
 
 
