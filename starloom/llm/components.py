@@ -34,22 +34,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link, and that to a node without links of its own."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in"))
+    ends = ends.unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return nodes.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0))).isEmpty()
 
 
 def connected(links: DataFrame) -> DataFrame:
     """``node`` and the smallest node of its component as ``root``, for every node of ``links``
     (columns ``a``, ``b``) that is not its own root."""
     links = _written(links.where(F.col("a") != F.col("b")).select("a", "b").distinct())
-    state = _state(links)
     for _ in range(_MOST_ROUNDS):
-        if not state[0]:
-            break
-        links = _written(_small_star(_large_star(links).distinct()).distinct())
-        before, state = state, _state(links)
-        if state == before:
+        links = _written(_small_star(_large_star(links)).distinct())
+        if _settled(links):
             break
     else:
         raise RuntimeError(f"components did not settle in {_MOST_ROUNDS} rounds")

@@ -6,13 +6,17 @@ documents. Sets that link share a shingle among their first ``(1 - t) n + 1``, t
 prefix, so only documents that meet there are compared:
 
 1. Documents with equal sets form a class, classes with equal prefix and size a group.
-2. In every posting list of a shingle, and for groups of like size, the groups are
-   compared with one leader; so are the members of a group. Large sets of near copies
+2. A shingle's place in a prefix bounds the sizes of the sets that can link through it. So a
+   posting list holds, per shingle and band of sizes, the sets of that size in whose first
+   places the shingle is, and is met by the sets that such a size could link with.
+3. In every list all are compared with one leader, the set with the fewest rarer shingles:
+   of near copies the one least changed. So are the members of a group. Large families
    join up at this cost, linear in their number.
-3. Whatever then meets in a posting list without being connected yet is compared pair by
-   pair. No pair of equal components is looked at, since it could not change the result.
+4. Whatever then meets in a list without being connected yet is compared pair by pair. No
+   pair of one component is looked at, since it could not change the result.
 
-Every comparison is exact, on the sets of 64-bit shingle hashes made from whole texts.
+What the two prefixes do not rule out is compared exactly, on the sets of 64-bit shingle
+hashes made from whole texts.
 
 Defined results: a null text or one without words has no shingles and stays alone; a null
 ``doc_id`` takes part through equal sets only and never names a component; rows that repeat
@@ -21,26 +25,34 @@ an id are documents of their own; extra columns are not read.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom import workspace
 from starloom.llm.components import connected
 from starloom.llm.texts import ASCII_LOWER, NOT_BLANK, U64, Hasher, Texts, mix, runs, slices, windows
 
-WORDS = 3
-PERCENT = 90
+#: Words of a shingle and the least similarity, unless a caller asks for others.
+WORDS = 5
+PERCENT = 80
 
-#: Counters of the frequency sketch, 4 bytes each: the bound of what is broadcast.
-SKETCH = 1 << 20
-_CHUNK = 1 << 12
+#: Counters of the frequency sketch, 2 bytes each: the bound of what is broadcast.
+SKETCH = 1 << 22
+#: Bits of the filter on documents to compare: the bound of that broadcast.
+FILTER = 1 << 24
+_CHUNK = 1 << 14
 _BLOCK = 500
+_SLICE_BYTES = 1 << 20
+_BAND = 1.05
 
 
-def shingles(texts: Texts, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and hashes of the distinct shingles of every text, sorted by row and hash."""
     data = ASCII_LOWER[texts.data]
     starts, ends = runs(texts, NOT_BLANK[data])
@@ -80,54 +92,83 @@ def _fingerprints(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     return sums[0], sums[1]
 
 
-def frequency_sketch(documents: DataFrame) -> np.ndarray:
-    """How many documents hold a shingle, summed over those that share a counter."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, dtype=np.int64)
-        for batch in slices(batches, "text"):
-            _, value = shingles(Texts(batch.column("text")))
-            total += np.bincount((value & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        yield _chunks(dict(enumerate(total.reshape(-1, _CHUNK))))
+def _merged(parts: DataFrame, size: int, dtype: str, merge: np.ufunc) -> np.ndarray:
+    """Merge partial arrays, given as numbered chunks, on their way to the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
-                counts = np.frombuffer(data.as_buffer(), dtype=np.int64)
-                total[chunk] = total[chunk] + counts if chunk in total else counts
+            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(data), dtype=dtype)
+                total[chunk] = merge(total[chunk], part) if chunk in total else part
         yield _chunks(total)
 
-    schema = "chunk int, counts binary"
-    parts = documents.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
-    sketch = np.zeros((SKETCH // _CHUNK, _CHUNK), dtype=np.int64)
-    for row in parts.collect():  # SKETCH counters, whatever the data
-        sketch[row["chunk"]] += np.frombuffer(row["counts"], dtype=np.int64)
-    return sketch.ravel()
+    whole = np.zeros((size // _CHUNK, _CHUNK), dtype=dtype)
+    merged = parts.repartition("chunk").mapInArrow(add, _PARTS)
+    for row in merged.collect():  # `size` numbers, whatever the data
+        whole[row["chunk"]] = np.frombuffer(zlib.decompress(row["data"]), dtype=dtype)
+    return whole.ravel()
+
+
+_PARTS = "chunk int, data binary"
 
 
 def _chunks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "chunk": pa.array(parts.keys(), pa.int32()),
-            "counts": pa.array([x.astype(np.int64).tobytes() for x in parts.values()], pa.binary()),
-        }
-    )
+    packed = [zlib.compress(x.tobytes(), 1) for x in parts.values()]
+    return pa.RecordBatch.from_pydict({"chunk": pa.array(parts.keys(), pa.int32()), "data": pa.array(packed, pa.binary())})
+
+
+def frequency_sketch(documents: DataFrame, words: int) -> np.ndarray:
+    """How many documents hold a shingle, summed over those that share a counter."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, dtype=np.int32)  # documents of one task
+        for batch in slices(batches, "text", _SLICE_BYTES):
+            _, value = shingles(Texts(batch.column("text")), words)
+            counter, times = np.unique(value & U64(SKETCH - 1), return_counts=True)
+            total[counter.astype(np.int64)] += times.astype(np.int32)
+        for low in range(0, SKETCH, 64 * _CHUNK):
+            parts = total[low : low + 64 * _CHUNK].reshape(-1, _CHUNK)
+            yield _chunks({low // _CHUNK + k: x.astype("<i8") for k, x in enumerate(parts) if x.any()})
+
+    return _merged(documents.select("text").mapInArrow(count, _PARTS), SKETCH, "<i8", np.add)
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit array with a bit for the hash of each id."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER, dtype=bool)
+        for batch in batches:
+            bits[batch.column("slot").to_numpy()] = True
+        yield _chunks({k: x for k, x in enumerate(np.packbits(bits).reshape(-1, _CHUNK)) if x.any()})
+
+    slots = ids.select(_slot(F.col("rep")).alias("slot"))
+    return _merged(slots.mapInArrow(mark, _PARTS), FILTER // 8, "u1", np.bitwise_or)
+
+
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER)).cast("int")
 
 
-def signatures(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def shingle_order(documents: DataFrame, words: int) -> Broadcast:
+    """Ranks by counter of the sketch, rare before frequent; shingles of one rank go by hash.
+
+    16 bits for each counter, sortable in linear time.
+    """
+    ranks = np.minimum(65535, np.log2(frequency_sketch(documents, words) + 1.0) * 1500).astype(np.uint16)
+    return documents.sparkSession.sparkContext.broadcast(ranks)
+
+
+def signatures(documents: DataFrame, shared: Broadcast, words: int, percent: int) -> DataFrame:
     """Per document: ``doc_id``, ``n`` shingles, the set's fingerprint ``id``, ``id2``, and its
     prefix in the order of the sketch."""
-    sketch = frequency_sketch(documents)
-    # A rank in 16 bits for each counter: 2 MB, and sortable in linear time.
-    ranks = np.minimum(65535, np.log2(sketch + 1.0) * 1500).astype(np.uint16)
-    shared = documents.sparkSession.sparkContext.broadcast(ranks)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE_BYTES):
             texts = Texts(batch.column("text"))
-            rows, value = shingles(texts)
+            rows, value = shingles(texts, words)
             bounds = _bounds(rows, len(texts))
             first, second = _fingerprints(value, bounds)
             sizes = np.diff(bounds)
@@ -161,7 +202,44 @@ def _positions_allow(n_x: Column, i: Column, n_y: Column, j: Column, percent: in
     return (100 + percent) * most >= percent * (n_x + n_y)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def plausible(pairs: DataFrame, classes: DataFrame, shared: Broadcast, percent: int) -> DataFrame:
+    """Those of the class pairs (``a``, ``b``) that their prefixes alone do not rule out.
+
+    A shingle of one prefix that comes before the last of the other, without being in it, is
+    not in the other set at all. Too many of these leave too little in common.
+    """
+    side = classes.select("id", "n", "prefix")
+    one = side.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("p_a"))
+    two = side.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("prefix").alias("p_b"))
+    both = pairs.join(one, "a").join(two, "b")
+
+    def missing(x: np.ndarray, y: np.ndarray, ranks: np.ndarray) -> int:
+        rank = ranks[(x & U64(SKETCH - 1)).astype(np.int64)]
+        last = ranks[int(y[-1] & U64(SKETCH - 1))]
+        before = (rank < last) | ((rank == last) & (x <= y[-1]))
+        return int((before & ~np.isin(x, y)).sum())
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
+        for batch in batches:
+            sides = []
+            for column in ("p_a", "p_b"):
+                lists = batch.column(column)
+                sides.append((lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)))
+            sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            common = -(-percent * (sizes[0] + sizes[1]) // (100 + percent))
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for k in range(batch.num_rows):
+                x, y = (values[bounds[k] : bounds[k + 1]] for bounds, values in sides)
+                keep[k] = (
+                    missing(x, y, ranks) <= sizes[0][k] - common[k] and missing(y, x, ranks) <= sizes[1][k] - common[k]
+                )
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.select("a", "n_a", "p_a", "b", "n_b", "p_b").mapInArrow(judge, "a long, b long")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the class pairs (``a``, ``b``) that link.
 
     The pairs of one ``a`` form blocks of bounded size. The set of ``a`` goes once to each of
@@ -175,13 +253,25 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent
     members = pairs.join(sized, "a").select(
         "a", F.pmod(F.xxhash64("b"), F.col("_blocks")).cast("int").alias("_block"), F.col("b").alias("id"), F.lit(1).alias("_role")
     )
-    wanted = leaders.unionByName(members).join(classes.select("id", "id2", "rep"), "id")
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep")
+    folder = workspace.scratch(spark, "jaccard-wanted")
+    leaders.unionByName(members).join(classes.select("id", "id2", "rep"), "id").write.parquet(folder)
+    wanted = spark.read.parquet(folder)
+    slim = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    # Most documents are in no pair; few of those get past the filter to the shuffle.
+    bits = spark.sparkContext.broadcast(_id_filter(wanted))
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            yield batch.filter(pa.array((bits.value[slot >> 3] >> (7 - (slot & 7))) & 1 == 1)).select(["rep", "text"])
+
+    slotted = slim.where(F.col("rep").isNotNull()).withColumn("slot", _slot(F.col("rep")))
+    texts = slotted.mapInArrow(needed, "rep long, text string").join(wanted, "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE_BYTES):
             texts = Texts(batch.column("text"))
-            rows, value = shingles(texts)
+            rows, value = shingles(texts, words)
             bounds = _bounds(rows, len(texts))
             first, second = _fingerprints(value, bounds)
             # An id may be repeated with other texts.
@@ -217,15 +307,40 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent
     return spark.read.parquet(folder)
 
 
-def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each group with the leader of its size band in every posting list it is in."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    banded = postings.withColumn("band", band)
-    lists = banded.groupBy("token", "band").agg(
-        F.min(F.struct("n", "g", "pos")).alias("lead"), F.count(F.lit(1)).alias("_groups")
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(_BAND))
+
+
+def _postings(groups: DataFrame) -> DataFrame:
+    """Shingles that are in the prefixes of several groups, with their places."""
+    postings = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_groups")).where(F.col("_groups") > 1)
+    return postings.join(shared.select("token"), "token")
+
+
+def _lists(postings: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Posting lists by shingle and band of sizes: the sets listed, and those that come to
+    meet sets of at most their own size there. Either has ``token``, ``band``, ``g``, ``n``
+    and the shingle's place ``pos``."""
+    n, pos = F.col("n"), F.col("pos")
+    listed = postings.where((100 + percent) * (n - pos) >= 2 * percent * n).withColumn("band", _band(n))
+    # Sizes between which a partner has to be: similar enough, and with enough shingles left.
+    low = F.ceil(n * percent / 100)
+    high = F.least(n, F.floor((n - pos) * (100 + percent) / percent) - n)
+    coming = postings.where(low <= high).withColumn(
+        "band", F.explode(F.sequence(_band(low), _band(high)))
     )
-    lists = lists.where(F.col("_groups") > 1).select("token", "band", "lead")
-    met = banded.join(lists, ["token", "band"]).where(F.col("g") != F.col("lead.g"))
+    # Every set listed comes to its own list; a list to which only it comes joins nothing.
+    useful = coming.groupBy("token", "band").agg(F.count(F.lit(1)).alias("_coming"))
+    useful = useful.where(F.col("_coming") > 1).select("token", "band")
+    columns = ["token", "band", "g", "n", "pos"]
+    return listed.join(useful, ["token", "band"]).select(*columns), coming.join(useful, ["token", "band"]).select(*columns)
+
+
+def _star_pairs(listed: DataFrame, coming: DataFrame, percent: int) -> DataFrame:
+    """Each group with the leader of every list it comes to."""
+    leaders = listed.groupBy("token", "band").agg(F.min(F.struct("pos", "n", "g")).alias("lead"))
+    met = coming.join(leaders, ["token", "band"]).where(F.col("g") != F.col("lead.g"))
     first = met.groupBy(F.col("lead.g").alias("a"), F.col("g").alias("b")).agg(
         F.first("lead.n").alias("n_a"), F.first("n").alias("n_b"), F.min("lead.pos").alias("i"), F.min("pos").alias("j")
     )
@@ -235,45 +350,53 @@ def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _open_pairs(postings: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Class pairs that meet in a posting list, or in a group, and are not connected yet."""
+def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Class pairs that meet in a list, or in a group, and are not connected yet."""
     rooted = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "id", "g", F.coalesce("root", "id").alias("root")
     )
     inside = rooted.select("g", "root").distinct()
-    listed = postings.join(inside, "g")
-    # Components per posting list; where there is only one, nothing is open.
-    parts = listed.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    many = parts.groupBy("token").agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
-    many = many.where(F.col("_x") != F.col("_y")).select("token")
-    parts = parts.join(many, "token")
-    x, y = parts.alias("x"), parts.alias("y")
-    meeting = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.root") < F.col("y.root"))
-        & (100 * F.col("x.high") >= percent * F.col("y.low"))
-        & (100 * F.col("y.high") >= percent * F.col("x.low")),
-    ).select(F.col("x.token").alias("token"), F.col("x.root").alias("rx"), F.col("y.root").alias("ry"))
-    left = listed.select("token", F.col("root").alias("rx"), F.col("g").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("i"))
-    right = listed.select("token", F.col("root").alias("ry"), F.col("g").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("j"))
+    place = ["token", "band"]
+    # Only lists in which several components meet are opened at all.
+    both = listed.select(*place, "g").unionByName(coming.select(*place, "g")).join(inside, "g")
+    many = both.groupBy(*place).agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
+    many = many.where(F.col("_x") != F.col("_y")).select(*place)
+
+    def opened(postings: DataFrame, root: str, g: str, n: str, pos: str) -> DataFrame:
+        return postings.join(many, place).join(inside, "g").select(
+            *place, F.col("root").alias(root), F.col("g").alias(g), F.col("n").alias(n), F.col("pos").alias(pos)
+        )
+
+    x, y = opened(listed, "rx", "a", "n_a", "i"), opened(coming, "ry", "b", "n_b", "j")
+    meeting = x.select(*place, "rx").distinct().join(y.select(*place, "ry").distinct(), place).where("rx != ry")
+    both_sizes = percent * (F.col("n_a") + F.col("n_b"))
     met = (
-        meeting.join(left, ["token", "rx"])
-        .join(right, ["token", "ry"])
-        .where(_may_link(F.col("n_a"), F.col("n_b"), percent))
-        .groupBy("rx", "ry", "a", "b")
-        .agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.min("i").alias("i"), F.min("j").alias("j"))
-        .where(_positions_allow(F.col("n_a"), F.col("i"), F.col("n_b"), F.col("j"), percent))
+        meeting.join(x, [*place, "rx"])
+        .join(y, [*place, "ry"])
+        .where(
+            (F.col("n_a") <= F.col("n_b"))
+            & _may_link(F.col("n_a"), F.col("n_b"), percent)
+            & ((100 + percent) * (F.col("n_a") - F.col("i")) >= both_sizes)
+            & ((100 + percent) * (F.col("n_b") - F.col("j")) >= both_sizes)
+        )
         .select("rx", "ry", "a", "b")
+        .distinct()
     )
     one = rooted.select(F.col("g").alias("a"), F.col("root").alias("rx"), F.col("id").alias("id_a"))
     two = rooted.select(F.col("g").alias("b"), F.col("root").alias("ry"), F.col("id").alias("id_b"))
-    return met.join(one, ["a", "rx"]).join(two, ["b", "ry"]).select(
-        F.col("id_a").alias("a"), F.col("id_b").alias("b")
-    ).distinct()
+    apart = met.join(one, ["a", "rx"]).join(two, ["b", "ry"]).select("id_a", "id_b")
+    # Members of one group that did not join up.
+    split = inside.groupBy("g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("g")
+    grouped = rooted.join(split, "g")
+    within = grouped.select("g", "root", F.col("id").alias("id_a")).join(
+        grouped.select("g", F.col("root").alias("other"), F.col("id").alias("id_b")), "g"
+    )
+    within = within.where(F.col("root") < F.col("other")).select("id_a", "id_b")
+    pairs = apart.unionByName(within)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
-def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def joined(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``component_id``."""
     spark = documents.sparkSession
 
@@ -282,7 +405,8 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         df.write.parquet(folder)
         return spark.read.parquet(folder)
 
-    signed = written(signatures(documents, percent), "signatures")
+    order = shingle_order(documents, words)
+    signed = written(signatures(documents, order, words, percent), "signatures")
     # Equal sets: one class, represented by its smallest id. Copies are pre-aggregated.
     classes = written(
         signed.where(F.col("n") > 0)
@@ -291,24 +415,24 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         "classes",
     )
     usable = classes.where(F.col("rep").isNotNull())
-    groups = usable.groupBy("n", "prefix").agg(F.min("id").alias("g"))
-    members = written(usable.join(groups, ["n", "prefix"]).select("id", "g"), "members")
-    postings = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
-    # A shingle in one group only can neither bring groups together nor part them.
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_groups")).where(F.col("_groups") > 1)
-    postings = written(postings.join(shared.select("token"), "token"), "postings")
+    # Equal size and prefix: one group, named after its smallest class.
+    slim = usable.select("id", "n", F.xxhash64("prefix").alias("_prefix"))
+    named = slim.groupBy("n", "_prefix").agg(F.min("id").alias("g"))
+    members = written(slim.join(named, ["n", "_prefix"]).select("id", "g"), "members")
+    others = members.where(F.col("id") != F.col("g")).select("id")
+    groups = usable.join(others, "id", "left_anti").withColumnRenamed("id", "g")
+    listed, coming = _lists(written(_postings(groups), "postings"), percent)
+    listed, coming = written(listed, "listed"), written(coming, "coming")
     alike = members.where(F.col("id") != F.col("g")).select(F.col("g").alias("a"), F.col("id").alias("b"))
-    stars = _star_pairs(postings, percent)
+    stars = _star_pairs(listed, coming, percent)
     expanded = stars.join(members.select(F.col("g").alias("b"), "id"), "b").select("a", F.col("id").alias("b"))
-    first_pairs = written(alike.unionByName(expanded).distinct(), "stars")
-    links = verified(first_pairs, classes, documents, percent)
+    first_pairs = plausible(alike.unionByName(expanded).distinct(), usable, order, percent)
+    first_pairs = written(first_pairs, "stars")
+    links = verified(first_pairs, classes, documents, words, percent)
     roots = connected(links)
-    # A group whose members did not all join up is a meeting place of its own.
-    own = groups.select("g", "n", F.lit(0).alias("pos"), F.col("g").alias("token"))
-    places = postings.select("g", "n", "pos", "token").unionByName(own)
-    own_members = members.select("id", "g")
-    open_pairs = written(_open_pairs(places, own_members, roots, percent), "open")
-    more = verified(open_pairs, classes, documents, percent)
+    open_pairs = plausible(_open_pairs(listed, coming, members, roots, percent), usable, order, percent)
+    open_pairs = written(open_pairs, "open")
+    more = verified(open_pairs, classes, documents, words, percent)
     links = links.unionByName(more)
     roots = connected(links) if not more.isEmpty() else roots
 
@@ -323,14 +447,14 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return full.select(*columns).unionByName(alone.select(*columns))
 
 
-def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the smallest id; the others go.
 
     Documents without words are nobody's copies and stay, as do those without an id. Of
     equal rows with one id a single one stays; where an id has several texts, all of them
     stay unless each is a copy of another document.
     """
-    found = joined(documents, percent).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    found = joined(documents, words, percent).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     by_id = found.groupBy("doc_id").agg(
         F.min(F.col("doc_id") != F.col("component_id")).alias("_spare"), F.count(F.lit(1)).alias("_rows")
     )

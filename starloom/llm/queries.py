@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom import workspace
-from starloom.llm import chat, embeddings, jaccard, language, mixing, packing, quality, token_counts, token_files, toxicity
+from starloom.llm import (
+    chat,
+    embeddings,
+    jaccard,
+    language,
+    mixing,
+    oracle,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from starloom.llm.tokenizing import TokenizerFile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +39,7 @@ def op1_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.joined(_table(spark, folder, "documents"))
+    return jaccard.joined(_table(spark, folder, "documents"), words=3, percent=90)
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,6 +90,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": oracle.JACCARD,
+    "op4_embedding_duplicates": oracle.EMBEDDINGS,
     "op9_chat_examples": chat.SQL,
     "op10_mix_sources": mixing.SQL,
 }

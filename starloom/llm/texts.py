@@ -7,7 +7,6 @@ words is array work over the slice's UTF-8 bytes, so no Python object exists per
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -97,24 +96,32 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.full(size, _BASE, dtype=np.uint64)
-        down = np.full(size, _INVERSE, dtype=np.uint64)
-        up[0] = down[0] = 1
-        return np.cumprod(up, out=up), np.cumprod(down, out=down)
+_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def _powers_of(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse; the longest run asked for is kept."""
+    if len(_powers[0]) < size:
+        length = 1 << (size - 1).bit_length()
+        with np.errstate(over="ignore"):
+            for k, factor in enumerate((_BASE, _INVERSE)):
+                power = np.full(length, factor, dtype=np.uint64)
+                power[0] = 1
+                _powers[k] = np.cumprod(power, out=power)
+    return _powers
 
 
 class Hasher:
     """64-bit hashes of any spans of a byte array, each from two running sums."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(12, int(len(data)).bit_length())
-        up, self._down = _powers(size)
+        up, self._down = _powers_of(len(data) + 1)
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            np.cumsum((data.astype(np.uint64) + U64(1)) * up[: len(data)], out=sums[1:])
+            sums[1:] = data
+            sums[1:] += U64(1)
+            sums[1:] *= up[: len(data)]
+            np.cumsum(sums, out=sums)
         self._sums = sums
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
