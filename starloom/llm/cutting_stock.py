@@ -10,6 +10,7 @@ not on the number of documents.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,14 +53,20 @@ def _generate(sizes: np.ndarray, demand: np.ndarray, capacity: int, tolerance: f
     start = capacity // sizes
     patterns = np.diag(start.astype(float))
     inverse = np.diag(1.0 / start)
-    uses = demand / start
+    # Slightly uneven demands: equal ones would let a step leave all uses as they are.
+    uneven = demand * (1.0 + 1e-4 * ((np.arange(len(demand)) * 0.6180339887) % 1.0))
+    uses = uneven / start
+    bound = 0.0
     for step in range(steps):
         duals = inverse.sum(axis=0)
         worth, pattern = _best_pattern(np.maximum(duals, 0.0), sizes, capacity)
         # The present total divided by the worth bounds the optimum from below.
-        if worth <= 1.0 + tolerance:
+        total = float(uses.sum())
+        bound = max(bound, total / max(worth, 1.0))
+        if total <= bound * (1.0 + tolerance) or math.ceil(total) <= math.ceil(bound):
             break
-        direction = inverse @ pattern
+        held = np.flatnonzero(pattern)
+        direction = (inverse[:, held] * pattern[held]).sum(axis=1)
         steps_left = np.where(direction > 1e-9, uses / np.where(direction > 1e-9, direction, 1.0), np.inf)
         leaving = int(steps_left.argmin())
         amount = steps_left[leaving]
@@ -71,9 +78,11 @@ def _generate(sizes: np.ndarray, demand: np.ndarray, capacity: int, tolerance: f
         row = inverse[leaving] / direction[leaving]
         inverse = inverse - np.outer(direction, row)
         inverse[leaving] = row
-        if step % 200 == 199:  # against rounding errors
-            inverse = np.linalg.inv(patterns)
-            uses = inverse @ demand
+        if step % 200 == 199:
+            missed = np.abs((patterns * uses).sum(axis=1) - uneven).max()
+            if missed > 1e-6 * uneven.max():  # rounding errors have added up
+                inverse = np.linalg.inv(patterns)
+                uses = (inverse * uneven).sum(axis=1)
     return patterns, np.maximum(uses, 0.0)
 
 
