@@ -49,18 +49,25 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, staged_bytes: int) -> Iterator[int]:
-    """Enough shuffle partitions for the staged data; the caller's setting comes back."""
-    name = "spark.sql.shuffle.partitions"
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A session setting for the jobs run meanwhile; the caller's comes back."""
     before = spark.conf.get(name)
-    count = max(int(before), -(-staged_bytes // _PARTITION_BYTES))
-    spark.conf.set(name, str(count))
+    spark.conf.set(name, str(value))
     try:
-        yield count
+        yield
     finally:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, staged_bytes: int) -> Iterator[int]:
+    """Enough shuffle partitions for the staged data."""
+    name = "spark.sql.shuffle.partitions"
+    count = max(int(spark.conf.get(name)), -(-staged_bytes // _PARTITION_BYTES))
+    with setting(spark, name, count):
+        yield count
+
+
 def side_by_side(
     spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item]
 ) -> list[Result]:

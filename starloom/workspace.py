@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 from starloom import files
@@ -26,8 +25,9 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     What is written there lasts until :func:`clear` or the end of the program.
     """
-    if not _watched:
-        _watched.append(atexit.register(_clear_at_exit))
+    if spark.sparkContext.applicationId not in _sessions:
+        _sessions[spark.sparkContext.applicationId] = spark
+        atexit.register(_clear_at_exit, spark)
     return f"{_own(spark)}/{label}-{uuid.uuid4().hex}"
 
 
@@ -43,10 +43,9 @@ def clear(spark: SparkSession) -> None:
     files.delete(spark, _own(spark))
 
 
-_watched: list = []
+_sessions: dict[str, SparkSession] = {}
 
 
-def _clear_at_exit() -> None:
-    session = SparkSession.getActiveSession()
-    if session is not None and SparkContext._active_spark_context is not None:
-        clear(session)
+def _clear_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped before
+        clear(spark)
