@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starloom import workspace
+from starloom import session, workspace
 from starloom.functions import numeric, temporal, text
 from starloom.jobs import ingest, load, publish
 from starloom.operators import constraints, keys, quality
@@ -400,7 +400,17 @@ def reload_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer.read(DIM_CUSTOMERS.table, DIM_CUSTOMERS.schema).drop("created_at")
 
 
-QUERIES: dict[str, Query] = {
+def _strict(query: Query) -> Query:
+    """The query whatever the session's own settings for casts and time."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with session.strict(spark):
+            return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "revenue_by_month_category": revenue_by_month_category,
     "dim_customers": _dimension(
         DIM_CUSTOMERS, lambda spark, d: {CUSTOMERS.table: samples.customers(spark, d)}
@@ -441,3 +451,5 @@ QUERIES: dict[str, Query] = {
     "full_load": full_load,
     "reload_dim_customers": reload_dim_customers,
 }
+
+QUERIES: dict[str, Query] = {name: _strict(query) for name, query in _QUERIES.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -59,6 +59,15 @@ def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def strict(spark: SparkSession) -> Iterator[None]:
+    """Casts that fail on bad text and zone-free time for the plans made meanwhile."""
+    with ExitStack() as settings:
+        for name in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone"):
+            settings.enter_context(setting(spark, name, SETTINGS[name]))
+        yield
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, staged_bytes: int) -> Iterator[int]:
     """Enough shuffle partitions for the staged data."""
