@@ -24,7 +24,7 @@ _MOST = COUNTS[0]
 _U = np.uint64
 
 
-def _selectors(padded: np.ndarray, large: np.ndarray) -> np.ndarray:
+def _selectors(padded: np.ndarray, large: np.ndarray, blocks: int) -> np.ndarray:
     """For every place, the selector that packs most values from there on.
 
     A window that fits a narrow selector fits every wider one, so each narrower selector is
@@ -39,12 +39,17 @@ def _selectors(padded: np.ndarray, large: np.ndarray) -> np.ndarray:
         if most < 1 << width:
             best[:places] = selector
             continue
-        misfits = np.zeros(len(padded) + 1, dtype=np.int32)
-        np.cumsum(padded >= _U(1 << width), out=misfits[1:])
-        fits = misfits[count : count + places] == misfits[:places]
-        if not fits.any():
+        fits = padded < _U(1 << width)
+        span = 1
+        while 2 * span <= count:  # all of 2, of 4, ... neighbours fit
+            fits = fits[:-span] & fits[span:]
+            span *= 2
+        if span < count:
+            fits = fits[: span - count] & fits[count - span :]
+        best[:places][fits[:places]] = selector
+        # The zeros behind the blocks always fit; little else is left to gain.
+        if np.count_nonzero(fits) < blocks * 2 * _MOST:
             break
-        best[:places][fits] = selector
     return best
 
 
@@ -59,7 +64,7 @@ def encode(values: np.ndarray) -> bytes:
     if full < blocks:
         whole[full, : len(values) - full * BLOCK] = values[full * BLOCK :]
     large = padded >= _U(1 << 60)
-    best = _selectors(padded, large)
+    best = _selectors(padded, large, blocks)
     steps = np.array([1, *COUNTS])
     sizes = np.full(blocks, BLOCK)
     if full < blocks:
