@@ -35,8 +35,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom import workspace
+from starloom.llm import resident
 from starloom.llm.components import connected
-from starloom.llm.texts import ASCII_LOWER, NOT_BLANK, U64, Hasher, Texts, mix, runs, slices, windows
+from starloom.llm.texts import ASCII_LOWER, NOT_BLANK, U64, Hasher, Texts, mix, runs, slices, small_batches, windows
 
 #: Words of a shingle and the least similarity, unless a caller asks for others.
 WORDS = 5
@@ -122,6 +123,7 @@ def frequency_sketch(documents: DataFrame, words: int) -> np.ndarray:
     """How many documents hold a shingle, summed over those that share a counter."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.release()
         total = np.zeros(SKETCH, dtype=np.int32)  # documents of one task
         for batch in slices(batches, "text", _SLICE_BYTES):
             _, value = shingles(Texts(batch.column("text")), words)
@@ -165,6 +167,7 @@ def signatures(documents: DataFrame, shared: Broadcast, words: int, percent: int
     prefix in the order of the sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.release()
         ranks = shared.value
         for batch in slices(batches, "text", _SLICE_BYTES):
             texts = Texts(batch.column("text"))
@@ -269,6 +272,7 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words:
     texts = slotted.mapInArrow(needed, "rep long, text string").join(wanted, "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.release()
         for batch in slices(batches, "text", _SLICE_BYTES):
             texts = Texts(batch.column("text"))
             rows, value = shingles(texts, words)
@@ -398,6 +402,11 @@ def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots:
 
 def joined(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+    with small_batches(documents.sparkSession):
+        return _joined(documents, words, percent)
+
+
+def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
     spark = documents.sparkSession
 
     def written(df: DataFrame, label: str) -> DataFrame:

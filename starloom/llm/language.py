@@ -17,12 +17,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starloom.llm import resident
 from starloom.llm.texts import Texts, slices
 
 UNDETERMINED = "und"
@@ -232,12 +232,6 @@ def without_foreign_lines(samples: dict[str, bytes]) -> dict[str, bytes]:
     return {lang: b"\n".join(kept[lang]) or samples[lang] for lang in samples}
 
 
-@lru_cache(maxsize=1)
-def _identifier(samples: tuple[tuple[str, bytes], ...]) -> Identifier:
-    """Kept between the tasks of a Python worker."""
-    return Identifier(dict(samples))
-
-
 def identify(documents: DataFrame, samples: dict[str, bytes] | None = None) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every document; other columns pass through."""
     spark = documents.sparkSession
@@ -246,7 +240,7 @@ def identify(documents: DataFrame, samples: dict[str, bytes] | None = None) -> D
     shared = spark.sparkContext.broadcast(tuple(sorted(samples.items())))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identifier = _identifier(shared.value)
+        identifier = resident.keep(("language", shared.value), lambda: Identifier(dict(shared.value)))
         for batch in slices(batches, "text"):
             names, score = identifier.predict(batch.column("text"))
             arrays = [*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())]

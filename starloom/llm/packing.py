@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom import workspace
 from starloom.llm import cutting_stock
-from starloom.llm.texts import slices
+from starloom.llm.texts import slices, small_batches
 from starloom.llm.tokenizing import SLICE_BYTES, TokenizerFile, encoder, with_end
 
 CAPACITY = 4096
@@ -156,7 +156,8 @@ def packed(documents: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
     spark = documents.sparkSession
     folder = workspace.scratch(spark, "pack-pieces")
     # Texts are tokenized once; the plan and the ranks both read the written pieces.
-    token_pieces(documents, tokenizer).write.parquet(folder)
+    with small_batches(spark):
+        token_pieces(documents, tokenizer).write.parquet(folder)
     return pack(spark.read.parquet(folder))
 
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.llm import resident
 from starloom.llm.texts import NOT_BLANK, Hasher, Texts, byte_table, runs, slices, windows
 
 SYMBOLS = b"#*$%&|<>"
@@ -148,6 +149,7 @@ def quality_report(documents: DataFrame, bands: Bands | None = None) -> DataFram
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.release()
         compressor = Compressor(bands)
         for batch in slices(batches, "text"):
             texts = Texts(batch.column("text"))

@@ -7,12 +7,17 @@ words is array work over the slice's UTF-8 bytes, so no Python object exists per
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+from starloom import session
 
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = 2_000
 
 # Fixed: the six ASCII blanks that end a word.
 BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
@@ -34,6 +39,11 @@ ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """For jobs run meanwhile: Arrow batches of whole texts that take a few megabytes."""
+    return session.setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 class Texts:
     """The texts of some rows as one byte array with row bounds; null counts as empty."""
 
@@ -96,13 +106,14 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
+_POWER_STEP = 1 << 18
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def _powers_of(size: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse; the longest run asked for is kept."""
     if len(_powers[0]) < size:
-        length = 1 << (size - 1).bit_length()
+        length = -(-size // _POWER_STEP) * _POWER_STEP
         with np.errstate(over="ignore"):
             for k, factor in enumerate((_BASE, _INVERSE)):
                 power = np.full(length, factor, dtype=np.uint64)

@@ -7,12 +7,12 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.llm import resident
 from starloom.llm.texts import Texts, slices
 from starloom.llm.tokenizing import TokenizerFile
 from starloom.llm.transducers import TokenCounter
@@ -20,19 +20,13 @@ from starloom.llm.transducers import TokenCounter
 LIMIT = 512
 
 
-@lru_cache(maxsize=1)
-def _counter(definition: str) -> TokenCounter:
-    """Kept between the tasks of a Python worker."""
-    return TokenCounter(definition)
-
-
 def token_report(documents: DataFrame, tokenizer: TokenizerFile, limit: int = LIMIT) -> DataFrame:
     """Per document: ``doc_id``, ``n_bytes``, ``n_tokens``, ``over_limit``."""
     # The vocabulary file: fixed in size whatever the data.
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer.definition)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(shared.value)
+        counter = resident.keep(("counter", shared.value), lambda: TokenCounter(shared.value))
         for batch in slices(batches, "text"):
             texts = Texts(batch.column("text"))
             tokens = counter.count(texts.column.to_pylist())

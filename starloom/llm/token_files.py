@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from starloom.llm import simple8b
-from starloom.llm.texts import slices
+from starloom.llm.texts import slices, small_batches
 from starloom.llm.tokenizing import SLICE_BYTES, TokenizerFile, encoder, with_end
 
 END_ID = 0
@@ -55,7 +55,8 @@ def write(documents: DataFrame, tokenizer: TokenizerFile, folder: str, end_id: i
     # The text's hash parts rows that share an id and fixes their order.
     order = ["doc_id", F.xxhash64("text")]
     dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    dealt.mapInArrow(blocks, _BLOCKS).write.parquet(folder)
+    with small_batches(documents.sparkSession):
+        dealt.mapInArrow(blocks, _BLOCKS).write.parquet(folder)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

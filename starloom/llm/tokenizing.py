@@ -13,19 +13,19 @@ import os
 from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from starloom.llm import resident
 from starloom.llm.texts import ASCII_LOWER, Texts
 
 #: Text bytes that are encoded at a time: repeated pieces are found across them.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Pieces in each of a cache's two generations; one not seen for a generation is forgotten.
-CACHED_PIECES = 500_000
+CACHED_PIECES = 300_000
 _LONGEST_CACHED = 64
 _STOPS = (",", ".")
 
@@ -119,12 +119,6 @@ def _parts(piece: str) -> list[str]:
     return parts
 
 
-def _spread(lengths: np.ndarray) -> np.ndarray:
-    """0, 1, 2, ... within each of the runs of these lengths."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
-
-
 def _lowered(column: pa.Array) -> pa.Array:
     """ASCII letters in lower case; all other bytes as they are."""
     texts = Texts(column)
@@ -171,9 +165,9 @@ class PieceEncoder:
             strange[begins] = False
             whole = np.flatnonzero(np.logical_or.reduceat(strange, begins))
             first, place = np.unique(codes[begins], return_inverse=True)
-            later = np.zeros(len(odd), dtype=bool)
-            later[np.delete(codes, begins)] = True
-            later = np.flatnonzero(later & ~odd)
+            inner = np.ones(len(codes), dtype=bool)
+            inner[begins] = False
+            later = np.flatnonzero((np.bincount(codes[inner], minlength=len(odd)) > 0) & ~odd)
             values = self._pieces.look_up(coded.dictionary.take(pa.array(later)).to_pylist())
             position = np.zeros(len(odd), dtype=np.int64)
             position[later] = np.arange(len(later))
@@ -202,9 +196,11 @@ class PieceEncoder:
         table = np.frombuffer(b"".join(values), dtype="<u4")
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
-        ids = table[np.repeat(starts[codes], lengths) + _spread(lengths)]
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        return ids, ends[bounds]
+        # A piece's ids lie together in the table: its place there, less its place here.
+        place = np.repeat(starts[codes] - ends[:-1], lengths)
+        place += np.arange(len(place))
+        return table[place], ends[bounds]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +213,5 @@ def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarr
     return out, ended
 
 
-@lru_cache(maxsize=2)
 def encoder(definition: str) -> PieceEncoder:
-    """Kept between the tasks of a Python worker."""
-    return PieceEncoder(definition)
+    return resident.keep(("encoder", definition), lambda: PieceEncoder(definition))
