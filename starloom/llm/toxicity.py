@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.llm import resident
 from starloom.llm.language import held_out
 from starloom.llm.texts import ASCII_LOWER, Hasher, Texts, byte_table, runs, slices, windows
 
@@ -30,9 +31,9 @@ from starloom.llm.texts import ASCII_LOWER, Hasher, Texts, byte_table, runs, sli
 _WORD = byte_table(bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 _STEMS = (4, 5, 6)
 
-SAMPLE_TOXIC = 2_000
-SAMPLE_CLEAN = 4_000
-SAMPLE_CHARS = 5_000
+SAMPLE_TOXIC = 1_500
+SAMPLE_CLEAN = 2_500
+SAMPLE_CHARS = 4_000
 FEATURES = 4_096
 LEXICON_VOTERS = 48
 # Log-likelihood ratios from which a word enters a lexicon and the classifier.
@@ -159,7 +160,7 @@ def _all_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         r, h = r[order], h[order]
         same = (r[1:] == r[:-1]) & (h[1:] == h[:-1])
         first = np.flatnonzero(np.concatenate(([True], ~same))) if len(r) else np.zeros(0, np.int64)
-        rows.append(r[first] + done)
+        rows.append((r[first] + done).astype(np.int32))
         hashes.append(h[first])
         again.append(np.concatenate((same, [False]))[first] if len(r) else np.zeros(0, bool))
         done += piece.num_rows
@@ -251,6 +252,8 @@ def train(column: pa.Array, toxic: np.ndarray) -> Classifier:
     share = bad / documents
     rows, hashes, again, pairs = _all_features(column)
     vocabulary, index = np.unique(hashes, return_inverse=True)
+    index = index.astype(np.int32)
+    del hashes
     size = len(vocabulary)
     # Entry k: the feature occurs; entry size + k: it occurs again.
     row = np.concatenate((rows, rows[again]))
@@ -320,7 +323,10 @@ def training_sample(documents: DataFrame, labels: DataFrame) -> pa.Table:
 def fit(documents: DataFrame, labels: DataFrame) -> Classifier:
     sample = training_sample(documents, labels)
     toxic = sample.column("_toxic").to_numpy() == 1
-    return train(sample.column("text").combine_chunks(), toxic)
+    classifier = train(sample.column("text").combine_chunks(), toxic)
+    del sample
+    resident.trim()
+    return classifier
 
 
 def score(documents: DataFrame, classifier: Classifier) -> DataFrame:
@@ -329,6 +335,7 @@ def score(documents: DataFrame, classifier: Classifier) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.release()
         for batch in slices(batches, "text"):
             scores = shared.value.scores(Texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
