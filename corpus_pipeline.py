@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom import workspace
 from starloom.llm import jaccard, language, mixing, packing, toxicity
+from starloom.llm.texts import BATCH_ROWS
 from starloom.llm.tokenizing import TokenizerFile
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,12 +40,25 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, TokenizerFile.read(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def _in_small_batches(stage: Stage) -> Stage:
+    """The stage in a session that sends Python workers a few megabytes of text at a time.
+
+    The setting stays: it is read when the caller writes what the stage returns.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", known_language),
-    ("toxicity", not_toxic),
-    ("jaccard_join", one_of_each),
-    ("mixing", mixed),
-    ("packing", packed),
+    ("language_id", _in_small_batches(known_language)),
+    ("toxicity", _in_small_batches(not_toxic)),
+    ("jaccard_join", _in_small_batches(one_of_each)),
+    ("mixing", _in_small_batches(mixed)),
+    ("packing", _in_small_batches(packed)),
 ]
 
 # Language models, trained classifiers and tokenizers have no SQL form.

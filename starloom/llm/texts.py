@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from starloom import session
 
 SLICE_BYTES = 2 << 20
-BATCH_ROWS = 2_000
+BATCH_ROWS = 1_000
 
 # Fixed: the six ASCII blanks that end a word.
 BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
