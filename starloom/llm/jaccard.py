@@ -269,7 +269,8 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words:
             yield batch.filter(pa.array((bits.value[slot >> 3] >> (7 - (slot & 7))) & 1 == 1)).select(["rep", "text"])
 
     slotted = slim.where(F.col("rep").isNotNull()).withColumn("slot", _slot(F.col("rep")))
-    texts = slotted.mapInArrow(needed, "rep long, text string").join(wanted, "rep")
+    # A shuffle between the two Python steps: run in one stage, a task would hold two workers.
+    texts = slotted.mapInArrow(needed, "rep long, text string").join(wanted.hint("merge"), "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident.release()
