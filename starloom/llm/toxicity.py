@@ -11,7 +11,7 @@ sample of labelled documents outside the held-out fold.
 
 Defined results: a null or empty text gets the classifier's intercept; a null ``doc_id``
 is neither held out nor learned from; without toxic or without clean examples every
-document scores 0; extra columns are not read.
+document scores 0, with both there is always a classifier; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,9 +36,16 @@ SAMPLE_CLEAN = 2_500
 SAMPLE_CHARS = 4_000
 FEATURES = 4_096
 LEXICON_VOTERS = 48
-# Log-likelihood ratios from which a word enters a lexicon and the classifier.
-MARKED = 25.0
-TELLING = 20.0
+# Documents with lexicon words that there have to be for each voter.
+VOTER_DOCUMENTS = 5
+# Documents of each class that the labels' orientation of the voters counts for.
+ORIENTED = 10.0
+FULL_PENALTY = 400
+# Words enter a lexicon and the classifier down to the rank at which shuffled labels would
+# mark this share of their number, or so many words.
+CHANCE = 0.2
+CHANCE_WORDS = 2
+SHUFFLES = 10
 # Share of a lexicon word's documents that have to be toxic.
 SURE = 0.8
 STEM_WORDS = 4
@@ -89,8 +96,12 @@ def pattern_votes(texts: Texts) -> np.ndarray:
     return votes
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fit voter accuracies and correlations; no label is looked at.
+def label_model(
+    votes: np.ndarray, prior: float, rounds: int = 30, oriented: np.ndarray | float = 0.0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fit voter accuracies and correlations; no label is looked at, except through
+    ``oriented``, counts [class, voter, vote] of documents to begin each round with. They
+    hold a model on few documents to its side and are outweighed in a large one.
 
     EM on a two-class model in which voter ``j`` says toxic, clean or nothing with
     probabilities of its own per class. After each round, the correlation of the voters'
@@ -105,9 +116,10 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
     posterior = np.where(signal > 0, 0.9, prior / 2)
     weight = np.ones(voters)
     table = np.zeros((2, voters, 3))
+    oriented = np.broadcast_to(oriented, table.shape)
     for _ in range(rounds):
         for k, share in enumerate((1 - posterior, posterior)):
-            counts = np.einsum("d,dvs->vs", share, says) + 0.5
+            counts = np.einsum("d,dvs->vs", share, says) + oriented[k] + 0.5
             table[k] = np.log(counts / counts.sum(1, keepdims=True))
         centred = votes - np.stack(
             [np.exp(table[1]) @ [-1, 0, 1], np.exp(table[0]) @ [-1, 0, 1]]
@@ -168,17 +180,24 @@ def _all_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return np.concatenate(rows), np.concatenate(hashes), np.concatenate(again), pairs
 
 
-def _one_sided_stems(pairs: np.ndarray, vocabulary: np.ndarray, one_sided: np.ndarray) -> np.ndarray:
-    """Which entries of the vocabulary are words, or stems of several words most of which are
-    one-sided themselves. The beginning of a single marked word says no more than the word,
-    but would incriminate harmless words that start alike."""
-    stem, at = np.unique(pairs[0], return_inverse=True)
-    words = np.bincount(at, minlength=len(stem))
-    marked = np.bincount(at, weights=one_sided[np.searchsorted(vocabulary, pairs[1])], minlength=len(stem))
-    good = (marked >= STEM_WORDS) & (marked >= 0.7 * words)
-    usable = np.ones(len(vocabulary), dtype=bool)
-    usable[np.searchsorted(vocabulary, stem[~good])] = False
-    return usable
+class _Stems:
+    """The stems of a vocabulary and their words, as indices into it."""
+
+    def __init__(self, pairs: np.ndarray, vocabulary: np.ndarray):
+        stem, self._at = np.unique(pairs[0], return_inverse=True)
+        self._stem = np.searchsorted(vocabulary, stem)
+        self._word = np.searchsorted(vocabulary, pairs[1])
+        self._words = np.bincount(self._at, minlength=len(stem))
+
+    def usable(self, one_sided: np.ndarray) -> np.ndarray:
+        """Which entries of the vocabulary are words, or stems of several words most of which
+        are one-sided themselves. The beginning of a single marked word says no more than the
+        word, but would incriminate harmless words that start alike."""
+        marked = np.bincount(self._at, weights=one_sided[self._word], minlength=len(self._words))
+        good = (marked >= STEM_WORDS) & (marked >= 0.7 * self._words)
+        usable = np.ones(len(one_sided), dtype=bool)
+        usable[self._stem[~good]] = False
+        return usable
 
 
 def _matrix(rows: np.ndarray, index: np.ndarray, chosen: np.ndarray, documents: int, size: int) -> np.ndarray:
@@ -192,18 +211,30 @@ def _matrix(rows: np.ndarray, index: np.ndarray, chosen: np.ndarray, documents:
 
 
 def _logistic(matrix: np.ndarray, target: np.ndarray, penalty: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft targets by accelerated gradient descent."""
-    documents = len(target)
-    rate = 4.0 / (np.mean(np.square(matrix).sum(1)) + 1.0)
+    """Logistic regression on soft targets by accelerated gradient descent. Below
+    ``FULL_PENALTY`` documents the penalty shrinks with their number, since it would outweigh
+    words that only a few documents can have."""
+    penalty *= min(1.0, len(target) / FULL_PENALTY)
     weights = np.zeros(matrix.shape[1], dtype=np.float32)
     intercept = float(np.log((target.mean() + 1e-6) / (1 - target.mean() + 1e-6)))
-    momentum, drift = np.zeros_like(weights), 0.0
-    for _ in range(steps):
-        ahead, base = weights + 0.9 * momentum, intercept + 0.9 * drift
+    # The step follows from the steepest direction, as power iteration finds it; columns that
+    # occur together, as in small samples, would overshoot with any longer one.
+    way, offset, steepest = np.ones_like(weights), 1.0, 0.0
+    for _ in range(20):
+        size = np.sqrt(np.square(way, dtype=np.float64).sum() + offset**2)
+        way, offset = (way / size).astype(np.float32), offset / size
+        seen = matrix @ way + np.float32(offset)
+        steepest = float(np.square(seen, dtype=np.float64).sum())
+        way, offset = matrix.T @ seen, float(seen.sum())
+    rate = 1.0 / (0.25 * 1.1 * steepest + penalty)
+    last, last_intercept = weights, intercept
+    for step in range(steps):
+        swing = step / (step + 3)
+        ahead, base = weights + swing * (weights - last), intercept + swing * (intercept - last_intercept)
         error = 1.0 / (1.0 + np.exp(-np.clip(matrix @ ahead + base, -30, 30))) - target
-        momentum = 0.9 * momentum - rate * (matrix.T @ error.astype(np.float32) + penalty * ahead) / documents * 8
-        drift = 0.9 * drift - rate * error.mean() * 8
-        weights, intercept = weights + momentum, intercept + drift
+        last, last_intercept = weights, intercept
+        weights = (ahead - rate * (matrix.T @ error.astype(np.float32) + penalty * ahead)).astype(np.float32)
+        intercept = base - rate * error.sum()
     return weights.astype(np.float64), float(intercept)
 
 
@@ -240,11 +271,34 @@ def _surprise(inside: np.ndarray, total: np.ndarray, share: float) -> np.ndarray
     return 2 * (part(inside, total * share) + part(total - inside, total * (1 - share)))
 
 
+def _best(value: np.ndarray, shuffled: Iterator[np.ndarray], most: int) -> np.ndarray:
+    """The entries of highest positive value, best first: down to the lowest value at which
+    shuffled labels give at most ``CHANCE`` as many entries and ``CHANCE_WORDS`` at most. Where
+    no value is beyond chance the best one counts, so something is always found if anything
+    is positive.
+
+    The limit follows from the sample itself: a small one needs less evidence for a word,
+    since it has fewer words to be deceived by.
+    """
+    order = np.argsort(-value, kind="stable")[: int((value > 0).sum())]
+    if not len(order):
+        return order
+    found = np.searchsorted(-value[order], -value[order[:most]], side="right")
+    levels = value[order[:most]]
+    chance = np.sort(np.concatenate([by[by >= levels[-1]] for by in shuffled]))
+    by_chance = (len(chance) - np.searchsorted(chance, levels, side="left")) / SHUFFLES
+    beyond = np.flatnonzero(by_chance <= np.minimum(CHANCE * found, CHANCE_WORDS))
+    return order[: found[beyond[-1] if len(beyond) else 0]][:most]
+
+
 def train(column: pa.Array, toxic: np.ndarray) -> Classifier:
     """Voters, label model and classifier from a labelled sample."""
     toxic = np.asarray(toxic, dtype=bool)
     if len(toxic):
-        first = _first_of_copies(column)
+        # Class by class, so that no class is lost to copies in the other.
+        first = np.zeros(len(toxic), dtype=bool)
+        for k in (np.flatnonzero(toxic), np.flatnonzero(~toxic)):
+            first[k] = _first_of_copies(column.take(pa.array(k))) if len(k) else True
         column, toxic = column.filter(pa.array(first)), toxic[first]
     documents, bad = len(toxic), int(toxic.sum())
     if bad == 0 or bad == documents:
@@ -259,18 +313,25 @@ def train(column: pa.Array, toxic: np.ndarray) -> Classifier:
     row = np.concatenate((rows, rows[again]))
     entry = np.concatenate((index, index[again] + size))
     total = np.bincount(entry, minlength=2 * size)
-    inside = np.bincount(entry, weights=toxic[row], minlength=2 * size)
-    usable = np.tile(_one_sided_stems(pairs, vocabulary, (inside >= SURE * total)[:size]), 2)
+    stems = _Stems(pairs, vocabulary)
+    draw = np.random.default_rng(0)
+
+    def one_sidedness(toxic: np.ndarray, sure: float) -> tuple[np.ndarray, np.ndarray]:
+        inside = np.bincount(entry[toxic[row]], minlength=2 * size)
+        marked = (inside >= sure * total) & (inside > share * total)
+        usable = np.tile(stems.usable(marked[:size]), 2)
+        return np.where(usable & marked, _surprise(inside, total, share), 0.0), usable
 
     # Lexicons: marked words, the surest first, dealt out so that each voter gets words of
     # like strength; voters of one word each would be too sparse to be estimated.
-    surprise = np.where(usable & (inside >= SURE * total), _surprise(inside, total, share), 0.0)
-    strong = np.flatnonzero(surprise >= MARKED)
-    strong = strong[np.argsort(-surprise[strong], kind="stable")][: LEXICON_VOTERS * 8]
-    if not len(strong):
-        return NEVER
+    for sure in (SURE, 0.0):  # words that lean to one side count where none is sure
+        surprise, usable = one_sidedness(toxic, sure)
+        if surprise.any():
+            break
+    shuffled = (one_sidedness(draw.permutation(toxic), sure)[0] for _ in range(SHUFFLES))
+    strong = _best(surprise, shuffled, LEXICON_VOTERS * 8)
     marks = _matrix(row, entry, strong, documents, 2 * size)
-    voters = min(LEXICON_VOTERS, len(strong))
+    voters = max(1, min(LEXICON_VOTERS, len(strong), int(marks.any(axis=1).sum()) // VOTER_DOCUMENTS))
     fired = np.stack([marks[:, k::voters].any(axis=1) for k in range(voters)], axis=1)
     votes = np.concatenate(
         (
@@ -280,13 +341,19 @@ def train(column: pa.Array, toxic: np.ndarray) -> Classifier:
         ),
         axis=1,
     )
-    posterior, _, _ = label_model(votes, share)
+    oriented = np.stack(
+        [[(votes[of] == v).mean(axis=0) for v in (-1, 0, 1)] for of in (~toxic, toxic)]
+    ).transpose(0, 2, 1)
+    posterior, _, _ = label_model(votes, share, oriented=ORIENTED * oriented)
 
     # The classifier sees the features whose part in the posteriors is no chance.
-    soft = np.bincount(entry, weights=posterior[row], minlength=2 * size)
-    telling = np.where(usable, _surprise(soft, total, posterior.mean()), 0.0)
-    chosen = np.flatnonzero(telling >= TELLING)
-    chosen = chosen[np.argsort(-telling[chosen], kind="stable")][:FEATURES]
+    def telling(posterior: np.ndarray) -> np.ndarray:
+        soft = np.bincount(entry, weights=posterior[row], minlength=2 * size)
+        return np.where(usable, _surprise(soft, total, posterior.mean()), 0.0)
+
+    shuffled = (telling(draw.permutation(posterior)) for _ in range(SHUFFLES))
+    chosen = _best(telling(posterior), shuffled, FEATURES)
+    chosen = np.concatenate((strong, chosen[~np.isin(chosen, strong)]))[:FEATURES]
     weights, intercept = _logistic(_matrix(row, entry, chosen, documents, 2 * size), posterior)
     kept = np.unique(chosen % size)
     both = np.zeros(2 * size)

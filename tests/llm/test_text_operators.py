@@ -169,6 +169,34 @@ def test_toxicity_of_odd_rows(spark, odd, empty, labels):
     assert toxicity.toxicity_report(odd, with_nulls).count() == odd.count()
 
 
+def test_few_labels_make_a_classifier(documents, labels):
+    """Ten toxic examples: every labelled document with a word of three toxic and no clean one."""
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    words = {i: set(re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())) for i, t in texts.items()}
+    learned = [i for i in truth if i in words and zlib.crc32(str(i).encode()) % 5]
+    toxic, clean = (Counter(w for i in learned if truth[i] == y for w in words[i]) for y in (1, 0))
+    marked = {w for w, n in toxic.items() if n >= 3 and not clean[w]}
+    sure = {i for i in words if truth.get(i) and words[i] & marked}
+    rows = toxicity.toxicity_report(documents, labels).collect()
+    found = {r["doc_id"] for r in rows if r["predicted"]}
+    assert sure and sure <= found
+    assert not any(truth.get(i) == 0 for i in found)
+    kept = {r["doc_id"] for r in toxicity.without_toxic(documents, labels).collect()}
+    assert kept == set(texts) - found
+
+
+@pytest.mark.parametrize("bad", [1, 3, 20])
+def test_both_classes_always_make_a_classifier(bad):
+    texts = [f"the usual words of number {i}" for i in range(40)] + [f"the scoundrel of case x{i}" for i in range(bad)]
+    model = toxicity.train(pa.array(texts), np.arange(len(texts)) >= 40)
+    plain, rude = model.scores(Texts(pa.array(["the usual words of another", "the scoundrel of case x0"])))
+    assert 0 < plain < 0.5 and rude > plain
+    # Copies of a clean text do not take the class away.
+    same = toxicity.train(pa.array([*texts[:40], texts[0]]), np.arange(41) == 40)
+    assert np.isfinite(same.intercept)
+
+
 def test_label_model_discounts_repeated_votes():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.3
