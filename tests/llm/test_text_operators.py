@@ -474,3 +474,38 @@ def test_bands_reject_repetition_and_noise(spark):
 def test_clean_documents_are_kept(documents, labels):
     judged = quality.quality_report(documents).where("not base_failed").join(labels, "doc_id")
     assert judged.where("quality = 1 and not kept").count() == 0
+
+
+def test_bad_documents_beyond_the_good_are_rejected(spark, documents, labels):
+    """Against brute force: what compresses better than every good text up to a third longer."""
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    frame = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    rows = quality.quality_report(frame).join(marks, "doc_id").join(frame.select("doc_id", "text"), "doc_id").collect()
+    rows = [(len(t), len(t) / len(compress(t)), r) for r in rows if not r["base_failed"] for t in [r["text"].encode()]]
+    good = [(n, ratio) for n, ratio, r in rows if r["quality"] == 1]
+    beyond = [
+        r for n, ratio, r in rows if r["quality"] == 0 and n < 60_000
+        and ratio > 1.05 * max((x for m, x in good if n / 1.5 <= m <= 1.5 * n), default=9.0)
+    ]
+    assert beyond and not any(r["kept"] for r in beyond)
+    assert sum(r["kept"] for _, _, r in rows if r["quality"] == 0) <= 110
+    assert all(r["kept"] for _, _, r in rows if r["quality"] == 1)
+    counts = {r["quality"]: r for r in quality.kept_by_label(quality.quality_report(documents), labels).collect()}
+    for mark, row in counts.items():
+        assert row["documents"] == row["base_rejected"] + row["bands_rejected"] + row["kept"], mark
+    assert counts[1]["bands_rejected"] == 0
+
+
+def test_short_texts_are_judged_by_chunks(spark):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), size=rng.integers(2, 9))) for _ in range(900)]
+    prose = " ".join(rng.choice(words, size=220))
+    table = " ".join(f"row-{i:05d}-value" for i in range(40))
+    frame = spark.createDataFrame([(1, prose), (2, f"{prose} {table}")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in quality.quality_report(frame).collect()}
+    assert rows[1]["kept"] and rows[1]["chunks_outside"] == 0
+    assert not rows[2]["kept"] and rows[2]["chunks_outside"] > 0
+    assert len(f"{prose} {table}") < 4_096
