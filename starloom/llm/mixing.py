@@ -89,7 +89,7 @@ def shuffled(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     keyed = sizes.where(F.col("size") > 0).withColumn("_key", shuffle_key(F.col("doc_id")))
     numbered = keyed.withColumn("_slice", F.substring("_key", 1, 3)).join(
         targets, keyed["source"].eqNullSafe(targets["source"])
-    ).drop("source")
+    ).drop(targets["source"])
     totals = numbered.groupBy("source_no", "_slice").agg(F.sum("size").alias("_size"))
     earlier = Window.partitionBy("source_no").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -181,6 +181,11 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def mixed(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: ``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` words."""
+    return _taken(documents, block_words).drop("source")
+
+
+def _taken(documents: DataFrame, block_words: int) -> DataFrame:
+    """The rows of ``mixed`` with their ``source``."""
     spark = documents.sparkSession
     folder = workspace.scratch(spark, "mix-sizes")
     # The texts are read once; everything after works on these few bytes a document.
@@ -208,13 +213,13 @@ def mixed(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     # Within a source no two documents with words start at the same word.
     taken = (
         pieces.join(uses, ["source_no", "block"], "left")
-        .groupBy("source_no", "start", "doc_id", "size", "source_size", "target")
+        .groupBy("source_no", "start", "doc_id", "source", "size", "source_size", "target")
         .agg(F.sum(F.coalesce(overlap, F.lit(0))).cast("long").alias("taken"))
         .drop("source_no", "start")
     )
     empty = sizes.where(F.col("size") == 0)
     empty = empty.join(targets, empty["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken")
+        "doc_id", empty["source"], "size", "source_size", "target", F.lit(0).cast("long").alias("taken")
     )
     return taken.unionByName(empty)
 
@@ -223,16 +228,34 @@ def repeated(documents: DataFrame) -> DataFrame:
     """The mixture as documents: each as often as its taken words come to, to the nearest.
 
     Only the one document of a source at which its target ends is taken in part, so whole
-    documents differ from the targets by half a document at most. Rows that share an id are
-    repeated alike.
+    documents differ from the targets by half a document at most. Rows count one by one,
+    whatever ids they share: those alike in id, source and size lie together in the shuffled
+    run, so only where the target ends among them do they differ, by one copy.
     """
-    counts = mixed(documents).groupBy("doc_id").agg(
-        F.round(F.sum("taken") / F.greatest(F.lit(1), F.sum("size"))).cast("int").alias("_copies")
+    copies = F.round(F.col("taken") / F.greatest(F.lit(1), F.col("size"))).cast("int")
+    alike = (
+        _taken(documents, BLOCK_WORDS)
+        .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), copies.alias("_n"))
+        .groupBy("_id", "_source", "_size")
+        .agg(F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.sum("_n").alias("_all"), F.count("_n").alias("_rows"))
+        .where(F.col("_high") > 0)
     )
-    counts = counts.where(F.col("_copies") > 0).withColumnRenamed("doc_id", "_id")
+    folder = workspace.scratch(documents.sparkSession, "mix-copies")
+    alike.write.parquet(folder)
+    alike = documents.sparkSession.read.parquet(folder)
+    same_row = documents["doc_id"].eqNullSafe(F.col("_id")) & documents["source"].eqNullSafe(F.col("_source"))
+    words = word_count(documents["text"])
+    whole = documents.join(alike.where("_low = _high"), same_row & (words == F.col("_size"))).withColumn("_n", F.col("_low"))
+    # The groups at which targets end, one a source at most. Sizes are compared by difference,
+    # as a filter behind the join: words need counting only in documents of these ids.
+    ends = documents.join(F.broadcast(alike.where("_low < _high")), same_row & (words - F.col("_size") == 0))
+    place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text"))
+    more = F.col("_all") - F.col("_low") * F.col("_rows")
+    ends = ends.withColumn("_n", F.when(place <= more, F.col("_high")).otherwise(F.col("_low")))
     return (
-        documents.join(counts, documents["doc_id"].eqNullSafe(counts["_id"]))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        whole.unionByName(ends)
+        .where(F.col("_n") > 0)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
         .select(*documents.columns)
     )
 

@@ -323,6 +323,26 @@ def test_mixture_of_odd_rows(odd, empty):
     assert out.count() > 0
 
 
+@pytest.mark.parametrize("doc_id", [lambda k: None, lambda k: k % 3, lambda k: k])
+def test_copies_are_counted_per_row(spark, doc_id):
+    """Documents that share an id, or have none, meet the targets of their own sources."""
+    sources = {"a": 20, "b": 400, "c": 400}
+    rows = [(doc_id(k), f"{s} {k} " + " ".join(["w"] * (5 + k % 4)), s) for s, n in sources.items() for k in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = mixing.repeated(frame).collect()
+    words, copies = Counter(), Counter((r["source"], r["text"]) for r in out)
+    for r in out:
+        words[r["source"]] += len(r["text"].split())
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in sources}
+    left = sum(sizes.values()) - 3 * sizes["a"]  # source a stops at its cap
+    assert words["a"] == 3 * sizes["a"]
+    assert words["b"] == pytest.approx(left * 2 / 3, abs=5)
+    assert words["c"] == pytest.approx(left / 3, abs=5)
+    for source, n in sources.items():
+        seen = [copies[source, t] for _, t, x in rows if x == source]
+        assert len(seen) == n and max(seen) - min(seen) <= 1
+
+
 def test_capped_targets(spark):
     text = lambda n: " ".join(["w"] * n)
     rows = [(1, text(10), "a"), (2, text(200), "b"), (3, text(400), "c")]
