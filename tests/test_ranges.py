@@ -1,0 +1,58 @@
+import datetime
+
+from pyspark.sql import functions as F
+
+from starloom.operators import ranges
+
+
+def test_every_row_lies_between_its_bounds(spark):
+    df = spark.range(20_000).select(
+        (F.col("id") * 7919 % 10_007).cast("string").alias("a"), F.col("id").cast("int").alias("b")
+    )
+    found = ranges.sampled(df, ["a", "b"], 16)
+    assert found.count == 16
+    dealt = ranges.deal(df, found, ["a", "b"]).withColumn("p", F.spark_partition_id())
+    assert dealt.where(F.col("p") != F.col(ranges.RANGE)).isEmpty()
+    spans = dealt.groupBy(ranges.RANGE).agg(
+        F.min(F.struct("a", "b")).alias("low"), F.max(F.struct("a", "b")).alias("high"), F.count("*").alias("n")
+    )
+    rows = sorted(spans.collect(), key=lambda r: r[ranges.RANGE])
+    assert sum(r.n for r in rows) == 20_000
+    assert max(r.n for r in rows) < 2 * 20_000 / 16
+    for row in rows:
+        if row[ranges.RANGE]:
+            assert tuple(row.low) >= found.bounds[row[ranges.RANGE] - 1]
+        if row[ranges.RANGE] < 15:
+            assert tuple(row.high) < found.bounds[row[ranges.RANGE]]
+
+
+def test_same_order_as_spark_for_all_kinds_of_keys(spark):
+    rows = [
+        (None, None, None),
+        ("", b"", datetime.date(2020, 1, 1)),
+        ("a", b"\x7f", None),
+        ("a", b"\x80", datetime.date(1970, 1, 1)),
+        ("aé\U0001f642\"", b"\xff", datetime.date(1999, 12, 31)),
+        ("￿", None, datetime.date(2020, 1, 1)),
+    ]
+    df = spark.createDataFrame(rows, "s string, x binary, d date")
+    key = ["s", "x", "d"]
+    found = ranges.sampled(df, key, 6, per_range=1)
+    assert found.count == 6
+    numbered = df.select(*key, found.id_of([F.col(c) for c in key]).alias("id")).orderBy(*key).collect()
+    assert [r.id for r in numbered] == [0, 1, 2, 3, 4, 5]
+
+
+def test_few_rows_and_none_make_few_ranges(spark):
+    df = spark.range(10).select("id")
+    assert ranges.sampled(df, ["id"], 8).count == 1
+    assert ranges.deal(df, ranges.sampled(df, ["id"], 8), ["id"]).count() == 10
+    assert ranges.sampled(df.limit(0), ["id"], 8).count == 1
+
+
+def test_a_repeated_key_does_not_take_the_others_bounds(spark):
+    df = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    found = ranges.sampled(df, ["k"], 12)
+    sizes = ranges.deal(df, found, ["k"]).groupBy(ranges.RANGE).count().collect()
+    assert found.count >= 7
+    assert sorted(r["count"] for r in sizes)[-2] < 1_200
