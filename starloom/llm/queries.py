@@ -20,6 +20,7 @@ from starloom.llm import (
     token_counts,
     token_files,
     toxicity,
+    url_filters,
 )
 from starloom.llm.tokenizing import TokenizerFile
 
@@ -76,6 +77,10 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
 
+def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judged(_table(spark, folder, "pages"), url_filters.rule_table(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_jaccard_join": op2_jaccard_join,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_examples": op9_chat_examples,
     "op10_mix_sources": op10_mix_sources,
+    "op12_url_filters": op12_url_filters,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -94,4 +100,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_duplicates": oracle.EMBEDDINGS,
     "op9_chat_examples": chat.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op12_url_filters": url_filters.SQL,
 }
