@@ -17,6 +17,7 @@ from starloom.llm import (
     oracle,
     packing,
     quality,
+    spelling,
     token_counts,
     token_files,
     toxicity,
@@ -81,6 +82,10 @@ def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judged(_table(spark, folder, "pages"), url_filters.rule_table(spark))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_jaccard_join": op2_jaccard_join,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op9_chat_examples": op9_chat_examples,
     "op10_mix_sources": op10_mix_sources,
     "op12_url_filters": op12_url_filters,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -101,4 +107,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_chat_examples": chat.SQL,
     "op10_mix_sources": mixing.SQL,
     "op12_url_filters": url_filters.SQL,
+    "op13_spelling_variants": spelling.SQL,
 }
