@@ -13,6 +13,7 @@ from starloom.llm import (
     embeddings,
     jaccard,
     language,
+    lexical_search,
     mixing,
     oracle,
     packing,
@@ -78,6 +79,10 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judged(_table(spark, folder, "pages"), url_filters.rule_table(spark))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_examples": op9_chat_examples,
     "op10_mix_sources": op10_mix_sources,
+    "op11_lexical_search": op11_lexical_search,
     "op12_url_filters": op12_url_filters,
     "op13_spelling_variants": op13_spelling_variants,
 }
@@ -106,6 +112,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_duplicates": oracle.EMBEDDINGS,
     "op9_chat_examples": chat.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op11_lexical_search": lexical_search.SQL,
     "op12_url_filters": url_filters.SQL,
     "op13_spelling_variants": spelling.SQL,
 }
