@@ -33,3 +33,8 @@ def money_sum(left: Column, right: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """Surrounding blanks are fine; a blank, ``1.0`` or ``1e3`` is not."""
     return text.cast(T.IntegerType())
+
+
+def whole_number_or_null(text: Column) -> Column:
+    """For looking at rows that may never be loaded; nothing fails."""
+    return text.try_cast(T.IntegerType())

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.operators.keys import OCCURRENCE
-from starloom.operators.quality import duplicate_groups
+from starloom.operators import rules
 from starloom.schemas import Target
 
-ROWS = "rows"
+ROWS = rules.ROWS
 
 
 class ConstraintError(ValueError):
@@ -19,29 +17,29 @@ class ConstraintError(ValueError):
 
 
 def _row_rules(target: Target) -> dict[str, Column]:
-    """Counts of rows that break a rule checkable on the row alone."""
-    rules = {
-        f"not_null({c})": F.count_if(F.col(c).isNull()) for c in target.not_null
-    }
+    """Rules checkable on the row alone, true where it breaks one."""
+    broken = {f"not_null({c})": F.col(c).isNull() for c in target.not_null}
     for column, limit in target.max_length.items():
-        too_long = F.length(F.rtrim(F.col(column))) > limit
-        rules[f"max_length({column})"] = F.count_if(too_long)
-    return rules
-
-
-def _unique_rule(target: Target) -> str:
-    return f"unique({', '.join(target.natural_key)})"
+        broken[f"max_length({column})"] = F.length(F.rtrim(F.col(column))) > limit
+    return broken
+
+
+def _key_rules(target: Target, row: Mapping[str, Column] | None = None) -> rules.Rules:
+    return rules.Rules(
+        target.table,
+        row=row or {},
+        unique={f"unique({', '.join(target.natural_key)})": target.natural_key},
+        primary={f"primary_key({target.key})": target.key},
+        references={
+            f"references({column})": (column, parent, column) for column, parent in target.references.items()
+        },
+    )
 
 
 def observed_rules(target: Target) -> list[Column]:
-    """The rules as metrics of the write itself, for rows in key order: no extra scan."""
-    rules = {
-        ROWS: F.count(F.lit(1)),
-        **_row_rules(target),
-        # The second row of a key marks one repeated key.
-        _unique_rule(target): F.count_if(F.col(OCCURRENCE) == 2),
-    }
-    return [rule.alias(name) for name, rule in rules.items()]
+    """The row rules as metrics of the write itself: no extra scan."""
+    counts = {name: F.count_if(broken) for name, broken in _row_rules(target).items()}
+    return [rule.alias(name) for name, rule in {ROWS: F.count(F.lit(1)), **counts}.items()]
 
 
 def enforce(target: Target, metrics: Mapping[str, int]) -> None:
@@ -68,58 +66,16 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
     )
 
 
-def primary_key_rule(df: DataFrame, target: Target) -> DataFrame:
-    """Keys that are missing or held by more than one row."""
-    bad = df.groupBy(target.key).agg(F.count(F.lit(1)).alias("cnt")).where(
-        (F.col("cnt") > 1) | F.col(target.key).isNull()
-    )
-    return bad.agg(F.count(F.lit(1)).alias("bad_rows")).select(
-        F.lit(f"primary_key({target.key})").alias("rule"), "bad_rows"
-    )
-
-
 def enforce_keys(tables: Mapping[str, DataFrame], targets: tuple[Target, ...]) -> None:
-    """Primary keys and references of written tables; only key columns are read."""
-    parts = []
-    for target in targets:
-        parts.append(_of_table(primary_key_rule(tables[target.table], target), target))
-        parts += _reference_rules(tables, target)
-    broken = [row for row in reduce(DataFrame.unionByName, parts).collect() if row["bad_rows"]]
+    """Unique keys, primary keys and references of written tables; only key columns are read."""
+    found = rules.measured(tables, [_key_rules(target) for target in targets]).collect()
+    broken = [row for row in sorted(found, key=lambda r: r["number"]) if row["measured"]]
     if broken:
-        listed = "\n".join(f"{r['table_name']} {r['rule']}: {r['bad_rows']:,} violations" for r in broken)
+        listed = "\n".join(f"{r['table_name']} {r['rule']}: {r['measured']:,} violations" for r in broken)
         raise ConstraintError(f"the written tables break their rules:\n{listed}")
 
 
-def _of_table(rules: DataFrame, target: Target) -> DataFrame:
-    return rules.select(F.lit(target.table).alias("table_name"), "rule", "bad_rows")
-
-
-def _reference_rules(tables: Mapping[str, DataFrame], target: Target) -> list[DataFrame]:
-    return [
-        _of_table(
-            orphan_rows(tables[target.table], column, tables[parent], column).select(
-                F.lit(f"references({column})").alias("rule"), F.col("orphan_rows").alias("bad_rows")
-            ),
-            target,
-        )
-        for column, parent in target.references.items()
-    ]
-
-
-def table_report(df: DataFrame, target: Target) -> DataFrame:
-    """Row rules in one aggregate, each key's uniqueness in another."""
-    rules = _row_rules(target)
-    counted = df.agg(*[rule.alias(name) for name, rule in rules.items()])
-    rows = counted.unpivot([], [F.col(f"`{name}`") for name in rules], "rule", "bad_rows")
-    unique = duplicate_groups(df, target.natural_key).agg(F.count(F.lit(1)).alias("bad_rows"))
-    unique = unique.select(F.lit(_unique_rule(target)).alias("rule"), "bad_rows")
-    return _of_table(rows.unionByName(unique).unionByName(primary_key_rule(df, target)), target)
-
-
 def constraint_report(tables: Mapping[str, DataFrame], targets: tuple[Target, ...]) -> DataFrame:
     """(table_name, rule, bad_rows) for every declared rule, references included."""
-    parts = []
-    for target in targets:
-        parts.append(table_report(tables[target.table], target))
-        parts += _reference_rules(tables, target)
-    return reduce(DataFrame.unionByName, parts)
+    every = rules.measured(tables, [_key_rules(target, _row_rules(target)) for target in targets])
+    return every.select("table_name", "rule", F.col("measured").alias("bad_rows"))

@@ -1,90 +1,62 @@
 """Dense surrogate keys 1..N in natural-key order, without a single-task sort.
 
-The rows are range-partitioned and sorted, and each gets its partition number and its
-place inside it from ``monotonically_increasing_id``. Written down, those positions are
-fixed; the partitions' start numbers are a running sum over one row per partition.
+The rows are dealt once to ranges of keys known beforehand. A range's rows are counted
+behind that shuffle, the ranges' first numbers are a running sum over one row a range, and
+the same shuffled rows are then numbered inside their range. Both belong to one query, which
+reads the shuffle twice and runs what lies before it once; nothing is written in between.
+A number follows from the bounds and the rows' keys alone, so a lost executor cannot change it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-POSITION = "_position"
-OCCURRENCE = "_occurrence"
+from starloom.operators import ranges
+from starloom.operators.ranges import RANGE, Ranges
 
-# Layout of monotonically_increasing_id: partition number above, row number in 33 bits.
-_ROW_BITS = 33
-_ROW_MASK = (1 << _ROW_BITS) - 1
+# monotonically_increasing_id counts the rows of a partition in its lower bits.
+_ROW_MASK = (1 << 33) - 1
 
 
-def in_key_order(
-    df: DataFrame,
-    order_by: tuple[str, ...],
-    project: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Range-partition and sort by the key; adds each row's position and how often its key
-    has come up so far.
-
-    Equal keys share a partition, so the occurrence count needs no further shuffle and
-    the sort is done once. To find the ranges Spark runs ``df`` a first time; costly
-    columns belong in ``project``, which is applied behind the shuffle and keeps the key.
-    """
-    per_key = Window.partitionBy(*order_by).orderBy(*order_by)
-    spread = df.repartitionByRange(*order_by)
-    return (
-        (project(spread) if project else spread)
-        .withColumn(OCCURRENCE, F.row_number().over(per_key))
-        .sortWithinPartitions(*order_by)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-    )
+def key_ranges(keys: DataFrame, order_by: Sequence[str]) -> Ranges:
+    """As many ranges as there are shuffle partitions, fewer for few rows."""
+    return ranges.sampled(keys, order_by, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def dense_numbers(stored: DataFrame, name: str) -> DataFrame:
-    """Turn written positions into 1..N. ``stored`` must be read from a written table."""
-    block = F.shiftright(POSITION, _ROW_BITS)
-    blocks = stored.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition, so this window and the broadcast grow with the partition
-    # count and not with the data.
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
-    row = F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK))
-    others = [c for c in stored.columns if c != POSITION]
-    return (
-        stored.withColumn("_block", block)
-        .join(F.broadcast(starts), "_block")
-        .select((F.col("_start") + row + 1).alias(name), *others)
+def numbered(df: DataFrame, of: Ranges, order_by: Sequence[str], name: str) -> DataFrame:
+    """``df`` with a leading key column, sorted inside each partition."""
+    dealt = ranges.deal(df, of, order_by)
+    # The digest reads every column. Without it the count's side of the plan would shuffle
+    # fewer of them, and so would need a shuffle, and a run of ``df``, of its own.
+    counted = dealt.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_rows"), F.max(F.xxhash64(*df.columns)).alias("_digest"))
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.where(F.col("_digest").isNotNull()).select(
+        RANGE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
+    # A partition is a range, so the place in it is the place in the range.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)).alias("_place")
+    placed = dealt.sortWithinPartitions(*order_by).select("*", place)
+    # One row a range, as many as partitions.
+    return placed.join(F.broadcast(starts), RANGE).select((F.col("_start") + F.col("_place") + 1).alias(name), *df.columns)
 
 
-def assign_keys(
-    spark: SparkSession, df: DataFrame, name: str, order_by: tuple[str, ...], folder: str
-) -> DataFrame:
-    """``df`` with a leading key column; ``folder`` receives the ordered rows."""
-    ordered = in_key_order(df, order_by).drop(OCCURRENCE)
-    ordered.write.parquet(folder)
-    return dense_numbers(spark.read.schema(ordered.schema).parquet(folder), name)
+def assign_keys(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+    """``df`` with a leading key column; the key columns of ``df`` are read once more before."""
+    return numbered(df, key_ranges(df, order_by), order_by, name)
 
 
 def number_within(
-    spark: SparkSession,
-    df: DataFrame,
-    name: str,
-    group: str,
-    order_by: tuple[str, ...],
-    folder: str,
+    df: DataFrame, name: str, group: str, order_by: Sequence[str], folder: str
 ) -> DataFrame:
-    """1..n inside each group, in the given total order.
+    """1..n inside each group, in the given total order; ``folder`` receives the ordered rows.
 
     A window over the group would put a hot group into one task. Here it is spread by
     the range partitioning, and its start is a pre-aggregated minimum joined back.
     """
-    numbered = assign_keys(spark, df, "_number", (group, *order_by), folder)
-    starts = numbered.groupBy(group).agg(F.min("_number").alias("_first"))
-    others = [c for c in numbered.columns if c != "_number"]
-    return numbered.join(starts, group).select(
-        *others, (F.col("_number") - F.col("_first") + 1).alias(name)
-    )
+    everywhere = assign_keys(df, "_number", (group, *order_by))
+    everywhere.write.parquet(folder)
+    stored = df.sparkSession.read.schema(everywhere.schema).parquet(folder)
+    starts = stored.groupBy(group).agg(F.min("_number").alias("_first"))
+    return stored.join(starts, group).select(*df.columns, (F.col("_number") - F.col("_first") + 1).alias(name))

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row, functions as F
 
+from starloom.operators import rules
 from starloom.schemas import Source
 
-REPORT_COLUMNS = ("position", "table_name", "check_name", "column_name", "measured", "passed")
-
 ROW_COUNT = "row_count"
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -47,43 +45,30 @@ def ranked_duplicates(df: DataFrame, key: Iterable[str]) -> DataFrame:
     return duplicate_groups(df, key).orderBy(F.desc("cnt"), *key)
 
 
-def table_report(df: DataFrame, source: Source, first_position: int = 0) -> DataFrame:
-    """All checks of one table: one aggregate for counts and NULLs, one for the key."""
-    required = list(source.required)
-    profile = df.agg(
-        F.count(F.lit(1)).alias(ROW_COUNT),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in required],
-    ).unpivot([], [ROW_COUNT, *required], "column_name", "measured")
-    counts_rows = F.col("column_name") == ROW_COUNT
-    order = F.array_position(F.array(*[F.lit(c) for c in (ROW_COUNT, *required)]), F.col("column_name"))
-    profile = profile.select(
-        (order + first_position - 1).cast("int").alias("position"),
-        F.when(counts_rows, ROW_COUNT).otherwise(NOT_NULL).alias("check_name"),
-        F.when(~counts_rows, F.col("column_name")).alias("column_name"),
-        "measured",
-        F.when(counts_rows, F.col("measured") > 0)
-        .otherwise(F.col("measured") == 0)
-        .alias("passed"),
-    )
-    keys = duplicate_groups(df, source.primary_key).agg(F.count(F.lit(1)).alias("measured"))
-    keys = keys.select(
-        F.lit(first_position + len(required) + 1).alias("position"),
-        F.lit(UNIQUE).alias("check_name"),
-        F.lit(", ".join(source.primary_key)).alias("column_name"),
-        "measured",
-        (F.col("measured") == 0).alias("passed"),
+def _rules(source: Source) -> rules.Rules:
+    return rules.Rules(
+        source.qualified,
+        row={ROW_COUNT: F.lit(True), **{c: F.col(c).isNull() for c in source.required}},
+        unique={UNIQUE: source.primary_key},
     )
-    both = profile.unionByName(keys).withColumn("table_name", F.lit(source.qualified))
-    return both.select(*REPORT_COLUMNS)
 
 
 def quality_report(frames: Mapping[str, DataFrame], sources: Iterable[Source]) -> DataFrame:
     """Every check of every table as one job; ``position`` gives the order of the gate."""
-    parts, position = [], 0
-    for source in sources:
-        parts.append(table_report(frames[source.table], source, position))
-        position += len(source.required) + 2
-    return reduce(DataFrame.unionByName, parts)
+    sources = list(sources)
+    checks = [_rules(source) for source in sources]
+    kinds = [kind for s in sources for kind in (ROW_COUNT, *[NOT_NULL] * len(s.required), UNIQUE)]
+    columns = [c for s in sources for c in ("", *s.required, ", ".join(s.primary_key))]
+    kind = F.get(F.lit(kinds), F.col("number"))
+    counts_rows = kind == ROW_COUNT
+    return rules.measured({s.qualified: frames[s.table] for s in sources}, checks).select(
+        F.col("number").alias("position"),
+        "table_name",
+        kind.alias("check_name"),
+        F.when(~counts_rows, F.get(F.lit(columns), F.col("number"))).alias("column_name"),
+        "measured",
+        F.when(counts_rows, F.col("measured") > 0).otherwise(F.col("measured") == 0).alias("passed"),
+    )
 
 
 def enforce(

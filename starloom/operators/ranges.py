@@ -20,6 +20,7 @@ RANGE = "_range"
 # Sampled keys per range: the largest of many ranges then holds about twice its share at most.
 SAMPLED_PER_RANGE = 64
 _SEED = 7
+_TREE_DEPTH = 8
 
 
 class Ranges(NamedTuple):
@@ -33,22 +34,49 @@ class Ranges(NamedTuple):
         return len(self.bounds) + 1
 
     def id_of(self, key: Sequence[Column]) -> Column:
-        """The range a key lies in: how many bounds are not above it.
+        """The range a key lies in: how many bounds are not above it. NULL sorts first, as
+        it does for Spark.
 
-        A binary search over one folded literal, in steps of falling powers of two; NULL
-        sorts first, as it does for Spark.
+        A binary search, as a tree of comparisons that is compiled with the plan; where the
+        tree would get too large, its leaves search what is left in a literal array.
         """
-        if not self.bounds:
-            return F.lit(0)
-        bounds = _literal(self.bounds, self.schema)
-        sought = F.struct(*[part.cast(f.dataType).alias(f.name) for part, f in zip(key, self.schema, strict=True)])
-        steps = [1 << k for k in reversed(range(len(self.bounds).bit_length()))]
+        parts = [part.cast(f.dataType).alias(f.name) for part, f in zip(key, self.schema, strict=True)]
 
+        def search(low: int, high: int, depth: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            if depth == _TREE_DEPTH:
+                return F.lit(low) + _searched(parts, self.bounds[low:high], self.schema)
+            middle = (low + high) // 2
+            below = _less(parts, self.bounds[middle])
+            return F.when(below, search(low, middle, depth + 1)).otherwise(search(middle + 1, high, depth + 1))
+
+        return search(0, len(self.bounds), 0)
+
+
+def _less(parts: list[Column], bound: tuple) -> Column:
+    """Whether a key lies before a bound; never NULL."""
+    (part, *parts), (value, *values) = parts, bound
+    if value is None:
+        return part.isNull() & _less(parts, tuple(values)) if parts else F.lit(False)
+    lower = F.coalesce(part < F.lit(value), F.lit(True))
+    return lower | (part.eqNullSafe(F.lit(value)) & _less(parts, tuple(values))) if parts else lower
+
+
+def _searched(parts: list[Column], rows: list[tuple], schema: T.StructType) -> Column:
+    """How many of some sorted rows are not above a key, in steps of falling powers of two."""
+    bounds = _literal(rows, schema)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(rows).bit_length()))])
+
+    def among(sought: Column) -> Column:
         def further(at: Column, step: Column) -> Column:
             tried = at + step
-            return F.when((tried <= len(self.bounds)) & (F.get(bounds, tried - 1) <= sought), tried).otherwise(at)
+            return F.when((tried <= len(rows)) & (F.get(bounds, tried - 1) <= sought), tried).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), further)
 
-        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+    # The key is put together once and not at every step.
+    return F.coalesce(F.get(F.transform(F.array(F.struct(*parts)), among), 0), F.lit(0))
 
 
 def _plain(value: object) -> object:
@@ -64,6 +92,16 @@ def _literal(rows: list[tuple], schema: T.StructType) -> Column:
     return F.from_json(F.lit(json.dumps(named)), T.ArrayType(schema))
 
 
+def _in_spark_order(key: tuple) -> tuple:
+    """NULL first, text by its UTF-8 bytes."""
+    return tuple((False, 0) if part is None else (True, part.encode() if isinstance(part, str) else part) for part in key)
+
+
+def _literal(rows: list[tuple], schema: T.StructType) -> Column:
+    named = [dict(zip(schema.names, map(_plain, row), strict=True)) for row in rows]
+    return F.from_json(F.lit(json.dumps(named)), T.ArrayType(schema))
+
+
 def sampled(
     keys: DataFrame, columns: Sequence[str], count: int, per_range: int = SAMPLED_PER_RANGE
 ) -> Ranges:
@@ -76,8 +114,8 @@ def sampled(
     columns = list(columns)
     narrow = keys.select(*columns)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in narrow.schema])
-    drawn = narrow.orderBy(F.rand(_SEED)).limit(count * per_range)
-    found = [tuple(row) for row in drawn.orderBy(*columns).collect()]
+    drawn = narrow.orderBy(F.rand(_SEED)).limit(count * per_range).collect()
+    found = sorted((tuple(row) for row in drawn), key=_in_spark_order)
     bounds: list[tuple] = []
     for key in found[per_range::per_range]:
         if not bounds or key != bounds[-1]:

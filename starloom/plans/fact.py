@@ -47,6 +47,15 @@ def identified(items: DataFrame) -> DataFrame:
     return items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
 
 
+def item_keys(items: DataFrame) -> DataFrame:
+    """The fact's natural key as the items have it, matched or not.
+
+    A number that cannot be read is NULL here: its row may never reach the fact.
+    """
+    number = numeric.whole_number_or_null(F.col("order_item_id"))
+    return identified(items).select("order_id", number.alias("order_item_id"))
+
+
 def items_with_keys(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items of a known product, with its key."""
     return (

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from starloom import session, workspace
+from starloom import session
 from starloom.functions import temporal
 from starloom.operators import constraints, keys
 from starloom.plans import dimensions, fact
@@ -36,35 +36,29 @@ def write_table(
     rows: DataFrame,
     folder: str,
     loaded_at: datetime,
-    project: Callable[[DataFrame], DataFrame] | None = None,
+    keys_like: DataFrame | None = None,
     checked: bool = True,
 ) -> int:
-    """Check, number and write one table; its row count.
+    """Number and write one table, and check its rows; their count.
 
-    ``rows`` hold the natural key, and the other columns too unless ``project`` makes them.
-    Unchecked, a table that breaks its rules is written too, for a report on them.
-
-    The rules are counted by the write that puts the rows in key order, and the rows are
-    numbered from that written copy, so a lost executor cannot change a key. The copy is
-    removed at the end.
+    ``rows`` hold the natural key and the other columns. They are run and written once: the
+    key ranges come from ``keys_like``, which has the natural key's columns spread about as
+    the rows' are and costs less (those of ``rows`` themselves unless given), and the rules
+    on rows are counted by the write. Unchecked, a table that breaks them is left as it is,
+    for a report; else that is an error, and what was written is for the caller to remove.
     """
-    ordered = keys.in_key_order(rows, target.natural_key, project)
-    copy = workspace.scratch(spark, target.table)
+    narrow = (rows if keys_like is None else keys_like).select(*target.natural_key)
+    numbered = keys.numbered(rows, keys.key_ranges(narrow, target.natural_key), target.natural_key, target.key)
     seen = Observation()
-    ordered = ordered.observe(seen, *constraints.observed_rules(target)).drop(keys.OCCURRENCE)
-    try:
-        ordered.write.parquet(copy)
-        if checked:
-            constraints.enforce(target, seen.get)
-        numbered = keys.dense_numbers(spark.read.schema(ordered.schema).parquet(copy), target.key)
-        if target.stamped:
-            # As text: a Python time would pass through the driver's own zone.
-            stamp = temporal.wall_clock(F.lit(str(loaded_at)))
-            numbered = numbered.withColumn("created_at", stamp)
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
-        numbered.select(*columns).write.parquet(f"{folder}/{target.table}")
-    finally:
-        workspace.discard(spark, copy)
+    numbered = numbered.observe(seen, *constraints.observed_rules(target))
+    if target.stamped:
+        # As text: a Python time would pass through the driver's own zone.
+        stamp = temporal.wall_clock(F.lit(str(loaded_at)))
+        numbered = numbered.withColumn("created_at", stamp)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
+    numbered.select(*columns).write.parquet(f"{folder}/{target.table}")
+    if checked:
+        constraints.enforce(target, seen.get)
     return seen.get[constraints.ROWS]
 
 
@@ -75,17 +69,14 @@ def write_dimensions(
     loaded_at: datetime,
     only: tuple[Target, ...] = DIMENSIONS,
 ) -> dict[str, int]:
-    parts = {
-        DIM_CUSTOMERS.table: (CUSTOMERS, None, dimensions.customers),
-        DIM_PRODUCTS.table: (PRODUCTS, None, dimensions.products),
-        DIM_TIME.table: (ORDERS, dimensions.purchase_dates, dimensions.calendar),
+    rows = {
+        DIM_CUSTOMERS.table: lambda: dimensions.customers(staged[CUSTOMERS.table]),
+        DIM_PRODUCTS.table: lambda: dimensions.products(staged[PRODUCTS.table]),
+        DIM_TIME.table: lambda: dimensions.calendar(dimensions.purchase_dates(staged[ORDERS.table])),
     }
 
     def write(target: Target) -> int:
-        source, reduce, project = parts[target.table]
-        rows = staged[source.table]
-        rows = reduce(rows) if reduce else rows
-        return write_table(spark, target, rows, folder, loaded_at, project)
+        return write_table(spark, target, rows[target.table](), folder, loaded_at)
 
     return dict(zip([t.table for t in only], session.side_by_side(spark, write, only)))
 
@@ -101,6 +92,19 @@ def fact_rows(spark: SparkSession, staged: Mapping[str, DataFrame], folder: str)
     )
 
 
+def write_fact(
+    spark: SparkSession,
+    staged: Mapping[str, DataFrame],
+    folder: str,
+    loaded_at: datetime,
+    checked: bool = True,
+) -> int:
+    """The fact, in key ranges found from the staged items; rows written."""
+    rows = fact_rows(spark, staged, folder)
+    items = fact.item_keys(staged[ORDER_ITEMS.table])
+    return write_table(spark, FACT_ORDERS, rows, folder, loaded_at, keys_like=items, checked=checked)
+
+
 def write_star(
     spark: SparkSession,
     staged: Mapping[str, DataFrame],
@@ -109,11 +113,10 @@ def write_star(
 ) -> dict[str, int]:
     """All four tables under ``folder``, with one load time for all rows; rows per table.
 
-    Keys and references are checked on what was written.
+    Keys and references are checked on what was written, all in one scan of the tables.
     """
     loaded_at = loaded_at or temporal.now()
     counts = write_dimensions(spark, staged, folder, loaded_at)
-    rows = fact_rows(spark, staged, folder)
-    counts[FACT_ORDERS.table] = write_table(spark, FACT_ORDERS, rows, folder, loaded_at)
+    counts[FACT_ORDERS.table] = write_fact(spark, staged, folder, loaded_at)
     constraints.enforce_keys({t.table: read_table(spark, folder, t) for t in TARGETS}, TARGETS)
     return counts

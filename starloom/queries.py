@@ -73,9 +73,8 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
 
     def numbered(target: Target, rows: DataFrame) -> DataFrame:
-        place = workspace.scratch(spark, "keys")
         (natural,) = target.natural_key
-        return keys.assign_keys(spark, rows, "surrogate_key", (natural,), place).select(
+        return keys.assign_keys(rows, "surrogate_key", (natural,)).select(
             F.lit(target.table).alias("table_name"),
             F.col(natural).cast("string").alias("natural_key"),
             "surrogate_key",
@@ -261,8 +260,7 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace.scratch(spark, "star")
     now = temporal.now()
     star.write_dimensions(spark, staged, folder, now)
-    rows = star.fact_rows(spark, staged, folder)
-    star.write_table(spark, FACT_ORDERS, rows, folder, now, checked=False)
+    star.write_fact(spark, staged, folder, now, checked=False)
     tables = {t.table: star.read_table(spark, folder, t) for t in TARGETS}
     return constraints.constraint_report(tables, TARGETS)
 

@@ -82,8 +82,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", *LINE_ORDER, "l_quantity"
     )
     place = workspace.scratch(spark, "order-lines")
-    numbered = number_within(spark, lines, "item", "l_orderkey", LINE_ORDER, place)
-    return _items(numbered, "item")
+    return _items(number_within(lines, "item", "l_orderkey", LINE_ORDER, place), "item")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:

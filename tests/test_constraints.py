@@ -7,7 +7,7 @@ from starloom import workspace
 from starloom.operators import constraints
 from starloom.operators.constraints import ConstraintError
 from starloom.plans import dimensions, star
-from starloom.schemas import CUSTOMERS, DIM_CUSTOMERS, DIM_TIME, FACT_ORDERS
+from starloom.schemas import CUSTOMERS, DIM_CUSTOMERS, DIM_TIME, FACT_ORDERS, SOURCES, TARGETS
 
 NOW = datetime(2020, 1, 2, 3, 4, 5)
 
@@ -18,7 +18,9 @@ def write(spark, texts):
         folder = workspace.scratch(spark, "test")
         rows = dimensions.customers(texts(CUSTOMERS.columns, *rows))
         count = star.write_table(spark, DIM_CUSTOMERS, rows, folder, NOW)
-        return count, star.read_table(spark, folder, DIM_CUSTOMERS)
+        table = star.read_table(spark, folder, DIM_CUSTOMERS)
+        constraints.enforce_keys({DIM_CUSTOMERS.table: table}, (DIM_CUSTOMERS,))
+        return count, table
 
     return load
 
@@ -58,17 +60,6 @@ def test_repeated_key(write):
         write(*[("c1", "u1", None, None, None)] * 3)
 
 
-def test_the_copy_is_removed_in_any_case(spark, write):
-    from pathlib import Path
-
-    shared = Path(workspace.shared_folder(spark)) / "starloom" / spark.sparkContext.applicationId
-    before = set(shared.glob("dim_customers-*"))
-    write(("c1", "u1", None, None, None))
-    with pytest.raises(ConstraintError):
-        write(("c1", "u1", None, None, "spx"))
-    assert set(shared.glob("dim_customers-*")) == before
-
-
 def test_orphans(spark):
     child = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "k string")
     parent = spark.createDataFrame([("a",), (None,)], "k string")
@@ -88,6 +79,13 @@ def test_discard_takes_only_intermediate_folders(spark, tmp_path):
         workspace.discard(spark, str(tmp_path))
 
 
+def test_repeated_dimension_key_fails_the_star(spark, texts, tmp_path):
+    staged = {s.table: texts(s.columns) for s in SOURCES}
+    staged[CUSTOMERS.table] = texts(CUSTOMERS.columns, *[("c1", "u1", None, None, None)] * 2)
+    with pytest.raises(ConstraintError, match=r"dim_customers unique\(customer_id\): 1 violations"):
+        star.write_star(spark, staged, str(tmp_path))
+
+
 def test_clear_removes_what_was_written(spark, write):
     from pathlib import Path
 
@@ -97,6 +95,18 @@ def test_clear_removes_what_was_written(spark, write):
 
 
 def test_broken_keys_are_found(spark):
-    customers = spark.createDataFrame([(1,), (1,), (None,)], "customer_key long")
+    customers = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "customer_key long, customer_id string")
     with pytest.raises(ConstraintError, match=r"dim_customers primary_key\(customer_key\): 2 violations"):
         constraints.enforce_keys({DIM_CUSTOMERS.table: customers}, (DIM_CUSTOMERS,))
+
+
+def test_every_rule_in_one_scan_and_one_shuffle(spark, tmp_path):
+    tables = {}
+    for target in TARGETS:
+        spark.createDataFrame([], target.schema).write.parquet(f"{tmp_path}/{target.table}")
+        tables[target.table] = star.read_table(spark, str(tmp_path), target)
+    report = constraints.constraint_report(tables, TARGETS)
+    assert {r.bad_rows for r in report.collect()} == {0}
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan") == len(TARGETS)
+    assert plan.count("Exchange hashpartitioning(rule") == 1 and "Join" not in plan

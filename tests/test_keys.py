@@ -5,7 +5,7 @@ from starloom.operators import keys
 
 
 def numbered(spark, df, order_by):
-    return keys.assign_keys(spark, df, "key", order_by, workspace.scratch(spark, "keys"))
+    return keys.assign_keys(df, "key", order_by)
 
 
 def test_dense_and_in_key_order(spark):
@@ -19,12 +19,9 @@ def test_dense_and_in_key_order(spark):
 
 def test_several_partitions_are_used(spark):
     df = spark.range(50_000).select(F.lit("hot").alias("name"), F.col("id").cast("int").alias("n"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ordered = keys.in_key_order(df, ("name", "n")).select(F.spark_partition_id().alias("p"))
-        sizes = [r["count"] for r in ordered.groupBy("p").count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    order = ("name", "n")
+    ordered = keys.numbered(df, keys.key_ranges(df, order), order, "key").select(F.spark_partition_id().alias("p"))
+    sizes = [r["count"] for r in ordered.groupBy("p").count().collect()]
     # One name holds all rows, and still no partition holds most of them.
     assert len(sizes) == 4
     assert max(sizes) < 25_000
@@ -41,20 +38,27 @@ def test_no_rows(spark):
     assert numbered(spark, df, ("name",)).collect() == []
 
 
-def test_occurrences_mark_repeated_keys(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("a",), ("a",), (None,), (None,)], "name string")
-    found = keys.in_key_order(df, ("name",)).collect()
-    repeated = {r.name for r in found if r[keys.OCCURRENCE] == 2}
-    assert repeated == {"a", None}
+def test_repeated_keys_are_numbered_too(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), ("a",), (None,), (None,), ("c",)], "name string")
+    found = numbered(spark, df, ("name",)).collect()
+    assert [r.name for r in sorted(found, key=lambda r: r.key)] == [None, None, "a", "a", "a", "b", "c"]
+
+
+def test_one_shuffle_is_read_twice(spark):
+    df = spark.range(5_000).select(F.col("id").cast("string").alias("name"), (F.col("id") * 2).alias("other"))
+    found = keys.assign_keys(df, "key", ("name",))
+    assert len(found.collect()) == 5_000
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("Range (") == 1
 
 
-def test_one_shuffle_and_one_sort(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("name"))
-    plan = keys.in_key_order(df, ("name",))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert "rangepartitioning" in plan
-    assert "SinglePartition" not in plan
-    assert plan.count("Sort [") == 1
+def test_bounds_of_other_rows_only_change_the_sizes(spark):
+    df = spark.range(3_000).select(F.col("id").cast("int").alias("n"))
+    others = spark.range(100_000, 101_000).select(F.col("id").cast("int").alias("n"))
+    for known in (others, others.limit(0), df):
+        found = keys.numbered(df, keys.key_ranges(known, ("n",)), ("n",), "key").collect()
+        assert sorted((r.key, r.n) for r in found) == [(i + 1, i) for i in range(3_000)]
 
 
 def test_number_within(spark):
@@ -63,9 +67,7 @@ def test_number_within(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("grp"),
         (F.col("id") * 17 % 3_001).alias("place"),
     )
-    found = keys.number_within(
-        spark, df, "n", "grp", ("place",), workspace.scratch(spark, "within")
-    ).collect()
+    found = keys.number_within(df, "n", "grp", ("place",), workspace.scratch(spark, "within")).collect()
     hot = sorted((r.place, r.n) for r in found if r.grp == 0)
     assert [n for _, n in hot] == list(range(1, 1_001))
     assert all(r.n == 1 for r in found if r.grp != 0)

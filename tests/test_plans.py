@@ -306,17 +306,30 @@ def test_calendar_is_distinct_on_the_date_alone(spark):
     assert len(keys) == 2 and all("keys=[full_date#" in k and "," not in k.split("]")[0] for k in keys)
 
 
-def test_titles_are_made_once_behind_the_shuffle(spark):
-    """The first run that finds the key ranges must not compute them too."""
-    ordered = keys.in_key_order(
-        samples.customers(spark, SMALL), DIM_CUSTOMERS.natural_key, dimensions.customers
-    )
-    plan = plan_of(ordered)
-    assert plan.count("rangepartitioning") == 1
-    above, below = plan.split("rangepartitioning")
-    assert "initcap" in above and "initcap" not in below
-    # The occurrence window uses the ranges as they are.
-    assert "hashpartitioning" not in above
+def test_the_fact_is_joined_once(spark, written):
+    """Rows are counted and numbered from one shuffle, so nothing before it runs twice."""
+    staged, folder = written
+    rows = star.fact_rows(spark, staged, folder)
+    found = keys.key_ranges(fact.item_keys(staged[ORDER_ITEMS.table]), FACT_ORDERS.natural_key)
+    numbered = keys.numbered(rows, found, FACT_ORDERS.natural_key, "key")
+    assert len(numbered.collect()) == 6000
+    final = plan_of(numbered).split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "Exchange shufflepartitionidpassthrough" in line]
+    assert [("ReusedExchange" in line) for line in dealt].count(False) == 1
+    assert sum("ReusedExchange" in line for line in dealt) == 1
+    # Date, customer, product and order once each, and the ranges' first numbers.
+    joins = [line for line in final.splitlines() if "Join " in line and "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(joins) == 5
+
+
+def test_titles_are_made_once(spark):
+    customers = dimensions.customers(samples.customers(spark, SMALL))
+    numbered = keys.numbered(customers, keys.key_ranges(customers, ("customer_id",)), ("customer_id",), "key")
+    numbered.collect()
+    final = plan_of(numbered).split("== Initial Plan ==")[0]
+    assert final.count("initcap") == 1 or "ReusedExchange" in final
+    # Finding the ranges reads the key alone.
+    assert "initcap" not in plan_of(customers.select("customer_id"))
 
 
 def test_fact_is_registered_layout(written, spark):

@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import ranges
@@ -26,7 +27,9 @@ def test_every_row_lies_between_its_bounds(spark):
             assert tuple(row.high) < found.bounds[row[ranges.RANGE]]
 
 
-def test_same_order_as_spark_for_all_kinds_of_keys(spark):
+@pytest.mark.parametrize("depth", [0, 1, 2, 8])
+def test_same_order_as_spark_for_all_kinds_of_keys(spark, depth, monkeypatch):
+    monkeypatch.setattr(ranges, "_TREE_DEPTH", depth)
     rows = [
         (None, None, None),
         ("", b"", datetime.date(2020, 1, 1)),
@@ -43,6 +46,15 @@ def test_same_order_as_spark_for_all_kinds_of_keys(spark):
     assert [r.id for r in numbered] == [0, 1, 2, 3, 4, 5]
 
 
+def test_more_ranges_than_the_tree_holds(spark):
+    df = spark.range(40_000).select((F.col("id") * 7919 % 40_009).alias("n"))
+    found = ranges.sampled(df, ["n"], 1_000, per_range=8)
+    spans = ranges.deal(df, found, ["n"]).groupBy(ranges.RANGE).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    rows = sorted(spans.collect(), key=lambda r: r[ranges.RANGE])
+    assert len(rows) == found.count == 1_000
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
+
+
 def test_few_rows_and_none_make_few_ranges(spark):
     df = spark.range(10).select("id")
     assert ranges.sampled(df, ["id"], 8).count == 1
