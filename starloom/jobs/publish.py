@@ -1,18 +1,22 @@
 """All-or-nothing layers: each load writes a folder of its own, then is named current.
 
-``<root>/<layer>/run=<id>/<table>`` holds the data and ``<root>/<layer>/runs`` one small
-row per published load. A load that fails is never named and its folder is removed, so
-readers keep the last one; no folder in use is ever overwritten. Replaced runs stay
-readable until they are dropped.
+``<root>/<layer>/run=<id>/<table>`` holds the data and ``<root>/<layer>/manifests`` one small
+file per published load, numbered from 1. A load publishes by creating the file of the next
+number, which only one of several at a time can; the others take the numbers after it. A load
+that fails is never named and its folder is removed, so readers keep the last one; no folder
+in use is ever overwritten. Replaced runs stay readable until they are dropped.
 """
 
 from __future__ import annotations
 
+import json
+import random
+import time
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom import files
@@ -20,6 +24,22 @@ from starloom.functions import temporal
 
 _RUNS = "run_id string, sequence long, published_at timestamp_ntz, row_counts map<string, bigint>"
 
+# How often a load tries for the next number, each time it was taken by another load.
+_ATTEMPTS = 100
+
+
+class PublishConflict(RuntimeError):
+    """Another load was published first, where that matters."""
+
+
+class Manifest(NamedTuple):
+    """What is known of a published load."""
+
+    sequence: int
+    run_id: str
+    published_at: str
+    row_counts: dict[str, int]
+
 
 class Layer:
     """One layer (staging or warehouse) under a root folder all executors reach."""
@@ -29,6 +49,10 @@ class Layer:
         self.folder = f"{root.rstrip('/')}/{name}"
         self.name = name
 
+    @property
+    def _manifests(self) -> str:
+        return f"{self.folder}/manifests"
+
     def new_run(self) -> str:
         return f"{temporal.now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
@@ -45,37 +69,52 @@ class Layer:
             files.delete(self.spark, self.run_folder(run_id))
             raise
 
-    def publish(self, run_id: str, row_counts: Mapping[str, int]) -> None:
-        """Name the run current. One file with one row, so it is seen whole or not at all.
+    def publish(self, run_id: str, row_counts: Mapping[str, int], after: int | None = None) -> int:
+        """Name the run current; its number.
 
-        Its number follows the last one's, so no driver's clock decides what is current.
+        The number follows the last one's, so no driver's clock decides what is current. Of
+        loads at the same time all are published, one after the other. With ``after``, only
+        if the load of that number (0: none) is still the last one: a load built on what was
+        current then cannot replace one it has not seen.
         """
-        latest = self._latest()
-        counts = [F.lit(part) for pair in row_counts.items() for part in pair]
-        named = self.spark.range(0, 1, 1, 1).select(
-            F.lit(run_id).alias("run_id"),
-            F.lit((latest["sequence"] or 0) + 1 if latest else 1).cast("long").alias("sequence"),
-            temporal.wall_clock(F.lit(str(temporal.now()))).alias("published_at"),
-            F.create_map(*counts).cast("map<string, bigint>").alias("row_counts"),
-        )
-        named.write.mode("append").parquet(f"{self.folder}/runs")
+        for attempt in range(_ATTEMPTS):
+            last = self._last_number()
+            if after is not None and last != after:
+                raise PublishConflict(f"load {last} of layer {self.name} was published after load {after}")
+            manifest = Manifest(last + 1, run_id, str(temporal.now()), dict(row_counts))
+            if files.create_new(self.spark, self._path(manifest.sequence), json.dumps(manifest._asdict())):
+                return manifest.sequence
+            # Another load has taken the number.
+            time.sleep(random.uniform(0, 0.01 * (attempt + 1)))
+        raise PublishConflict(f"no number to be had in layer {self.name} in {_ATTEMPTS} attempts")
+
+    def _path(self, sequence: int) -> str:
+        return f"{self._manifests}/{sequence:012d}.json"
+
+    def _numbers(self) -> list[int]:
+        names = [f.path.rsplit("/", 1)[-1] for f in files.list_files(self.spark, self._manifests)]
+        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
+
+    def _last_number(self) -> int:
+        return max(self._numbers(), default=0)
 
     def published(self) -> DataFrame:
-        return self.spark.read.schema(_RUNS).parquet(f"{self.folder}/runs")
-
-    def _latest(self):
-        try:
-            runs = self.published()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return runs.agg(F.max(F.struct("sequence", "published_at", "run_id"))).first()[0]
+        """All published loads, replaced ones included."""
+        return self.spark.read.schema(_RUNS).json(self._manifests)
+
+    def latest(self) -> Manifest | None:
+        """The load published last, or None before the first."""
+        # A file system may show a file before its text; then it is not published yet.
+        for number in reversed(self._numbers()):
+            text = files.read_text(self.spark, self._path(number))
+            if text:
+                return Manifest(**json.loads(text))
+        return None
 
     def current_run(self) -> str | None:
         """The run published last, or None before the first."""
-        latest = self._latest()
-        return latest["run_id"] if latest else None
+        latest = self.latest()
+        return latest.run_id if latest else None
 
     def drop_replaced(self) -> list[str]:
         """Remove every run but the current one, with the lists of duplicates; their ids.
@@ -124,15 +163,15 @@ def register(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
     """
     names = []
     for layer in (staging(spark, root), warehouse(spark, root)):
-        run_id = layer.current_run()
-        if run_id is None:
+        latest = layer.latest()
+        if latest is None:
             continue
         place = f"{layer.folder}/database".replace("'", "\\'")
         database = f"{prefix}{layer.name}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
-        for table in layer.tables(run_id):
+        for table in sorted(latest.row_counts):
             name = f"{database}.{table}"
-            files = f"{layer.run_folder(run_id)}/{table}".replace("`", "``")
+            files = f"{layer.run_folder(latest.run_id)}/{table}".replace("`", "``")
             spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{files}`")
             names.append(name)
     return names

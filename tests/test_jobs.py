@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from pathlib import Path
 
@@ -205,6 +206,54 @@ def test_the_number_of_a_run_decides_and_no_clock(spark, raw, root, monkeypatch)
     assert [r.customer_id for r in staged(spark, root, CUSTOMERS)] == ["c5"]
 
 
+def test_loads_at_the_same_time_are_all_published(spark, root):
+    """Numbers 1 to N without a gap, each of one load, whole whenever it can be seen."""
+    layer = publish.staging(spark, root)
+    names = [f"run{i}" for i in range(24)]
+    seen = []
+
+    def work(name):
+        number = publish.staging(spark, root).publish(name, {"t": int(name[3:])})
+        seen.append(layer.latest())
+        return number
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(work, names))
+    assert sorted(numbers) == list(range(1, 25))
+    rows = {r.sequence: (r.run_id, r.row_counts) for r in layer.published().collect()}
+    assert rows == {n: (name, {"t": int(name[3:])}) for n, name in zip(numbers, names)}
+    assert all(m.run_id in names for m in seen)
+    assert layer.latest().sequence == 24 and layer.current_run() == rows[24][0]
+    assert not [p for p in Path(f"{root}/staging/manifests").iterdir() if not p.name.endswith((".json", ".crc"))]
+
+
+def test_a_load_on_what_was_current_does_not_replace_a_later_one(spark, root):
+    layer = publish.warehouse(spark, root)
+    assert layer.publish("a", {}, after=0) == 1
+    assert layer.publish("b", {}) == 2
+    with pytest.raises(publish.PublishConflict, match="load 2 of layer warehouse was published after load 1"):
+        layer.publish("c", {}, after=1)
+    assert layer.current_run() == "b"
+
+
+def test_whole_loads_at_the_same_time(spark, raw, root):
+    folder = raw()
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda _: ingest(spark, folder, root), range(3)))
+    layer = publish.staging(spark, root)
+    assert [r.sequence for r in layer.published().orderBy("sequence").collect()] == [1, 2, 3]
+    assert len(staged(spark, root, ORDERS)) == 1
+
+
+def test_a_manifest_without_its_text_is_not_published(spark, root):
+    layer = publish.staging(spark, root)
+    layer.publish("a", {"t": 1})
+    Path(f"{root}/staging/manifests/{2:012d}.json").touch()
+    assert layer.current_run() == "a"
+    assert layer.publish("b", {"t": 2}) == 3
+    assert layer.current_run() == "b"
+
+
 @pytest.fixture
 def keep_session(spark, monkeypatch):
     monkeypatch.setattr(job.session, "build_session", lambda **_: spark)
