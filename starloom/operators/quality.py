@@ -59,13 +59,13 @@ def quality_report(frames: Mapping[str, DataFrame], sources: Iterable[Source]) -
     checks = [_rules(source) for source in sources]
     kinds = [kind for s in sources for kind in (ROW_COUNT, *[NOT_NULL] * len(s.required), UNIQUE)]
     columns = [c for s in sources for c in ("", *s.required, ", ".join(s.primary_key))]
-    kind = F.get(F.lit(kinds), F.col("number"))
+    kind = F.get(rules.literal_array(kinds), F.col("number"))
     counts_rows = kind == ROW_COUNT
     return rules.measured({s.qualified: frames[s.table] for s in sources}, checks).select(
         F.col("number").alias("position"),
         "table_name",
         kind.alias("check_name"),
-        F.when(~counts_rows, F.get(F.lit(columns), F.col("number"))).alias("column_name"),
+        F.when(~counts_rows, F.get(rules.literal_array(columns), F.col("number"))).alias("column_name"),
         "measured",
         F.when(counts_rows, F.col("measured") > 0).otherwise(F.col("measured") == 0).alias("passed"),
     )

@@ -33,50 +33,31 @@ class Ranges(NamedTuple):
     def count(self) -> int:
         return len(self.bounds) + 1
 
-    def id_of(self, key: Sequence[Column]) -> Column:
-        """The range a key lies in: how many bounds are not above it. NULL sorts first, as
-        it does for Spark.
+    def id_of(self, key: Sequence[str]) -> Column:
+        """The range a key, given in SQL, lies in: how many bounds are not above it. NULL
+        sorts first, as it does for Spark.
 
         A binary search, as a tree of comparisons that is compiled with the plan; where the
-        tree would get too large, its leaves search what is left in a literal array.
+        tree would get too large, its leaves search what is left in a literal array. One SQL
+        text, since a column for each of its parts would take a call to the JVM each.
         """
-        parts = [part.cast(f.dataType).alias(f.name) for part, f in zip(key, self.schema, strict=True)]
+        parts = [f"CAST({part} AS {f.dataType.simpleString()})" for part, f in zip(key, self.schema, strict=True)]
 
-        def search(low: int, high: int, depth: int) -> Column:
+        def search(low: int, high: int, depth: int) -> str:
             if low == high:
-                return F.lit(low)
+                return str(low)
             if depth == _TREE_DEPTH:
-                return F.lit(low) + _searched(parts, self.bounds[low:high], self.schema)
+                return f"{low} + {_searched(parts, self.bounds[low:high], self.schema)}"
             middle = (low + high) // 2
-            below = _less(parts, self.bounds[middle])
-            return F.when(below, search(low, middle, depth + 1)).otherwise(search(middle + 1, high, depth + 1))
+            below = _less(parts, [_literal(v, f.dataType) for v, f in zip(self.bounds[middle], self.schema, strict=True)])
+            return f"CASE WHEN {below} THEN {search(low, middle, depth + 1)} ELSE {search(middle + 1, high, depth + 1)} END"
 
-        return search(0, len(self.bounds), 0)
+        return F.expr(search(0, len(self.bounds), 0))
 
 
-def _less(parts: list[Column], bound: tuple) -> Column:
-    """Whether a key lies before a bound; never NULL."""
-    (part, *parts), (value, *values) = parts, bound
-    if value is None:
-        return part.isNull() & _less(parts, tuple(values)) if parts else F.lit(False)
-    lower = F.coalesce(part < F.lit(value), F.lit(True))
-    return lower | (part.eqNullSafe(F.lit(value)) & _less(parts, tuple(values))) if parts else lower
-
-
-def _searched(parts: list[Column], rows: list[tuple], schema: T.StructType) -> Column:
-    """How many of some sorted rows are not above a key, in steps of falling powers of two."""
-    bounds = _literal(rows, schema)
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(rows).bit_length()))])
-
-    def among(sought: Column) -> Column:
-        def further(at: Column, step: Column) -> Column:
-            tried = at + step
-            return F.when((tried <= len(rows)) & (F.get(bounds, tried - 1) <= sought), tried).otherwise(at)
-
-        return F.aggregate(steps, F.lit(0), further)
-
-    # The key is put together once and not at every step.
-    return F.coalesce(F.get(F.transform(F.array(F.struct(*parts)), among), 0), F.lit(0))
+def _text(value: str) -> str:
+    """A SQL text literal of any characters."""
+    return f"CAST(X'{value.encode().hex()}' AS STRING)"
 
 
 def _plain(value: object) -> object:
@@ -87,9 +68,35 @@ def _plain(value: object) -> object:
     return value
 
 
-def _literal(rows: list[tuple], schema: T.StructType) -> Column:
+def _literal(value: object, kind: T.DataType) -> str | None:
+    """A value in SQL; None for NULL."""
+    if value is None:
+        return None
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    return f"CAST({_text(str(_plain(value)))} AS {kind.simpleString()})"
+
+
+def _less(parts: list[str], bound: list[str | None]) -> str:
+    """Whether a key lies before a bound; never NULL."""
+    (part, *parts), (value, *values) = parts, bound
+    if value is None:
+        return f"({part} IS NULL AND {_less(parts, values)})" if parts else "false"
+    lower = f"coalesce({part} < {value}, true)"
+    return f"({lower} OR ({part} <=> {value} AND {_less(parts, values)}))" if parts else lower
+
+
+def _searched(parts: list[str], rows: list[tuple], schema: T.StructType) -> str:
+    """How many of some sorted rows are not above a key, in steps of falling powers of two."""
     named = [dict(zip(schema.names, map(_plain, row), strict=True)) for row in rows]
-    return F.from_json(F.lit(json.dumps(named)), T.ArrayType(schema))
+    kind = T.ArrayType(schema).simpleString()
+    bounds = f"from_json({_text(json.dumps(named))}, '{kind}')"
+    steps = ", ".join(str(1 << k) for k in reversed(range(len(rows).bit_length())))
+    # The key is put together once and not at every step.
+    sought = ", ".join(f"'{name}', {part}" for name, part in zip(schema.names, parts, strict=True))
+    further = f"CASE WHEN at + step <= {len(rows)} AND get({bounds}, at + step - 1) <= sought THEN at + step ELSE at END"
+    found = f"transform(array(named_struct({sought})), sought -> aggregate(array({steps}), 0, (at, step) -> {further}))"
+    return f"coalesce(get({found}, 0), 0)"
 
 
 def _in_spark_order(key: tuple) -> tuple:
@@ -97,11 +104,6 @@ def _in_spark_order(key: tuple) -> tuple:
     return tuple((False, 0) if part is None else (True, part.encode() if isinstance(part, str) else part) for part in key)
 
 
-def _literal(rows: list[tuple], schema: T.StructType) -> Column:
-    named = [dict(zip(schema.names, map(_plain, row), strict=True)) for row in rows]
-    return F.from_json(F.lit(json.dumps(named)), T.ArrayType(schema))
-
-
 def sampled(
     keys: DataFrame, columns: Sequence[str], count: int, per_range: int = SAMPLED_PER_RANGE
 ) -> Ranges:
@@ -113,7 +115,7 @@ def sampled(
     """
     columns = list(columns)
     narrow = keys.select(*columns)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in narrow.schema])
+    schema = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(narrow.schema)])
     drawn = narrow.orderBy(F.rand(_SEED)).limit(count * per_range).collect()
     found = sorted((tuple(row) for row in drawn), key=_in_spark_order)
     bounds: list[tuple] = []
@@ -125,4 +127,5 @@ def sampled(
 
 def deal(df: DataFrame, ranges: Ranges, key: Sequence[str]) -> DataFrame:
     """``df`` with its range as a column, each range a partition of that number."""
-    return df.withColumn(RANGE, ranges.id_of([F.col(c) for c in key])).repartitionById(ranges.count, RANGE)
+    quoted = ["`" + c.replace("`", "``") + "`" for c in key]
+    return df.withColumn(RANGE, ranges.id_of(quoted)).repartitionById(ranges.count, RANGE)

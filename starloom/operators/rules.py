@@ -42,6 +42,15 @@ class Rules:
         return [*self.row, *self.unique, *self.primary, *self.references]
 
 
+def literal_array(values: Sequence[int] | Sequence[str]) -> Column:
+    """A literal array in one piece; a column for each value takes a call to the JVM each."""
+    return F.expr(f"array({', '.join(repr(v) if isinstance(v, int) else _text(v) for v in values)})")
+
+
+def _text(value: str) -> str:
+    return f"CAST(X'{value.encode().hex()}' AS STRING)"
+
+
 def _hashes(columns: Sequence[Column]) -> list[Column]:
     # A hash passes over NULLs, so where they are is hashed too.
     parts = [*columns, *[c.isNull() for c in columns]]
@@ -100,7 +109,7 @@ def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFra
     counted = every.groupBy("rule", "h1", "h2").agg(
         F.sum("own").alias("own"), held_too.alias("held"), F.max("missing").alias("missing")
     )
-    kind = F.get(F.lit([kinds.get(n, _ROW) for n in range(len(names))]), F.col("rule"))
+    kind = F.get(literal_array([kinds.get(n, _ROW) for n in range(len(names))]), F.col("rule"))
     repeated, own = F.col("own") > 1, F.col("own")
     broken = (
         F.when(kind == _REPEATED, repeated.cast("long"))
@@ -110,11 +119,10 @@ def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFra
     single = F.array(F.struct(F.col("rule").alias("number"), broken.alias("measured")))
     result = F.when(kind != _ROW, single)
     for first, numbers in row_rules.items():
-        counts = [
-            F.struct(F.lit(n).alias("number"), F.when(F.getbit("h1", F.lit(bit)) == 1, own).otherwise(0).alias("measured"))
-            for bit, n in enumerate(numbers)
-        ]
-        result = result.when(F.col("rule") == first, F.array(*counts))
+        counts = ", ".join(
+            f"named_struct('number', {n}, 'measured', IF(getbit(h1, {bit}) = 1, own, 0L))" for bit, n in enumerate(numbers)
+        )
+        result = result.when(F.col("rule") == first, F.expr(f"array({counts})"))
     values = counted.select(F.inline(result))
     # A rule without any row is measured too.
     none = every.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("number"), F.lit(0).cast("long").alias("measured"))
@@ -122,7 +130,7 @@ def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFra
     tables, rule_names = ([pair[i] for pair in names] for i in (0, 1))
     return totals.select(
         "number",
-        F.get(F.lit(tables), F.col("number")).alias("table_name"),
-        F.get(F.lit(rule_names), F.col("number")).alias("rule"),
+        F.get(literal_array(tables), F.col("number")).alias("table_name"),
+        F.get(literal_array(rule_names), F.col("number")).alias("rule"),
         "measured",
     )

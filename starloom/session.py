@@ -40,6 +40,8 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans here have hundreds of expressions; noting a line of Python for each takes long.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

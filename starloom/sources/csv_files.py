@@ -11,13 +11,14 @@ from __future__ import annotations
 import csv
 import logging
 import re
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
-from starloom import files as storage
+from starloom import files as storage, workspace
 
 logger = logging.getLogger(__name__)
 
@@ -57,6 +58,9 @@ _FIELD = f'(?:"{_QUOTED}|[^",][^,]*+|)'
 # Lines that end outside quotes, when they begin outside and inside.
 _ENDS_OUTSIDE = f"^{_FIELD}(?:,{_FIELD})*+$"
 _CLOSES = f"^{_QUOTED}(?:,{_FIELD})*+$"
+# One field after the other, each with the comma behind it, and the two parts of a quoted one.
+_FIELDS = r'("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+),'
+_QUOTED_FIELD = r'^"([^"]*+(?:""[^"]*+)*+)"([^,]*+)$'
 _GLOB_SIGNS = r"([\[\]{}*?\\])"
 
 
@@ -66,6 +70,8 @@ class _Seen(NamedTuple):
     path: str
     header: list[str | None]
     plain: bool
+    # Where its last block begins; a block is what one task reads of a file.
+    last_block: int
 
 
 def _exact(paths: list[str]) -> list[str]:
@@ -100,8 +106,13 @@ def _scan(spark: SparkSession, path: str) -> list[_Seen]:
         F.max(F.contains(line, F.lit("\u0000"))).alias("nul"),
         F.max(F.contains(line, F.lit('"')) & ~line.rlike(_PLAIN_LINE)).alias("doubtful"),
         F.min(F.when(filled, F.struct("block", "id", "value"))).alias("first"),
+        F.max("block").alias("last_block"),
+        _file().alias("file"),
     )
-    seen = {unquote(urlparse(row["uri"]).path): row for row in per_file.collect()}
+    rows = per_file.collect()
+    if len({row["file"] for row in rows}) < len(rows):
+        raise ValueError(f"two file names of {path} have the same hash; rename one")
+    seen = {unquote(urlparse(row["uri"]).path): row for row in rows}
     result = []
     for file in found:
         row = seen.get(urlparse(file.path).path if "://" in file.path else file.path.split(":", 1)[-1])
@@ -114,7 +125,7 @@ def _scan(spark: SparkSession, path: str) -> list[_Seen]:
         if row["nul"]:
             raise ValueError(f"{file.path} holds a NUL character")
         header = _header_fields(row["first"]["value"].lstrip("\ufeff"))
-        result.append(_Seen(file.path, header, not row["doubtful"]))
+        result.append(_Seen(file.path, header, not row["doubtful"], row["last_block"]))
     if not result:
         raise ValueError(f"{path} has no header")
     return result
@@ -138,6 +149,13 @@ def _schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _value(field: Column) -> Column:
+    """The text of a field: quotes around it taken off and doubled ones made single, and what
+    follows the closing quote as it stands."""
+    inner, tail = (F.regexp_extract(field, _QUOTED_FIELD, i) for i in (1, 2))
+    return F.when(F.startswith(field, F.lit('"')), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), tail)).otherwise(field)
+
+
 def _has_more_fields(width: int) -> Column:
     """True for a record with too many fields; a short one is only padded.
 
@@ -154,15 +172,22 @@ def _has_more_fields(width: int) -> Column:
 
 def _read_plain(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
     """Files whose lines are their records; split like any text."""
-    return (
+    rows = (
         spark.read.schema(_schema([*names, _RECORD]))
         .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, **_QUOTING)
         .csv(_exact(paths))
     )
+    too_long = F.col(_RECORD).isNotNull() & _has_more_fields(len(names))
+    return rows.withColumn(_RECORD, F.when(too_long, F.col(_RECORD)))
+
+
+def _file() -> Column:
+    """Stands for a file's name: short, and quick to sort by."""
+    return F.xxhash64("uri")
 
 
 def _lines_with_ends(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(uri, block, id, place, line, end): the lines of the files in order, as written."""
+    """(uri, file, block, id, place, line, end): the lines of the files in order, as written."""
     raw = spark.read.text(_exact(paths), lineSep="\n").select(
         "value",
         F.col("_metadata.file_path").alias("uri"),
@@ -176,6 +201,7 @@ def _lines_with_ends(spark: SparkSession, paths: list[str]) -> DataFrame:
     last = F.col("place") == F.size("parts") - 1
     return parts.select("*", F.posexplode("parts").alias("place", "line")).select(
         "uri",
+        _file().alias("file"),
         "block",
         "id",
         "place",
@@ -184,40 +210,150 @@ def _lines_with_ends(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _read_records(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
-    """Files in which quoted fields run over line ends.
+def _begins(order: WindowSpec, outside: Column, inside: Column, first: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """Whether a line begins outside quotes, from the lines before it in a window.
 
-    Whether a line begins inside quotes follows from the lines before it. Each line either
-    ends in the same place wherever it begins, or keeps or swaps the place; so the last line
-    of the first kind and the swaps since then decide. That is a running aggregate over a
-    file's lines in their order, which spills and needs no file in memory.
+    ``outside`` and ``inside`` tell where a line ends that begins there. It ends in the same
+    place either way, or keeps or swaps the place. So the last line of the first kind and the
+    swaps since decide, or all swaps where there is none and the ``first`` line begins as
+    given. Returns the swaps so far, to be made a column, and what to do with that column.
+    """
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    swapped = F.coalesce(F.sum(F.when(~outside & inside, 1).otherwise(0)).over(before), F.lit(0)) % 2 == 1
+
+    def begins(swapped_before: Column) -> Column:
+        settled = F.last(F.when(outside == inside, outside != swapped_before), ignorenulls=True).over(before)
+        return F.coalesce(settled, first) != swapped_before
+
+    return swapped, begins
+
+
+class UnclosedQuoteError(ValueError):
+    """A quoted field without an end."""
+
+
+def _heads(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The blocks of files whose first lines go on with a record of an earlier block.
+
+    ``home`` is the block that record begins in, ``close`` the place of its last line in this
+    block (NULL if it goes on behind it), ``header_block`` the block of the file's header. A
+    block is what one task reads of a file. What it does to the place, outside quotes or
+    inside, is found within it for both places it may begin in; a running composition over a
+    file's blocks, one row each, then tells which it is.
+    """
+    at, out, into = F.struct("id", "place"), F.col("out"), F.col("in")
+    in_block = Window.partitionBy("file", "block").orderBy("id", "place")
+    swapped, begins = _begins(in_block, out, into, F.lit(True))
+    _, begins_inside = _begins(in_block, out, into, F.lit(False))
+    mapped = lines.select("file", "block", "id", "place", "out", "in", "filled", swapped.alias("swapped")).select(
+        "*", begins(F.col("swapped")).alias("b_out"), begins_inside(F.col("swapped")).alias("b_in")
+    )
+    end = {b: F.when(F.col(b), out).otherwise(into) for b in ("b_out", "b_in")}
+    opening = {b: F.max(F.when(F.col(b) & ~end[b], at)) for b in end}
+    blocks = mapped.groupBy("file", "block").agg(
+        F.max_by(end["b_out"], at).alias("out"),
+        F.max_by(end["b_in"], at).alias("in"),
+        # The line with the quote that is still open at the end, if it opens in this block.
+        opening["b_out"].alias("out_opens"),
+        opening["b_in"].alias("in_opens"),
+        F.min(F.when(end["b_in"], at)).alias("close"),
+        F.max("filled").alias("filled"),
+    )
+    in_file = Window.partitionBy("file").orderBy("block")
+    swapped, begins = _begins(in_file, out, into, F.lit(True))
+    begin = F.col("begins")
+    outside = F.when(begin, out).otherwise(into)
+    opens = F.when(~outside, F.struct("block", F.when(begin, F.col("out_opens")).otherwise(F.col("in_opens")).alias("line")))
+    placed = (
+        blocks.select("*", swapped.alias("swapped"))
+        .select("*", begins(F.col("swapped")).alias("begins"))
+        .select("*", F.when(opens["line"].isNotNull(), opens).alias("opens"), outside.alias("outside"))
+    )
+    upto = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owned = placed.select(
+        "file",
+        "block",
+        "close",
+        "begins",
+        F.last("opens", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))["block"].alias("home"),
+        F.min(F.when(F.col("filled"), F.col("block"))).over(Window.partitionBy("file")).alias("header_block"),
+        F.when(
+            ~F.col("outside") & F.lead("block").over(in_file).isNull(), F.last("opens", ignorenulls=True).over(upto)
+        ).alias("unclosed"),
+    )
+    needed = ~begin | (F.col("block") == F.col("header_block"))
+    folder = workspace.scratch(spark, "csv-blocks")
+    owned.where(needed | F.col("unclosed").isNotNull()).write.parquet(folder)
+    stored = spark.read.schema(owned.schema).parquet(folder)
+    unclosed = stored.where(F.col("unclosed").isNotNull()).orderBy("file").first()
+    if unclosed:
+        block, (number, part) = unclosed["unclosed"]
+        opened = (F.col("file") == unclosed["file"]) & (F.col("block") == block) & (F.col("id") == number) & (F.col("place") == part)
+        found = lines.where(opened).first()
+        raise UnclosedQuoteError(_UNCLOSED.format(unquote(urlparse(found["uri"]).path), found["line"][:_SHOWN], block))
+    return stored.where(needed).select(
+        "file", "block", F.when(~begin, F.col("home")).alias("home"), "close", "header_block"
+    )
+
+
+_UNCLOSED = "{} has a quoted field without an end, in the line {!r} behind byte {}"
+_SHOWN = 80
+
+
+def _read_records(spark: SparkSession, files: list[_Seen], names: list[str]) -> DataFrame:
+    """Files in which quoted fields run over line ends, a task for each block of a file.
+
+    A block's lines are put together to records where they are. Lines that end a record of an
+    earlier block go to that block, its ``home``; so the lines of a home begin with a record.
+    Files that are one block each need no look at how blocks go on.
     """
     line = F.col("line")
-    outside, inside = line.rlike(_ENDS_OUTSIDE), line.rlike(_CLOSES)
-    in_order = Window.partitionBy("uri").orderBy("block", "id", "place")
+    quoted = F.contains(line, F.lit('"'))
+    lines = _lines_with_ends(spark, [f.path for f in files]).select(
+        "*",
+        # A line without quotes keeps the place.
+        F.when(quoted, line.rlike(_ENDS_OUTSIDE)).otherwise(True).alias("out"),
+        F.when(quoted, line.rlike(_CLOSES)).otherwise(False).alias("in"),
+        (F.trim(line, F.lit(" \t")) != "").alias("filled"),
+    )
+    if any(f.last_block for f in files):
+        at = F.struct("id", "place")
+        is_head = F.col("home").isNotNull() & (F.col("close").isNull() | (at <= F.col("close")))
+        home = F.when(is_head, F.col("home")).otherwise(F.col("block")).alias("home")
+        at_home = lines.join(_heads(spark, lines), ["file", "block"], "left").select(*lines.columns, home, "header_block")
+    else:
+        at_home = lines.select("*", F.col("block").alias("home"), F.lit(0).alias("header_block"))
+    in_order = Window.partitionBy("file", "home").orderBy("block", "id", "place")
+    swapped, begins = _begins(in_order, F.col("out"), F.col("in"), F.lit(True))
+    starts = F.col("begins") & F.col("filled")
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # True where a line ends outside quotes however it begins, false where inside.
-    fixed = F.when(outside == inside, outside)
-    swaps = F.sum(F.when(~outside & inside, 1).otherwise(0)).over(upto)
-    lines = _lines_with_ends(spark, paths).withColumn("_fixed", fixed).withColumn("_swaps", swaps)
-    since = F.last(F.when(F.col("_fixed").isNotNull(), F.struct("_fixed", "_swaps")), ignorenulls=True).over(upto)
-    start = F.coalesce(since, F.struct(F.lit(True).alias("_fixed"), F.lit(0).cast("long").alias("_swaps")))
-    flipped = (F.col("_swaps") - start["_swaps"]) % 2 == 1
-    ended = lines.withColumn("_outside", start["_fixed"] != flipped)
-    begins = F.coalesce(F.lag("_outside").over(in_order), F.lit(True))
-    marked = ended.withColumn("_begins", begins).where(~F.col("_begins") | (F.trim(line, F.lit(" \t")) != ""))
-    numbered = marked.withColumn("_number", F.sum(F.when(F.col("_begins"), 1).otherwise(0)).over(upto))
-    parts = F.array_sort(F.collect_list(F.struct("block", "id", "place", "line", "end")))
-    records = numbered.where(F.col("_number") > 1).groupBy("uri", "_number").agg(parts.alias("_parts"))
+    numbered = (
+        at_home.select("*", swapped.alias("swapped"))
+        .select("*", begins(F.col("swapped")).alias("begins"))
+        .select("*", F.count_if(starts).over(upto).alias("number"))
+        # Lines of blanks between records.
+        .where(~F.col("begins") | F.col("filled"))
+    )
+    is_header = (F.col("number") == 1) & F.col("home").eqNullSafe(F.col("header_block"))
+    place = F.struct("block", "id", "place")
+    records = numbered.where(~is_header).groupBy("file", "home", "number").agg(
+        F.array_sort(F.collect_list(F.struct("block", "id", "place", "line", "end"))).alias("parts"),
+        F.max_by(F.when(F.col("begins"), F.col("out")).otherwise(F.col("in")), place).alias("closed"),
+        F.any_value("uri").alias("uri"),
+    )
     # Lines of one record with the ends between them, without the last end.
-    ends = F.array_join(F.transform("_parts", lambda x: F.concat(x["line"], x["end"])), "")
-    last_end = F.length(F.element_at("_parts", -1)["end"])
+    ends = F.array_join(F.transform("parts", lambda x: F.concat(x["line"], x["end"])), "")
+    last_end = F.length(F.element_at("parts", -1)["end"])
     record = F.substring(ends, F.lit(1), F.length(ends) - last_end)
-    fields = ", ".join(f"f{i} STRING" for i in range(len(names)))
-    parsed = records.select(record.alias(_RECORD)).withColumn(
-        "_fields", F.from_csv(_RECORD, fields, {**_QUOTING, "multiLine": "true"})
+    start = F.get("parts", F.lit(0))
+    unclosed = F.format_string(
+        _UNCLOSED.replace("{!r}", "'%s'").replace("{}", "%s"), "uri", F.left(start["line"], F.lit(_SHOWN)), start["block"].cast("string")
     )
-    return parsed.select(*[F.col("_fields")[f"f{i}"].alias(n) for i, n in enumerate(names)], _RECORD)
+    whole = F.when(F.col("closed"), record).otherwise(F.raise_error(unclosed).cast("string"))
+    fields = F.regexp_extract_all(F.concat(_RECORD, F.lit(",")), F.lit(_FIELDS), F.lit(1))
+    parsed = records.select(whole.alias(_RECORD)).select(_RECORD, fields.alias("_fields"))
+    too_long = F.when(F.size("_fields") > len(names), F.col(_RECORD))
+    return parsed.select(*[_value(F.get("_fields", F.lit(i))).alias(n) for i, n in enumerate(names)], too_long.alias(_RECORD))
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
@@ -236,13 +372,12 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
         raise ValueError(f"{other.path} has another header than {found[0].path}")
 
     plain = [f.path for f in found if f.plain]
-    woven = [f.path for f in found if not f.plain]
-    parts = [read(spark, paths, names) for read, paths in ((_read_plain, plain), (_read_records, woven)) if paths]
+    woven = [f for f in found if not f.plain]
+    parts = [read(spark, files, names) for read, files in ((_read_plain, plain), (_read_records, woven)) if files]
     rows = reduce(DataFrame.unionByName, parts)
 
     message = F.concat(F.lit(f"{path} has a row with more fields than its header: "), _RECORD)
-    too_long = F.col(_RECORD).isNotNull() & _has_more_fields(len(names))
     checked = rows.where(
-        F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+        F.when(F.col(_RECORD).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     )
     return checked.select(*[missing_to_null(c).alias(c) for c in columns])

@@ -1,4 +1,9 @@
+import random
+import re
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.schemas import CUSTOMERS
 from starloom.sources import csv_files
@@ -204,3 +209,79 @@ def test_odd_file_names(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
     assert found == [("1", "l1\nl2", "3"), *[("4", "5", "6")] * 20, ("7", "8", "9")]
+
+
+def random_csv(seed, rows):
+    rng = random.Random(seed)
+    ends = ["\n", "\r\n", "\r"]
+
+    def field(first):
+        kind = rng.randrange(5)
+        text = "".join(rng.choice('abé \t') for _ in range(rng.randrange(1, 12)))
+        if kind < 2:
+            return "x" + text
+        if kind == 2:
+            return 'y5" ' + text.replace("é", '"')  # quotes that are none
+        inner = "".join(rng.choice(["a", ",", '""', " ", *ends, "line"]) for _ in range(rng.randrange(0, 30)))
+        return f'"{inner}"' + (rng.choice(["", "", "tail", 't"']) if kind == 3 else "")
+
+    lines = []
+    for _ in range(rows):
+        lines.append(",".join(field(i == 0) for i in range(3)) + rng.choice(ends))
+        if rng.random() < 0.05:
+            lines.append(rng.choice(["", "  ", "\t"]) + rng.choice(ends))
+    return "a,b,c\r\n" + "".join(lines)
+
+
+@pytest.mark.parametrize("size", [64, 300, 5_000, 1 << 20])
+def test_random_files_in_blocks_of_any_size(spark, folder, size):
+    pandas = pytest.importorskip("pandas")
+    contents = [random_csv(seed, 150) for seed in (size, size + 1)] + ["a,b,c\n1,2,3\n"]
+    path = folder(*contents)
+    frames = [pandas.read_csv(f"{path}/part{i}_dataset.csv", dtype=str) for i in range(3)]
+    expected = [tuple(None if x != x else x for x in r) for f in frames for r in f.itertuples(index=False)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        assert rows(spark, path) == sorted(expected, key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+
+
+def test_one_file_with_a_field_over_lines_is_read_by_many_tasks(spark, folder):
+    long = "\n".join(f"line {i}" for i in range(60))
+    path = folder("a,b,c\n" + "".join(f"{i},x,y\n" for i in range(400)) + f'9,"{long}",z\n' + "".join(f"{i},x,y\n" for i in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = csv_files.read_csv(spark, path, ABC)
+        found = df.select("a", "b", F.spark_partition_id().alias("p")).collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(found) == 801 and [r.b for r in found if r.a == "9" and r.b != "x"] == [long]
+    tasks = Counter(r.p for r in found)
+    assert len(tasks) == 4 and max(tasks.values()) < 400
+    # No window takes a whole file.
+    assert re.search(r"hashpartitioning\(file#\d+L, home#\d+L", plan)
+    assert not re.search(r"hashpartitioning\((file|uri)#\d+L?, \d+\)", plan)
+
+
+@pytest.mark.parametrize("size", ["30", "134217728b"])
+def test_a_quote_that_is_never_closed_fails_with_its_place(spark, folder, size):
+    path = folder("a,b,c\n1,2,3\n" + '4,"x\ny",6\n7,"open,8\n' + "9,9,9\n" * 50)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        with pytest.raises(Exception, match="part0_dataset.csv has a quoted field without an end, in the line '7,\"open,8'"):
+            csv_files.read_csv(spark, path, ABC).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+
+
+def test_a_header_over_several_blocks(spark, folder):
+    path = folder("\n" * 90 + 'a,b,c,"long\nheader\nname ' + "x" * 90 + '"\n1,2,"3\n4",5\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        assert rows(spark, path) == [("1", "2", "3\n4")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")

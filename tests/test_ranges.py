@@ -42,7 +42,7 @@ def test_same_order_as_spark_for_all_kinds_of_keys(spark, depth, monkeypatch):
     key = ["s", "x", "d"]
     found = ranges.sampled(df, key, 6, per_range=1)
     assert found.count == 6
-    numbered = df.select(*key, found.id_of([F.col(c) for c in key]).alias("id")).orderBy(*key).collect()
+    numbered = df.select(*key, found.id_of(key).alias("id")).orderBy(*key).collect()
     assert [r.id for r in numbered] == [0, 1, 2, 3, 4, 5]
 
 
