@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom import workspace
 from starloom.llm.bit_slices import BitSlices, letter_matrix
 from starloom.llm.texts import ASCII_LOWER, Hasher, Texts, runs, slices, small_batches
+from starloom.operators.rules import literal_array
 
 LEAST_LETTERS = 5
 LEAST_COUNT = 3
@@ -132,7 +133,7 @@ def _blocks_by_class(words: DataFrame) -> list[int]:
 
 def _entries(words: DataFrame) -> DataFrame:
     """A row for each block a word belongs to."""
-    counts = F.lit(_blocks_by_class(words))
+    counts = literal_array(_blocks_by_class(words))
     size = F.length("word")
     head = F.floor((F.col("short") + 1) / 2).cast("int")
     half = F.when(F.col("first_half"), F.substring(F.col("word"), F.lit(1), head)).otherwise(

@@ -47,7 +47,7 @@ RULES = (
     ("org", "/fr/", ALLOW),
 )
 
-_FIRST = -(1 << 63)  # before every number drawn for a row
+_FIRST = "CAST('-9223372036854775808' AS BIGINT)"  # before every number drawn for a row
 _MATCHES = "id long, size int, host_size int, rule string, verdict string"
 
 
@@ -190,11 +190,11 @@ def longest_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     bounds = ranges.sampled(points, ["key", "draw"], int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     dealt = points.select(
-        bounds.id_of([F.col("key"), F.col("draw")]).alias(ranges.RANGE), "key", F.lit(True).alias("is_url"), "id"
+        bounds.id_of(["key", "draw"]).alias(ranges.RANGE), "key", F.lit(True).alias("is_url"), "id"
     )
     # Text in UTF-8 holds no 0xFF, so this ends the interval of all keys with that start.
-    last = bounds.id_of([F.concat("key", F.lit(b"\xff")), F.lit(_FIRST)])
-    first = bounds.id_of([F.col("key"), F.lit(_FIRST)])
+    last = bounds.id_of(["concat(key, X'FF')", _FIRST])
+    first = bounds.id_of(["key", _FIRST])
     opened = intervals.select(
         F.explode(F.sequence(first, last)).alias(ranges.RANGE),
         "key",
