@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm import resident
-from starloom.llm.texts import Texts, slices
+from starloom.llm.texts import Texts, plainly_named, slices
 
 UNDETERMINED = "und"
 SEGMENT = 512
@@ -261,6 +261,11 @@ def language_report(documents: DataFrame) -> DataFrame:
 
 
 def with_known_language(documents: DataFrame) -> DataFrame:
-    """Documents in a language the samples know; the rest (``und``) go."""
+    """Documents in a language the samples know; the rest (``und``) go.
+
+    A null or empty text has no language. Repeated rows stay, each with all its columns,
+    whatever they are called; an empty table stays empty.
+    """
+    documents, columns = plainly_named(documents, ("doc_id", "text", "lang"))
     found = identify(documents)
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*documents.columns)
+    return found.where(F.col("lang_pred") != UNDETERMINED).select(*columns)

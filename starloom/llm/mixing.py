@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom import workspace
+from starloom.llm.texts import plainly_named
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Fixed by the contract: weights by rank of the source, and the most a source may repeat.
@@ -232,6 +233,7 @@ def repeated(documents: DataFrame) -> DataFrame:
     whatever ids they share: those alike in id, source and size lie together in the shuffled
     run, so only where the target ends among them do they differ, by one copy.
     """
+    documents, columns = plainly_named(documents, ("doc_id", "text", "source"))
     copies = F.round(F.col("taken") / F.greatest(F.lit(1), F.col("size"))).cast("int")
     alike = (
         _taken(documents, BLOCK_WORDS)
@@ -256,7 +258,7 @@ def repeated(documents: DataFrame) -> DataFrame:
         whole.unionByName(ends)
         .where(F.col("_n") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .select(*documents.columns)
+        .select(*columns)
     )
 
 

@@ -6,13 +6,13 @@ words is array work over the slice's UTF-8 bytes, so no Python object exists per
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom import session
 
@@ -44,6 +44,13 @@ def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
     return session.setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
+def plainly_named(documents: DataFrame, kept: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Documents under names that nothing else uses, but for the ``kept`` columns, and the
+    columns to select in the end: whatever the caller's are called, they come back as they were."""
+    names = [c if c in kept else f"column{i}" for i, c in enumerate(documents.columns)]
+    return documents.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, documents.columns, strict=True)]
+
+
 class Texts:
     """The texts of some rows as one byte array with row bounds; null counts as empty."""
 

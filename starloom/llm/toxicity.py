@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm import resident
 from starloom.llm.language import held_out
-from starloom.llm.texts import ASCII_LOWER, Hasher, Texts, byte_table, runs, slices, windows
+from starloom.llm.texts import ASCII_LOWER, Hasher, Texts, byte_table, plainly_named, runs, slices, windows
 
 # Letters, digits and every byte of a non-ASCII letter.
 _WORD = byte_table(bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(128, 256)))
@@ -426,6 +426,11 @@ def toxicity_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents scored below 0.5; the rest go."""
+    """Documents scored below 0.5; the rest go.
+
+    Texts that are null or empty are scored too. Repeated rows stay or go alike, each with all
+    its columns, whatever they are called; an empty table stays empty.
+    """
+    documents, columns = plainly_named(documents, ("doc_id", "text"))
     scored = score(documents, fit(documents, labels))
-    return scored.where(F.col("score") < 0.5).select(*documents.columns)
+    return scored.where(F.col("score") < 0.5).select(*columns)
