@@ -55,14 +55,25 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in system.listStatus(place) if s.isDirectory())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _system(spark, path)
+    return system.exists(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _system(spark, path)
     system.delete(place, True)
 
 
-def read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
     system, place = _system(spark, path)
-    stream = system.open(place)
+    try:
+        stream = system.open(place)
+    except Py4JJavaError as error:
+        if "FileNotFound" not in error.java_exception.getClass().getName():
+            raise
+        return None
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:

@@ -8,38 +8,45 @@ import sys
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
-from typing import NamedTuple
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 
 from starloom import files, session, workspace
-from starloom.jobs import publish
+from starloom.jobs import history, publish
+from starloom.jobs.history import Stage
 from starloom.jobs.ingest import ingest
 from starloom.jobs.transform import transform
 from starloom.jobs.validate import validate
+from starloom.operators import quality
 
 logger = logging.getLogger(__name__)
 
 STAGES = ("ingest", "validate", "transform")
 
-
-class StageTime(NamedTuple):
-    stage: str
-    seconds: float
+# Characters of a failure that are kept with the load.
+_ERROR_LENGTH = 2_000
 
 
 @contextmanager
-def recorded(stage: str, times: list[StageTime]) -> Iterator[None]:
-    """Log a stage's start and end or failure; its time goes to ``times`` when it is done."""
+def recorded(stage: str, done: list[Stage]) -> Iterator[Stage]:
+    """Log a stage's start and end or failure; what it did goes to ``done`` either way."""
     logger.info("%s starts", stage)
     started = time.monotonic()
+    current = Stage(stage)
+    done.append(current)
     try:
-        yield
-    except Exception:
-        logger.exception("%s failed after %.2f s", stage, time.monotonic() - started)
+        yield current
+    except Exception as error:
+        current.seconds = time.monotonic() - started
+        current.error = f"{type(error).__name__}: {error}"[:_ERROR_LENGTH]
+        logger.exception("%s failed after %.2f s", stage, current.seconds)
         raise
-    times.append(StageTime(stage, time.monotonic() - started))
-    logger.info("%s took %.2f s", *times[-1])
+    current.outcome, current.seconds = history.DONE, time.monotonic() - started
+    logger.info("%s took %.2f s", stage, current.seconds)
+
+
+def _checked_rows(checks: list[Row]) -> dict[str, int]:
+    return {r.table_name.split(".")[-1]: r.measured for r in checks if r.check_name == quality.ROW_COUNT}
 
 
 def load(
@@ -48,28 +55,33 @@ def load(
     raw: str | None = None,
     stages: tuple[str, ...] = STAGES,
     patterns: dict[str, str] | None = None,
-) -> list[StageTime]:
-    """Run the stages in order; a failing one ends the load.
+) -> list[Stage]:
+    """Run the stages in order; a failing one ends the load. What they did is kept.
 
     Validate and transform work on the same staged run, whatever is staged meanwhile.
     """
-    times: list[StageTime] = []
-    if "ingest" in stages:
-        with recorded("ingest", times):
-            ingest(spark, raw, root, patterns)
-    later = [(name, work) for name, work in (("validate", validate), ("transform", transform)) if name in stages]
-    if later:
-        layer = publish.staging(spark, root)
-        run_id = layer.current_run()
-        staged_bytes = files.total_length(spark, layer.run_folder(run_id)) if run_id else 0
-        with session.sized_shuffles(spark, staged_bytes):
-            for name, work in later:
-                with recorded(name, times):
-                    work(spark, root, run_id)
-    if "drop-replaced" in stages:
-        with recorded("drop-replaced", times):
-            publish.drop_replaced(spark, root)
-    return times
+    done: list[Stage] = []
+    try:
+        if "ingest" in stages:
+            with recorded("ingest", done) as stage:
+                stage.row_counts = ingest(spark, raw, root, patterns)
+        if "validate" in stages or "transform" in stages:
+            layer = publish.staging(spark, root)
+            run_id = layer.current_run()
+            staged_bytes = files.total_length(spark, layer.run_folder(run_id)) if run_id else 0
+            with session.sized_shuffles(spark, staged_bytes):
+                if "validate" in stages:
+                    with recorded("validate", done) as stage:
+                        stage.row_counts = _checked_rows(validate(spark, root, run_id))
+                if "transform" in stages:
+                    with recorded("transform", done) as stage:
+                        stage.row_counts = transform(spark, root, run_id)
+        if "drop-replaced" in stages:
+            with recorded("drop-replaced", done):
+                publish.drop_replaced(spark, root)
+    finally:
+        history.record(spark, root, done)
+    return done
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -97,13 +109,13 @@ def main(argv: list[str] | None = None) -> int:
     stages = STAGES if args.stage == "all" else (args.stage,)
     spark = session.configure(session.build_session(master=args.master))
     try:
-        times = load(spark, args.root, args.raw, stages, patterns)
+        done = load(spark, args.root, args.raw, stages, patterns)
     except Exception:
         return 1
     finally:
         workspace.clear(spark)
         spark.stop()
-    logger.info("done in %.2f s", sum(t.seconds for t in times))
+    logger.info("done in %.2f s", sum(s.seconds for s in done))
     return 0
 
 

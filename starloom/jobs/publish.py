@@ -4,7 +4,8 @@
 file per published load, numbered from 1. A load publishes by creating the file of the next
 number, which only one of several at a time can; the others take the numbers after it. A load
 that fails is never named and its folder is removed, so readers keep the last one; no folder
-in use is ever overwritten. Replaced runs stay readable until they are dropped.
+in use is ever overwritten. Replaced runs stay readable until they are dropped, and those a
+reader holds a lease on, or a load is writing, are not dropped.
 """
 
 from __future__ import annotations
@@ -21,11 +22,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom import files
 from starloom.functions import temporal
+from starloom.jobs.numbered import NumberedFiles, NumberTaken
 
 _RUNS = "run_id string, sequence long, published_at timestamp_ntz, row_counts map<string, bigint>"
 
-# How often a load tries for the next number, each time it was taken by another load.
-_ATTEMPTS = 100
+# A lease ends by itself after so long, should its holder be lost.
+LEASE_HOURS = 24.0
+# The same for the mark on a run that is being dropped.
+DROP_HOURS = 1.0
+
+
+def _until(hours: float) -> str:
+    return json.dumps({"until": time.time() + 3600 * hours})
 
 
 class PublishConflict(RuntimeError):
@@ -48,10 +56,7 @@ class Layer:
         self.spark = spark
         self.folder = f"{root.rstrip('/')}/{name}"
         self.name = name
-
-    @property
-    def _manifests(self) -> str:
-        return f"{self.folder}/manifests"
+        self._manifests = NumberedFiles(spark, f"{self.folder}/manifests")
 
     def new_run(self) -> str:
         return f"{temporal.now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -61,13 +66,56 @@ class Layer:
 
     @contextmanager
     def new_load(self) -> Iterator[str]:
-        """A fresh run; what a failing load has written is removed."""
+        """A fresh run, under a lease; what a failing load has written is removed."""
         run_id = self.new_run()
+        lease = self._take_lease(run_id, LEASE_HOURS)
         try:
             yield run_id
         except BaseException:
             files.delete(self.spark, self.run_folder(run_id))
             raise
+        finally:
+            files.delete(self.spark, lease)
+
+    @contextmanager
+    def reading(self, run_id: str | None = None, hours: float = LEASE_HOURS) -> Iterator[str]:
+        """A run that is not dropped meanwhile, the current one unless another is named.
+
+        The lease ends with the block, or after so many hours if the reader is lost. A reader
+        first writes its lease and then looks whether the run is being dropped, who drops
+        runs first marks one and then looks for leases; so one of them always sees the other.
+        """
+        while True:
+            held = run_id or self.current_run()
+            if held is None:
+                raise LookupError(f"nothing published in layer {self.name}")
+            lease = self._take_lease(held, hours)
+            try:
+                if files.exists(self.spark, self.run_folder(held)) and not self._holds(self._mark(held)):
+                    yield held
+                    return
+            finally:
+                files.delete(self.spark, lease)
+            if run_id:
+                raise LookupError(f"run {run_id} of layer {self.name} has been dropped")
+            time.sleep(random.uniform(0, 0.05))
+
+    def _take_lease(self, run_id: str, hours: float) -> str:
+        path = f"{self.folder}/leases/{run_id}/{uuid.uuid4().hex}.json"
+        files.create_new(self.spark, path, _until(hours))
+        return path
+
+    def _holds(self, path: str) -> bool:
+        """Whether a lease or mark is there and has not ended; one without its text holds."""
+        text = files.read_text(self.spark, path)
+        return text is not None and (not text or json.loads(text)["until"] > time.time())
+
+    def _is_leased(self, run_id: str) -> bool:
+        leases = files.list_files(self.spark, f"{self.folder}/leases/{run_id}")
+        return any(self._holds(lease.path) for lease in leases)
+
+    def _mark(self, run_id: str) -> str:
+        return f"{self.folder}/dropping/{run_id}.json"
 
     def publish(self, run_id: str, row_counts: Mapping[str, int], after: int | None = None) -> int:
         """Name the run current; its number.
@@ -77,39 +125,22 @@ class Layer:
         if the load of that number (0: none) is still the last one: a load built on what was
         current then cannot replace one it has not seen.
         """
-        for attempt in range(_ATTEMPTS):
-            last = self._last_number()
-            if after is not None and last != after:
-                raise PublishConflict(f"load {last} of layer {self.name} was published after load {after}")
-            manifest = Manifest(last + 1, run_id, str(temporal.now()), dict(row_counts))
-            if files.create_new(self.spark, self._path(manifest.sequence), json.dumps(manifest._asdict())):
-                return manifest.sequence
-            # Another load has taken the number.
-            time.sleep(random.uniform(0, 0.01 * (attempt + 1)))
-        raise PublishConflict(f"no number to be had in layer {self.name} in {_ATTEMPTS} attempts")
-
-    def _path(self, sequence: int) -> str:
-        return f"{self._manifests}/{sequence:012d}.json"
-
-    def _numbers(self) -> list[int]:
-        names = [f.path.rsplit("/", 1)[-1] for f in files.list_files(self.spark, self._manifests)]
-        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
-
-    def _last_number(self) -> int:
-        return max(self._numbers(), default=0)
+        def manifest(number: int) -> str:
+            return json.dumps(Manifest(number, run_id, str(temporal.now()), dict(row_counts))._asdict())
+
+        try:
+            return self._manifests.append(manifest, after)
+        except NumberTaken as taken:
+            raise PublishConflict(f"layer {self.name}: {taken}") from taken
 
     def published(self) -> DataFrame:
         """All published loads, replaced ones included."""
-        return self.spark.read.schema(_RUNS).json(self._manifests)
+        return self.spark.read.schema(_RUNS).json(self._manifests.folder)
 
     def latest(self) -> Manifest | None:
         """The load published last, or None before the first."""
-        # A file system may show a file before its text; then it is not published yet.
-        for number in reversed(self._numbers()):
-            text = files.read_text(self.spark, self._path(number))
-            if text:
-                return Manifest(**json.loads(text))
-        return None
+        text = self._manifests.last_text()
+        return Manifest(**json.loads(text)) if text else None
 
     def current_run(self) -> str | None:
         """The run published last, or None before the first."""
@@ -117,17 +148,25 @@ class Layer:
         return latest.run_id if latest else None
 
     def drop_replaced(self) -> list[str]:
-        """Remove every run but the current one, with the lists of duplicates; their ids.
-
-        For quiet times: a load in progress, or a reader of an earlier run, would lose data.
-        """
+        """Remove every run but the current one and those under a lease, with the lists of
+        duplicates; their ids. A reader without a lease would lose its run."""
         current = self.current_run()
         dropped = []
         for folder in files.list_folders(self.spark, self.folder):
-            name = folder.rsplit("/", 1)[-1]
-            if name.startswith("run=") and name != f"run={current}":
+            run_id = folder.rsplit("/", 1)[-1].removeprefix("run=")
+            if not folder.endswith(f"/run={run_id}") or run_id == current:
+                continue
+            mark = self._mark(run_id)
+            if not self._holds(mark):
+                files.delete(self.spark, mark)
+            if not files.create_new(self.spark, mark, _until(DROP_HOURS)):
+                continue  # another job is dropping it
+            # In this order: a load is published before it gives up its lease.
+            if not self._is_leased(run_id) and run_id != self.current_run():
                 files.delete(self.spark, folder)
-                dropped.append(name.removeprefix("run="))
+                files.delete(self.spark, f"{self.folder}/leases/{run_id}")
+                dropped.append(run_id)
+            files.delete(self.spark, mark)
         files.delete(self.spark, f"{self.folder}/duplicates")
         return dropped
 

@@ -460,6 +460,18 @@ SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
        customer_state
 FROM stg_customers"""
 
+def _load_row_counts() -> str:
+    """Rows by stage and table: what is staged, checked, and built."""
+    staged, built = list(_FEEDS), ["dim_customers", "dim_products", "dim_time", "fact"]
+    names = {"ingest": staged, "validate": staged, "transform": built}
+    return " UNION ALL ".join(
+        f"SELECT 1::BIGINT AS load, '{stage}' AS stage, '{'fact_orders' if t == 'fact' else t}' AS table_name,"
+        f" count(*) AS row_count FROM {t}"
+        for stage, tables in names.items()
+        for t in tables
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "revenue_by_month_category": _with((*_STAGED, *_DIMS, _FACT), _REVENUE),
     "dim_customers": _with((_STG_CUSTOMERS, _DIM_CUSTOMERS), "SELECT * FROM dim_customers"),
@@ -509,6 +521,7 @@ ORACLE_SQL: dict[str, str] = {
     "stage_customers": _with((_STG_CUSTOMERS,), "SELECT * FROM stg_customers"),
     "stage_products": _with((_STG_PRODUCTS,), "SELECT * FROM stg_products"),
     "full_load": _with((*_STAGED, *_DIMS, _FACT), _FACT_ORDERS),
+    "load_row_counts": _with((*_gapped(_STAGED), *_DIMS, _FACT), _load_row_counts()),
     "reload_dim_customers": _with(
         (_STG_CUSTOMERS, _DIM_CUSTOMERS), "SELECT * FROM dim_customers"
     ),

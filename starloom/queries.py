@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom import session, workspace
 from starloom.functions import numeric, temporal, text
-from starloom.jobs import ingest, load, publish
+from starloom.jobs import history, ingest, load, publish
 from starloom.operators import constraints, keys, quality
 from starloom.plans import dimensions, fact, reports, star
 from starloom.schemas import (
@@ -371,15 +371,24 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The jobs themselves, on a root folder of their own.
 
 
-def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published fact after ingest, gate and transform of CSV files of all four feeds."""
-    staged = samples.staging(spark, sf_dir)
+def _loaded(spark: SparkSession, staged: dict) -> str:
+    """The root folder of a whole load from CSV files of all four feeds."""
     raw = workspace.scratch(spark, "raw")
     for source in SOURCES:
         _write_csv(staged[source.table], f"{raw}/{source.table}")
     root = workspace.scratch(spark, "mart")
     load.load(spark, root, raw, patterns={s.table: s.table for s in SOURCES})
-    layer = publish.warehouse(spark, root)
+    return root
+
+
+def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of feeds with dangling references keeps of itself: rows by stage and table."""
+    return history.row_counts(spark, _loaded(spark, _gapped(spark, sf_dir)))
+
+
+def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact after ingest, gate and transform of CSV files of all four feeds."""
+    layer = publish.warehouse(spark, _loaded(spark, samples.staging(spark, sf_dir)))
     return layer.read(FACT_ORDERS.table, FACT_ORDERS.schema).drop("created_at")
 
 
@@ -447,6 +456,7 @@ _QUERIES: dict[str, Query] = {
     "stage_customers": _staged(CUSTOMERS, samples.customers),
     "stage_products": _staged(PRODUCTS, samples.products),
     "full_load": full_load,
+    "load_row_counts": load_row_counts,
     "reload_dim_customers": reload_dim_customers,
 }
 

@@ -4,7 +4,8 @@ from pathlib import Path
 
 import pytest
 
-from starloom.jobs import load as job, publish
+from starloom import files
+from starloom.jobs import history, load as job, publish
 from starloom.jobs.ingest import ingest
 from starloom.jobs.transform import transform
 from starloom.jobs.validate import validate
@@ -66,7 +67,7 @@ def staged(spark, root, source):
 def test_whole_load(spark, raw, root):
     times = job.load(spark, root, raw())
     assert [t.stage for t in times] == ["ingest", "validate", "transform"]
-    assert all(t.seconds > 0 for t in times)
+    assert all(t.seconds > 0 and t.outcome == "done" for t in times)
     (row,) = stored(spark, root, FACT_ORDERS)
     assert (row.order_item_key, row.order_id, row.delivery_days) == (1, "o1", 8)
     assert str(row.total_revenue) == "38.71"
@@ -163,11 +164,30 @@ def test_other_file_patterns(spark, raw, root):
 
 
 def test_failing_stage_is_named_and_raised(caplog):
-    times = []
-    with pytest.raises(KeyError), job.recorded("ingest", times):
+    done = []
+    with pytest.raises(KeyError), job.recorded("ingest", done):
         raise KeyError("x")
     assert "ingest failed" in caplog.text
-    assert times == []
+    assert [(s.stage, s.outcome, s.error) for s in done] == [("ingest", "failed", "KeyError: 'x'")]
+
+
+def test_loads_are_kept_with_their_stages(spark, raw, root):
+    job.load(spark, root, raw({PRODUCTS: ROWS[PRODUCTS] + ["p2" + "," * 8]}))
+    with pytest.raises(QualityError):
+        job.load(spark, root, raw({CUSTOMERS: ["c1,u,,,"] * 2}))
+    kept = history.loads(spark, root).orderBy("load", "position").collect()
+    assert [(r.load, r.stage, r.outcome) for r in kept] == [
+        (1, "ingest", "done"),
+        (1, "validate", "done"),
+        (1, "transform", "done"),
+        (2, "ingest", "done"),
+        (2, "validate", "failed"),
+    ]
+    assert all(r.seconds > 0 for r in kept) and "duplicate found in primary keys" in kept[-1].error
+    counts = {(r.load, r.stage, r.table_name): r.row_count for r in history.row_counts(spark, root).collect()}
+    assert counts[1, "ingest", "stg_products"] == counts[1, "validate", "stg_products"] == 2
+    assert counts[1, "transform", "dim_products"] == 2 and counts[2, "ingest", "stg_customers"] == 2
+    assert (2, "validate", "stg_customers") not in counts
 
 
 def test_failed_loads_leave_nothing(spark, raw, root):
@@ -191,6 +211,55 @@ def test_replaced_runs_are_dropped_on_request(spark, raw, root):
     job.load(spark, root, stages=("drop-replaced",))
 
 
+def test_a_run_being_read_survives_a_drop(spark, raw, root):
+    layer = publish.staging(spark, root)
+    with pytest.raises(LookupError, match="nothing published"), layer.reading():
+        pass
+    ingest(spark, raw(), root)
+    with layer.reading() as run:
+        rows = layer.read(CUSTOMERS.table, CUSTOMERS.schema, run)
+        ingest(spark, raw({CUSTOMERS: ["c5,u5,,,"]}), root)
+        assert layer.drop_replaced() == []
+        assert [r.customer_id for r in rows.collect()] == ["c1"]
+    assert layer.drop_replaced() == [run]
+    with pytest.raises(LookupError, match="has been dropped"), layer.reading(run):
+        pass
+    with layer.reading() as run:
+        assert run == layer.current_run()
+
+
+def test_a_lease_ends_by_itself_and_a_load_in_progress_is_kept(spark, raw, root):
+    layer = publish.staging(spark, root)
+    ingest(spark, raw(), root)
+    ended = layer.reading(hours=-1)
+    first = ended.__enter__()
+    ingest(spark, raw(), root)
+    with layer.new_load() as run:
+        spark.range(3).write.parquet(f"{layer.run_folder(run)}/t")
+        assert layer.drop_replaced() == [first]
+        assert spark.read.parquet(f"{layer.run_folder(run)}/t").count() == 3
+
+
+def test_readers_and_drops_at_the_same_time(spark, root):
+    """Whoever has a lease finds the run's files, however the runs come and go."""
+    layer = publish.staging(spark, root)
+
+    def publish_one(i):
+        with layer.new_load() as run:
+            files.create_new(spark, f"{layer.run_folder(run)}/t", run)
+            layer.publish(run, {})
+
+    def read_one(i):
+        with layer.reading() as run:
+            return files.read_text(spark, f"{layer.run_folder(run)}/t") == run
+
+    publish_one(0)
+    work = [publish_one, read_one, lambda i: layer.drop_replaced(), read_one]
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda i: work[i % 4](i), range(80)))
+    assert all(found[i] is True for i in range(80) if i % 4 in (1, 3))
+
+
 def test_transform_takes_the_run_that_was_validated(spark, raw, root):
     ingest(spark, raw(), root)
     run = publish.staging(spark, root).current_run()
