@@ -300,7 +300,7 @@ def test_a_load_on_what_was_current_does_not_replace_a_later_one(spark, root):
     layer = publish.warehouse(spark, root)
     assert layer.publish("a", {}, after=0) == 1
     assert layer.publish("b", {}) == 2
-    with pytest.raises(publish.PublishConflict, match="load 2 of layer warehouse was published after load 1"):
+    with pytest.raises(publish.PublishConflict, match="layer warehouse: number 2 came after number 1"):
         layer.publish("c", {}, after=1)
     assert layer.current_run() == "b"
 
