@@ -37,7 +37,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom import workspace
 from starloom.llm import resident
 from starloom.llm.components import connected
-from starloom.llm.texts import ASCII_LOWER, NOT_BLANK, U64, Hasher, Texts, mix, runs, slices, small_batches, windows
+from starloom.llm.texts import (
+    ASCII_LOWER,
+    NOT_BLANK,
+    U64,
+    Hasher,
+    Texts,
+    mix,
+    plainly_named,
+    runs,
+    slices,
+    small_batches,
+    windows,
+)
 
 #: Words of a shingle and the least similarity, unless a caller asks for others.
 WORDS = 5
@@ -464,6 +476,7 @@ def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
     equal rows with one id a single one stays; where an id has several texts, all of them
     stay unless each is a copy of another document.
     """
+    documents, columns = plainly_named(documents, ("doc_id", "text"))
     found = joined(documents, words, percent).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     by_id = found.groupBy("doc_id").agg(
         F.min(F.col("doc_id") != F.col("component_id")).alias("_spare"), F.count(F.lit(1)).alias("_rows")
@@ -476,6 +489,6 @@ def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
     kept = documents.join(odd, same, "left_anti")
     repeated = odd.where(~F.col("_spare"))
     if repeated.isEmpty():
-        return kept.select(*documents.columns)
+        return kept.select(*columns)
     again = documents.join(repeated, documents["doc_id"] == repeated["_id"], "left_semi")
-    return kept.select(*documents.columns).unionByName(again.dropDuplicates(["doc_id", "text"]))
+    return kept.unionByName(again.dropDuplicates(["doc_id", "text"])).select(*columns)

@@ -47,3 +47,26 @@ def test_run_applies_the_stages(spark):
     again = corpus_pipeline.run(spark, SMALL)
     key = ["doc_id", "start", "length", "ids_crc32"]
     assert rows.select(*key).exceptAll(again.select(*key)).isEmpty()
+
+
+def test_stages_keep_the_callers_columns_and_their_values(spark, tmp_path):
+    """Columns named like those a stage makes for itself come back as they were."""
+    import datetime
+
+    own = ["lang_pred", "score", "_id", "_n", "_size", "_source", "_low", "_copy", "_spare", "_rows", "a`b", "held.out"]
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [
+        (*row, *[f"{name} {row['doc_id']}" for name in own], datetime.date(2020, 1, 1 + (row["doc_id"] or 0) % 28))
+        for row in documents.collect()
+    ]
+    fields = ", ".join("`" + f.name + "` " + f.dataType.simpleString() for f in documents.schema)
+    made = ", ".join("`" + name.replace("`", "``") + "` string" for name in own)
+    docs = spark.createDataFrame(rows, f"{fields}, {made}, day date")
+    columns = docs.columns
+    expected = {row[0]: tuple(row) for row in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SMALL).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == columns
+        found = docs.collect()
+        assert found and all(tuple(row) == expected[row[0]] for row in found)
