@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from starloom import workspace
 from starloom.llm import cutting_stock
 from starloom.llm.texts import slices, small_batches
-from starloom.llm.tokenizing import SLICE_BYTES, TokenizerFile, encoder, with_end
+from starloom.llm.tokenizing import CACHED_PIECES, SLICE_BYTES, TokenizerFile, encoder, with_end
 
 CAPACITY = 4096
 END_ID = 2
@@ -37,15 +37,25 @@ _PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def token_pieces(
-    documents: DataFrame, tokenizer: TokenizerFile, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False
+    documents: DataFrame,
+    tokenizer: TokenizerFile,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    with_ids: bool = False,
+    cached: int = CACHED_PIECES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Tokenize and cut: one row per piece, its ids only if asked for."""
+    """Tokenize and cut: one row per piece, its ids only if asked for.
+
+    A worker encodes ``slice_bytes`` of text at a time, or one document, and keeps the ids of
+    twice ``cached`` pieces of text at most.
+    """
     # The vocabulary file: fixed in size whatever the data.
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer.definition)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared.value).encode
-        for batch in slices(batches, "text", SLICE_BYTES):
+        encode = encoder(shared.value, cached).encode
+        for batch in slices(batches, "text", slice_bytes):
             ids, bounds = with_end(*encode(batch.column("text")), end_id)
             tokens = np.diff(bounds)
             count = -(-tokens // capacity)
@@ -150,14 +160,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("_place")
 
 
-def packed(documents: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
+def packed(
+    documents: DataFrame, tokenizer: TokenizerFile, cached: int = CACHED_PIECES, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``."""
     spark = documents.sparkSession
     folder = workspace.scratch(spark, "pack-pieces")
     # Texts are tokenized once; the plan and the ranks both read the written pieces.
     with small_batches(spark):
-        token_pieces(documents, tokenizer).write.parquet(folder)
+        token_pieces(documents, tokenizer, cached=cached, slice_bytes=slice_bytes).write.parquet(folder)
     return pack(spark.read.parquet(folder))
 
 

@@ -64,13 +64,15 @@ class _Cache:
     that ends a word.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], blank: str, inner: _Cache | None = None) -> None:
-        self._encode, self._blank, self._inner = encode, blank, inner or self
+    def __init__(
+        self, encode: Callable[[list[str]], list[bytes]], blank: str, most: int, inner: _Cache | None = None
+    ) -> None:
+        self._encode, self._blank, self._most, self._inner = encode, blank, most, inner or self
         self._ids: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
 
     def look_up(self, pieces: list[str]) -> list[bytes]:
-        if len(self._ids) > CACHED_PIECES:
+        if len(self._ids) > self._most:
             self._before, self._ids = self._ids, {}
         known = self._ids
         found = list(map(known.get, pieces))
@@ -127,15 +129,15 @@ def _lowered(column: pa.Array) -> pa.Array:
 
 
 class PieceEncoder:
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, cached: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(definition)
         self._keeps_blanks = _keeps_blanks(definition)
         self._specials = [t["content"] for t in json.loads(definition)["added_tokens"]]
-        self._firsts = _Cache(self._encode, "")
-        self._pieces = _Cache(self._encode, " ", self._firsts) if self._keeps_blanks else self._firsts
+        self._firsts = _Cache(self._encode, "", cached)
+        self._pieces = _Cache(self._encode, " ", cached, self._firsts) if self._keeps_blanks else self._firsts
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -213,5 +215,5 @@ def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarr
     return out, ended
 
 
-def encoder(definition: str) -> PieceEncoder:
-    return resident.keep(("encoder", definition), lambda: PieceEncoder(definition))
+def encoder(definition: str, cached: int = CACHED_PIECES) -> PieceEncoder:
+    return resident.keep(("encoder", definition, cached), lambda: PieceEncoder(definition, cached))
