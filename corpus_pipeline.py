@@ -12,6 +12,10 @@ from starloom.llm import jaccard, language, mixing, packing, toxicity
 from starloom.llm.texts import BATCH_ROWS
 from starloom.llm.tokenizing import TokenizerFile
 
+# The executors' memory is used by then, so the tokenizer's workers hold less than they might.
+CACHED_PIECES = 20_000
+SLICE_BYTES = 1 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -37,7 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the pieces of all documents with their places in the training sequences."""
-    return packing.packed(docs, TokenizerFile.read(public_tokenizers.path("word_bpe_49k.json")))
+    tokenizer = TokenizerFile.read(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(docs, tokenizer, cached=CACHED_PIECES, slice_bytes=SLICE_BYTES)
 
 
 def _in_small_batches(stage: Stage) -> Stage:
