@@ -13,6 +13,7 @@ import logging
 import re
 from collections.abc import Callable
 from functools import reduce
+from operator import or_
 from typing import NamedTuple
 from urllib.parse import unquote, urlparse
 
@@ -61,6 +62,8 @@ _CLOSES = f"^{_QUOTED}(?:,{_FIELD})*+$"
 # One field after the other, each with the comma behind it, and the two parts of a quoted one.
 _FIELDS = r'("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+),'
 _QUOTED_FIELD = r'^"([^"]*+(?:""[^"]*+)*+)"([^,]*+)$'
+# What a line shows, as bits.
+_UNDECODABLE, _NUL, _DOUBTFUL = 1, 2, 4
 _GLOB_SIGNS = r"([\[\]{}*?\\])"
 
 
@@ -85,31 +88,39 @@ def _header_fields(line: str | None) -> list[str | None]:
     return [name or None for name in next(csv.reader([line]))]
 
 
-def _scan(spark: SparkSession, path: str) -> list[_Seen]:
-    """Header and kind of every file; fails on bytes that are not text.
+def _per_file(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """What the lines of each file show: one aggregate over all lines, a row a file.
 
-    One aggregate over all lines, a row a file.
+    The signs of lines are collected as a set of few numbers. With a set among them Spark
+    keeps the aggregates of a file as objects, and does not sort the lines by file, all of
+    them in memory, for the sake of the first one's text.
     """
-    found = storage.list_files(spark, path)
-    if not found:
-        raise FileNotFoundError(f"File not found: {path}")
     line = F.col("value")
     filled = F.trim(line, F.lit(" \t")) != ""
-    lines = spark.read.text(_exact([f.path for f in found])).select(
+    lines = spark.read.text(_exact(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
     )
-    per_file = lines.groupBy("uri").agg(
-        F.max(~F.is_valid_utf8(line)).alias("undecodable"),
-        F.max(F.contains(line, F.lit("\u0000"))).alias("nul"),
-        F.max(F.contains(line, F.lit('"')) & ~line.rlike(_PLAIN_LINE)).alias("doubtful"),
+    undecodable = ~F.is_valid_utf8(line)
+    nul = F.contains(line, F.lit("\u0000"))
+    doubtful = F.contains(line, F.lit('"')) & ~line.rlike(_PLAIN_LINE)
+    signs = (_UNDECODABLE, undecodable), (_NUL, nul), (_DOUBTFUL, doubtful)
+    return lines.groupBy("uri").agg(
+        F.collect_set(reduce(Column.bitwiseOR, [F.when(shown, bit).otherwise(0) for bit, shown in signs])).alias("signs"),
         F.min(F.when(filled, F.struct("block", "id", "value"))).alias("first"),
         F.max("block").alias("last_block"),
         _file().alias("file"),
     )
-    rows = per_file.collect()
+
+
+def _scan(spark: SparkSession, path: str) -> list[_Seen]:
+    """Header and kind of every file; fails on bytes that are not text."""
+    found = storage.list_files(spark, path)
+    if not found:
+        raise FileNotFoundError(f"File not found: {path}")
+    rows = _per_file(spark, [f.path for f in found]).collect()
     if len({row["file"] for row in rows}) < len(rows):
         raise ValueError(f"two file names of {path} have the same hash; rename one")
     seen = {unquote(urlparse(row["uri"]).path): row for row in rows}
@@ -120,12 +131,13 @@ def _scan(spark: SparkSession, path: str) -> list[_Seen]:
             if len(found) == 1:
                 raise ValueError(f"{path} has no header")
             continue
-        if row["undecodable"]:
+        found_signs = reduce(or_, row["signs"])
+        if found_signs & _UNDECODABLE:
             raise ValueError(f"{file.path} holds bytes that are not UTF-8")
-        if row["nul"]:
+        if found_signs & _NUL:
             raise ValueError(f"{file.path} holds a NUL character")
         header = _header_fields(row["first"]["value"].lstrip("\ufeff"))
-        result.append(_Seen(file.path, header, not row["doubtful"], row["last_block"]))
+        result.append(_Seen(file.path, header, not found_signs & _DOUBTFUL, row["last_block"]))
     if not result:
         raise ValueError(f"{path} has no header")
     return result
