@@ -2,8 +2,8 @@
 
 Every row leaves a few marks: one that says which of the row rules it breaks, one a key that
 must be unique, one a reference it makes and one a reference others make to it. A mark holds
-the number of its rule and 128 bits of hash instead of the key, so the marks of all tables
-and rules can be counted together. Marks of a kind combine before the shuffle: rows that
+the number of its rule and 128 bits of hash instead of the key (a whole number as it is), so
+the marks of all tables and rules can be counted together. Marks of a kind combine before the shuffle: rows that
 break the same rules, and rows with equal references, travel as one each.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ROWS = "rows"
 
@@ -51,7 +51,17 @@ def _text(value: str) -> str:
     return f"CAST(X'{value.encode().hex()}' AS STRING)"
 
 
-def _hashes(columns: Sequence[Column]) -> list[Column]:
+def _hashes(frame: DataFrame, columns: Sequence[str], like: T.DataType | None = None) -> list[Column]:
+    """Two numbers for a key, for one column as the type it is compared as: a whole number by
+    itself, which is shorter than its hash once compressed."""
+    kinds = [frame.schema[c].dataType if like is None else like for c in columns]
+    keys = [F.col(c).cast(kind) for c, kind in zip(columns, kinds)]
+    if len(keys) == 1 and isinstance(kinds[0], T.IntegralType):
+        return [keys[0].cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2")]
+    return _hashed(keys)
+
+
+def _hashed(columns: Sequence[Column]) -> list[Column]:
     # A hash passes over NULLs, so where they are is hashed too.
     parts = [*columns, *[c.isNull() for c in columns]]
     return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")]
@@ -91,18 +101,18 @@ def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFra
             kinds[numbers[0]] = _ROW
         for name, columns in r.unique.items():
             kinds[number[r.table, name]] = _REPEATED
-            marks[r.table].append(_mark(number[r.table, name], _hashes([F.col(c) for c in columns])))
+            marks[r.table].append(_mark(number[r.table, name], _hashes(frames[r.table], columns)))
         for name, column in r.primary.items():
             kinds[number[r.table, name]] = _REPEATED_OR_MISSING
-            key = F.col(column)
-            marks[r.table].append(_mark(number[r.table, name], _hashes([key]), missing=key.isNull()))
+            hashes = _hashes(frames[r.table], [column])
+            marks[r.table].append(_mark(number[r.table, name], hashes, missing=F.col(column).isNull()))
         for name, (column, parent, parent_column) in r.references.items():
             n = number[r.table, name]
             kinds[n] = _ORPHAN
-            held = F.col(parent_column)
-            key = F.col(column).cast(frames[parent].schema[parent_column].dataType)
-            marks[r.table].append(_mark(n, _hashes([key]), missing=key.isNull()))
-            marks.setdefault(parent, []).append(_mark(n, _hashes([held]), own=0))
+            like = frames[parent].schema[parent_column].dataType
+            missing = F.col(column).cast(like).isNull()
+            marks[r.table].append(_mark(n, _hashes(frames[r.table], [column], like), missing=missing))
+            marks.setdefault(parent, []).append(_mark(n, _hashes(frames[parent], [parent_column]), own=0))
 
     every = reduce(DataFrame.unionByName, [_marks(frames[table], of) for table, of in marks.items() if of])
     held_too = F.count_if(F.col("own") == 0) > 0
