@@ -28,6 +28,11 @@ def wall_clock(text: Column) -> Column:
     return F.when(text.isNull() | text.rlike(_FULL_DATE), text.cast(T.TimestampNTZType())).otherwise(refused)
 
 
+def wall_clock_or_null(text: Column) -> Column:
+    """NULL where :func:`wall_clock` fails."""
+    return F.when(text.rlike(_FULL_DATE), text.try_cast(T.TimestampNTZType()))
+
+
 def calendar_date(text: Column) -> Column:
     """The date of a timestamp text. A direct date cast would accept trailing garbage."""
     return wall_clock(text).cast(T.DateType())

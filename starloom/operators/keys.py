@@ -22,7 +22,8 @@ _ROW_MASK = (1 << 33) - 1
 
 def key_ranges(keys: DataFrame, order_by: Sequence[str]) -> Ranges:
     """As many ranges as there are shuffle partitions, fewer for few rows."""
-    return ranges.sampled(keys, order_by, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    count = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.sampled(keys, order_by, count).narrowed()
 
 
 def numbered(df: DataFrame, of: Ranges, order_by: Sequence[str], name: str) -> DataFrame:
@@ -50,13 +51,30 @@ def assign_keys(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
 def number_within(
     df: DataFrame, name: str, group: str, order_by: Sequence[str], folder: str
 ) -> DataFrame:
-    """1..n inside each group, in the given total order; ``folder`` receives the ordered rows.
+    """1..n inside each group, in the given total order; ``folder`` receives the numbered rows.
+    Rows without a group are left out.
 
-    A window over the group would put a hot group into one task. Here it is spread by
-    the range partitioning, and its start is a pre-aggregated minimum joined back.
+    A window over the group would put a hot group into one task. Here the rows are dealt to
+    ranges of group and order, and numbered inside a range. A group lies in several ranges
+    only if it is that of several bounds: its rows in the ranges before, one row a range, are
+    then added.
     """
-    everywhere = assign_keys(df, "_number", (group, *order_by))
-    everywhere.write.parquet(folder)
-    stored = df.sparkSession.read.schema(everywhere.schema).parquet(folder)
-    starts = stored.groupBy(group).agg(F.min("_number").alias("_first"))
-    return stored.join(starts, group).select(*df.columns, (F.col("_number") - F.col("_first") + 1).alias(name))
+    order = (group, *order_by)
+    grouped = df.where(F.col(group).isNotNull())
+    of = key_ranges(grouped, order)
+    dealt = ranges.deal(grouped, of, order)
+    # The range is in the window's key, so the rows stay where they were dealt to. It comes
+    # second: Spark sorts by the leading eight bytes first, and a partition has one range.
+    place = F.row_number().over(Window.partitionBy(group, RANGE).orderBy(*order_by))
+    placed = dealt.select("*", place.cast("bigint").alias("_place"))
+    number = F.col("_place")
+    if len(of.schema) > 1:
+        split = list({bound[0] for bound in of.bounds})
+        counts = dealt.where(F.col(group).isin(split)).groupBy(RANGE, group).agg(F.count(F.lit(1)).alias("_rows"))
+        before = Window.partitionBy(group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = counts.select(RANGE, group, F.sum("_rows").over(before).alias("_before"))
+        placed = placed.join(F.broadcast(earlier), [RANGE, group], "left")
+        number = F.coalesce("_before", F.lit(0)) + number
+    within = placed.select(*df.columns, number.alias(name))
+    within.write.parquet(folder)
+    return df.sparkSession.read.schema(within.schema).parquet(folder)

@@ -33,6 +33,18 @@ class Ranges(NamedTuple):
     def count(self) -> int:
         return len(self.bounds) + 1
 
+    def narrowed(self) -> Ranges:
+        """The same bounds by as few leading columns as still tell them apart.
+
+        Rows that agree in those share a range; a value that fills ranges of its own is
+        several bounds, so the columns behind it stay.
+        """
+        for width in range(1, len(self.schema)):
+            cut = [bound[:width] for bound in self.bounds]
+            if len(set(cut)) == len(cut):
+                return Ranges(T.StructType(self.schema.fields[:width]), cut)
+        return self
+
     def id_of(self, key: Sequence[str]) -> Column:
         """The range a key, given in SQL, lies in: how many bounds are not above it. NULL
         sorts first, as it does for Spark.
@@ -125,7 +137,41 @@ def sampled(
     return Ranges(schema, bounds[: count - 1])
 
 
+def _with_range(df: DataFrame, ranges: Ranges, key: Sequence[str]) -> DataFrame:
+    """``df`` with its range as a column, for all rows of a large table.
+
+    A binary search in steps of falling powers of two, each a projection that looks up one
+    bound. The tree of :meth:`Ranges.id_of` compares with every bound by code of its own,
+    which for many bounds or columns is more than the JVM compiles.
+    """
+    if not ranges.bounds:
+        return df.withColumn(RANGE, F.lit(0))
+    types = [f.dataType.simpleString() for f in ranges.schema]
+    rows = [[_literal(v, f.dataType) for v, f in zip(row, ranges.schema, strict=True)] for row in ranges.bounds]
+    parts = [f"CAST({part} AS {kind})" for part, kind in zip(key, types, strict=True)]
+    if len(types) == 1 and all(value is not None for (value,) in rows):
+        # NULL is above no bound.
+        values, sought = [value for (value,) in rows], parts[0]
+    else:
+        # Structs compare part by part, NULL first.
+        values, sought = [_struct(ranges.schema, row, types) for row in rows], _struct(ranges.schema, parts, types)
+    bounds = f"array({', '.join(values)})"
+    found = df.select("*", F.expr(sought).alias("_sought"), F.lit(0).alias(RANGE))
+    for step in (1 << k for k in reversed(range(len(values).bit_length()))):
+        further = F.expr(f"IF(get({bounds}, {RANGE} + {step - 1}) <= _sought, {RANGE} + {step}, {RANGE})")
+        found = found.withColumn(RANGE, further)
+    return found.drop("_sought")
+
+
+def _struct(schema: T.StructType, parts: Sequence[str | None], types: Sequence[str]) -> str:
+    fields = (f"'{n}', {part or f'CAST(NULL AS {kind})'}" for n, part, kind in zip(schema.names, parts, types, strict=True))
+    return f"named_struct({', '.join(fields)})"
+
+
 def deal(df: DataFrame, ranges: Ranges, key: Sequence[str]) -> DataFrame:
-    """``df`` with its range as a column, each range a partition of that number."""
+    """``df`` with its range as a column, each range a partition of that number.
+
+    Narrowed ranges take as many columns of ``key`` as they have.
+    """
     quoted = ["`" + c.replace("`", "``") + "`" for c in key]
-    return df.withColumn(RANGE, ranges.id_of(quoted)).repartitionById(ranges.count, RANGE)
+    return _with_range(df, ranges, quoted[: len(ranges.schema)]).repartitionById(ranges.count, RANGE)

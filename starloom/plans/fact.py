@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import numeric, temporal
 from starloom.plans import dimensions
@@ -79,13 +79,19 @@ def order_items(
 ) -> DataFrame:
     """One row per item whose order, product, customer and date all exist.
 
-    Item and delivery texts are cast only here, after the joins, so bad text in a row
-    that is dropped anyway does not fail the load.
+    Delivery texts are read once an order and not once an item, but one that cannot be read
+    travels as text. Such texts and those of items fail only here, after the joins, so bad
+    text in a row that is dropped anyway does not fail the load.
     """
-    joined = of_known_orders(items_with_keys(items, products), orders_with_keys(orders, customers, time))
+    dated = orders_with_keys(orders, customers, time).select(
+        *["order_id", "customer_key", "time_key", "order_status", "purchase_timestamp"],
+        *_read_early("order_delivered_customer_date", "delivered"),
+        *_read_early("order_estimated_delivery_date", "estimated"),
+    )
+    joined = of_known_orders(items_with_keys(items, products), dated)
     price = numeric.money(F.col("price"))
     freight = numeric.money(F.col("freight_value"))
-    delivered = temporal.wall_clock(F.col("order_delivered_customer_date"))
+    delivered, estimated = _read_or_fail("delivered"), _read_or_fail("estimated")
     purchased = F.col("purchase_timestamp")
     return joined.select(
         "order_id",
@@ -99,14 +105,23 @@ def order_items(
         "order_status",
         "purchase_timestamp",
         delivered.alias("delivery_timestamp"),
-        temporal.midnight(F.col("order_estimated_delivery_date")).alias("estimated_delivery_date"),
-        F.when(
-            F.col("order_delivered_customer_date").isNotNull() & purchased.isNotNull(),
-            temporal.whole_days(purchased, delivered),
-        ).alias("delivery_days"),
+        estimated.cast("date").cast("timestamp_ntz").alias("estimated_delivery_date"),
+        temporal.whole_days(purchased, delivered).alias("delivery_days"),
     )
 
 
+def _read_early(column: str, name: str) -> tuple[Column, Column]:
+    """The time a text holds, and the text if it holds none."""
+    text = F.col(column)
+    read = temporal.wall_clock_or_null(text)
+    return read.alias(name), F.when(read.isNull(), text).alias(f"unread_{name}")
+
+
+def _read_or_fail(name: str) -> Column:
+    unread = F.col(f"unread_{name}")
+    return F.when(unread.isNotNull(), temporal.wall_clock(unread)).otherwise(F.col(name))
+
+
 def join_losses(
     items: DataFrame,
     orders: DataFrame,

@@ -21,7 +21,15 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where all partitions of a side are measured small, they are hashed and neither side sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
+# What the plans of a load need in a session that others have made.
+_STRICT = (
+    "spark.sql.ansi.enabled",
+    "spark.sql.session.timeZone",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold",
+)
 
 # Staged Parquet bytes per shuffle partition; they take several times that as rows.
 # Adaptive execution merges partitions that come out small.
@@ -63,9 +71,10 @@ def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
 
 @contextmanager
 def strict(spark: SparkSession) -> Iterator[None]:
-    """Casts that fail on bad text and zone-free time for the plans made meanwhile."""
+    """Casts that fail on bad text, zone-free time and hash joins of small partitions for the
+    plans made meanwhile."""
     with ExitStack() as settings:
-        for name in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone"):
+        for name in _STRICT:
             settings.enter_context(setting(spark, name, SETTINGS[name]))
         yield
 
