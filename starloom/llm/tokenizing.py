@@ -1,8 +1,10 @@
 """Token ids of whole texts as the tokenizers library gives them, with a bounded cache.
 
 Neither a byte-level pre-tokenizer nor one that drops blanks ever joins text across the
-place before a single blank, so a text is cut there, each distinct piece is encoded by the
-library once per worker, and the ids are joined as bytes. A text in which a blank meets
+place before a single blank, around a single line end, or between a letter and the comma or
+full stop behind it. So a text is cut there, each distinct piece is encoded by the library
+once per worker, and the ids are joined as bytes. A piece of letters alone is one word to the
+pre-tokenizer, so it goes to the library's model directly. A text in which a blank meets
 another white space is encoded whole, since runs of white space are split by lookahead.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from starloom.llm import resident
-from starloom.llm.texts import ASCII_LOWER, Texts
+from starloom.llm.texts import ASCII_LOWER, Texts, byte_table
 
 #: Text bytes that are encoded at a time: repeated pieces are found across them.
 SLICE_BYTES = 4 << 20
@@ -27,7 +30,14 @@ SLICE_BYTES = 4 << 20
 #: Pieces in each of a cache's two generations; one not seen for a generation is forgotten.
 CACHED_PIECES = 300_000
 _LONGEST_CACHED = 64
-_STOPS = (",", ".")
+_STOPS = ",.!?;:"
+#: Letters that no neighbour changes: neither composition nor lower case looks beyond them.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_ASCII_LETTER = byte_table(bytes(range(65, 91)) + bytes(range(97, 123)))
+_ASCII_SHOWN = byte_table(bytes(range(33, 127)))
+# The first byte of U+00C0 to U+00FF in UTF-8, and the last of the two that are no letters.
+_LATIN, _SIGNS = 0xC3, (0x97, 0xB7)
 
 
 @dataclass(frozen=True)
@@ -57,68 +67,55 @@ def _keeps_blanks(definition: str) -> bool:
 
 
 class _Cache:
-    """Ids by piece, bounded: the pieces in use outlive the many that come once.
+    """Ids by piece, bounded: the pieces in use outlive the many that come once."""
 
-    ``inner`` holds pieces that follow no blank. A new piece is made of known ones where the
-    pre-tokenizer would cut it anyway: at single line ends, and before a comma or full stop
-    that ends a word.
-    """
-
-    def __init__(
-        self, encode: Callable[[list[str]], list[bytes]], blank: str, most: int, inner: _Cache | None = None
-    ) -> None:
-        self._encode, self._blank, self._most, self._inner = encode, blank, most, inner or self
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int) -> None:
+        self._encode, self._most = encode, most
         self._ids: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
 
     def look_up(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
         if len(self._ids) > self._most:
             self._before, self._ids = self._ids, {}
         known = self._ids
         found = list(map(known.get, pieces))
         missing = [k for k, ids in enumerate(found) if ids is None]
         names = [pieces[k] for k in missing]
-        composed, single, parts, inner = [], [], [], []
-        for k, piece, ids in zip(missing, names, map(self._before.get, names), strict=True):
-            if ids is not None:
-                found[k] = known[piece] = ids
-            elif piece[-1:] in _STOPS or "\n" in piece:
-                first, *rest = _parts(piece)
-                composed.append((k, first, rest))
-                parts.append(first)
-                inner += rest
-            else:
-                single.append(k)
-        new = [pieces[k] for k in single]
-        self._learn(new + parts)
-        self._inner._learn(inner)
-        for k, piece in zip(single, new, strict=True):
-            found[k] = known[piece]
-        inside = self._inner._ids
-        for k, first, rest in composed:
-            found[k] = known[pieces[k]] = known[first] + b"".join([inside[x] for x in rest])
-        for piece in [x for x in names if len(x) > _LONGEST_CACHED]:
-            known.pop(piece, None)
+        older = list(map(self._before.get, names))
+        made = iter(self._encode([x for x, ids in zip(names, older, strict=True) if ids is None]))
+        for k, piece, ids in zip(missing, names, older, strict=True):
+            found[k] = ids = next(made) if ids is None else ids
+            if len(piece) <= _LONGEST_CACHED:
+                known[piece] = ids
         return found
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = list(set(pieces).difference(self._ids))
-        self._ids.update(zip(new, self._encode([self._blank + x for x in new]), strict=True))
-
-
-def _parts(piece: str) -> list[str]:
-    lines = piece.split("\n")
-    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-        return [piece]
-    parts = []
-    for n, line in enumerate(lines):
-        if n:
-            parts.append("\n")
-        if line[-1:] in _STOPS and line[-2:-1].isalpha():
-            parts += [line[:-1], line[-1]]
-        else:
-            parts.append(line)
-    return parts
+
+class _Words:
+    """Words of plain letters by the library's model, without its steps around the model.
+
+    What these steps make of each letter is asked of the library; nothing is a word here if they
+    would cut a run of letters or if a special string could be part of one.
+    """
+
+    def __init__(self, tokenizer, keeps_blanks: bool, specials: list[str]) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        normalized = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+        letters = "".join(filter(_WORD.fullmatch, map(chr, range(33, 256))))
+        table = {x: as_bytes(normalized(x))[0][0] for x in letters}
+        table[" "] = as_bytes(" ")[0][0] if keeps_blanks else ""
+        self._table = str.maketrans(table)
+        self._model = tokenizer.model
+        probe = " " + letters + letters[::-1]
+        cut = [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normalized(probe))]
+        whole = cut == [probe.translate(self._table)]
+        self.match = _WORD.fullmatch if whole and not any(map(_WORD.fullmatch, specials)) else lambda _: None
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        tokenize = self._model.tokenize
+        return [array("I", [t.id for t in tokenize(x)]).tobytes() for x in "\n".join(words).translate(self._table).split("\n")]
 
 
 def _lowered(column: pa.Array) -> pa.Array:
@@ -136,13 +133,43 @@ class PieceEncoder:
         self._tokenizer = Tokenizer.from_str(definition)
         self._keeps_blanks = _keeps_blanks(definition)
         self._specials = [t["content"] for t in json.loads(definition)["added_tokens"]]
-        self._firsts = _Cache(self._encode, "", cached)
-        self._pieces = _Cache(self._encode, " ", cached, self._firsts) if self._keeps_blanks else self._firsts
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        # Special strings are never cut.
+        self._stops = byte_table("".join(x for x in _STOPS if not any(x in y for y in self._specials)).encode())
+        self._cuts_lines = not any("\n" in x for x in self._specials)
+        self._words = _Words(self._tokenizer, self._keeps_blanks, self._specials)
+        self._pieces = _Cache(self._encode, cached)
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        plain = list(map(self._words.match, pieces))
+        words = [x for x, is_word in zip(pieces, plain, strict=True) if is_word]
+        others = [x for x, is_word in zip(pieces, plain, strict=True) if not is_word]
+        ids = iter(self._words.encode(words)) if words else iter(())
+        rest = iter(self._by_library(others))
+        return [next(ids if is_word else rest) for is_word in plain]
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _begins(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The places in the bytes of some texts at which pieces begin."""
+        begins = data == 32
+        before, after = np.zeros_like(data), np.zeros_like(data)
+        before[1:], after[:-1] = data[:-1], data[1:]
+        stops = np.flatnonzero(self._stops[data])
+        last, lead = before[stops], before[stops - 1]
+        letter = _ASCII_LETTER[last] | ((lead == _LATIN) & (last >= 128) & (last != _SIGNS[0]) & (last != _SIGNS[1]))
+        begins[stops[letter & (stops > 1)]] = True
+        if self._cuts_lines:
+            lines = np.flatnonzero(data == 10)
+            lines = lines[lines > 1]
+            safe = _ASCII_SHOWN[before[lines]] | ((before[lines - 1] == _LATIN) & (before[lines] >= 128))
+            lines = lines[safe & (_ASCII_SHOWN[after[lines]] | (after[lines] == _LATIN))]
+            begins[lines] = True
+            begins[lines + 1] = True
+        begins[bounds[:-1][np.diff(bounds) > 0]] = True
+        return np.flatnonzero(begins)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins and ends; null is empty."""
         texts = pc.fill_null(column.cast(pa.large_string()), "")
@@ -150,32 +177,28 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         # The other kind lowers all letters, so pieces that differ by case share their ids.
         lowered = texts if self._keeps_blanks else _lowered(texts)
-        split = pc.split_pattern(lowered, " ")
-        bounds = split.offsets.to_numpy().astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        bounds -= bounds[0]
+        raw = Texts(lowered)
+        begins = self._begins(raw.data, raw.bounds)
+        bounds = np.searchsorted(begins, raw.bounds)
+        offsets = np.concatenate((begins, [len(raw.data)]))
+        spans = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(raw.data))
+        coded = spans.dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
         counts = np.diff(bounds)
         if self._keeps_blanks:
-            begins = bounds[:-1]
             # Two white spaces in a row: such texts count as one piece and are encoded whole.
-            odd = pc.or_(
-                pc.equal(pc.binary_length(coded.dictionary), 0),
-                pc.utf8_is_space(pc.utf8_slice_codeunits(coded.dictionary, 0, 1)),
+            odd = pc.and_(
+                pc.starts_with(coded.dictionary, " "),
+                pc.or_(
+                    pc.equal(pc.binary_length(coded.dictionary), 1),
+                    pc.utf8_is_space(pc.utf8_slice_codeunits(coded.dictionary, 1, 2)),
+                ),
             ).to_numpy(zero_copy_only=False)
-            strange = odd[codes]
-            strange[begins] = False
-            whole = np.flatnonzero(np.logical_or.reduceat(strange, begins))
-            first, place = np.unique(codes[begins], return_inverse=True)
-            inner = np.ones(len(codes), dtype=bool)
-            inner[begins] = False
-            later = np.flatnonzero((np.bincount(codes[inner], minlength=len(odd)) > 0) & ~odd)
-            values = self._pieces.look_up(coded.dictionary.take(pa.array(later)).to_pylist())
-            position = np.zeros(len(odd), dtype=np.int64)
-            position[later] = np.arange(len(later))
-            codes = position[codes]
-            codes[begins] = len(values) + place
-            values += self._firsts.look_up(coded.dictionary.take(pa.array(first)).to_pylist())
+            strange = np.concatenate(([0], np.cumsum(odd[codes])))
+            whole = np.flatnonzero(strange[bounds[1:]] > strange[bounds[:-1]])
+            place = np.cumsum(~odd) - 1
+            values = self._pieces.look_up(coded.dictionary.filter(pa.array(~odd)).to_pylist())
+            codes = place[codes]
         else:
             # A special string that only lower case has made is not special.
             whole = np.zeros(0, np.int64)
@@ -192,7 +215,7 @@ class PieceEncoder:
             rows = np.repeat(keep, counts)
             new_codes[np.repeat(keep, new_counts)] = codes[rows]
             new_codes[new_bounds[whole]] = len(values) + np.arange(len(whole))
-            values += self._encode(texts.take(pa.array(whole)).to_pylist())
+            values += self._by_library(texts.take(pa.array(whole)).to_pylist())
             codes, bounds = new_codes, new_bounds
         sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
         table = np.frombuffer(b"".join(values), dtype="<u4")

@@ -1,5 +1,6 @@
 """Operators on documents against brute force, and on odd rows."""
 
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -448,6 +449,29 @@ def test_pieces_encode_like_the_library(name):
         assert found == [model.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_skip_the_steps_around_the_model(name, monkeypatch):
+    encoder, asked = PieceEncoder(tokenizer(name).definition), []
+    by_library = encoder._by_library
+    monkeypatch.setattr(encoder, "_by_library", lambda pieces: asked.extend(pieces) or by_library(pieces))
+    text = "Qwertz, éTÜdes! straße\nÀ. d'été ÷× e\u0301t\u00a0x <|endoftext|> 12ab"
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == library(name).encode(text, add_special_tokens=False).ids
+    found = {x.strip(" ").lower() for x in asked}
+    assert {"d'été", "÷×", "<|endoftext|>", "12ab"} <= found
+    assert not {"qwertz", "étüdes", "straße", "à"} & found
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_are_cut_only_where_the_library_cuts(name):
+    model, encoder = library(name), PieceEncoder(tokenizer(name).definition)
+    some = ["a", "É", " ", "\n", "\u3000", ",", "!", "'s", "×", "e\u0301", "\u0301", "<|endoftext|>", "\r", "Σ"]
+    texts = ["".join(x) for x in itertools.product(some, repeat=3)]
+    ids, bounds = encoder.encode(pa.array(texts))
+    found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == [model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # Quality.
 
 
