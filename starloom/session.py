@@ -79,11 +79,16 @@ def strict(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+def partitions_for(staged_bytes: int) -> int:
+    """Shuffle partitions for Parquet files of this size, 1 at least."""
+    return max(1, -(-staged_bytes // _PARTITION_BYTES))
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, staged_bytes: int) -> Iterator[int]:
     """Enough shuffle partitions for the staged data."""
     name = "spark.sql.shuffle.partitions"
-    count = max(int(spark.conf.get(name)), -(-staged_bytes // _PARTITION_BYTES))
+    count = max(int(spark.conf.get(name)), partitions_for(staged_bytes))
     with setting(spark, name, count):
         yield count
 
