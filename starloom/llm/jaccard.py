@@ -32,9 +32,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom import workspace
+from starloom import session, workspace
 from starloom.llm import resident
 from starloom.llm.components import connected
 from starloom.llm.texts import (
@@ -221,9 +221,14 @@ def plausible(pairs: DataFrame, classes: DataFrame, shared: Broadcast, percent:
     """Those of the class pairs (``a``, ``b``) that their prefixes alone do not rule out.
 
     A shingle of one prefix that comes before the last of the other, without being in it, is
-    not in the other set at all. Too many of these leave too little in common.
+    not in the other set at all. Too many of these leave too little in common. Prefixes of
+    classes in no pair are left out first: most classes are in none.
     """
-    side = classes.select("id", "n", "prefix")
+    folder = workspace.scratch(classes.sparkSession, "jaccard-pairs")
+    pairs.write.parquet(folder)
+    pairs = classes.sparkSession.read.parquet(folder)
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    side = classes.select("id", "n", "prefix").join(paired, "id", "left_semi")
     one = side.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("p_a"))
     two = side.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("prefix").alias("p_b"))
     both = pairs.join(one, "a").join(two, "b")
@@ -328,36 +333,38 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / math.log(_BAND))
 
 
-def _postings(groups: DataFrame) -> DataFrame:
-    """Shingles that are in the prefixes of several groups, with their places."""
-    postings = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_groups")).where(F.col("_groups") > 1)
-    return postings.join(shared.select("token"), "token")
-
+def _lists(groups: DataFrame, percent: int) -> DataFrame:
+    """Posting lists by shingle and band of sizes, as the sets that come to one to meet sets of at
+    most their own size there.
 
-def _lists(postings: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Posting lists by shingle and band of sizes: the sets listed, and those that come to
-    meet sets of at most their own size there. Either has ``token``, ``band``, ``g``, ``n``
-    and the shingle's place ``pos``."""
-    n, pos = F.col("n"), F.col("pos")
-    listed = postings.where((100 + percent) * (n - pos) >= 2 * percent * n).withColumn("band", _band(n))
+    A row has ``token``, ``band``, ``g``, ``n``, the shingle's place ``pos``, whether the set is
+    ``listed`` there itself, and the list's leader ``lead``. Lists that join nothing are left out.
+    All of it happens behind one shuffle by shingle, in which rows are streamed list by list.
+    """
+    n, pos, band = F.col("n"), F.col("pos"), F.col("band")
+    postings = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
+    sharing = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    shared = postings.withColumn("_groups", sharing).where(F.col("_groups") > 1)
     # Sizes between which a partner has to be: similar enough, and with enough shingles left.
     low = F.ceil(n * percent / 100)
     high = F.least(n, F.floor((n - pos) * (100 + percent) / percent) - n)
-    coming = postings.where(low <= high).withColumn(
-        "band", F.explode(F.sequence(_band(low), _band(high)))
+    coming = shared.where(low <= high).select(
+        "token", "g", "n", "pos", F.explode(F.sequence(_band(low), _band(high))).alias("band")
+    )
+    # A set that is listed comes to its own list; a list to which only one comes joins nothing.
+    listed = ((100 + percent) * (n - pos) >= 2 * percent * n) & (band == _band(n))
+    in_list = Window.partitionBy("token", "band")
+    met = coming.withColumn("listed", listed).select(
+        "*",
+        F.count(F.lit(1)).over(in_list).alias("_coming"),
+        F.min(F.when(F.col("listed"), F.struct("pos", "n", "g"))).over(in_list).alias("lead"),
     )
-    # Every set listed comes to its own list; a list to which only it comes joins nothing.
-    useful = coming.groupBy("token", "band").agg(F.count(F.lit(1)).alias("_coming"))
-    useful = useful.where(F.col("_coming") > 1).select("token", "band")
-    columns = ["token", "band", "g", "n", "pos"]
-    return listed.join(useful, ["token", "band"]).select(*columns), coming.join(useful, ["token", "band"]).select(*columns)
+    return met.where((F.col("_coming") > 1) & F.col("lead").isNotNull()).drop("_coming")
 
 
-def _star_pairs(listed: DataFrame, coming: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(coming: DataFrame, percent: int) -> DataFrame:
     """Each group with the leader of every list it comes to."""
-    leaders = listed.groupBy("token", "band").agg(F.min(F.struct("pos", "n", "g")).alias("lead"))
-    met = coming.join(leaders, ["token", "band"]).where(F.col("g") != F.col("lead.g"))
+    met = coming.where(F.col("g") != F.col("lead.g"))
     first = met.groupBy(F.col("lead.g").alias("a"), F.col("g").alias("b")).agg(
         F.first("lead.n").alias("n_a"), F.first("n").alias("n_b"), F.min("lead.pos").alias("i"), F.min("pos").alias("j")
     )
@@ -367,7 +374,7 @@ def _star_pairs(listed: DataFrame, coming: DataFrame, percent: int) -> DataFrame
     ).select("a", "b")
 
 
-def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(coming: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Class pairs that meet in a list, or in a group, and are not connected yet."""
     rooted = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "id", "g", F.coalesce("root", "id").alias("root")
@@ -375,8 +382,8 @@ def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots:
     inside = rooted.select("g", "root").distinct()
     place = ["token", "band"]
     # Only lists in which several components meet are opened at all.
-    both = listed.select(*place, "g").unionByName(coming.select(*place, "g")).join(inside, "g")
-    many = both.groupBy(*place).agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
+    many = coming.select(*place, "g").join(inside, "g")
+    many = many.groupBy(*place).agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
     many = many.where(F.col("_x") != F.col("_y")).select(*place)
 
     def opened(postings: DataFrame, root: str, g: str, n: str, pos: str) -> DataFrame:
@@ -384,7 +391,7 @@ def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots:
             *place, F.col("root").alias(root), F.col("g").alias(g), F.col("n").alias(n), F.col("pos").alias(pos)
         )
 
-    x, y = opened(listed, "rx", "a", "n_a", "i"), opened(coming, "ry", "b", "n_b", "j")
+    x, y = opened(coming.where("listed"), "rx", "a", "n_a", "i"), opened(coming, "ry", "b", "n_b", "j")
     meeting = x.select(*place, "rx").distinct().join(y.select(*place, "ry").distinct(), place).where("rx != ry")
     both_sizes = percent * (F.col("n_a") + F.col("n_b"))
     met = (
@@ -415,7 +422,8 @@ def _open_pairs(listed: DataFrame, coming: DataFrame, members: DataFrame, roots:
 
 def joined(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``component_id``."""
-    with small_batches(documents.sparkSession):
+    spark = documents.sparkSession
+    with small_batches(spark), session.passing_shuffles(spark):
         return _joined(documents, words, percent)
 
 
@@ -443,16 +451,15 @@ def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
     members = written(slim.join(named, ["n", "_prefix"]).select("id", "g"), "members")
     others = members.where(F.col("id") != F.col("g")).select("id")
     groups = usable.join(others, "id", "left_anti").withColumnRenamed("id", "g")
-    listed, coming = _lists(written(_postings(groups), "postings"), percent)
-    listed, coming = written(listed, "listed"), written(coming, "coming")
+    coming = written(_lists(groups, percent), "coming")
     alike = members.where(F.col("id") != F.col("g")).select(F.col("g").alias("a"), F.col("id").alias("b"))
-    stars = _star_pairs(listed, coming, percent)
+    stars = _star_pairs(coming, percent)
     expanded = stars.join(members.select(F.col("g").alias("b"), "id"), "b").select("a", F.col("id").alias("b"))
     first_pairs = plausible(alike.unionByName(expanded).distinct(), usable, order, percent)
     first_pairs = written(first_pairs, "stars")
     links = verified(first_pairs, classes, documents, words, percent)
     roots = connected(links)
-    open_pairs = plausible(_open_pairs(listed, coming, members, roots, percent), usable, order, percent)
+    open_pairs = plausible(_open_pairs(coming, members, roots, percent), usable, order, percent)
     open_pairs = written(open_pairs, "open")
     more = verified(open_pairs, classes, documents, words, percent)
     links = links.unionByName(more)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack, contextmanager
+from contextlib import AbstractContextManager, ExitStack, contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -69,6 +69,12 @@ def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def passing_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """For jobs run meanwhile: the shuffle files of each query go as soon as it ends, where
+    later queries read what it has written. Otherwise they stay until the driver collects garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 @contextmanager
 def strict(spark: SparkSession) -> Iterator[None]:
     """Casts that fail on bad text, zone-free time and hash joins of small partitions for the

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from starloom import session
 from starloom.llm import jaccard, language, mixing, packing, quality, token_counts, token_files, toxicity
 from starloom.llm.texts import Hasher, Texts, runs, slices
 from starloom.llm.tokenizing import PieceEncoder, TokenizerFile
@@ -553,3 +554,26 @@ def test_short_texts_are_judged_by_chunks(spark):
     assert rows[1]["kept"] and rows[1]["chunks_outside"] == 0
     assert not rows[2]["kept"] and rows[2]["chunks_outside"] > 0
     assert len(f"{prose} {table}") < 4_096
+
+
+# Shuffles of the Jaccard join.
+
+
+def test_posting_lists_are_built_behind_one_shuffle(spark):
+    rows = [(1, 40, [5, 6, 7]), (2, 41, [5, 8, 9]), (3, 90, [5, 10, 11]), (4, 40, [12, 13, 14])]
+    groups = spark.createDataFrame(rows, "g long, n long, prefix array<long>")
+    lists = jaccard._lists(groups, 80)
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    found = [(r["token"], r["g"], r["listed"], r["lead"]["g"]) for r in lists.collect()]
+    # Sets 1 and 2 meet under their common shingle; set 3 is too large, set 4 shares none.
+    assert {(t, lead) for t, _, _, lead in found} <= {(5, 1), (5, 2)}
+    assert {g for _, g, _, _ in found} == {1, 2}
+
+
+def test_shuffle_files_go_while_the_join_runs_only(spark, documents):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    assert jaccard.joined(documents.limit(30)).count() == 30
+    assert spark.conf.get(name) == before
+    with session.passing_shuffles(spark):
+        assert spark.conf.get(name) == "true"
