@@ -148,8 +148,8 @@ def frequency_sketch(documents: DataFrame, words: int) -> np.ndarray:
     return _merged(documents.select("text").mapInArrow(count, _PARTS), SKETCH, "<i8", np.add)
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit array with a bit for the hash of each id."""
+def _id_filter(ids: DataFrame, name: str) -> np.ndarray:
+    """A bit array with a bit for the hash of each id in the column ``name``."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER, dtype=bool)
@@ -157,7 +157,7 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
             bits[batch.column("slot").to_numpy()] = True
         yield _chunks({k: x for k, x in enumerate(np.packbits(bits).reshape(-1, _CHUNK)) if x.any()})
 
-    slots = ids.select(_slot(F.col("rep")).alias("slot"))
+    slots = ids.select(_slot(F.col(name)).alias("slot"))
     return _merged(slots.mapInArrow(mark, _PARTS), FILTER // 8, "u1", np.bitwise_or)
 
 
@@ -165,6 +165,27 @@ def _slot(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(FILTER)).cast("int")
 
 
+def _told_apart(rows: DataFrame, name: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id in the column ``name`` may be among ``ids``, and those whose id is not.
+
+    Only the first need a join to tell, so where ``ids`` are few, few rows go to a shuffle. Rows
+    without an id are left out.
+    """
+    bits = rows.sparkSession.sparkContext.broadcast(_id_filter(ids, name))
+    slotted = rows.where(F.col(name).isNotNull()).withColumn("slot", _slot(F.col(name)))
+    columns = rows.columns
+
+    def part(value: int) -> DataFrame:
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                slot = batch.column("slot").to_numpy()
+                yield batch.filter(pa.array((bits.value[slot >> 3] >> (7 - (slot & 7))) & 1 == value)).select(columns)
+
+        return slotted.mapInArrow(chosen, rows.schema)
+
+    return part(1), part(0)
+
+
 def shingle_order(documents: DataFrame, words: int) -> Broadcast:
     """Ranks by counter of the sketch, rare before frequent; shingles of one rank go by hash.
 
@@ -227,8 +248,10 @@ def plausible(pairs: DataFrame, classes: DataFrame, shared: Broadcast, percent:
     folder = workspace.scratch(classes.sparkSession, "jaccard-pairs")
     pairs.write.parquet(folder)
     pairs = classes.sparkSession.read.parquet(folder)
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    side = classes.select("id", "n", "prefix").join(paired, "id", "left_semi")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    possible, _ = _told_apart(classes.select("id", "n", "prefix"), "id", paired)
+    # A shuffle behind each Python step: run in one stage, a task would hold two workers.
+    side = possible.join(paired.distinct().hint("merge"), "id", "left_semi")
     one = side.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("p_a"))
     two = side.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("prefix").alias("p_b"))
     both = pairs.join(one, "a").join(two, "b")
@@ -277,17 +300,9 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words:
     leaders.unionByName(members).join(classes.select("id", "id2", "rep"), "id").write.parquet(folder)
     wanted = spark.read.parquet(folder)
     slim = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # Most documents are in no pair; few of those get past the filter to the shuffle.
-    bits = spark.sparkContext.broadcast(_id_filter(wanted))
-
-    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            yield batch.filter(pa.array((bits.value[slot >> 3] >> (7 - (slot & 7))) & 1 == 1)).select(["rep", "text"])
-
-    slotted = slim.where(F.col("rep").isNotNull()).withColumn("slot", _slot(F.col("rep")))
+    possible, _ = _told_apart(slim, "rep", wanted)
     # A shuffle between the two Python steps: run in one stage, a task would hold two workers.
-    texts = slotted.mapInArrow(needed, "rep long, text string").join(wanted.hint("merge"), "rep")
+    texts = possible.join(wanted.hint("merge"), "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident.release()
@@ -430,10 +445,14 @@ def joined(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
     spark = documents.sparkSession
 
-    def written(df: DataFrame, label: str) -> DataFrame:
-        folder = workspace.scratch(spark, f"jaccard-{label}")
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
+    folders: dict[str, str] = {}
+
+    def written(df: DataFrame, label: str, instead_of: str | None = None) -> DataFrame:
+        folders[label] = workspace.scratch(spark, f"jaccard-{label}")
+        df.write.parquet(folders[label])
+        if instead_of:
+            workspace.discard(spark, folders.pop(instead_of))
+        return spark.read.parquet(folders[label])
 
     order = shingle_order(documents, words)
     signed = written(signatures(documents, order, words, percent), "signatures")
@@ -444,13 +463,16 @@ def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")),
         "classes",
     )
+    # The prefixes go on with the classes; of the documents only this is read again.
+    signed = written(signed.select("doc_id", "n", "id", "id2"), "sets", instead_of="signatures")
     usable = classes.where(F.col("rep").isNotNull())
     # Equal size and prefix: one group, named after its smallest class.
     slim = usable.select("id", "n", F.xxhash64("prefix").alias("_prefix"))
     named = slim.groupBy("n", "_prefix").agg(F.min("id").alias("g"))
     members = written(slim.join(named, ["n", "_prefix"]).select("id", "g"), "members")
     others = members.where(F.col("id") != F.col("g")).select("id")
-    groups = usable.join(others, "id", "left_anti").withColumnRenamed("id", "g")
+    doubtful, leaders = _told_apart(usable.select("id", "n", "prefix"), "id", others)
+    groups = leaders.unionByName(doubtful.join(others.hint("merge"), "id", "left_anti")).withColumnRenamed("id", "g")
     coming = written(_lists(groups, percent), "coming")
     alike = members.where(F.col("id") != F.col("g")).select(F.col("g").alias("a"), F.col("id").alias("b"))
     stars = _star_pairs(coming, percent)
@@ -460,7 +482,8 @@ def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
     links = verified(first_pairs, classes, documents, words, percent)
     roots = connected(links)
     open_pairs = plausible(_open_pairs(coming, members, roots, percent), usable, order, percent)
-    open_pairs = written(open_pairs, "open")
+    open_pairs = written(open_pairs, "open", instead_of="coming")
+    classes = written(classes.select("id", "id2", "n", "rep"), "named", instead_of="classes")
     more = verified(open_pairs, classes, documents, words, percent)
     links = links.unionByName(more)
     roots = connected(links) if not more.isEmpty() else roots

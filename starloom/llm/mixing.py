@@ -232,8 +232,12 @@ def repeated(documents: DataFrame) -> DataFrame:
     documents differ from the targets by half a document at most. Rows count one by one,
     whatever ids they share: those alike in id, source and size lie together in the shuffled
     run, so only where the target ends among them do they differ, by one copy.
+
+    The texts stay where they are. Every pass begins with the first document of the run, so
+    copies fall along it, at a few places a source; a document meets only those of its source.
     """
     documents, columns = plainly_named(documents, ("doc_id", "text", "source"))
+    spark = documents.sparkSession
     copies = F.round(F.col("taken") / F.greatest(F.lit(1), F.col("size"))).cast("int")
     alike = (
         _taken(documents, BLOCK_WORDS)
@@ -242,20 +246,46 @@ def repeated(documents: DataFrame) -> DataFrame:
         .agg(F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.sum("_n").alias("_all"), F.count("_n").alias("_rows"))
         .where(F.col("_high") > 0)
     )
-    folder = workspace.scratch(documents.sparkSession, "mix-copies")
+    folder = workspace.scratch(spark, "mix-copies")
     alike.write.parquet(folder)
-    alike = documents.sparkSession.read.parquet(folder)
-    same_row = documents["doc_id"].eqNullSafe(F.col("_id")) & documents["source"].eqNullSafe(F.col("_source"))
+    alike = spark.read.parquet(folder)
+    last = F.max(F.struct(shuffle_key(F.col("_id")).alias("key"), F.col("_id").alias("id"), F.col("_size").alias("size")))
+    falls = alike.groupBy("_source", "_low", "_high").agg(last.alias("last"))
+    split = F.col("_low") < F.col("_high")
+    # The groups at which targets end, one a source at most, have their copies counted below.
+    falls = falls.groupBy("_source").agg(
+        F.collect_list(F.when(~split, F.struct(F.col("_low").alias("n"), "last"))).alias("_falls"),
+        F.max(F.when(split, F.col("last"))).alias("_split"),
+    )
+    folder = workspace.scratch(spark, "mix-falls")
+    falls.write.parquet(folder)
+    falls = spark.read.parquet(folder)
     words = word_count(documents["text"])
-    whole = documents.join(alike.where("_low = _high"), same_row & (words == F.col("_size"))).withColumn("_n", F.col("_low"))
-    # The groups at which targets end, one a source at most. Sizes are compared by difference,
-    # as a filter behind the join: words need counting only in documents of these ids.
-    ends = documents.join(F.broadcast(alike.where("_low < _high")), same_row & (words - F.col("_size") == 0))
+    key = F.col("_key")
+
+    def same(place: Column) -> Column:
+        return (key == place["key"]) & F.col("doc_id").eqNullSafe(place["id"])
+
+    def not_behind(place: Column) -> Column:
+        before = F.struct(key.alias("key"), F.col("doc_id").alias("id")) < F.struct(place["key"], place["id"])
+        # Words need counting only in documents that share a place's id.
+        return F.when(same(place), words <= place["size"]).otherwise(before)
+
+    met = documents.join(falls, documents["source"].eqNullSafe(F.col("_source"))).withColumn("_key", shuffle_key(F.col("doc_id")))
+    most = F.aggregate("_falls", F.lit(0), lambda n, fall: F.when(not_behind(fall["last"]), F.greatest(n, fall["n"])).otherwise(n))
+    at_split = F.when(F.col("_split").isNull(), False).when(same(F.col("_split")), words == F.col("_split.size")).otherwise(False)
+    has_words = F.coalesce(documents["text"].rlike(WORD), F.lit(False))
+    whole = met.where(has_words & ~at_split).withColumn("_n", most)
+    same_row = documents["doc_id"].eqNullSafe(F.col("_id")) & documents["source"].eqNullSafe(F.col("_source"))
+    # Sizes are compared by difference, as a filter behind the join.
+    ends = documents.join(F.broadcast(alike.where(split)), same_row & (words - F.col("_size") == 0))
     place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text"))
     more = F.col("_all") - F.col("_low") * F.col("_rows")
     ends = ends.withColumn("_n", F.when(place <= more, F.col("_high")).otherwise(F.col("_low")))
+    both = [*documents.columns, "_n"]
     return (
-        whole.unionByName(ends)
+        whole.select(*both)
+        .unionByName(ends.select(*both))
         .where(F.col("_n") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
         .select(*columns)

@@ -70,3 +70,48 @@ def test_stages_keep_the_callers_columns_and_their_values(spark, tmp_path):
         assert docs.columns == columns
         found = docs.collect()
         assert found and all(tuple(row) == expected[row[0]] for row in found)
+
+
+def _folders(spark):
+    from starloom import workspace
+
+    return {path.name.rsplit("-", 1)[0] for path in Path(workspace._own(spark)).glob("jaccard-*")}
+
+
+def test_deduplication_drops_what_is_read_no_more(spark):
+    from starloom import workspace
+    from starloom.llm import jaccard
+
+    workspace.clear(spark)
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = jaccard.joined(documents)
+    # The prefixes and posting lists, nearly all of the space.
+    assert not _folders(spark) & {"jaccard-signatures", "jaccard-classes", "jaccard-coming"}
+    assert found.count() == documents.count()
+
+
+def test_mixing_leaves_the_texts_where_they_are(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    from starloom import session
+    from starloom.llm import mixing
+
+    words = F.expr("concat_ws(' ', transform(sequence(0, id % 7), x -> concat('w', x)))")
+    rows = spark.range(40_000).select(
+        # Shared ids, rows alike, null ids and sources, texts without words.
+        F.when(F.col("id") % 11 > 0, F.col("id") % 30_000).alias("doc_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), (F.col("id") % 5).cast("string"))).alias("source"),
+        F.when(F.col("id") % 13 > 1, words).when(F.col("id") % 13 > 0, F.lit(" ")).alias("text"),
+    )
+    with session.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "16k"):
+        out = mixing.repeated(rows)
+        out.count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in out.collect())
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    expected = Counter()
+    for r in mixing._taken(rows, mixing.BLOCK_WORDS).collect():
+        if r["size"]:
+            expected[r["doc_id"], r["source"], r["size"]] += int(r["taken"] / r["size"] + 0.5)
+    assert found == +expected
