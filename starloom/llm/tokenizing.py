@@ -3,7 +3,7 @@
 Neither a byte-level pre-tokenizer nor one that drops blanks ever joins text across the
 place before a single blank, around a single line end, or between a letter and the comma or
 full stop behind it. So a text is cut there, each distinct piece is encoded by the library
-once per worker, and the ids are joined as bytes. A piece of letters alone is one word to the
+once per worker, and the ids are gathered from arrays. A piece of letters alone is one word to the
 pre-tokenizer, so it goes to the library's model directly. A text in which a blank meets
 another white space is encoded whole, since runs of white space are split by lookahead.
 """
@@ -16,6 +16,7 @@ import re
 from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,11 @@ from starloom.llm.texts import ASCII_LOWER, Texts, byte_table
 #: Text bytes that are encoded at a time: repeated pieces are found across them.
 SLICE_BYTES = 4 << 20
 
-#: Pieces in each of a cache's two generations; one not seen for a generation is forgotten.
+#: Pieces that stay when a cache is full.
 CACHED_PIECES = 300_000
 _LONGEST_CACHED = 64
+#: Ids a piece, on average, at which a cache is full too: long pieces take space in it.
+_MOST_IDS = 8
 _STOPS = ",.!?;:"
 #: Letters that no neighbour changes: neither composition nor lower case looks beyond them.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -66,29 +69,74 @@ def _keeps_blanks(definition: str) -> bool:
     return False
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with room for ``size`` values."""
+    if size <= len(array):
+        return array
+    larger = np.zeros(max(size, 2 * len(array)), array.dtype)
+    larger[: len(array)] = array
+    return larger
+
+
 class _Cache:
-    """Ids by piece, bounded: the pieces in use outlive the many that come once."""
-
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int) -> None:
-        self._encode, self._most = encode, most
-        self._ids: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
-
-    def look_up(self, pieces: list[str]) -> list[bytes]:
-        """The ids of distinct pieces."""
-        if len(self._ids) > self._most:
-            self._before, self._ids = self._ids, {}
-        known = self._ids
-        found = list(map(known.get, pieces))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        names = [pieces[k] for k in missing]
-        older = list(map(self._before.get, names))
-        made = iter(self._encode([x for x, ids in zip(names, older, strict=True) if ids is None]))
-        for k, piece, ids in zip(missing, names, older, strict=True):
-            found[k] = ids = next(made) if ids is None else ids
-            if len(piece) <= _LONGEST_CACHED:
-                known[piece] = ids
-        return found
+    """Ids by piece, bounded: the pieces in use outlive the many that come once.
+
+    The ids of all pieces lie in one array. Twice ``most`` pieces fill the cache; of these at most
+    half stay, those last asked for.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], most: int) -> None:
+        self._encode, self._most, self._now = encode, most, 0
+        self._start({}, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _start(self, rows: dict[str, int], ids: np.ndarray, counts: np.ndarray) -> None:
+        self._rows, self._count, self._size = rows, 0, 0
+        self._ids, self._ends, self._used = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self._add(ids, counts)
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        count, size = self._count + len(counts), self._size + len(ids)
+        self._ids, self._ends, self._used = _room(self._ids, size), _room(self._ends, count + 1), _room(self._used, count)
+        self._ids[self._size : size] = ids
+        self._ends[self._count + 1 : count + 1] = self._size + np.cumsum(counts)
+        self._count, self._size = count, size
+
+    def _get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, counts = self._ends[rows], self._ends[rows + 1] - self._ends[rows]
+        place = np.repeat(starts - (np.cumsum(counts) - counts), counts)
+        place += np.arange(len(place))
+        return self._ids[place], counts
+
+    def _forget(self) -> None:
+        rows = np.fromiter(self._rows.values(), np.int64, len(self._rows))
+        used = self._used[rows]
+        stays = np.ones(len(used), dtype=bool)
+        if len(used) > self._most:
+            stays = used > np.partition(used, len(used) - self._most - 1)[len(used) - self._most - 1]
+        names = compress(self._rows, stays.tolist())
+        ids, counts = self._get(rows[stays])
+        if len(ids) > _MOST_IDS * self._most:
+            names, ids, counts = (), ids[:0], counts[:0]
+        self._start(dict(zip(names, range(len(counts)), strict=True)), ids, counts)
+
+    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pieces in a row, and how many each has."""
+        if self._count > 2 * self._most or self._size > 2 * _MOST_IDS * self._most:
+            self._forget()
+        self._now += 1
+        found = np.fromiter(map(self._rows.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            names = list(compress(pieces, (found < 0).tolist()))
+            order, ids, counts = self._encode(names)
+            found[missing[order]] = self._count + np.arange(len(names))
+            self._add(ids, counts)
+            made = zip(names, found[missing].tolist(), strict=True)
+            if max(map(len, names)) > _LONGEST_CACHED:
+                made = [(piece, row) for piece, row in made if len(piece) <= _LONGEST_CACHED]
+            self._rows.update(made)
+        self._used[found] = self._now
+        return self._get(found)
 
 
 class _Words:
@@ -113,9 +161,14 @@ class _Words:
         whole = cut == [probe.translate(self._table)]
         self.match = _WORD.fullmatch if whole and not any(map(_WORD.fullmatch, specials)) else lambda _: None
 
-    def encode(self, words: list[str]) -> list[bytes]:
+    def encode(self, words: list[str]) -> tuple[list[int], list[int]]:
         tokenize = self._model.tokenize
-        return [array("I", [t.id for t in tokenize(x)]).tobytes() for x in "\n".join(words).translate(self._table).split("\n")]
+        ids, counts = [], []
+        for word in "\n".join(words).translate(self._table).split("\n") if words else ():
+            made = [t.id for t in tokenize(word)]
+            ids += made
+            counts.append(len(made))
+        return ids, counts
 
 
 def _lowered(column: pa.Array) -> pa.Array:
@@ -125,6 +178,10 @@ def _lowered(column: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(texts.bounds.astype(np.int64).tobytes()), data)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class PieceEncoder:
     def __init__(self, definition: str, cached: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -139,17 +196,22 @@ class PieceEncoder:
         self._words = _Words(self._tokenizer, self._keeps_blanks, self._specials)
         self._pieces = _Cache(self._encode, cached)
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        plain = list(map(self._words.match, pieces))
-        words = [x for x, is_word in zip(pieces, plain, strict=True) if is_word]
-        others = [x for x, is_word in zip(pieces, plain, strict=True) if not is_word]
-        ids = iter(self._words.encode(words)) if words else iter(())
-        rest = iter(self._by_library(others))
-        return [next(ids if is_word else rest) for is_word in plain]
-
-    def _by_library(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces in another order, by number, their ids in a row, and how many each has."""
+        plain = [x is not None for x in map(self._words.match, pieces)]
+        ids, counts = self._words.encode(list(compress(pieces, plain)))
+        others = np.array(plain) ^ True
+        more, more_counts = self._by_library(list(compress(pieces, others.tolist())))
+        order = np.argsort(others, kind="stable")
+        return order, np.concatenate((np.array(ids, np.uint32), more)), np.concatenate((np.array(counts, np.int64), more_counts))
+
+    def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = array("I"), []
+        for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            made = x.ids
+            ids.extend(made)
+            counts.append(len(made))
+        return np.array(ids, np.uint32), np.array(counts, np.int64)
 
     def _begins(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The places in the bytes of some texts at which pieces begin."""
@@ -197,7 +259,7 @@ class PieceEncoder:
             strange = np.concatenate(([0], np.cumsum(odd[codes])))
             whole = np.flatnonzero(strange[bounds[1:]] > strange[bounds[:-1]])
             place = np.cumsum(~odd) - 1
-            values = self._pieces.look_up(coded.dictionary.filter(pa.array(~odd)).to_pylist())
+            table, sizes = self._pieces.look_up(_strings(coded.dictionary.filter(pa.array(~odd))))
             codes = place[codes]
         else:
             # A special string that only lower case has made is not special.
@@ -205,7 +267,7 @@ class PieceEncoder:
             for special in self._specials:
                 made = pc.count_substring(lowered, special), pc.count_substring(texts, special)
                 whole = np.union1d(whole, np.flatnonzero(pc.not_equal(*made).to_numpy(zero_copy_only=False)))
-            values = self._pieces.look_up(coded.dictionary.to_pylist())
+            table, sizes = self._pieces.look_up(_strings(coded.dictionary))
         if len(whole):
             keep = np.ones(len(texts), dtype=bool)
             keep[whole] = False
@@ -214,11 +276,10 @@ class PieceEncoder:
             new_codes = np.empty(new_bounds[-1], dtype=np.int64)
             rows = np.repeat(keep, counts)
             new_codes[np.repeat(keep, new_counts)] = codes[rows]
-            new_codes[new_bounds[whole]] = len(values) + np.arange(len(whole))
-            values += self._by_library(texts.take(pa.array(whole)).to_pylist())
+            new_codes[new_bounds[whole]] = len(sizes) + np.arange(len(whole))
+            more, more_sizes = self._by_library(_strings(texts.take(pa.array(whole))))
+            table, sizes = np.concatenate((table, more)), np.concatenate((sizes, more_sizes))
             codes, bounds = new_codes, new_bounds
-        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
-        table = np.frombuffer(b"".join(values), dtype="<u4")
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
         ends = np.concatenate(([0], np.cumsum(lengths)))

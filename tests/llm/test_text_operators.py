@@ -463,6 +463,26 @@ def test_words_of_letters_skip_the_steps_around_the_model(name, monkeypatch):
     assert not {"qwertz", "étüdes", "straße", "à"} & found
 
 
+def test_the_cache_keeps_what_is_in_use_in_arrays():
+    from starloom.llm.tokenizing import _Cache
+
+    asked = []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        order = list(range(len(pieces)))[::-1]
+        ids = [ord(c) for k in order for c in pieces[k]]
+        return np.array(order), np.array(ids, np.uint32), np.array([len(pieces[k]) for k in order])
+
+    cache = _Cache(encode, 10)
+    for k in range(200):
+        pieces = ["used", f"once {k}", "", "x" * 65 if k % 7 else "y" * 3000]
+        ids, counts = cache.look_up(pieces)
+        assert "".join(map(chr, ids)) == "".join(pieces) and counts.tolist() == [len(x) for x in pieces]
+        assert len(cache._rows) <= 20 + 4 and len(cache._ids) < 20_000
+    assert asked.count("used") < 30 and asked.count("once 7") == 1
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_are_cut_only_where_the_library_cuts(name):
     model, encoder = library(name), PieceEncoder(tokenizer(name).definition)
