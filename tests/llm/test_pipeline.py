@@ -72,22 +72,24 @@ def test_stages_keep_the_callers_columns_and_their_values(spark, tmp_path):
         assert found and all(tuple(row) == expected[row[0]] for row in found)
 
 
-def _folders(spark):
+def _jaccard_folders(spark):
     from starloom import workspace
 
-    return {path.name.rsplit("-", 1)[0] for path in Path(workspace._own(spark)).glob("jaccard-*")}
+    return set(Path(workspace._own(spark)).glob("jaccard-*"))
 
 
 def test_deduplication_drops_what_is_read_no_more(spark):
-    from starloom import workspace
     from starloom.llm import jaccard
 
-    workspace.clear(spark)
-    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
-    found = jaccard.joined(documents)
+    texts = [f"{k // 4} " + " ".join(f"w{k // 4 * 40 + i}" for i in range(40)) + f" end{k % 4}" for k in range(120)]
+    rows = [*enumerate(texts), (500, texts[0]), (None, texts[0]), (501, None), (502, " ")]
+    before = _jaccard_folders(spark)
+    found = jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    left = {path.name.rsplit("-", 1)[0] for path in _jaccard_folders(spark) - before}
     # The prefixes and posting lists, nearly all of the space.
-    assert not _folders(spark) & {"jaccard-signatures", "jaccard-classes", "jaccard-coming"}
-    assert found.count() == documents.count()
+    assert left and not left & {"jaccard-signatures", "jaccard-classes", "jaccard-coming"}
+    component = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert component == {**{k: k // 4 * 4 for k in range(120)}, 500: 0, None: 0, 501: 501, 502: 502}
 
 
 def test_mixing_leaves_the_texts_where_they_are(spark):
