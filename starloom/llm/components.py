@@ -1,8 +1,9 @@
 """Connected components by alternating large and small stars.
 
-Every round is a few shuffles over the links; the table of links is written to the shared
-folder in between, so a lost executor costs at most a round. Minima are pre-aggregated,
-and the joins that bring them back are split where one node has most of the links.
+Every star is a few shuffles over the links; the table of links is written to the shared
+folder behind each, so a lost executor costs at most a star, no star is worked out twice and
+the driver has few stages to hold at once. Minima are pre-aggregated, and the joins that
+bring them back are split where one node has most of the links.
 """
 
 from __future__ import annotations
@@ -14,13 +15,6 @@ from starloom import workspace
 _MOST_ROUNDS = 60
 
 
-def _written(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = workspace.scratch(spark, "components")
-    df.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -45,9 +39,20 @@ def _settled(links: DataFrame) -> bool:
 def connected(links: DataFrame) -> DataFrame:
     """``node`` and the smallest node of its component as ``root``, for every node of ``links``
     (columns ``a``, ``b``) that is not its own root."""
-    links = _written(links.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    spark, folders = links.sparkSession, []
+
+    def written(df: DataFrame) -> DataFrame:
+        folders.append(workspace.scratch(spark, "components"))
+        df.write.parquet(folders[-1])
+        for read in folders[:-1]:
+            workspace.discard(spark, read)
+        folders[:] = folders[-1:]
+        return spark.read.parquet(folders[-1])
+
+    links = written(links.where(F.col("a") != F.col("b")).select("a", "b").distinct())
     for _ in range(_MOST_ROUNDS):
-        links = _written(_small_star(_large_star(links)).distinct())
+        links = written(_large_star(links))
+        links = written(_small_star(links).distinct())
         if _settled(links):
             break
     else:

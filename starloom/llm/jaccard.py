@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,8 +105,26 @@ def _fingerprints(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     return sums[0], sums[1]
 
 
-def _merged(parts: DataFrame, size: int, dtype: str, merge: np.ufunc) -> np.ndarray:
-    """Merge partial arrays, given as numbered chunks, on their way to the driver."""
+class Packed:
+    """An array that is compressed wherever it is sent, so that the driver's JVM, which keeps
+    what it broadcasts, does not hold it in full."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+
+    def __reduce__(self) -> tuple:
+        return _unpacked, (zlib.compress(self.values.tobytes(), 1), self.values.dtype.str)
+
+
+def _unpacked(data: bytes, dtype: str) -> Packed:
+    return Packed(np.frombuffer(zlib.decompress(data), dtype=dtype))
+
+
+def _merged(
+    parts: DataFrame, size: int, dtype: str, merge: np.ufunc, last: Callable[[np.ndarray], np.ndarray], sent: str
+) -> np.ndarray:
+    """Merge partial arrays, given as numbered chunks, on their way to the driver, which gets of
+    each whole chunk what ``last`` makes of it, of type ``sent``. Chunks without parts are 0."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -114,12 +132,12 @@ def _merged(parts: DataFrame, size: int, dtype: str, merge: np.ufunc) -> np.ndar
             for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 part = np.frombuffer(zlib.decompress(data), dtype=dtype)
                 total[chunk] = merge(total[chunk], part) if chunk in total else part
-        yield _chunks(total)
+        yield _chunks({chunk: last(x).astype(sent) for chunk, x in total.items()})
 
-    whole = np.zeros((size // _CHUNK, _CHUNK), dtype=dtype)
+    whole = np.zeros((size // _CHUNK, _CHUNK), dtype=sent)
     merged = parts.repartition("chunk").mapInArrow(add, _PARTS)
     for row in merged.collect():  # `size` numbers, whatever the data
-        whole[row["chunk"]] = np.frombuffer(zlib.decompress(row["data"]), dtype=dtype)
+        whole[row["chunk"]] = np.frombuffer(zlib.decompress(row["data"]), dtype=sent)
     return whole.ravel()
 
 
@@ -131,8 +149,12 @@ def _chunks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"chunk": pa.array(parts.keys(), pa.int32()), "data": pa.array(packed, pa.binary())})
 
 
-def frequency_sketch(documents: DataFrame, words: int) -> np.ndarray:
-    """How many documents hold a shingle, summed over those that share a counter."""
+def _rank(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(65535, np.log2(counts + 1.0) * 1500)
+
+
+def frequency_ranks(documents: DataFrame, words: int) -> np.ndarray:
+    """Ranks by how many documents hold a shingle, summed over those that share a counter."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident.release()
@@ -145,7 +167,7 @@ def frequency_sketch(documents: DataFrame, words: int) -> np.ndarray:
             parts = total[low : low + 64 * _CHUNK].reshape(-1, _CHUNK)
             yield _chunks({low // _CHUNK + k: x.astype("<i8") for k, x in enumerate(parts) if x.any()})
 
-    return _merged(documents.select("text").mapInArrow(count, _PARTS), SKETCH, "<i8", np.add)
+    return _merged(documents.select("text").mapInArrow(count, _PARTS), SKETCH, "<i8", np.add, _rank, "<u2")
 
 
 def _id_filter(ids: DataFrame, name: str) -> np.ndarray:
@@ -158,7 +180,7 @@ def _id_filter(ids: DataFrame, name: str) -> np.ndarray:
         yield _chunks({k: x for k, x in enumerate(np.packbits(bits).reshape(-1, _CHUNK)) if x.any()})
 
     slots = ids.select(_slot(F.col(name)).alias("slot"))
-    return _merged(slots.mapInArrow(mark, _PARTS), FILTER // 8, "u1", np.bitwise_or)
+    return _merged(slots.mapInArrow(mark, _PARTS), FILTER // 8, "u1", np.bitwise_or, np.asarray, "u1")
 
 
 def _slot(doc_id: Column) -> Column:
@@ -171,7 +193,7 @@ def _told_apart(rows: DataFrame, name: str, ids: DataFrame) -> tuple[DataFrame,
     Only the first need a join to tell, so where ``ids`` are few, few rows go to a shuffle. Rows
     without an id are left out.
     """
-    bits = rows.sparkSession.sparkContext.broadcast(_id_filter(ids, name))
+    bits = rows.sparkSession.sparkContext.broadcast(Packed(_id_filter(ids, name)))
     slotted = rows.where(F.col(name).isNotNull()).withColumn("slot", _slot(F.col(name)))
     columns = rows.columns
 
@@ -179,7 +201,7 @@ def _told_apart(rows: DataFrame, name: str, ids: DataFrame) -> tuple[DataFrame,
         def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 slot = batch.column("slot").to_numpy()
-                yield batch.filter(pa.array((bits.value[slot >> 3] >> (7 - (slot & 7))) & 1 == value)).select(columns)
+                yield batch.filter(pa.array((bits.value.values[slot >> 3] >> (7 - (slot & 7))) & 1 == value)).select(columns)
 
         return slotted.mapInArrow(chosen, rows.schema)
 
@@ -191,8 +213,7 @@ def shingle_order(documents: DataFrame, words: int) -> Broadcast:
 
     16 bits for each counter, sortable in linear time.
     """
-    ranks = np.minimum(65535, np.log2(frequency_sketch(documents, words) + 1.0) * 1500).astype(np.uint16)
-    return documents.sparkSession.sparkContext.broadcast(ranks)
+    return documents.sparkSession.sparkContext.broadcast(Packed(frequency_ranks(documents, words)))
 
 
 def signatures(documents: DataFrame, shared: Broadcast, words: int, percent: int) -> DataFrame:
@@ -201,7 +222,7 @@ def signatures(documents: DataFrame, shared: Broadcast, words: int, percent: int
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident.release()
-        ranks = shared.value
+        ranks = shared.value.values
         for batch in slices(batches, "text", _SLICE_BYTES):
             texts = Texts(batch.column("text"))
             rows, value = shingles(texts, words)
@@ -263,7 +284,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, shared: Broadcast, percent:
         return int((before & ~np.isin(x, y)).sum())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
+        ranks = shared.value.values
         for batch in batches:
             sides = []
             for column in ("p_a", "p_b"):
@@ -389,24 +410,33 @@ def _star_pairs(coming: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _open_pairs(coming: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Class pairs that meet in a list, or in a group, and are not connected yet."""
+def _open_pairs(
+    coming: DataFrame, members: DataFrame, roots: DataFrame, percent: int, written: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """Class pairs that meet in a list, or in a group, and are not connected yet.
+
+    The steps go through ``written`` tables. One query for all of them had some forty stages,
+    whose threads, tasks and plans the driver held at the same time.
+    """
     rooted = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "id", "g", F.coalesce("root", "id").alias("root")
     )
-    inside = rooted.select("g", "root").distinct()
+    rooted = written(rooted, "rooted")
+    inside = written(rooted.select("g", "root").distinct(), "inside")
     place = ["token", "band"]
     # Only lists in which several components meet are opened at all.
     many = coming.select(*place, "g").join(inside, "g")
     many = many.groupBy(*place).agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
-    many = many.where(F.col("_x") != F.col("_y")).select(*place)
+    many = written(many.where(F.col("_x") != F.col("_y")).select(*place), "many")
+    opened = coming.join(many, place).join(inside, "g").select(*place, "root", "g", "n", "pos", "listed")
+    opened = written(opened, "opened")
 
-    def opened(postings: DataFrame, root: str, g: str, n: str, pos: str) -> DataFrame:
-        return postings.join(many, place).join(inside, "g").select(
+    def side(postings: DataFrame, root: str, g: str, n: str, pos: str) -> DataFrame:
+        return postings.select(
             *place, F.col("root").alias(root), F.col("g").alias(g), F.col("n").alias(n), F.col("pos").alias(pos)
         )
 
-    x, y = opened(coming.where("listed"), "rx", "a", "n_a", "i"), opened(coming, "ry", "b", "n_b", "j")
+    x, y = side(opened.where("listed"), "rx", "a", "n_a", "i"), side(opened, "ry", "b", "n_b", "j")
     meeting = x.select(*place, "rx").distinct().join(y.select(*place, "ry").distinct(), place).where("rx != ry")
     both_sizes = percent * (F.col("n_a") + F.col("n_b"))
     met = (
@@ -421,6 +451,7 @@ def _open_pairs(coming: DataFrame, members: DataFrame, roots: DataFrame, percent
         .select("rx", "ry", "a", "b")
         .distinct()
     )
+    met = written(met, "met")
     one = rooted.select(F.col("g").alias("a"), F.col("root").alias("rx"), F.col("id").alias("id_a"))
     two = rooted.select(F.col("g").alias("b"), F.col("root").alias("ry"), F.col("id").alias("id_b"))
     apart = met.join(one, ["a", "rx"]).join(two, ["b", "ry"]).select("id_a", "id_b")
@@ -481,7 +512,9 @@ def _joined(documents: DataFrame, words: int, percent: int) -> DataFrame:
     first_pairs = written(first_pairs, "stars")
     links = verified(first_pairs, classes, documents, words, percent)
     roots = connected(links)
-    open_pairs = plausible(_open_pairs(coming, members, roots, percent), usable, order, percent)
+    open_pairs = plausible(_open_pairs(coming, members, roots, percent, written), usable, order, percent)
+    for label in ("rooted", "inside", "many", "opened", "met"):  # the pairs are written by then
+        workspace.discard(spark, folders.pop(label))
     open_pairs = written(open_pairs, "open", instead_of="coming")
     classes = written(classes.select("id", "id2", "n", "rep"), "named", instead_of="classes")
     more = verified(open_pairs, classes, documents, words, percent)

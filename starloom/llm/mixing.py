@@ -199,6 +199,11 @@ def _taken(documents: DataFrame, block_words: int) -> DataFrame:
     uses = schedule(targets, block_words).groupBy("source_no", "block").agg(
         F.collect_list(F.struct("first", "last")).alias("uses")  # at most one per pass, so three
     )
+    # The schedule and the run of words are worked out one after the other, so that the driver
+    # does not hold the stages of both.
+    uses_folder = workspace.scratch(spark, "mix-uses")
+    uses.write.parquet(uses_folder)
+    uses = spark.read.parquet(uses_folder)
     run = shuffled(sizes, targets)
     end = F.col("start") + F.col("size")
     pieces = run.withColumn(

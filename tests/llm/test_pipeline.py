@@ -117,3 +117,49 @@ def test_mixing_leaves_the_texts_where_they_are(spark):
         if r["size"]:
             expected[r["doc_id"], r["source"], r["size"]] += int(r["taken"] / r["size"] + 0.5)
     assert found == +expected
+
+
+def _shuffles_of_each_query(spark, monkeypatch, stage, rows):
+    """Shuffles in the plan of every table that a stage writes, and in that of its result."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from starloom import session
+
+    found, write = [], DataFrameWriter.parquet
+
+    def planned(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    def recorded(self, path, *args, **more):
+        found.append(planned(self._df))
+        return write(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    with session.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = stage(rows)
+        found.append(planned(out))
+        out.count()
+    return found
+
+
+def test_no_query_of_a_stage_has_many_shuffles(spark, monkeypatch):
+    """The driver holds the plan, the tasks and a thread or more for each of them."""
+    from starloom.llm import jaccard, mixing
+
+    texts = [f"{k // 4} " + " ".join(f"w{k // 4 * 40 + i}" for i in range(40)) + f" end{k % 4}" for k in range(40)]
+    rows = spark.createDataFrame([(k, text, f"s{k % 3}") for k, text in enumerate(texts)], "doc_id long, text string, source string")
+    for stage in (jaccard.one_of_each, mixing.repeated):
+        found = _shuffles_of_each_query(spark, monkeypatch, stage, rows)
+        assert 0 < max(found) <= 16
+
+
+def test_driver_broadcasts_compressed_arrays():
+    import pickle
+
+    import numpy as np
+    from starloom.llm.jaccard import Packed
+
+    values = np.zeros(1 << 22, dtype="<u2")
+    values[::1000] = 7
+    sent = pickle.dumps(Packed(values))
+    assert len(sent) < values.nbytes // 20
+    assert pickle.loads(sent).values.dtype == values.dtype and (pickle.loads(sent).values == values).all()
