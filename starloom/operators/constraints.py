@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,10 @@ from starloom.schemas import Target
 
 ROWS = rules.ROWS
 
+# Rows whose keys are checked together, and the most parts, since each part reads all tables.
+ROWS_A_PART = 1 << 27
+MOST_PARTS = 4
+
 
 class ConstraintError(ValueError):
     """A built table breaks one of its declared rules."""
@@ -66,12 +71,21 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
     )
 
 
-def enforce_keys(tables: Mapping[str, DataFrame], targets: tuple[Target, ...]) -> None:
-    """Unique keys, primary keys and references of written tables; only key columns are read."""
-    found = rules.measured(tables, [_key_rules(target) for target in targets]).collect()
-    broken = [row for row in sorted(found, key=lambda r: r["number"]) if row["measured"]]
+def enforce_keys(tables: Mapping[str, DataFrame], targets: tuple[Target, ...], rows: int = 0) -> None:
+    """Unique keys, primary keys and references of written tables; only key columns are read.
+
+    Tables of many ``rows`` are read several times, each time for a part of the keys, so that
+    the marks of one part are all that is shuffled at a time.
+    """
+    parts = min(MOST_PARTS, max(1, -(-rows // ROWS_A_PART)))
+    key_rules = [_key_rules(target) for target in targets]
+    found: Counter[tuple[int, str, str]] = Counter()
+    for part in range(parts):
+        for row in rules.measured(tables, key_rules, part, parts).collect():
+            found[row["number"], row["table_name"], row["rule"]] += row["measured"]
+    broken = [(table, rule, count) for (_, table, rule), count in sorted(found.items()) if count]
     if broken:
-        listed = "\n".join(f"{r['table_name']} {r['rule']}: {r['measured']:,} violations" for r in broken)
+        listed = "\n".join(f"{table} {rule}: {count:,} violations" for table, rule, count in broken)
         raise ConstraintError(f"the written tables break their rules:\n{listed}")
 
 

@@ -5,6 +5,9 @@ behind that shuffle, the ranges' first numbers are a running sum over one row a
 the same shuffled rows are then numbered inside their range. Both belong to one query, which
 reads the shuffle twice and runs what lies before it once; nothing is written in between.
 A number follows from the bounds and the rows' keys alone, so a lost executor cannot change it.
+
+A large frame can be numbered in runs of neighbouring ranges, a query each: the shuffle files of
+a run can go before the next one begins.
 """
 
 from __future__ import annotations
@@ -14,11 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.operators import ranges
-from starloom.operators.ranges import RANGE, Ranges
+from starloom.operators.ranges import RANGE, SAMPLED_PER_RANGE, Ranges, Run
 
 # monotonically_increasing_id counts the rows of a partition in its lower bits.
 _ROW_MASK = (1 << 33) - 1
 
+# Rows numbered in one run. Every run reads the whole frame, so their number is bounded; of a
+# larger frame a run then holds its share.
+ROWS_A_RUN = 1 << 25
+MOST_RUNS = 8
+
 
 def key_ranges(keys: DataFrame, order_by: Sequence[str]) -> Ranges:
     """As many ranges as there are shuffle partitions, fewer for few rows."""
@@ -26,8 +34,17 @@ def key_ranges(keys: DataFrame, order_by: Sequence[str]) -> Ranges:
     return ranges.sampled(keys, order_by, count).narrowed()
 
 
-def numbered(df: DataFrame, of: Ranges, order_by: Sequence[str], name: str) -> DataFrame:
-    """``df`` with a leading key column, sorted inside each partition."""
+def key_runs(keys: DataFrame, order_by: Sequence[str]) -> list[Run]:
+    """Ranges in as many runs as the rows take, each of as many ranges as there are shuffle
+    partitions. More runs share the same sample, so a range of theirs has fewer keys of it."""
+    count = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = ranges.drawn(keys, order_by, count * SAMPLED_PER_RANGE)
+    runs = min(MOST_RUNS, max(1, -(-sample.rows // ROWS_A_RUN)))
+    return sample.ranges(count * runs, SAMPLED_PER_RANGE // runs).narrowed().runs(runs)
+
+
+def numbered(df: DataFrame, of: Ranges, order_by: Sequence[str], name: str, after: int = 0) -> DataFrame:
+    """``df`` with a leading key column, which begins behind ``after``, sorted inside each partition."""
     dealt = ranges.deal(df, of, order_by)
     # The digest reads every column. Without it the count's side of the plan would shuffle
     # fewer of them, and so would need a shuffle, and a run of ``df``, of its own.
@@ -40,7 +57,7 @@ def numbered(df: DataFrame, of: Ranges, order_by: Sequence[str], name: str) -> D
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)).alias("_place")
     placed = dealt.sortWithinPartitions(*order_by).select("*", place)
     # One row a range, as many as partitions.
-    return placed.join(F.broadcast(starts), RANGE).select((F.col("_start") + F.col("_place") + 1).alias(name), *df.columns)
+    return placed.join(F.broadcast(starts), RANGE).select((F.col("_start") + F.col("_place") + (after + 1)).alias(name), *df.columns)
 
 
 def assign_keys(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 RANGE = "_range"
 
@@ -45,6 +45,29 @@ class Ranges(NamedTuple):
                 return Ranges(T.StructType(self.schema.fields[:width]), cut)
         return self
 
+    def runs(self, most: int) -> list[Run]:
+        """The ranges in at most so many runs of about equally many, one after the other.
+
+        Runs part between values of the first column, so rows that agree in it share a run.
+        """
+        edges: list[object] = []
+        for n in range(1, most if self.bounds else 1):
+            value = self.bounds[n * len(self.bounds) // most][0]
+            if value is not None and (not edges or value != edges[-1]):
+                edges.append(value)
+        place = [_in_spark_order(bound[:1]) for bound in self.bounds]
+        runs = []
+        for low, high in zip([None, *edges], [*edges, None]):
+            inside = [
+                bound
+                for bound, at in zip(self.bounds, place)
+                # A bound that is the run's own begin would leave the range before it empty.
+                if (low is None or (at >= _in_spark_order((low,)) and bound != (low,)))
+                and (high is None or at < _in_spark_order((high,)))
+            ]
+            runs.append(Run(low, high, Ranges(self.schema, inside)))
+        return runs
+
     def id_of(self, key: Sequence[str]) -> Column:
         """The range a key, given in SQL, lies in: how many bounds are not above it. NULL
         sorts first, as it does for Spark.
@@ -67,6 +90,30 @@ class Ranges(NamedTuple):
         return F.expr(search(0, len(self.bounds), 0))
 
 
+class Run(NamedTuple):
+    """Neighbouring ranges, for rows whose first key column is ``low`` or above and below
+    ``high``. None is no limit; the run without a lower one has the NULLs."""
+
+    low: object
+    high: object
+    ranges: Ranges
+
+    def of(self, df: DataFrame, column: str) -> DataFrame:
+        """The rows of ``df`` that belong to the run, by its first key column."""
+        kind = self.ranges.schema[0].dataType
+        key = f"CAST({_quoted(column)} AS {kind.simpleString()})"
+        if self.low is not None:
+            df = df.where(f"{key} >= {_literal(self.low, kind)}")
+        if self.high is not None:
+            below = f"{key} < {_literal(self.high, kind)}"
+            df = df.where(f"{below} OR {key} IS NULL" if self.low is None else below)
+        return df
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _text(value: str) -> str:
     """A SQL text literal of any characters."""
     return f"CAST(X'{value.encode().hex()}' AS STRING)"
@@ -116,25 +163,42 @@ def _in_spark_order(key: tuple) -> tuple:
     return tuple((False, 0) if part is None else (True, part.encode() if isinstance(part, str) else part) for part in key)
 
 
+class Sample(NamedTuple):
+    """Keys drawn at random, in order, and how many rows they were drawn from."""
+
+    schema: T.StructType
+    keys: list[tuple]
+    rows: int
+
+    def ranges(self, count: int, per_range: int = SAMPLED_PER_RANGE) -> Ranges:
+        """At most ``count`` ranges with so many of the drawn keys each."""
+        bounds: list[tuple] = []
+        for key in self.keys[per_range::per_range]:
+            if not bounds or key != bounds[-1]:
+                bounds.append(key)
+        return Ranges(self.schema, bounds[: count - 1])
+
+
+def drawn(keys: DataFrame, columns: Sequence[str], size: int) -> Sample:
+    """``size`` rows at random, all the driver ever holds; the same job counts all rows."""
+    narrow = keys.select(*columns)
+    schema = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(narrow.schema)])
+    seen = Observation()
+    counted = narrow.observe(seen, F.count(F.lit(1)).alias("rows"))
+    found = counted.orderBy(F.rand(_SEED)).limit(size).collect()
+    return Sample(schema, sorted((tuple(row) for row in found), key=_in_spark_order), seen.get["rows"])
+
+
 def sampled(
     keys: DataFrame, columns: Sequence[str], count: int, per_range: int = SAMPLED_PER_RANGE
 ) -> Ranges:
     """At most ``count`` ranges of about equally many rows.
 
-    The sample is ``count * per_range`` rows at random, all the driver ever holds. Fewer rows
-    than that make fewer ranges. A repeated key fills one range, however often it comes;
-    where that matters, add a column that tells its rows apart.
+    The sample is ``count * per_range`` rows at random. Fewer rows than that make fewer
+    ranges. A repeated key fills one range, however often it comes; where that matters, add
+    a column that tells its rows apart.
     """
-    columns = list(columns)
-    narrow = keys.select(*columns)
-    schema = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(narrow.schema)])
-    drawn = narrow.orderBy(F.rand(_SEED)).limit(count * per_range).collect()
-    found = sorted((tuple(row) for row in drawn), key=_in_spark_order)
-    bounds: list[tuple] = []
-    for key in found[per_range::per_range]:
-        if not bounds or key != bounds[-1]:
-            bounds.append(key)
-    return Ranges(schema, bounds[: count - 1])
+    return drawn(keys, columns, count * per_range).ranges(count, per_range)
 
 
 def _with_range(df: DataFrame, ranges: Ranges, key: Sequence[str]) -> DataFrame:
@@ -173,5 +237,5 @@ def deal(df: DataFrame, ranges: Ranges, key: Sequence[str]) -> DataFrame:
 
     Narrowed ranges take as many columns of ``key`` as they have.
     """
-    quoted = ["`" + c.replace("`", "``") + "`" for c in key]
+    quoted = [_quoted(c) for c in key]
     return _with_range(df, ranges, quoted[: len(ranges.schema)]).repartitionById(ranges.count, RANGE)

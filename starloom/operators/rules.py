@@ -80,9 +80,13 @@ def _marks(frame: DataFrame, marks: list[Column]) -> DataFrame:
     return frame.select(F.explode(F.array(*marks)).alias("mark")).select("mark.*")
 
 
-def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFrame:
+def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules], part: int = 0, parts: int = 1) -> DataFrame:
     """``number`` of the rule, counted through all tables in order, ``table_name``, ``rule`` and
-    ``measured``: the rows (keys, where those are unique) that break it."""
+    ``measured``: the rows (keys, where those are unique) that break it.
+
+    With ``parts``, by the marks of one part of all keys only; the sums over all parts are the
+    measures. Marks of equal keys are in the same part.
+    """
     names = [(r.table, name) for r in rules for name in r.names]
     if len(set(names)) < len(names):
         raise ValueError("two rules of a table have the same name")
@@ -115,6 +119,8 @@ def measured(frames: Mapping[str, DataFrame], rules: Sequence[Rules]) -> DataFra
             marks.setdefault(parent, []).append(_mark(n, _hashes(frames[parent], [parent_column]), own=0))
 
     every = reduce(DataFrame.unionByName, [_marks(frames[table], of) for table, of in marks.items() if of])
+    if parts > 1:
+        every = every.where(F.pmod(F.xxhash64("h1"), F.lit(parts)) == part)
     held_too = F.count_if(F.col("own") == 0) > 0
     counted = every.groupBy("rule", "h1", "h2").agg(
         F.sum("own").alias("own"), held_too.alias("held"), F.max("missing").alias("missing")

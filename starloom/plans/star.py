@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from starloom import session
 from starloom.functions import temporal
 from starloom.operators import constraints, keys
+from starloom.operators.ranges import Run
 from starloom.plans import dimensions, fact
 from starloom.schemas import (
     CUSTOMERS,
@@ -36,30 +38,46 @@ def write_table(
     rows: DataFrame,
     folder: str,
     loaded_at: datetime,
-    keys_like: DataFrame | None = None,
     checked: bool = True,
 ) -> int:
-    """Number and write one table, and check its rows; their count.
+    """Number and write one table of rows with the natural key and the other columns, and check
+    its rows; their count. See :func:`write_runs`."""
+    runs = keys.key_runs(rows, target.natural_key)
+    return write_runs(spark, target, runs, lambda run: run.of(rows, target.natural_key[0]), folder, loaded_at, checked)
 
-    ``rows`` hold the natural key and the other columns. They are run and written once: the
-    key ranges come from ``keys_like``, which has the natural key's columns spread about as
-    the rows' are and costs less (those of ``rows`` themselves unless given), and the rules
-    on rows are counted by the write. Unchecked, a table that breaks them is left as it is,
-    for a report; else that is an error, and what was written is for the caller to remove.
+
+def write_runs(
+    spark: SparkSession,
+    target: Target,
+    runs: Sequence[Run],
+    rows_of: Callable[[Run], DataFrame],
+    folder: str,
+    loaded_at: datetime,
+    checked: bool = True,
+) -> int:
+    """Number and write one table run by run, and check its rows; their count.
+
+    The rows of a run are run and written once, and the rules on rows are counted by the write.
+    Every run is a query that adds its files to the table. Unchecked, a table that breaks the
+    rules is left as it is, for a report; else that is an error, and what was written is for
+    the caller to remove.
     """
-    narrow = (rows if keys_like is None else keys_like).select(*target.natural_key)
-    numbered = keys.numbered(rows, keys.key_ranges(narrow, target.natural_key), target.natural_key, target.key)
-    seen = Observation()
-    numbered = numbered.observe(seen, *constraints.observed_rules(target))
-    if target.stamped:
-        # As text: a Python time would pass through the driver's own zone.
-        stamp = temporal.wall_clock(F.lit(str(loaded_at)))
-        numbered = numbered.withColumn("created_at", stamp)
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
-    numbered.select(*columns).write.parquet(f"{folder}/{target.table}")
+    found: Counter[str] = Counter()
+    for run in runs:
+        numbered = keys.numbered(rows_of(run), run.ranges, target.natural_key, target.key, after=found[constraints.ROWS])
+        seen = Observation()
+        numbered = numbered.observe(seen, *constraints.observed_rules(target))
+        if target.stamped:
+            # As text: a Python time would pass through the driver's own zone.
+            stamp = temporal.wall_clock(F.lit(str(loaded_at)))
+            numbered = numbered.withColumn("created_at", stamp)
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
+        mode = "errorifexists" if run.low is None else "append"
+        numbered.select(*columns).write.mode(mode).parquet(f"{folder}/{target.table}")
+        found.update(seen.get)
     if checked:
-        constraints.enforce(target, seen.get)
-    return seen.get[constraints.ROWS]
+        constraints.enforce(target, found)
+    return found[constraints.ROWS]
 
 
 def write_dimensions(
@@ -99,10 +117,17 @@ def write_fact(
     loaded_at: datetime,
     checked: bool = True,
 ) -> int:
-    """The fact, in key ranges found from the staged items; rows written."""
-    rows = fact_rows(spark, staged, folder)
-    items = fact.item_keys(staged[ORDER_ITEMS.table])
-    return write_table(spark, FACT_ORDERS, rows, folder, loaded_at, keys_like=items, checked=checked)
+    """The fact, in key ranges found from the staged items, which cost less to read than its
+    rows; rows written."""
+    items, orders = staged[ORDER_ITEMS.table], staged[ORDERS.table]
+
+    def rows_of(run: Run) -> DataFrame:
+        # Both sides of the join: Spark passes the limits on to the other side only so far.
+        part = {ORDER_ITEMS.table: run.of(items, "order_id"), ORDERS.table: run.of(orders, "order_id")}
+        return fact_rows(spark, {**staged, **part}, folder)
+
+    runs = keys.key_runs(fact.item_keys(items), FACT_ORDERS.natural_key)
+    return write_runs(spark, FACT_ORDERS, runs, rows_of, folder, loaded_at, checked)
 
 
 def write_star(
@@ -113,10 +138,12 @@ def write_star(
 ) -> dict[str, int]:
     """All four tables under ``folder``, with one load time for all rows; rows per table.
 
-    Keys and references are checked on what was written, all in one scan of the tables.
+    Keys and references are checked on what was written, all in one scan of the tables unless
+    those are large.
     """
     loaded_at = loaded_at or temporal.now()
     counts = write_dimensions(spark, staged, folder, loaded_at)
     counts[FACT_ORDERS.table] = write_fact(spark, staged, folder, loaded_at)
-    constraints.enforce_keys({t.table: read_table(spark, folder, t) for t in TARGETS}, TARGETS)
+    tables = {t.table: read_table(spark, folder, t) for t in TARGETS}
+    constraints.enforce_keys(tables, TARGETS, rows=sum(counts.values()))
     return counts

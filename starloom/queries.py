@@ -49,9 +49,14 @@ def _dimension(target: Target, staged: Callable[[SparkSession, str], dict]) -> Q
     return query
 
 
-def _written_star(spark: SparkSession, sf_dir: str) -> str:
-    folder = workspace.scratch(spark, "star")
-    star.write_star(spark, samples.staging(spark, sf_dir), folder)
+Changed = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
+
+
+def _written_star(spark: SparkSession, sf_dir: str, changed: Changed = dict) -> str:
+    lines, folder = (workspace.scratch(spark, label) for label in ("order-lines", "star"))
+    with session.passing_shuffles(spark):
+        star.write_star(spark, changed(samples.staging(spark, sf_dir, place=lines)), folder)
+    workspace.discard(spark, lines)
     return folder
 
 

@@ -89,12 +89,16 @@ def raw_items(spark: SparkSession, folder: str) -> DataFrame:
     return _items(_table(spark, folder, "lineitem"), "l_linenumber")
 
 
-def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Items renumbered 1..n within their order, so the fact's grain holds."""
+def items(spark: SparkSession, folder: str, place: str | None = None) -> DataFrame:
+    """Items renumbered 1..n within their order, so the fact's grain holds.
+
+    The numbered lines are written to ``place``, a scratch folder unless it is given. Who gives
+    one can delete it once the items have been read.
+    """
     lines = _table(spark, folder, "lineitem").select(
         "l_orderkey", *LINE_ORDER, "l_quantity"
     )
-    place = workspace.scratch(spark, "order-lines")
+    place = place or workspace.scratch(spark, "order-lines")
     return _items(number_within(lines, "item", "l_orderkey", LINE_ORDER, place), "item")
 
 
@@ -129,11 +133,13 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     return _as_source(staged, PRODUCTS)
 
 
-def staging(spark: SparkSession, folder: str, raw_item_ids: bool = False) -> dict[str, DataFrame]:
-    """All four feeds, by staging table name."""
+def staging(
+    spark: SparkSession, folder: str, raw_item_ids: bool = False, place: str | None = None
+) -> dict[str, DataFrame]:
+    """All four feeds, by staging table name; ``place`` is that of :func:`items`."""
     frames = (
         orders(spark, folder),
-        raw_items(spark, folder) if raw_item_ids else items(spark, folder),
+        raw_items(spark, folder) if raw_item_ids else items(spark, folder, place),
         customers(spark, folder),
         products(spark, folder),
     )
