@@ -6,7 +6,7 @@ import argparse
 import logging
 import sys
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Row, SparkSession
@@ -55,27 +55,32 @@ def load(
     raw: str | None = None,
     stages: tuple[str, ...] = STAGES,
     patterns: dict[str, str] | None = None,
+    ingested: Callable[[], None] | None = None,
 ) -> list[Stage]:
     """Run the stages in order; a failing one ends the load. What they did is kept.
 
     Validate and transform work on the same staged run, whatever is staged meanwhile.
+    ``ingested`` is called once the raw files are no longer needed.
     """
     done: list[Stage] = []
     try:
-        if "ingest" in stages:
-            with recorded("ingest", done) as stage:
-                stage.row_counts = ingest(spark, raw, root, patterns)
-        if "validate" in stages or "transform" in stages:
-            layer = publish.staging(spark, root)
-            run_id = layer.current_run()
-            staged_bytes = files.total_length(spark, layer.run_folder(run_id)) if run_id else 0
-            with session.sized_shuffles(spark, staged_bytes):
-                if "validate" in stages:
-                    with recorded("validate", done) as stage:
-                        stage.row_counts = _checked_rows(validate(spark, root, run_id))
-                if "transform" in stages:
-                    with recorded("transform", done) as stage:
-                        stage.row_counts = transform(spark, root, run_id)
+        with session.passing_shuffles(spark):
+            if "ingest" in stages:
+                with recorded("ingest", done) as stage:
+                    stage.row_counts = ingest(spark, raw, root, patterns)
+                if ingested:
+                    ingested()
+            if "validate" in stages or "transform" in stages:
+                layer = publish.staging(spark, root)
+                run_id = layer.current_run()
+                staged_bytes = files.total_length(spark, layer.run_folder(run_id)) if run_id else 0
+                with session.sized_shuffles(spark, staged_bytes):
+                    if "validate" in stages:
+                        with recorded("validate", done) as stage:
+                            stage.row_counts = _checked_rows(validate(spark, root, run_id))
+                    if "transform" in stages:
+                        with recorded("transform", done) as stage:
+                            stage.row_counts = transform(spark, root, run_id)
         if "drop-replaced" in stages:
             with recorded("drop-replaced", done):
                 publish.drop_replaced(spark, root)

@@ -376,24 +376,31 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The jobs themselves, on a root folder of their own.
 
 
-def _loaded(spark: SparkSession, staged: dict) -> str:
-    """The root folder of a whole load from CSV files of all four feeds."""
-    raw = workspace.scratch(spark, "raw")
-    for source in SOURCES:
-        _write_csv(staged[source.table], f"{raw}/{source.table}")
-    root = workspace.scratch(spark, "mart")
-    load.load(spark, root, raw, patterns={s.table: s.table for s in SOURCES})
+def _loaded(spark: SparkSession, sf_dir: str, changed: Changed = dict) -> str:
+    """The root folder of a whole load from CSV files of all four feeds.
+
+    What is written for the load goes as soon as it has been read: the numbered lines once the
+    items' file is there, the files once they are staged.
+    """
+    lines, raw, root = (workspace.scratch(spark, label) for label in ("order-lines", "raw", "mart"))
+    with session.passing_shuffles(spark):
+        staged = changed(samples.staging(spark, sf_dir, place=lines))
+        for source in SOURCES:
+            _write_csv(staged[source.table], f"{raw}/{source.table}")
+    workspace.discard(spark, lines)
+    patterns = {s.table: s.table for s in SOURCES}
+    load.load(spark, root, raw, patterns=patterns, ingested=lambda: workspace.discard(spark, raw))
     return root
 
 
 def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load of feeds with dangling references keeps of itself: rows by stage and table."""
-    return history.row_counts(spark, _loaded(spark, _gapped(spark, sf_dir)))
+    return history.row_counts(spark, _loaded(spark, sf_dir, samples.with_unknown_parents))
 
 
 def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published fact after ingest, gate and transform of CSV files of all four feeds."""
-    layer = publish.warehouse(spark, _loaded(spark, samples.staging(spark, sf_dir)))
+    layer = publish.warehouse(spark, _loaded(spark, sf_dir))
     return layer.read(FACT_ORDERS.table, FACT_ORDERS.schema).drop("created_at")
 
 

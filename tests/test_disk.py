@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import files, queries, session, workspace
+from starloom.jobs import load, publish
 from starloom.operators import constraints, keys, ranges
 from starloom.plans import star
-from starloom.schemas import CUSTOMERS, DIM_CUSTOMERS, FACT_ORDERS, ORDER_ITEMS, ORDERS, TARGETS
+from starloom.schemas import CUSTOMERS, DIM_CUSTOMERS, FACT_ORDERS, ORDER_ITEMS, ORDERS, SOURCES, TARGETS
 
 NOW = datetime(2020, 1, 2, 3, 4, 5)
 
@@ -70,6 +71,27 @@ def test_fact_orders_keeps_neither_shuffles_nor_lines(spark, tables):
     assert labels == {"star"} and not shuffles
 
 
+def test_full_load_keeps_neither_shuffles_nor_raw_files(spark, tables):
+    labels, shuffles = left_behind(spark, "full_load", tables)
+    assert labels == {"mart"} and not shuffles
+
+
+def test_raw_files_are_released_once_they_are_staged(spark, tables, tmp_path):
+    root, raw, seen = str(tmp_path / "mart"), str(tmp_path / "raw"), []
+    with session.strict(spark):
+        for table, frame in queries.samples.staging(spark, tables).items():
+            queries._write_csv(frame, f"{raw}/{table}")
+
+        def ingested():
+            seen.append(publish.staging(spark, root).latest().row_counts[ORDER_ITEMS.table])
+            files.delete(spark, raw)
+
+        done = load.load(spark, root, raw, patterns={s.table: s.table for s in SOURCES}, ingested=ingested)
+    assert seen == [1_000]
+    assert [stage.outcome for stage in done] == ["done"] * 3
+    assert done[-1].row_counts[FACT_ORDERS.table] == 1_000
+
+
 def texts_of(spark, target, folder):
     rows = star.read_table(spark, folder, target)
     return sorted(str(row) for row in rows.collect())
