@@ -142,8 +142,7 @@ def join_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = workspace.scratch(spark, "star")
-    star.write_star(spark, _gapped(spark, sf_dir), folder)
+    folder = _written_star(spark, sf_dir, samples.with_unknown_parents)
     return _without_load_time(spark, folder, FACT_ORDERS)
 
 

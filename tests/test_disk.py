@@ -71,6 +71,11 @@ def test_fact_orders_keeps_neither_shuffles_nor_lines(spark, tables):
     assert labels == {"star"} and not shuffles
 
 
+def test_fact_orders_with_gaps_keeps_neither_shuffles_nor_lines(spark, tables):
+    labels, shuffles = left_behind(spark, "fact_orders_with_gaps", tables)
+    assert labels == {"star"} and not shuffles
+
+
 def test_full_load_keeps_neither_shuffles_nor_raw_files(spark, tables):
     labels, shuffles = left_behind(spark, "full_load", tables)
     assert labels == {"mart"} and not shuffles
