@@ -81,6 +81,11 @@ def test_full_load_keeps_neither_shuffles_nor_raw_files(spark, tables):
     assert labels == {"mart"} and not shuffles
 
 
+def test_load_row_counts_keeps_neither_shuffles_nor_raw_files(spark, tables):
+    labels, shuffles = left_behind(spark, "load_row_counts", tables)
+    assert labels == {"mart"} and not shuffles
+
+
 def test_raw_files_are_released_once_they_are_staged(spark, tables, tmp_path):
     root, raw, seen = str(tmp_path / "mart"), str(tmp_path / "raw"), []
     with session.strict(spark):
