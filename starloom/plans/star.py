@@ -135,15 +135,18 @@ def write_star(
     staged: Mapping[str, DataFrame],
     folder: str,
     loaded_at: datetime | None = None,
+    written: Callable[[], None] | None = None,
 ) -> dict[str, int]:
     """All four tables under ``folder``, with one load time for all rows; rows per table.
 
     Keys and references are checked on what was written, all in one scan of the tables unless
-    those are large.
+    those are large. ``written`` is called before that, once the staged rows are no longer needed.
     """
     loaded_at = loaded_at or temporal.now()
     counts = write_dimensions(spark, staged, folder, loaded_at)
     counts[FACT_ORDERS.table] = write_fact(spark, staged, folder, loaded_at)
+    if written:
+        written()
     tables = {t.table: read_table(spark, folder, t) for t in TARGETS}
     constraints.enforce_keys(tables, TARGETS, rows=sum(counts.values()))
     return counts

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starloom import session, workspace
+from starloom import files, session, workspace
 from starloom.functions import numeric, temporal, text
 from starloom.jobs import history, ingest, load, publish
 from starloom.operators import constraints, keys, quality
@@ -52,11 +53,20 @@ def _dimension(target: Target, staged: Callable[[SparkSession, str], dict]) -> Q
 Changed = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
 
+@contextmanager
+def _passing(spark: SparkSession, sf_dir: str) -> Iterator[None]:
+    """For queries run meanwhile: enough shuffle partitions for the tables the feeds are made
+    of, and no shuffle file stays longer than its query."""
+    size = sum(files.total_length(spark, f"{sf_dir}/{name}.parquet") for name in samples.TABLES)
+    with session.sized_shuffles(spark, size), session.passing_shuffles(spark):
+        yield
+
+
 def _written_star(spark: SparkSession, sf_dir: str, changed: Changed = dict) -> str:
     lines, folder = (workspace.scratch(spark, label) for label in ("order-lines", "star"))
-    with session.passing_shuffles(spark):
-        star.write_star(spark, changed(samples.staging(spark, sf_dir, place=lines)), folder)
-    workspace.discard(spark, lines)
+    with _passing(spark, sf_dir):
+        staged = changed(samples.staging(spark, sf_dir, place=lines))
+        star.write_star(spark, staged, folder, written=lambda: workspace.discard(spark, lines))
     return folder
 
 
@@ -382,7 +392,7 @@ def _loaded(spark: SparkSession, sf_dir: str, changed: Changed = dict) -> str:
     items' file is there, the files once they are staged.
     """
     lines, raw, root = (workspace.scratch(spark, label) for label in ("order-lines", "raw", "mart"))
-    with session.passing_shuffles(spark):
+    with _passing(spark, sf_dir):
         staged = changed(samples.staging(spark, sf_dir, place=lines))
         for source in SOURCES:
             _write_csv(staged[source.table], f"{raw}/{source.table}")

@@ -12,6 +12,9 @@ from starloom import files, session, workspace
 from starloom.operators.keys import number_within
 from starloom.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, SOURCES, Source
 
+# The tables the feeds are made of.
+TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
+
 # Orders an order's lines completely; line numbers alone repeat.
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 

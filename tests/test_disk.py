@@ -107,6 +107,26 @@ def texts_of(spark, target, folder):
     return sorted(str(row) for row in rows.collect())
 
 
+def test_shuffles_follow_the_size_of_the_tables(spark, tables, monkeypatch):
+    monkeypatch.setattr(session, "_PARTITION_BYTES", 1_000)
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    made = star.write_star
+    monkeypatch.setattr(star, "write_star", lambda *a, **b: seen.append(spark.conf.get("spark.sql.shuffle.partitions")) or made(*a, **b))
+    assert queries.QUERIES["fact_orders"](spark, tables).count() == 1_000
+    size = sum(files.total_length(spark, f"{tables}/{name}.parquet") for name in queries.samples.TABLES)
+    assert [int(n) for n in seen] == [session.partitions_for(size)] and int(seen[0]) > int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_staged_rows_are_released_before_the_keys_are_checked(spark, tables, monkeypatch):
+    order = []
+    monkeypatch.setattr(constraints, "enforce_keys", lambda *a, **b: order.append("checked"))
+    with session.strict(spark):
+        staged = queries.samples.staging(spark, tables)
+        star.write_star(spark, staged, workspace.scratch(spark, "star"), NOW, written=lambda: order.append("written"))
+    assert order == ["written", "checked"]
+
+
 def test_star_in_runs_is_the_star_in_one(spark, tables, monkeypatch):
     with session.strict(spark):
         staged = queries.samples.staging(spark, tables)
